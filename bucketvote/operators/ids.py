@@ -130,15 +130,12 @@ def assign_ids(
     dtype: str = "long",
 ) -> DataFrame:
     """Generated unique ids ``start + 1, start + 2, ...`` in the total order of
-    ``order`` (identity-column semantics).  ``start`` may be a one-row,
-    one-column DataFrame (for example ``max(Id)`` of the existing table),
-    joined as a scalar without a driver round trip."""
+    ``order`` (identity-column semantics).  ``start`` may be a DataFrame whose
+    first column holds the offset (for example ``max(Id)`` of the existing
+    table); it is read as a scalar subquery, with no driver round trip."""
     numbered = sequence_within(df, [], order, out="_bv_rank")
     if isinstance(start, DataFrame):
-        base = start.select(F.coalesce(F.col(start.columns[0]).cast("long"), F.lit(0)).alias("_bv_base"))
-        numbered = numbered.crossJoin(F.broadcast(base.limit(1)))  # one row by construction
-        idcol = F.col("_bv_base") + F.col("_bv_rank") + 1
-        numbered = numbered.withColumn(out, idcol.cast(dtype)).drop("_bv_base", "_bv_rank")
+        base = F.coalesce(start.select(F.max(F.col(start.columns[0])).cast("long")).scalar(), F.lit(0))
     else:
-        numbered = numbered.withColumn(out, (F.col("_bv_rank") + F.lit(int(start)) + 1).cast(dtype)).drop("_bv_rank")
-    return numbered
+        base = F.lit(int(start))
+    return numbered.withColumn(out, (base + F.col("_bv_rank") + 1).cast(dtype)).drop("_bv_rank")
