@@ -9,10 +9,16 @@ positions.  Plan:
 2. Equi-join on (position, bin) — broadcast when the query side is small
    (size measured), else a shuffle join with hot keys salted
    (``plans.strategy``).
-3. Each joined row carries both bin vectors, so the exact vote count is a
-   codegen'd sum of 25 equality flags, and a pair is kept only in the row of
-   its *first* agreeing pigeonhole position.  Every matching pair therefore
-   comes out exactly once: no ``distinct`` and no second shuffle of pairs.
+3. Each joined row carries both bin vectors, encoded once per row as 25
+   longs ``position << 32 | bin`` (one array column instead of 25).  The
+   exact vote count is ``size(array_intersect(q, s))`` (a value can only
+   meet the same position), and a pair is kept only in the row of its
+   *first* agreeing position, ``array_min(...) >> 32``; since the pigeonhole
+   positions are a prefix, that is its first agreeing pigeonhole position.
+   Every matching pair therefore comes out exactly once: no ``distinct`` and
+   no second shuffle of pairs.  (The compact form keeps the generated join
+   code small enough to be JIT-compiled; a 25-column compare inlined in a
+   join condition is not.)
 """
 
 from __future__ import annotations
@@ -29,49 +35,54 @@ Q = "q_"
 S = "s_"
 
 
+def encode_bins():
+    """25 bins -> array<bigint> of ``position << 32 | (bin + 2^31)``."""
+    return F.array(
+        *[
+            F.lit(i).cast("long") * F.lit(1 << 32) + (F.col(c).cast("long") + F.lit(1 << 31))
+            for i, c in enumerate(BIN_COLS)
+        ]
+    )
+
+
 def _explode(df: DataFrame, id_col: str, positions: list[int], prefix: str, keep: list[str]) -> DataFrame:
     keys = F.array(*[F.struct(F.lit(p).alias("pos"), F.col(BIN_COLS[p]).alias("bin")) for p in positions])
     return df.select(
         F.col(id_col).alias(prefix + "id"),
-        *[F.col(c).alias(prefix + c) for c in BIN_COLS],
+        encode_bins().alias(prefix + "v"),
         *[F.col(c).alias(prefix + c) for c in keep],
         F.explode(keys).alias("_k"),
     ).select("*", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")).drop("_k")
 
 
-def _first_agree(positions: list[int]):
-    """The first pigeonhole position where the pair agrees (CASE chain)."""
-    expr = None
-    for p in reversed(positions):
-        c = BIN_COLS[p]
-        eq = F.col(Q + c) == F.col(S + c)
-        expr = F.when(eq, F.lit(p)) if expr is None else F.when(eq, F.lit(p)).otherwise(expr)
-    return expr
+def _common():
+    return F.array_intersect(F.col(Q + "v"), F.col(S + "v"))
 
 
 def _votes():
-    total = None
-    for c in BIN_COLS:
-        t = F.coalesce(F.col(Q + c) == F.col(S + c), F.lit(False)).cast("int")
-        total = t if total is None else total + t
-    return total
+    return F.size(_common())
 
 
-def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan) -> tuple[DataFrame, DataFrame]:
-    """Salt hot (pos, bin) keys: store rows spread over k salts, query rows
-    copied to every salt.  The hot-key table is bounded by ``max_hot_keys``
-    rows, so it is broadcast."""
+def _first_agree():
+    return (F.array_min(_common()) / F.lit(1 << 32)).cast("int")
+
+
+def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int) -> tuple[DataFrame, DataFrame]:
+    """Salt hot (pos, bin) keys by pair work: store rows spread over k salts,
+    query rows copied to every salt.  The hot-key table holds at most
+    ``max_hot_keys`` rows, so it is broadcast."""
+    work = (
+        sx.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("_ns"))
+        .join(qx.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("_nq")), ["pos", "bin"])
+        .select("pos", "bin", (F.col("_ns") * F.col("_nq")).alias("_w"))
+    )
+    mean = work.select((F.sum("_w") / F.lit(n_parts)).alias("m")).scalar()
+    target = F.least(F.greatest(mean * F.lit(plan.skew_factor), F.lit(1.0)), F.lit(float(plan.hot_pairs)))
     hot = (
-        sx.groupBy("pos", "bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > F.lit(plan.hot_rows))
-        .orderBy(F.col("_n").desc(), "pos", "bin")
+        work.filter(F.col("_w") > target)
+        .orderBy(F.col("_w").desc(), "pos", "bin")
         .limit(plan.max_hot_keys)
-        .select(
-            "pos",
-            "bin",
-            F.least(F.lit(plan.max_salt), F.ceil(F.col("_n") / F.lit(plan.hot_rows))).cast("int").alias("_k"),
-        )
+        .select("pos", "bin", F.least(F.lit(plan.max_salt), F.ceil(F.col("_w") / target)).cast("int").alias("_k"))
     )
     hot_b = F.broadcast(hot)
     sx = sx.join(hot_b, ["pos", "bin"], "left").withColumn(
@@ -129,9 +140,15 @@ def vote_join(
     if how == "broadcast":
         joined = sx.join(F.broadcast(qx), ["pos", "bin"])
     else:
-        qs, ss = _salted(qx, sx, plan)
-        joined = ss.join(qs, ["pos", "bin", "_salt"])
-    cond = (_first_agree(positions) == F.col("pos")) & (_votes() >= F.lit(t))
+        spark = queries.sparkSession
+        n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        qs, ss = _salted(qx, sx, plan, n_parts)
+        # explicit hash partitioning on the join keys: the join reuses it (no
+        # further exchange) and AQE keeps the partition count
+        keys = ["pos", "bin", "_salt"]
+        joined = ss.repartition(n_parts, *keys).join(qs.repartition(n_parts, *keys).hint(plan.join_hint), keys)
+    # cheap and selective tests first: AND short-circuits
+    cond = (_votes() >= F.lit(t)) & (_first_agree() == F.col("pos"))
     if self_pairs:
         cond = (F.col(Q + "id") < F.col(S + "id")) & cond
     return joined.filter(cond).withColumn(VOTES, _votes()).select(*out_cols)

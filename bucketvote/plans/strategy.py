@@ -5,13 +5,14 @@ task (its row count is measured first, so the bound is checked, not
 assumed); the store is streamed once through a broadcast hash join, with no
 shuffle of the store at all.
 
-``shuffle``: both exploded sides are shuffled on (position, bin, salt).  Hot
-keys — (position, bin) pairs holding many store rows, for example a bin
-shared by a third of all slices — are found by one aggregate over the
-store and split: the store rows of a hot key are spread over ``k`` salts and
-the query rows of that key are copied to each salt, so no single task holds
-the hot key's whole pair work.  The hot-key table is capped in length; keys
-past the cap are still joined exactly, just unsalted.
+``shuffle``: both exploded sides are hash-partitioned on (position, bin,
+salt).  The pair work of a key is (query rows) x (store rows) with that
+(position, bin); it is counted by one aggregate per side.  Hot keys — for
+example a bin shared by a third of all slices — are split: the store rows
+of a hot key are spread over ``k`` salts and the query rows of that key are
+copied to each salt, so no single task holds the hot key's whole pair work.
+The hot-key table is capped in length (it is broadcast); keys past the cap
+are still joined exactly, just unsalted.
 """
 
 from __future__ import annotations
@@ -25,12 +26,22 @@ class VoteJoinPlan:
     strategy: str = "auto"
     # the exploded query side is broadcast when it has at most this many rows
     broadcast_rows: int = 2_000_000
-    # a (position, bin) key with more store rows than this is salted
-    hot_rows: int = 200_000
+    # a (position, bin) key whose pair work (query rows x store rows) is more
+    # than ``skew_factor`` times the mean work per partition is salted, as is
+    # any key with more than ``hot_pairs`` pair work
+    skew_factor: float = 2.0
+    hot_pairs: int = 50_000_000
     # at most this many hot keys are salted (the rest join unsalted, exactly)
     max_hot_keys: int = 10_000
     # upper bound of salts per hot key
     max_salt: int = 256
+    # partitions of the shuffle join (None: spark.sql.shuffle.partitions);
+    # set explicitly so that AQE does not merge partitions whose bytes are
+    # small but whose pair work is large
+    partitions: int | None = None
+    # physical join of the shuffle strategy: both sides stay partitioned by
+    # (position, bin, salt) so the salts spread the work
+    join_hint: str = "merge"
 
 
 DEFAULT_PLAN = VoteJoinPlan()
