@@ -77,7 +77,8 @@ def bins_to_wide(
             nonempty = d if nonempty is None else (nonempty & d)
         wide = g.filter(nonempty)
         for c in BIN_COLS:
-            wide = wide.withColumn(c, F.explode(F.col(c)).cast("int"))
+            wide = wide.withColumn(c, F.explode(F.col(c)))
+        wide = wide.select("Id", *[F.col(c).cast("int").alias(c) for c in BIN_COLS])
     else:
         raise ValueError("on_duplicate must be 'error' or 'expand'")
     return meta.join(wide, "Id").select(*SLICE_COLS)
