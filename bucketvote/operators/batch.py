@@ -136,7 +136,7 @@ def vote_join(
     if plan.strategy == "auto" and not self_pairs:
         # measured, so the broadcast side has a checked size
         n_q = qx.count()
-    how = "shuffle" if self_pairs else choose(plan, n_q)
+    how = "shuffle" if self_pairs else choose(plan, n_q, 16 * len(keep_query))
     if how == "broadcast":
         joined = sx.join(F.broadcast(qx), ["pos", "bin"])
     else:

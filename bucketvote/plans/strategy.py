@@ -24,8 +24,9 @@ from dataclasses import dataclass
 class VoteJoinPlan:
     # "auto" | "broadcast" | "shuffle"
     strategy: str = "auto"
-    # the exploded query side is broadcast when it has at most this many rows
-    broadcast_rows: int = 2_000_000
+    # the exploded query side is broadcast when its measured row count times
+    # its row width (ids, 25 encoded bins, key) fits in this many bytes
+    broadcast_bytes: int = 128 << 20
     # a (position, bin) key whose pair work (query rows x store rows) is more
     # than ``skew_factor`` times the mean work per partition is salted, as is
     # any key with more than ``hot_pairs`` pair work
@@ -47,11 +48,17 @@ class VoteJoinPlan:
 DEFAULT_PLAN = VoteJoinPlan()
 
 
-def choose(plan: VoteJoinPlan, exploded_query_rows: int | None) -> str:
+# bytes of one exploded row: id, position, bin, 25 encoded bins, row overhead
+EXPLODED_ROW_BYTES = 8 + 4 + 4 + 25 * 8 + 32
+
+
+def choose(plan: VoteJoinPlan, exploded_query_rows: int | None, extra_bytes_per_row: int = 0) -> str:
     if plan.strategy in ("broadcast", "shuffle"):
         return plan.strategy
     if plan.strategy != "auto":
         raise ValueError(f"unknown strategy {plan.strategy!r}")
-    if exploded_query_rows is not None and exploded_query_rows <= plan.broadcast_rows:
-        return "broadcast"
+    if exploded_query_rows is not None:
+        size = exploded_query_rows * (EXPLODED_ROW_BYTES + extra_bytes_per_row)
+        if size <= plan.broadcast_bytes:
+            return "broadcast"
     return "shuffle"
