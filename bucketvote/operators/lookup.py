@@ -122,21 +122,23 @@ def query_bins_frame(spark, bins: Sequence[int], base: int = 1) -> DataFrame:
 def vote_lookup_inverted(bins_long: DataFrame, bins: Sequence[int], threshold: int | None, base: int = 1) -> DataFrame:
     """V6: the vote over the long (inverted) layout.
 
-    One filter reads the posting lists of the 25 (position, bin) pairs: with
-    the long table partitioned by ``HashTable`` the partition filter prunes
-    directories and the bin equality is pushed to parquet.  Hits are counted
-    per slice (partial then final hash aggregate) and kept when >= T.
-    Returns (Id, votes).
+    25 posting-list reads, one per (position, bin): with the long table
+    partitioned by ``HashTable`` and sorted by ``HashBin``, each read is
+    pruned to one position folder and pushes one bin equality to parquet, so
+    it touches only the row groups whose bin range holds the query bin.
+    Hits are counted per slice (partial then final hash aggregate) and kept
+    when >= T.  Returns (Id, votes).
     """
     bins = check_query_bins(bins)
     t = effective_threshold(threshold)
     if t is None or t > N_BINS:
         return bins_long.select(F.col("SubFingerprintId").alias("Id"), F.lit(0).cast("long").alias(VOTES)).filter(F.lit(False))
-    cond = None
+    hits = None
     for i, b in enumerate(bins):
-        e = (F.col("HashTable") == F.lit(i + base)) & (F.col("HashBin") == F.lit(int(b)))
-        cond = e if cond is None else (cond | e)
-    hits = bins_long.filter(cond)
+        one = bins_long.filter((F.col("HashTable") == F.lit(i + base)) & (F.col("HashBin") == F.lit(int(b)))).select(
+            "SubFingerprintId"
+        )
+        hits = one if hits is None else hits.unionAll(one)
     return (
         hits.groupBy(F.col("SubFingerprintId").alias("Id"))
         .agg(F.count(F.lit(1)).alias(VOTES))
