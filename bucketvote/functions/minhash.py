@@ -34,19 +34,22 @@ def token_hash(token_col: str = "w"):
     return F.conv(F.substring(F.md5(F.col(token_col)), 1, TOKEN_HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def minhash_bins(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def minhash_bins(items: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
     """One row per item that has at least one non-empty token:
-    ``(id_col, HashTable_0 .. HashTable_24)`` (int bins).
+    ``(id_col, *carry, HashTable_0 .. HashTable_24)`` (int bins).
 
-    Whole texts are tokenised; products stay below 2^56 in bigint.
+    ``carry`` are columns functionally dependent on ``id_col``; they ride
+    along the grouping instead of being joined back afterwards.  Whole texts
+    are tokenised; products stay below 2^56 in bigint.
     """
+    carry = list(carry or [])
     toks = (
-        items.select(F.col(id_col), F.explode(F.split(F.col(text_col), " ")).alias("w"))
+        items.select(F.col(id_col), *carry, F.explode(F.split(F.col(text_col), " ")).alias("w"))
         .filter(F.col("w") != "")
-        .select(F.col(id_col), token_hash("w").alias("x"))
+        .select(F.col(id_col), *carry, token_hash("w").alias("x"))
     )
     aggs = [
         F.min((F.col("x") * F.lit(a) + F.lit(b)) % F.lit(MINHASH_PRIME)).cast("int").alias(c)
         for (a, b), c in zip(minhash_coefficients(), BIN_COLS)
     ]
-    return toks.groupBy(id_col).agg(*aggs)
+    return toks.groupBy(id_col, *carry).agg(*aggs)

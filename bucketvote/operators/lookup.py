@@ -111,14 +111,6 @@ def vote_lookup_group(
     return hits.join(ids, "TrackId", "left_semi")
 
 
-def query_bins_frame(spark, bins: Sequence[int], base: int = 1) -> DataFrame:
-    """The 25 query bins as a 25-row table (HashTable = position + base)."""
-    bins = check_query_bins(bins)
-    return spark.createDataFrame(
-        [(i + base, int(b)) for i, b in enumerate(bins)], "HashTable int, HashBin long"
-    )
-
-
 def vote_lookup_inverted(bins_long: DataFrame, bins: Sequence[int], threshold: int | None, base: int = 1) -> DataFrame:
     """V6: the vote over the long (inverted) layout.
 

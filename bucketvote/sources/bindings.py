@@ -152,20 +152,19 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def line_slices_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One slice per non-empty line of each document (whole texts)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    lines = _lines(d, "doc_id", "text").withColumn(
-        "_lid", F.col("_owner") * F.lit(LINE_STRIDE) + F.col("_line_no")
-    )
-    bins = minhash_bins(lines, "_lid", "_line")
-    meta = lines.select("_lid", "_owner", "_line_no").join(
-        d.select(F.col("doc_id").alias("_owner"), "lang", "source"), "_owner"
-    )
-    return bins.join(meta, "_lid").select(
+    lines = d.select(
+        F.col("doc_id").alias("_owner"),
+        F.concat(F.col("lang"), F.lit(","), F.col("source")).alias("Clusters"),
+        F.posexplode(F.split(F.col("text"), "\n")).alias("_line_no", "_line"),
+    ).withColumn("_lid", F.col("_owner") * F.lit(LINE_STRIDE) + F.col("_line_no"))
+    bins = minhash_bins(lines, "_lid", "_line", carry=["_owner", "_line_no", "Clusters"])
+    return bins.select(
         F.col("_lid").alias("Id"),
         F.col("_owner").cast("int").alias("TrackId"),
         F.col("_line_no").cast("int").alias("SequenceNumber"),
         F.col("_line_no").cast("double").alias("SequenceAt"),
         *BIN_COLS,
-        F.concat(F.col("lang"), F.lit(","), F.col("source")).alias("Clusters"),
+        "Clusters",
     ).select(*SLICE_COLS)
 
 
@@ -174,8 +173,8 @@ def query_lines_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     (set_id = item_id, qid, 25 bins)."""
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
     lines = _lines(b, "item_id", "text").withColumn("qid", F.col("_owner") * F.lit(LINE_STRIDE) + F.col("_line_no"))
-    bins = minhash_bins(lines, "qid", "_line")
-    return bins.join(lines.select("qid", F.col("_owner").alias("set_id")), "qid").select("set_id", "qid", *BIN_COLS)
+    bins = minhash_bins(lines.withColumnRenamed("_owner", "set_id"), "qid", "_line", carry=["set_id"])
+    return bins.select("set_id", "qid", *BIN_COLS)
 
 
 def query_docs_b(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,3 +58,11 @@ def test_no_collect_or_cross_join_in_operators():
         assert "localCheckpoint" not in text, f
         if f.name != "deletes.py":  # apply_to_store reads its per-table counts
             assert ".collect()" not in text, f
+
+
+def test_no_cross_join_in_any_registered_query(spark, smoke_dir):
+    from __spark_entry__ import queries
+
+    for key, fn in queries().items():
+        p = plan_of(fn(spark, smoke_dir))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
