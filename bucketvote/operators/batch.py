@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import effective_threshold, pigeonhole_positions
 from ..plans.strategy import DEFAULT_PLAN, VoteJoinPlan, choose
+from ..session import ensure_checkpoint_dir
 from ..schema import BIN_COLS, N_BINS
 from .lookup import VOTES, cluster_predicate
 
@@ -67,15 +68,38 @@ def _first_agree():
     return (F.array_min(_common()) / F.lit(1 << 32)).cast("int")
 
 
-def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int) -> tuple[DataFrame, DataFrame]:
+def _salted(
+    qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool
+) -> tuple[DataFrame, DataFrame]:
     """Salt hot (pos, bin) keys by pair work: store rows spread over k salts,
-    query rows copied to every salt.  The hot-key table holds at most
-    ``max_hot_keys`` rows, so it is broadcast."""
-    work = (
-        sx.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("_ns"))
-        .join(qx.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias("_nq")), ["pos", "bin"])
-        .select("pos", "bin", (F.col("_ns") * F.col("_nq")).alias("_w"))
-    )
+    query rows copied to every salt.
+
+    Per-key row counts are estimated from a seeded sample of the key columns
+    only (``plan.sample_fraction``): they only choose salts, so the result
+    stays exact whatever the estimate.  A self-join counts one side.  The
+    hot-key table holds at most ``max_hot_keys`` rows, so it is broadcast."""
+    f = float(plan.sample_fraction)
+
+    def counts(x: DataFrame, name: str) -> DataFrame:
+        keys = x.select("pos", "bin")
+        if f < 1.0:
+            keys = keys.sample(fraction=f, seed=17)
+        # a key seen once in the sample cannot be hot: keep repeated keys only
+        return (
+            keys.groupBy("pos", "bin")
+            .agg(F.count(F.lit(1)).alias("_c"))
+            .filter(F.col("_c") >= F.lit(2 if f < 1.0 else 1))
+            .select("pos", "bin", (F.col("_c") / F.lit(f)).alias(name))
+        )
+
+    cs = counts(sx, "_ns")
+    if self_pairs:
+        work = cs.select("pos", "bin", (F.col("_ns") * F.col("_ns")).alias("_w"))
+    else:
+        work = cs.join(counts(qx, "_nq"), ["pos", "bin"]).select("pos", "bin", (F.col("_ns") * F.col("_nq")).alias("_w"))
+    # one pass over the keys; the mean and the hot list both read the result
+    ensure_checkpoint_dir(qx.sparkSession)
+    work = work.checkpoint(eager=True)
     mean = work.select((F.sum("_w") / F.lit(n_parts)).alias("m")).scalar()
     target = F.least(F.greatest(mean * F.lit(plan.skew_factor), F.lit(1.0)), F.lit(float(plan.hot_pairs)))
     hot = (
@@ -142,7 +166,7 @@ def vote_join(
     else:
         spark = queries.sparkSession
         n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        qs, ss = _salted(qx, sx, plan, n_parts)
+        qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
         # explicit hash partitioning on the join keys: the join reuses it (no
         # further exchange) and AQE keeps the partition count
         keys = ["pos", "bin", "_salt"]

@@ -7,7 +7,8 @@ shuffle of the store at all.
 
 ``shuffle``: both exploded sides are hash-partitioned on (position, bin,
 salt).  The pair work of a key is (query rows) x (store rows) with that
-(position, bin); it is counted by one aggregate per side.  Hot keys — for
+(position, bin); it is estimated from a seeded sample of the key columns
+(it only chooses salts, so results stay exact).  Hot keys — for
 example a bin shared by a third of all slices — are split: the store rows
 of a hot key are spread over ``k`` salts and the query rows of that key are
 copied to each salt, so no single task holds the hot key's whole pair work.
@@ -32,6 +33,8 @@ class VoteJoinPlan:
     # any key with more than ``hot_pairs`` pair work
     skew_factor: float = 2.0
     hot_pairs: int = 50_000_000
+    # share of exploded key rows sampled to estimate per-key work (salts only)
+    sample_fraction: float = 0.05
     # at most this many hot keys are salted (the rest join unsalted, exactly)
     max_hot_keys: int = 10_000
     # upper bound of salts per hot key

@@ -28,7 +28,7 @@ def test_vote_join_equals_brute_force(spark, store, queries, t):
         for si, sv in enumerate(store)
         if sum(a == b for a, b in zip(qv, sv)) >= tt
     }
-    for plan in (VoteJoinPlan(strategy="broadcast"), VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=3)):
+    for plan in (VoteJoinPlan(strategy="broadcast"), VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=3, sample_fraction=1.0)):
         got = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join(q, s, t, plan=plan).collect()}
         assert got == want
     single = {(0, r["Id"], r["votes"]) for r in L.vote_lookup_votes(s, queries[0], t).collect()}
