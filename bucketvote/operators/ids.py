@@ -92,9 +92,11 @@ def sequence_within(
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [*keys, *order]
-    base = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # without an explicit count AQE may merge adjacent range partitions; a
+    # merged partition is still one contiguous range, so the bound below holds
+    ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
+    base = ranged.sortWithinPartitions(*sort_cols)
     schema = T.StructType(
         base.schema.fields + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_LRANK, T.LongType(), False)]
     )

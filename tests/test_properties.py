@@ -92,11 +92,12 @@ def test_bins_to_wide_drops_incomplete_and_checks_duplicates(spark, store):
     assert S.bins_to_wide(dup, s, on_duplicate="expand").filter(F.col("Id") == one).count() == 2
 
 
-def test_sequence_within_equals_window_with_hot_key(spark):
+@pytest.mark.parametrize("parts", [7, None])
+def test_sequence_within_equals_window_with_hot_key(spark, parts):
     rnd = random.Random(3)
     rows = [(0 if rnd.random() < 0.34 else rnd.randrange(1, 50), rnd.randrange(10_000), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, t int, u int")
-    got = IDS.sequence_within(df, ["k"], ["t", "u"], out="seq", num_partitions=7)
+    got = IDS.sequence_within(df, ["k"], ["t", "u"], out="seq", num_partitions=parts)
     w = Window.partitionBy("k").orderBy("t", "u")
     want = df.withColumn("seq", F.row_number().over(w) - 1)
     assert got.select("u", "seq").exceptAll(want.select("u", "seq")).count() == 0
