@@ -1,11 +1,14 @@
 """A versioned parquet store of named tables.
 
-Parquet files are never changed in place: every change of a table writes a
-new folder ``<root>/<table>/v<n>`` and then appends one line to the
-manifest table ``<root>/_manifest`` (written by Spark, so it works on any
-shared file system).  Readers resolve the newest version per table, so a
-path being read is never overwritten, and a failed write leaves the
-previous version current.
+Parquet files are never changed in place.  A table version is a list of
+folders: a full write (or a copy-on-write delete) puts the rows in one new
+folder ``<root>/<table>/v<n>``; an append puts only the new rows in a new
+folder and lists it after the folders of the previous version.  Each change
+appends one line (table, version, folders) to the manifest table
+``<root>/_manifest`` — written by Spark, so it works on any shared file
+system.  Readers resolve the newest version per table, so a path being read
+is never overwritten, and a failed write leaves the previous version
+current.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+_MANIFEST_SCHEMA = "table string, version long, paths array<string>"
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
-        self._versions: dict[str, tuple[int, str]] = {}
+        self._versions: dict[str, tuple[int, list[str]]] = {}
         self._loaded = False
 
     # ---- manifest -------------------------------------------------------
@@ -34,13 +39,19 @@ class Store:
             return
         self._loaded = True
         try:
-            m = self.spark.read.schema("table string, version long, path string").json(self._manifest_path())
+            m = self.spark.read.schema(_MANIFEST_SCHEMA).json(self._manifest_path())
             # one row per table: bounded by the number of tables
-            rows = m.groupBy("table").agg(F.max_by(F.struct("version", "path"), "version").alias("v")).collect()
+            rows = m.groupBy("table").agg(F.max_by(F.struct("version", "paths"), "version").alias("v")).collect()
         except Exception:  # no manifest yet
             rows = []
         for r in rows:
-            self._versions[r["table"]] = (int(r["v"]["version"]), r["v"]["path"])
+            self._versions[r["table"]] = (int(r["v"]["version"]), list(r["v"]["paths"]))
+
+    def _commit(self, name: str, version: int, paths: list[str]) -> None:
+        self.spark.createDataFrame([(name, version, paths)], _MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
+            self._manifest_path()
+        )
+        self._versions[name] = (version, paths)
 
     def tables(self) -> list[str]:
         self._load_manifest()
@@ -59,13 +70,9 @@ class Store:
         self._load_manifest()
         if name not in self._versions:
             raise KeyError(f"no table {name!r} in store {self.root}")
-        return self.spark.read.parquet(self._versions[name][1])
+        return self.spark.read.parquet(*self._versions[name][1])
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
-              sort_within: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as the next version of ``name`` and make it current."""
-        self._load_manifest()
-        v = self.version(name) + 1
+    def _write_folder(self, name: str, v: int, df: DataFrame, partition_by, sort_within) -> str:
         path = f"{self.root}/{name}/v{v}"
         out = df
         if sort_within:
@@ -77,18 +84,29 @@ class Store:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        self.spark.createDataFrame([(name, v, path)], "table string, version long, path string").coalesce(1).write.mode(
-            "append"
-        ).json(self._manifest_path())
-        self._versions[name] = (v, path)
+        return path
+
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+              sort_within: list[str] | None = None) -> DataFrame:
+        """Write ``df`` as the next version of ``name`` (one folder) and make it
+        current."""
+        self._load_manifest()
+        v = self.version(name) + 1
+        self._commit(name, v, [self._write_folder(name, v, df, partition_by, sort_within)])
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Append rows: the new version holds the old rows and the new rows."""
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+               sort_within: list[str] | None = None) -> DataFrame:
+        """Append rows: only the new rows are written (with the table's
+        layout options); the new version lists the previous version's
+        folders plus the new one."""
         if not self.has(name):
-            return self.write(name, df)
-        old = self.read(name)
-        return self.write(name, old.unionByName(df.select(*old.columns)))
+            return self.write(name, df, partition_by, sort_within)
+        old_cols = self.read(name).columns
+        v = self.version(name) + 1
+        path = self._write_folder(name, v, df.select(*old_cols), partition_by, sort_within)
+        self._commit(name, v, [*self._versions[name][1], path])
+        return self.read(name)
 
 
 _CACHE: dict[tuple[int, str], "TestdataStore"] = {}

@@ -57,12 +57,11 @@ def stream_insert_hashes(
 ) -> StreamingQuery:
     """Append hashed slices arriving on a stream to the store's ``slices``
     table, one new table version per micro-batch (ids after the current
-    ``max(Id)``)."""
+    ``max(Id)``; only the batch's rows are written)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        current = store.read("slices")
-        new = insert_hashes(current, batch, order)
-        store.write("slices", current.unionByName(new))
+        new = insert_hashes(store.read("slices"), batch, order)
+        store.append("slices", new)
 
     w = hashed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
