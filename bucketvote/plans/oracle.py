@@ -132,6 +132,8 @@ from customer""",
     "track_by_id": _with(TRACKS) + f"select * from tracks where Id = {RG.SIGNATURE}",
     "tracks_by_ids": _with(TRACKS)
     + "select p.p_partkey as ordinal, cast(p.p_partkey as int) as RequestedId, t.* from part p left join tracks t on t.Id = cast(p.p_partkey as int)",
+    "tracks_by_ids_repeated": _with(TRACKS)
+    + "select o.o_orderkey as ordinal, cast(o.o_custkey as int) as RequestedId, t.Id, t.Title from orders o left join tracks t on t.Id = cast(o.o_custkey as int)",
     "tracks_by_artist_title": _with(TRACKS) + f"select * from tracks where Artist = '{RG.GROUP}' and Title = 'Customer#000000000'",
     "track_by_isrc": _with(TRACKS) + "select * from tracks where ISRC = 'ISRC7' order by Id limit 1",
     "first_track_per_isrc": _with(TRACKS)
@@ -172,6 +174,11 @@ from slices""",
         f"select SubFingerprintId from bins_long where HashTable = {i + 1} and HashBin = {b}" for i, b in enumerate(QB)
     )
     + f"\n) h group by SubFingerprintId having count(*) >= {T}",
+    "vote_lookup_t0": _with(SLICES, _voted("slices", QB, 0)) + "select Id, cast(votes as int) as votes from voted",
+    "vote_lookup_t25": _with(SLICES, _voted("slices", QB, 25)) + f"select {ALL_SLICE} from slices where Id in (select Id from voted)",
+    "vote_lookup_clusters_any": _with(SLICES, _voted("slices", QB, T))
+    + f"""select {ALL_SLICE} from slices where Id in (select Id from voted)
+and Clusters is not null and Clusters <> '' and list_has_any(string_split(Clusters, ','), ['F', '1-urgent'])""",
     "union_posting_lists": _with(SLICES)
     + "\n  union all\n  ".join(
         f"select Id, {i} as position from slices where {c} = {b}" for i, (c, b) in enumerate(zip(BIN_COLS, QB))
@@ -183,6 +190,11 @@ where s.Id in (select s2.Id from doc_slices s2, query_docs q where {_pair_votes(
     + f"""select qe._id as qid, se._id as Id, cast(count(*) as int) as votes
 from qe join se on qe.pos = se.pos and qe.bin = se.bin
 group by qe._id, se._id having count(*) >= {TB}""",
+    "vote_lookup_batch_clusters": _with(LINE_SLICES, _exploded("line_slices", "Id", "se", ", TrackId, SequenceNumber, Clusters"), _exploded("query_lines", "qid", "qe"))
+    + f"""select distinct se._id as Id, se.TrackId, se.SequenceNumber from (
+  select qe._id as q, se._id as s from qe join se on qe.pos = se.pos and qe.bin = se.bin
+  group by qe._id, se._id having count(*) >= {TI}) p
+join se on se._id = p.s where se.Clusters like '%en,%'""",
     "similar_pairs": _with(DOC_SLICES, _exploded("doc_slices", "Id", "e"))
     + f"""select a._id as a_id, b._id as b_id, cast(count(*) as int) as votes
 from e a join e b on a.pos = b.pos and a.bin = b.bin and a._id < b._id
@@ -203,6 +215,7 @@ select set_id, TrackId, matched_queries, matched_slices, total_votes, rn = 1 as
     "minhash_bins": _with(DOC_SLICES) + "select Id as doc_id, " + ", ".join(BIN_COLS) + " from doc_slices",
     "bins_to_long": _with(BINS_LONG) + "select * from bins_long",
     "bins_to_wide": _with(SLICES) + f"select {ALL_SLICE} from slices",
+    "bins_to_wide_track": _with(SLICES) + f"select {ALL_SLICE} from slices where TrackId = {RG.TRACK}",
     "split_bins_by_table": _with(BINS_LONG) + "select * from bins_long",
     "rebase_bins": _with(BINS_LONG)
     + "select cast(HashTable - 1 as int) as HashTable, cast(HashBin as int) as HashBin, SubFingerprintId from bins_long",

@@ -116,6 +116,12 @@ def tracks_by_ids(spark, d):
     return C.tracks_by_ids(_st(spark, d).get("tracks"), ids)
 
 
+def tracks_by_ids_repeated(spark, d):
+    """One output per input id, repeats kept: every order asks for its customer."""
+    o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("ordinal"), F.col("o_custkey").cast("int").alias("Id"))
+    return C.tracks_by_ids(_st(spark, d).get("tracks"), o).select("ordinal", "RequestedId", "Id", "Title")
+
+
 def tracks_by_artist_title(spark, d):
     return C.tracks_by_artist_title(_st(spark, d).get("tracks"), GROUP, "Customer#000000000")
 
@@ -212,6 +218,20 @@ def vote_lookup_inverted(spark, d):
     return L.vote_lookup_inverted(_st(spark, d).get("bins_long"), _q(), THRESHOLD)
 
 
+def vote_lookup_t0(spark, d):
+    """T = 0 acts as T = 1: a slice that agrees nowhere is never a candidate."""
+    return L.vote_lookup_votes(_st(spark, d).get("slices"), _q(), 0).select("Id", "votes")
+
+
+def vote_lookup_t25(spark, d):
+    return L.vote_lookup(_st(spark, d).get("slices"), _q(), 25)
+
+
+def vote_lookup_clusters_any(spark, d):
+    """Labels as a set: some label of the slice equals some given label."""
+    return L.vote_lookup_clusters(_st(spark, d).get("slices"), _q(), THRESHOLD, ["F", "1-urgent"], mode="any")
+
+
 def union_posting_lists(spark, d):
     return L.union_posting_lists(_st(spark, d).get("slices"), _q())
 
@@ -227,6 +247,13 @@ def vote_lookup_batch_votes(spark, d):
     return BT.vote_lookup_batch_votes(st.get("doc_slices"), st.get("query_docs"), BATCH_THRESHOLD)
 
 
+def vote_lookup_batch_clusters(spark, d):
+    """V3 on line slices restricted by label text, queries = benchmark lines."""
+    st = _st(spark, d)
+    res = BT.vote_lookup_batch(st.get("line_slices"), st.get("query_lines"), IDENTIFY_THRESHOLD, clusters=["en,"])
+    return res.select("Id", "TrackId", "SequenceNumber")
+
+
 def similar_pairs(spark, d):
     return BT.similar_pairs(_st(spark, d).get("doc_slices"), BATCH_THRESHOLD)
 
@@ -251,6 +278,11 @@ def bins_to_wide(spark, d):
     return S.bins_to_wide(st.get("bins_long"), st.get("slices"))
 
 
+def bins_to_wide_track(spark, d):
+    st = _st(spark, d)
+    return S.bins_to_wide(st.get("bins_long"), st.get("slices"), track_id=TRACK)
+
+
 def split_bins_by_table(spark, d):
     return S.split_bins_by_table(_st(spark, d).get("bins_long"), scratch_path(spark, "split"))
 
@@ -392,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_bins_routed": append_bins_routed,
     "track_by_id": track_by_id,
     "tracks_by_ids": tracks_by_ids,
+    "tracks_by_ids_repeated": tracks_by_ids_repeated,
     "tracks_by_artist_title": tracks_by_artist_title,
     "track_by_isrc": track_by_isrc,
     "first_track_per_isrc": first_track_per_isrc,
@@ -411,14 +444,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vote_lookup_votes": vote_lookup_votes,
     "vote_lookup_group": vote_lookup_group,
     "vote_lookup_inverted": vote_lookup_inverted,
+    "vote_lookup_t0": vote_lookup_t0,
+    "vote_lookup_t25": vote_lookup_t25,
+    "vote_lookup_clusters_any": vote_lookup_clusters_any,
     "union_posting_lists": union_posting_lists,
     "vote_lookup_batch": vote_lookup_batch,
     "vote_lookup_batch_votes": vote_lookup_batch_votes,
+    "vote_lookup_batch_clusters": vote_lookup_batch_clusters,
     "similar_pairs": similar_pairs,
     "identify_tracks": identify_tracks,
     "minhash_bins": minhash_bins_q,
     "bins_to_long": bins_to_long,
     "bins_to_wide": bins_to_wide,
+    "bins_to_wide_track": bins_to_wide_track,
     "split_bins_by_table": split_bins_by_table,
     "rebase_bins": rebase_bins,
     "denormalise_albums": denormalise_albums,
