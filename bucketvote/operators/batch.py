@@ -8,7 +8,10 @@ positions.  Plan:
    position only: (position, bin, id, the 25 bins).
 2. Equi-join on (position, bin) — broadcast when the query side is small
    (size measured), else a shuffle join with hot keys salted
-   (``plans.strategy``).
+   (``plans.strategy``).  When the threshold is so low that pigeonhole keeps
+   nearly all positions, the shuffle uses the narrow *count* plan instead
+   (``_count_join``): all 25 positions as (position, bin, id) rows, votes
+   counted per pair.
 3. Each joined row carries both bin vectors, encoded once per row as 25
    longs ``position << 32 | bin`` (one array column instead of 25).  The
    exact vote count is ``size(array_intersect(q, s))`` (a value can only
@@ -118,6 +121,47 @@ def _salted(
     return qx, sx
 
 
+def _count_join(
+    queries: DataFrame,
+    store: DataFrame,
+    t: int,
+    query_id: str,
+    store_id: str,
+    keep_query: list[str],
+    keep_store: list[str],
+    self_pairs: bool,
+    plan: VoteJoinPlan,
+) -> DataFrame:
+    """The narrow plan: explode all 25 positions as (pos, bin, id) rows,
+    join on (pos, bin, salt), and count agreeing positions per pair
+    (partial then final aggregate).  Shuffles ~16-byte rows instead of rows
+    carrying the bin vectors, but also shuffles one row per agreeing
+    (pair, position)."""
+    all_pos = list(range(N_BINS))
+
+    def narrow(df, id_col, prefix, keep):
+        keys = F.array(*[F.struct(F.lit(p).alias("pos"), F.col(BIN_COLS[p]).alias("bin")) for p in all_pos])
+        return df.select(
+            F.col(id_col).alias(prefix + "id"), *[F.col(c).alias(prefix + c) for c in keep], F.explode(keys).alias("_k")
+        ).select("*", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")).drop("_k")
+
+    qx = narrow(queries, query_id, Q, keep_query)
+    sx = narrow(store, store_id, S, keep_store)
+    spark = queries.sparkSession
+    n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
+    keys = ["pos", "bin", "_salt"]
+    joined = ss.repartition(n_parts, *keys).join(qs.repartition(n_parts, *keys).hint(plan.join_hint), keys)
+    if self_pairs:
+        joined = joined.filter(F.col(Q + "id") < F.col(S + "id"))
+    group = [Q + "id", S + "id", *[Q + c for c in keep_query], *[S + c for c in keep_store]]
+    return (
+        joined.groupBy(*group)
+        .agg(F.count(F.lit(1)).cast("int").alias(VOTES))
+        .filter(F.col(VOTES) >= F.lit(t))
+    )
+
+
 def vote_join(
     queries: DataFrame,
     store: DataFrame,
@@ -152,6 +196,9 @@ def vote_join(
         for c in keep_store:
             empty = empty.withColumn(S + c, F.lit(None).cast(dict(store.dtypes)[c]))
         return empty.select(*out_cols)
+    if plan.strategy == "count":
+        pairs = _count_join(queries, store, t, query_id, store_id, keep_query, keep_store, self_pairs, plan)
+        return pairs.select(*out_cols)
     positions = pigeonhole_positions(t)
     qx = _explode(queries, query_id, positions, Q, keep_query)
     sx = _explode(store, store_id, positions, S, keep_store)
@@ -161,6 +208,11 @@ def vote_join(
         # measured, so the broadcast side has a checked size
         n_q = qx.count()
     how = "shuffle" if self_pairs else choose(plan, n_q, 16 * len(keep_query))
+    if how == "shuffle" and plan.strategy == "auto" and len(positions) >= plan.count_min_positions:
+        # pigeonhole keeps almost every position: shuffling narrow rows and
+        # counting beats shuffling rows that carry the bin vectors
+        pairs = _count_join(queries, store, t, query_id, store_id, keep_query, keep_store, self_pairs, plan)
+        return pairs.select(*out_cols)
     if how == "broadcast":
         joined = sx.join(F.broadcast(qx), ["pos", "bin"])
     else:

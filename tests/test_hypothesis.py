@@ -28,12 +28,18 @@ def test_vote_join_equals_brute_force(spark, store, queries, t):
         for si, sv in enumerate(store)
         if sum(a == b for a, b in zip(qv, sv)) >= tt
     }
-    for plan in (VoteJoinPlan(strategy="broadcast"), VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=3, sample_fraction=1.0)):
+    for plan in (
+        VoteJoinPlan(strategy="broadcast"),
+        VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=3, sample_fraction=1.0),
+        VoteJoinPlan(strategy="count", skew_factor=0.01, max_salt=3, sample_fraction=1.0),
+    ):
         got = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join(q, s, t, plan=plan).collect()}
         assert got == want
     single = {(0, r["Id"], r["votes"]) for r in L.vote_lookup_votes(s, queries[0], t).collect()}
     assert single == {w for w in want if w[0] == 0}
-    pairs = {(r["a_id"], r["b_id"]) for r in BT.similar_pairs(s, t).collect()}
-    assert pairs == {
+    want_pairs = {
         (a, b) for a, b in itertools.combinations(range(len(store)), 2) if sum(x == y for x, y in zip(store[a], store[b])) >= tt
     }
+    for plan in (VoteJoinPlan(), VoteJoinPlan(strategy="count"), VoteJoinPlan(strategy="shuffle")):
+        pairs = {(r["a_id"], r["b_id"]) for r in BT.similar_pairs(s, t, plan=plan).collect()}
+        assert pairs == want_pairs

@@ -48,7 +48,15 @@ def test_inverted_equals_wide(store):
         assert a == b
 
 
-@pytest.mark.parametrize("plan", [VoteJoinPlan(strategy="broadcast"), VoteJoinPlan(strategy="shuffle"), VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=8, sample_fraction=1.0)])
+@pytest.mark.parametrize(
+    "plan",
+    [
+        VoteJoinPlan(strategy="broadcast"),
+        VoteJoinPlan(strategy="shuffle"),
+        VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=8, sample_fraction=1.0),
+        VoteJoinPlan(strategy="count", skew_factor=0.01, max_salt=8, sample_fraction=1.0),
+    ],
+)
 def test_batch_is_union_of_singles(spark, store, plan):
     s = store.get("slices")
     keys = [3, 50, 700, 1499]
