@@ -129,7 +129,7 @@ from doc_slices d join documents m on d.Id = m.doc_id""",
        lower(hex(unhex(md5(concat(c_name, '#2'))))) as Signature_hex, cast(c_custkey as int) as TrackId
 from customer""",
     "append_bins_routed": _with(BINS_LONG) + "select * from bins_long",
-    "track_by_id": _with(TRACKS) + f"select * from tracks where Id = {RG.SIGNATURE}",
+    "track_by_id": _with(TRACKS) + f"select * from tracks where Id = {RG.LOOKUP_TRACK}",
     "tracks_by_ids": _with(TRACKS)
     + "select p.p_partkey as ordinal, cast(p.p_partkey as int) as RequestedId, t.* from part p left join tracks t on t.Id = cast(p.p_partkey as int)",
     "tracks_by_ids_repeated": _with(TRACKS)
@@ -146,7 +146,7 @@ from slices where TrackId = {RG.TRACK}""",
     "slice_by_id": _with(SLICES) + f"select * from slices where Id = {QK}",
     "signatures_by_track": _with(SIGNATURES)
     + f"select Id, lower(hex(Signature)) as Signature_hex, TrackId from signatures where TrackId = {RG.SIGNATURE}",
-    "posting_list": "select o_orderkey as Id from orders where o_orderkey % 6 = 2",
+    "posting_list": _with(SLICES) + f"select Id from slices where {BIN_COLS[RG.POSTING_POSITION]} = {RG.POSTING_BIN}",
     "pack_bins": _with(SLICES) + f"select Id, {BINS_TEXT} as bins from slices",
     "spread_bins": _with(SLICES) + "select Id, " + ", ".join(BIN_COLS) + " from slices",
     "encode_clusters": _with(SLICES) + "select Id, coalesce(Clusters, '') as Clusters from slices",

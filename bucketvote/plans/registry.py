@@ -34,7 +34,9 @@ THRESHOLD = 4
 BATCH_THRESHOLD = 5
 IDENTIFY_THRESHOLD = 8
 TRACK = 5
+LOOKUP_TRACK = 7
 SIGNATURE = 7
+POSTING_POSITION, POSTING_BIN = 3, 2
 GROUP = "HOUSEHOLD"
 CLUSTER_LABELS = ["1-urgent"]
 EVENT_TYPES = ["Click", "View", "Purchase", "Error", "Signup"]
@@ -108,7 +110,7 @@ def append_bins_routed(spark, d):
 
 # ---- keyed lookups ----------------------------------------------------------
 def track_by_id(spark, d):
-    return C.track_by_id(_st(spark, d).get("tracks"), SIGNATURE)
+    return C.track_by_id(_st(spark, d).get("tracks"), LOOKUP_TRACK)
 
 
 def tracks_by_ids(spark, d):
@@ -156,7 +158,7 @@ def signatures_by_track(spark, d):
 
 
 def posting_list(spark, d):
-    return L.posting_list(_st(spark, d).get("slices"), 3, 2)
+    return L.posting_list(_st(spark, d).get("slices"), POSTING_POSITION, POSTING_BIN)
 
 
 def pack_bins_q(spark, d):
