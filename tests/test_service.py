@@ -1,0 +1,40 @@
+"""The store's integration flows, through the service object."""
+
+from __future__ import annotations
+
+from bucketvote.service import ModelService
+
+from .fixtures import FIRST, GENERIC, QUERY, SECOND
+
+
+def _hashed(spark, rows):
+    return spark.createDataFrame(rows, "bins array<int>, SequenceNumber int, SequenceAt double, clusters array<string>")
+
+
+def test_insert_read_delete_flow(spark):
+    svc = ModelService(spark)
+    ids = [svc.insert_track(f"isrc{i}", "artist", "title", "album", 1986, 200) for i in range(3)]
+    assert len(set(ids)) == 3
+    assert svc.read_tracks().count() == 3
+    assert svc.read_track_by_isrc("isrc1").collect()[0]["Id"] == ids[1]
+    t = ids[0]
+    svc.insert_hashes_for_track(_hashed(spark, [(GENERIC, i, i * 0.928, []) for i in range(10)]), t)
+    back = svc.read_hashes_by_track(t).collect()
+    assert len(back) == 10 and all(r["bins"] == GENERIC for r in back)
+    assert svc.read_subfingerprints(GENERIC, 25).count() == 10
+    assert svc.delete_track(t) == 1 + 10
+    assert svc.read_subfingerprints(GENERIC, 25).count() == 0
+    assert svc.read_track_by_id(t).count() == 0
+
+
+def test_threshold_and_clusters_through_service(spark):
+    svc = ModelService(spark)
+    a = svc.insert_track("a", "x", "y", "z", 2012, 200)
+    b = svc.insert_track("b", "x", "y", "z", 2012, 200)
+    svc.insert_hashes_for_track(_hashed(spark, [(FIRST, 0, 0.0, ["first-group-id"])]), a)
+    svc.insert_hashes_for_track(_hashed(spark, [(SECOND, 0, 0.0, ["second-group-id"])]), b)
+    assert svc.read_subfingerprints(QUERY).count() == 2  # default threshold
+    assert svc.read_subfingerprints(QUERY, 5).count() == 1
+    assert svc.read_subfingerprints(QUERY, 4, ["first-group-id"]).collect()[0]["TrackId"] == a
+    q = spark.createDataFrame([(0, *QUERY), (1, *FIRST)], ["qid", *[f"HashTable_{i}" for i in range(25)]])
+    assert svc.read_subfingerprints_batch(q, 5).count() == 1
