@@ -50,19 +50,30 @@ def tracks_by_ids(tracks: DataFrame, ids: DataFrame, id_col: str = "Id", ordinal
     )
 
 
-def tracks_by_artist_title(tracks: DataFrame, artist: str | None, title: str | None) -> DataFrame:
+def text_eq(col: str, value: str, collation: str | None = None):
+    """Text equality; ``collation`` (for example ``UTF8_LCASE`` for a
+    case-insensitive compare, ``UTF8_BINARY_RTRIM`` to ignore trailing
+    blanks) replaces Spark's default binary compare."""
+    if collation is None:
+        return F.col(col) == F.lit(value)
+    return F.collate(F.col(col), collation) == F.collate(F.lit(value), collation)
+
+
+def tracks_by_artist_title(
+    tracks: DataFrame, artist: str | None, title: str | None, collation: str | None = None
+) -> DataFrame:
     """L3: rows with both equal; a NULL argument matches nothing."""
     if artist is None or title is None:
         return tracks.filter(F.lit(False))
-    return tracks.filter((F.col("Artist") == F.lit(artist)) & (F.col("Title") == F.lit(title)))
+    return tracks.filter(text_eq("Artist", artist, collation) & text_eq("Title", title, collation))
 
 
-def track_by_isrc(tracks: DataFrame, isrc: str | None) -> DataFrame:
+def track_by_isrc(tracks: DataFrame, isrc: str | None, collation: str | None = None) -> DataFrame:
     """L4: the first track with this ISRC (ISRC is not unique: we take the
     smallest Id), or no row."""
     if isrc is None:
         return tracks.filter(F.lit(False))
-    return first_or_none(tracks.filter(F.col("ISRC") == F.lit(isrc)), ["Id"])
+    return first_or_none(tracks.filter(text_eq("ISRC", isrc, collation)), ["Id"])
 
 
 def first_track_per_isrc(tracks: DataFrame) -> DataFrame:
@@ -72,7 +83,7 @@ def first_track_per_isrc(tracks: DataFrame) -> DataFrame:
     best = tracks.filter(F.col("ISRC").isNotNull()).groupBy("ISRC").agg(
         F.min_by(F.struct(*cols), F.col("Id")).alias("_bv_t")
     )
-    return best.select(*[F.col(f"_bv_t.{c}").alias(c) for c in cols[:1]], "ISRC", *[F.col(f"_bv_t.{c}").alias(c) for c in cols[1:]]).select(*tracks.columns)
+    return best.select("ISRC", "_bv_t.*").select(*tracks.columns)
 
 
 def first_or_none(df: DataFrame, order: Sequence[str]) -> DataFrame:

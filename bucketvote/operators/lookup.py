@@ -96,6 +96,7 @@ def vote_lookup_group(
     threshold: int | None,
     group: str | None,
     group_col: str = "GroupId",
+    collation: str | None = None,
 ) -> DataFrame:
     """V5: V1 restricted to slices whose track has ``group_col`` equal to
     ``group`` (exact text equality; NULL group matches nothing).
@@ -107,7 +108,9 @@ def vote_lookup_group(
     hits = vote_lookup(slices, bins, threshold)
     if group is None:
         return hits.filter(F.lit(False))
-    ids = tracks.filter(F.col(group_col) == F.lit(group)).select(F.col("Id").alias("TrackId"))
+    from .catalog import text_eq
+
+    ids = tracks.filter(text_eq(group_col, group, collation)).select(F.col("Id").alias("TrackId"))
     return hits.join(ids, "TrackId", "left_semi")
 
 

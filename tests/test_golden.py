@@ -168,3 +168,12 @@ def test_similar_pairs_matches_brute_force(spark):
         ):
             got = {(r["a_id"], r["b_id"]) for r in BT.similar_pairs(s, t, plan=plan).collect()}
             assert got == want, (t, plan)
+
+
+def test_collations(spark):
+    tracks = tracks_df(spark, [(1, "AbC ", "Artist", "Title", "al", 1986, 200.0), (2, "abc", "artist", "title", "al", 1986, 200.0)])
+    assert ids(C.track_by_isrc(tracks, "abc")) == [2]
+    assert ids(C.track_by_isrc(tracks, "ABC", collation="UTF8_LCASE")) == [2]
+    assert ids(C.tracks_by_artist_title(tracks, "ARTIST", "TITLE", collation="UTF8_LCASE")) == [1, 2]
+    assert ids(C.tracks_by_artist_title(tracks, "Artist", "Title")) == [1]
+    assert ids(C.track_by_isrc(tracks, "AbC", collation="UTF8_BINARY_RTRIM")) == [1]
