@@ -39,11 +39,16 @@ Q = "q_"
 S = "s_"
 
 
-def encode_bins():
-    """25 bins -> array<bigint> of ``position << 32 | (bin + 2^31)``."""
+def encode_bins(side: int = 0):
+    """25 bins -> array<bigint> of ``position << 32 | (bin + 2^31)``.  A NULL
+    bin becomes a negative value private to its side (``side`` 0 or 1), so it
+    never agrees with anything: NULL does not vote."""
     return F.array(
         *[
-            F.lit(i).cast("long") * F.lit(1 << 32) + (F.col(c).cast("long") + F.lit(1 << 31))
+            F.coalesce(
+                F.lit(i).cast("long") * F.lit(1 << 32) + (F.col(c).cast("long") + F.lit(1 << 31)),
+                F.lit(-1 - i - 100 * side).cast("long"),
+            )
             for i, c in enumerate(BIN_COLS)
         ]
     )
@@ -53,7 +58,7 @@ def _explode(df: DataFrame, id_col: str, positions: list[int], prefix: str, keep
     keys = F.array(*[F.struct(F.lit(p).alias("pos"), F.col(BIN_COLS[p]).alias("bin")) for p in positions])
     return df.select(
         F.col(id_col).alias(prefix + "id"),
-        encode_bins().alias(prefix + "v"),
+        encode_bins(0 if prefix == Q else 1).alias(prefix + "v"),
         *[F.col(c).alias(prefix + c) for c in keep],
         F.explode(keys).alias("_k"),
     ).select("*", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")).drop("_k")

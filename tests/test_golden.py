@@ -177,3 +177,18 @@ def test_collations(spark):
     assert ids(C.tracks_by_artist_title(tracks, "ARTIST", "TITLE", collation="UTF8_LCASE")) == [1, 2]
     assert ids(C.tracks_by_artist_title(tracks, "Artist", "Title")) == [1]
     assert ids(C.track_by_isrc(tracks, "AbC", collation="UTF8_BINARY_RTRIM")) == [1]
+
+
+def test_null_bins_do_not_vote(spark):
+    v = list(range(25))
+    s = spark.createDataFrame(
+        [(1, 1, 0, 0.0, *([None] + v[1:]), None)],
+        "Id long, TrackId int, SequenceNumber int, SequenceAt double, "
+        + ", ".join(f"{c} int" for c in BIN_COLS)
+        + ", Clusters string",
+    )
+    q = spark.createDataFrame([(0, *([None] + v[1:]))], "qid long, " + ", ".join(f"{c} int" for c in BIN_COLS))
+    for plan in (VoteJoinPlan(strategy="broadcast"), VoteJoinPlan(strategy="shuffle"), VoteJoinPlan(strategy="count")):
+        got = [(r["Id"], r["votes"]) for r in BT.vote_join(q, s, 1, plan=plan).collect()]
+        assert got == [(1, 24)], plan
+    assert L.vote_lookup_votes(s, [0] + v[1:], 1).collect()[0]["votes"] == 24
