@@ -70,15 +70,15 @@ class ModelService:
     def delete_track(self, track_id: int) -> int:
         """Removes the track, its slices and its signatures; returns the
         number of rows removed (1 + slices + signatures)."""
-        res = D.delete_track(self.store.read("tracks"), self.store.read("slices"), track_id, self.store.read("signatures"))
-        counts = {r["table"]: r["removed"] for r in D.apply_to_store(self.store, res).collect()}
+        counts = {r["table"]: r["removed"] for r in D.delete_tracks_in_store(self.store, [track_id]).collect()}
         return int(counts["total"])
 
     # ---- slices ---------------------------------------------------------------
     def insert_hashes_for_track(self, hashed: DataFrame, track_id: int, order: Sequence[str] = ("SequenceNumber",)) -> DataFrame:
-        """``hashed``: (bins array<int>, SequenceNumber, SequenceAt, clusters array<string>)."""
+        """``hashed``: (bins array<int>, SequenceNumber, SequenceAt, clusters array<string>).
+        The new slices are written clustered by (TrackId, SequenceNumber)."""
         new = C.insert_hashes(self.store.read("slices"), hashed, list(order), track_id=track_id)
-        self.store.append("slices", new)
+        self.store.append("slices", new, sort_within=["TrackId", "SequenceNumber"])
         return new
 
     def read_hashes_by_track(self, track_id: int) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-_MANIFEST_SCHEMA = "table string, version long, paths array<string>"
+_MANIFEST_SCHEMA = "table string, version long, paths array<string>, partition_by array<string>"
 
 
 class Store:
@@ -28,6 +28,7 @@ class Store:
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
         self._versions: dict[str, tuple[int, list[str]]] = {}
+        self._partitioned: dict[str, list[str]] = {}
         self._loaded = False
 
     # ---- manifest -------------------------------------------------------
@@ -41,17 +42,22 @@ class Store:
         try:
             m = self.spark.read.schema(_MANIFEST_SCHEMA).json(self._manifest_path())
             # one row per table: bounded by the number of tables
-            rows = m.groupBy("table").agg(F.max_by(F.struct("version", "paths"), "version").alias("v")).collect()
+            rows = m.groupBy("table").agg(
+                F.max_by(F.struct("version", "paths", "partition_by"), "version").alias("v")
+            ).collect()
         except Exception:  # no manifest yet
             rows = []
         for r in rows:
             self._versions[r["table"]] = (int(r["v"]["version"]), list(r["v"]["paths"]))
+            self._partitioned[r["table"]] = list(r["v"]["partition_by"] or [])
 
-    def _commit(self, name: str, version: int, paths: list[str]) -> None:
-        self.spark.createDataFrame([(name, version, paths)], _MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
-            self._manifest_path()
-        )
+    def _commit(self, name: str, version: int, paths: list[str], partition_by: list[str] | None = None) -> None:
+        part = list(partition_by or [])
+        self.spark.createDataFrame([(name, version, paths, part)], _MANIFEST_SCHEMA).coalesce(1).write.mode(
+            "append"
+        ).json(self._manifest_path())
         self._versions[name] = (version, paths)
+        self._partitioned[name] = part
 
     def tables(self) -> list[str]:
         self._load_manifest()
@@ -92,7 +98,7 @@ class Store:
         current."""
         self._load_manifest()
         v = self.version(name) + 1
-        self._commit(name, v, [self._write_folder(name, v, df, partition_by, sort_within)])
+        self._commit(name, v, [self._write_folder(name, v, df, partition_by, sort_within)], partition_by)
         return self.read(name)
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
@@ -105,9 +111,40 @@ class Store:
         old_cols = self.read(name).columns
         v = self.version(name) + 1
         path = self._write_folder(name, v, df.select(*old_cols), partition_by, sort_within)
-        self._commit(name, v, [*self._versions[name][1], path])
+        self._commit(name, v, [*self._versions[name][1], path], partition_by)
         return self.read(name)
 
+    def delete_rows(self, name: str, keys: DataFrame, on: list[str]) -> int:
+        """Remove the rows whose ``on`` columns match a row of ``keys``;
+        returns the number removed.
+
+        File-level copy-on-write: only the files holding a removed row are
+        rewritten (their surviving rows go to one new folder); every other
+        file is kept by reference in the new version.  With tables clustered
+        on the key (slices by TrackId) a delete touches few files.  A table
+        written with ``partition_by`` is rewritten whole (its folder names
+        carry a column)."""
+        cur = self.read(name)
+        k = keys.select(*on).distinct()
+        part = self._partitioned.get(name) or []
+        removed = cur.join(k, on, "left_semi").count()
+        if removed == 0:
+            return 0
+        v = self.version(name) + 1
+        if part:
+            path = self._write_folder(name, v, cur.join(k, on, "left_anti"), part, None)
+            self._commit(name, v, [path], part)
+            return removed
+        # file names are table metadata: bounded by the table's file count
+        # the file name is taken at the scan (it is lost after a shuffle)
+        tagged = cur.select(*on, F.input_file_name().alias("_bv_file"))
+        touched = {r[0] for r in tagged.join(k, on, "left_semi").select("_bv_file").distinct().collect()}
+        kept = [f for f in cur.inputFiles() if f not in touched]
+        survivors = self.spark.read.parquet(*sorted(touched)).join(k, on, "left_anti")
+        path = self._write_folder(name, v, survivors, None, None)
+        self._commit(name, v, [*kept, path])
+        return removed
+
 
 _CACHE: dict[tuple[int, str], "TestdataStore"] = {}
 _LOCK = threading.Lock()

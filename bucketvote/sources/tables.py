@@ -2,7 +2,8 @@
 
 Each builder returns (DataFrame, layout options for ``Store.write``).  The
 long bin layout is written partitioned by position and sorted by bin, so a
-posting-list read prunes to one folder and skips row groups by bin.
+posting-list read prunes to one folder and skips row groups by bin; slices
+are clustered by (TrackId, SequenceNumber).
 """
 
 from __future__ import annotations
@@ -14,6 +15,12 @@ def _plain(fn):
     return lambda spark, d: (fn(spark, d), {})
 
 
+def _by_track(fn):
+    """Slices clustered by track: range-partitioned and sorted by (TrackId,
+    SequenceNumber), so by-track reads and deletes touch few row groups."""
+    return lambda spark, d: (fn(spark, d), {"sort_within": ["TrackId", "SequenceNumber"]})
+
+
 def _bins_long(spark, d):
     from ..operators.reshape import bins_to_long
 
@@ -24,13 +31,13 @@ BUILDERS = {
     "tracks": _plain(B.tracks_a),
     "tracks_raw": _plain(B.tracks_a_raw_length),
     "tracks_album": _plain(B.tracks_with_album_id),
-    "slices": _plain(B.slices_a),
+    "slices": _by_track(B.slices_a),
     "signatures": _plain(B.signatures_a),
     "albums": _plain(B.albums_a),
     "bins_long": _bins_long,
     "doc_slices": _plain(B.doc_slices_b),
     "doc_tracks": _plain(B.doc_tracks_c),
-    "line_slices": _plain(B.line_slices_c),
+    "line_slices": _by_track(B.line_slices_c),
     "query_lines": _plain(B.query_lines_c),
     "query_docs": _plain(B.query_docs_b),
 }
