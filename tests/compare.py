@@ -88,7 +88,12 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
-    spark = local_session(8)
+    if os.environ.get("COMPARE_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, os_ = queries(), oracle_sql()
     bad = 0
