@@ -235,6 +235,43 @@ def vote_join(
     return joined.filter(cond).withColumn(VOTES, _votes()).select(*out_cols)
 
 
+def vote_join_inverted(
+    queries: DataFrame,
+    bins_long: DataFrame,
+    threshold: int | None,
+    query_id: str = "qid",
+    base: int = 1,
+    plan: VoteJoinPlan = DEFAULT_PLAN,
+) -> DataFrame:
+    """V6 for many queries: (query id, Id, votes) over the long layout
+    (HashTable, HashBin, SubFingerprintId).  The long table already is the
+    exploded store, so only the queries are exploded; the join on
+    (HashTable, HashBin, salt) is followed by a count per pair."""
+    t = effective_threshold(threshold)
+    keys = F.array(
+        *[F.struct(F.lit(i + base).alias("pos"), F.col(c).cast("long").alias("bin")) for i, c in enumerate(BIN_COLS)]
+    )
+    qx = queries.select(F.col(query_id).alias(Q + "id"), F.explode(keys).alias("_k")).select(
+        Q + "id", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")
+    )
+    sx = bins_long.select(
+        F.col("SubFingerprintId").alias(S + "id"), F.col("HashTable").alias("pos"), F.col("HashBin").alias("bin")
+    )
+    if t is None or t > N_BINS:
+        return qx.select(F.col(Q + "id").alias(query_id), F.lit(0).cast("long").alias("Id"), F.lit(0).alias(VOTES)).filter(F.lit(False))
+    spark = queries.sparkSession
+    n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    qs, ss = _salted(qx, sx, plan, n_parts, False)
+    k = ["pos", "bin", "_salt"]
+    joined = ss.repartition(n_parts, *k).join(qs.repartition(n_parts, *k).hint(plan.join_hint), k)
+    return (
+        joined.groupBy(Q + "id", S + "id")
+        .agg(F.count(F.lit(1)).cast("int").alias(VOTES))
+        .filter(F.col(VOTES) >= F.lit(t))
+        .select(F.col(Q + "id").alias(query_id), F.col(S + "id").alias("Id"), VOTES)
+    )
+
+
 def vote_lookup_batch(
     slices: DataFrame,
     queries: DataFrame,

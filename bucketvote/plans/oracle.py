@@ -179,6 +179,10 @@ from slices""",
     "vote_lookup_clusters_any": _with(SLICES, _voted("slices", QB, T))
     + f"""select {ALL_SLICE} from slices where Id in (select Id from voted)
 and Clusters is not null and Clusters <> '' and list_has_any(string_split(Clusters, ','), ['F', '1-urgent'])""",
+    "vote_lookup_inverted_batch": _with(DOC_SLICES, QUERY_DOCS, _exploded("doc_slices", "Id", "se"), _exploded("query_docs", "Id", "qe"))
+    + f"""select qe._id as qid, se._id as Id, cast(count(*) as int) as votes
+from qe join se on qe.pos = se.pos and qe.bin = se.bin
+group by qe._id, se._id having count(*) >= {TB}""",
     "union_posting_lists": _with(SLICES)
     + "\n  union all\n  ".join(
         f"select Id, {i} as position from slices where {c} = {b}" for i, (c, b) in enumerate(zip(BIN_COLS, QB))

@@ -234,6 +234,13 @@ def vote_lookup_clusters_any(spark, d):
     return L.vote_lookup_clusters(_st(spark, d).get("slices"), _q(), THRESHOLD, ["F", "1-urgent"], mode="any")
 
 
+def vote_lookup_inverted_batch(spark, d):
+    """V6 for many queries: benchmark items against the long layout of the
+    documents' MinHash bins."""
+    st = _st(spark, d)
+    return BT.vote_join_inverted(st.get("query_docs"), st.get("doc_bins_long"), BATCH_THRESHOLD)
+
+
 def union_posting_lists(spark, d):
     return L.union_posting_lists(_st(spark, d).get("slices"), _q())
 
@@ -449,6 +456,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vote_lookup_t0": vote_lookup_t0,
     "vote_lookup_t25": vote_lookup_t25,
     "vote_lookup_clusters_any": vote_lookup_clusters_any,
+    "vote_lookup_inverted_batch": vote_lookup_inverted_batch,
     "union_posting_lists": union_posting_lists,
     "vote_lookup_batch": vote_lookup_batch,
     "vote_lookup_batch_votes": vote_lookup_batch_votes,

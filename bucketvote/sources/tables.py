@@ -27,6 +27,12 @@ def _bins_long(spark, d):
     return bins_to_long(B.slices_a(spark, d)), {"partition_by": ["HashTable"], "sort_within": ["HashBin"]}
 
 
+def _doc_bins_long(spark, d):
+    from ..operators.reshape import bins_to_long
+
+    return bins_to_long(B.doc_slices_b(spark, d)), {"partition_by": ["HashTable"], "sort_within": ["HashBin"]}
+
+
 BUILDERS = {
     "tracks": _plain(B.tracks_a),
     "tracks_raw": _plain(B.tracks_a_raw_length),
@@ -36,6 +42,7 @@ BUILDERS = {
     "albums": _plain(B.albums_a),
     "bins_long": _bins_long,
     "doc_slices": _plain(B.doc_slices_b),
+    "doc_bins_long": _doc_bins_long,
     "doc_tracks": _plain(B.doc_tracks_c),
     "line_slices": _by_track(B.line_slices_c),
     "query_lines": _plain(B.query_lines_c),

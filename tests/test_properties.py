@@ -117,3 +117,11 @@ def test_assign_ids_dense_and_ordered(spark):
     base = spark.createDataFrame([(41,)], "m int")
     out = IDS.assign_ids(df, ["k"], start=base).orderBy("k").collect()
     assert [r["Id"] for r in out] == list(range(42, 143))
+
+
+def test_inverted_batch_equals_wide_batch(store):
+    q, s = store.get("query_docs"), store.get("doc_slices")
+    for t in (1, 3, 5):
+        a = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_lookup_batch_votes(s, q, t).collect()}
+        b = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join_inverted(q, S.bins_to_long(s), t).collect()}
+        assert a == b
