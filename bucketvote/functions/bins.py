@@ -77,15 +77,6 @@ def votes_vs_literal(bins: Sequence[int], prefix: str = "") -> Column:
     return total
 
 
-def votes_between(left_prefix: str, right_prefix: str) -> Column:
-    """Number of positions where two wide rows (prefixed columns) agree."""
-    terms = [agree(F.col(left_prefix + c), F.col(right_prefix + c)) for c in BIN_COLS]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
 def any_agree_literal(bins: Sequence[int], positions: Sequence[int] | None = None) -> Column:
     """OR of equalities at some positions: implied by any vote >= 1, and
     pushed to the parquet scan as row-group filters."""

@@ -216,6 +216,19 @@ ranked as (
   select *, row_number() over (partition by set_id order by matched_queries desc, total_votes desc, TrackId) as rn
   from entries)
 select set_id, TrackId, matched_queries, matched_slices, total_votes, rn = 1 as is_best from ranked""",
+    "identify_best": _with(LINE_SLICES, _exploded("line_slices", "Id", "se", ", TrackId"), _exploded("query_lines", "qid", "qe", ", set_id"))
+    + f""", pairs as (
+  select qe.set_id, qe._id as qid, se._id as sid, se.TrackId, count(*) as votes
+  from qe join se on qe.pos = se.pos and qe.bin = se.bin
+  group by qe.set_id, qe._id, se._id, se.TrackId having count(*) >= {TI}),
+entries as (
+  select set_id, TrackId, count(distinct qid) as matched_queries, count(*) as matched_slices,
+         cast(sum(votes) as bigint) as total_votes
+  from pairs group by set_id, TrackId),
+ranked as (
+  select *, row_number() over (partition by set_id order by matched_queries desc, total_votes desc, TrackId) as rn
+  from entries)
+select set_id, TrackId, matched_queries, matched_slices, total_votes from ranked where rn = 1""",
     "minhash_bins": _with(DOC_SLICES) + "select Id as doc_id, " + ", ".join(BIN_COLS) + " from doc_slices",
     "bins_to_long": _with(BINS_LONG) + "select * from bins_long",
     "bins_to_wide": _with(SLICES) + f"select {ALL_SLICE} from slices",

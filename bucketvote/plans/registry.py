@@ -272,6 +272,12 @@ def identify_tracks(spark, d):
     return ID.identify_tracks(st.get("line_slices"), st.get("query_lines"), IDENTIFY_THRESHOLD)
 
 
+def identify_best(spark, d):
+    """The best matching track of each query clip."""
+    st = _st(spark, d)
+    return ID.best_matches(ID.identify_tracks(st.get("line_slices"), st.get("query_lines"), IDENTIFY_THRESHOLD))
+
+
 def minhash_bins_q(spark, d):
     docs = B.table(spark, d, "documents")
     return minhash_bins(docs, "doc_id", "text")
@@ -463,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vote_lookup_batch_clusters": vote_lookup_batch_clusters,
     "similar_pairs": similar_pairs,
     "identify_tracks": identify_tracks,
+    "identify_best": identify_best,
     "minhash_bins": minhash_bins_q,
     "bins_to_long": bins_to_long,
     "bins_to_wide": bins_to_wide,
