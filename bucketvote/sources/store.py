@@ -2,7 +2,7 @@
 
 Parquet files are never changed in place.  A table version is a list of
 folders: a full write (or a copy-on-write delete) puts the rows in one new
-folder ``<root>/<table>/v<n>``; an append puts only the new rows in a new
+folder ``<root>/<table>/v<n>-<id>``; an append puts only the new rows in a new
 folder and lists it after the folders of the previous version.  Each change
 appends one line (table, version, folders) to the manifest table
 ``<root>/_manifest`` — written by Spark, so it works on any shared file
@@ -14,6 +14,7 @@ current.
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +80,10 @@ class Store:
         return self.spark.read.parquet(*self._versions[name][1])
 
     def _write_folder(self, name: str, v: int, df: DataFrame, partition_by, sort_within) -> str:
-        path = f"{self.root}/{name}/v{v}"
+        # a fresh folder per attempt: a job that died mid-write leaves an
+        # unreferenced folder and the retry writes a new one; only the
+        # manifest line makes a folder part of the table
+        path = f"{self.root}/{name}/v{v}-{uuid.uuid4().hex[:12]}"
         out = df
         if sort_within:
             # range partitioning on (folders, sort keys): balanced tasks, each
