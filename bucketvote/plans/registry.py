@@ -143,7 +143,7 @@ def hashes_by_track(spark, d):
         F.array_join(F.col("bins").cast("array<string>"), ",").alias("bins"),
         "SequenceNumber",
         F.col("StartsAt").cast("double").alias("StartsAt"),
-        F.size("clusters").alias("n_clusters"),
+        F.size("clusters").cast("long").alias("n_clusters"),
         F.array_join("clusters", "|").alias("clusters"),
     )
 
@@ -179,7 +179,7 @@ def encode_clusters_q(spark, d):
 def decode_clusters_q(spark, d):
     s = _st(spark, d).get("slices")
     labels = decode_clusters("Clusters")
-    return s.select("Id", F.size(labels).alias("n_labels"), F.array_join(labels, "|").alias("labels"))
+    return s.select("Id", F.size(labels).cast("long").alias("n_labels"), F.array_join(labels, "|").alias("labels"))
 
 
 # ---- joins ------------------------------------------------------------------
@@ -377,7 +377,7 @@ def check_required(spark, d):
 
 def check_lengths(spark, d):
     docs = B.table(spark, d, "documents").select("doc_id", "text")
-    return Q.check_lengths(docs, {"text": 255}).select("doc_id", F.length("text").alias("n_chars"), "rule")
+    return Q.check_lengths(docs, {"text": 255}).select("doc_id", F.length("text").cast("long").alias("n_chars"), "rule")
 
 
 def fit_lengths(spark, d):
@@ -423,7 +423,7 @@ def to_unique_map(spark, d):
     entries = F.transform(
         F.sort_array(F.map_entries("map")), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"])
     )
-    return m.select("n_regionkey", F.size("map").alias("n"), F.array_join(entries, ",").alias("map"))
+    return m.select("n_regionkey", F.size("map").cast("long").alias("n"), F.array_join(entries, ",").alias("map"))
 
 
 def first_or_none(spark, d):

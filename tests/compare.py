@@ -29,6 +29,14 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark type names -> DuckDB type names, for the schema check
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "binary": "BLOB", "date": "DATE",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _norm(v):
     if v is None:
         return (0, "")
@@ -62,7 +70,11 @@ def compare(spark, con, sf_dir: str, key: str, fn, sql: str | None) -> dict:
     if sql is None:
         res["status"] = "rows-only"
         return res
-    odf = con.execute(sql).df()
+    rel = con.sql(sql)
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = dict(sdf.dtypes)
+    type_diff = [c for c in sorted(set(otypes) | set(stypes)) if SPARK_TO_DUCK.get(stypes.get(c), stypes.get(c)) != otypes.get(c)]
+    odf = rel.df()
     res["oracle_rows"] = len(odf)
     res["oracle_sec"] = round(time.time() - t1, 2)
     # pandas turns NULL ints into floats with NaN: normalise both sides alike
@@ -72,6 +84,8 @@ def compare(spark, con, sf_dir: str, key: str, fn, sql: str | None) -> dict:
     oc, orows = rows_of(odf)
     if sc != oc:
         res["status"] = f"columns differ: {sc} vs {oc}"
+    elif type_diff:
+        res["status"] = f"types differ: {[(c, stypes.get(c), otypes.get(c)) for c in type_diff]}"
     elif len(sr) != len(orows):
         res["status"] = "row count differs"
     elif sr != orows:
