@@ -103,7 +103,11 @@ def test_bins_to_wide_drops_incomplete_and_checks_duplicates(spark, store):
 @pytest.mark.parametrize("parts", [7, None])
 def test_sequence_within_equals_window_with_hot_key(spark, parts):
     rnd = random.Random(3)
-    rows = [(0 if rnd.random() < 0.34 else rnd.randrange(1, 50), rnd.randrange(10_000), i) for i in range(3000)]
+    def key():
+        r = rnd.random()
+        return 0 if r < 0.34 else (None if r < 0.40 else rnd.randrange(1, 50))
+
+    rows = [(key(), rnd.randrange(10_000), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, t int, u int")
     got = IDS.sequence_within(df, ["k"], ["t", "u"], out="seq", num_partitions=parts)
     w = Window.partitionBy("k").orderBy("t", "u")
