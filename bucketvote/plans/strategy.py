@@ -14,6 +14,10 @@ of a hot key are spread over ``k`` salts and the query rows of that key are
 copied to each salt, so no single task holds the hot key's whole pair work.
 The hot-key table is capped in length (it is broadcast); keys past the cap
 are still joined exactly, just unsalted.
+
+``count``: the shuffle plan on narrow rows — all 25 positions as (position,
+bin, id), agreements counted per pair.  ``auto`` takes it when pigeonhole
+keeps so many positions that carrying the bin vectors does not pay.
 """
 
 from __future__ import annotations
@@ -63,6 +67,8 @@ EXPLODED_ROW_BYTES = 8 + 4 + 4 + 25 * 8 + 32
 def choose(plan: VoteJoinPlan, exploded_query_rows: int | None, extra_bytes_per_row: int = 0) -> str:
     if plan.strategy in ("broadcast", "shuffle"):
         return plan.strategy
+    if plan.strategy == "count":
+        return "shuffle"
     if plan.strategy != "auto":
         raise ValueError(f"unknown strategy {plan.strategy!r}")
     if exploded_query_rows is not None:
