@@ -192,3 +192,28 @@ def test_null_bins_do_not_vote(spark):
         got = [(r["Id"], r["votes"]) for r in BT.vote_join(q, s, 1, plan=plan).collect()]
         assert got == [(1, 24)], plan
     assert L.vote_lookup_votes(s, [0] + v[1:], 1).collect()[0]["votes"] == 24
+
+
+def test_integrity_checks(spark):
+    from bucketvote.operators import quality as Q
+
+    tracks = tracks_df(
+        spark,
+        [
+            (1, "a", "x", "t", "al", 1986, -0.5),
+            (2, "a", "x", "t", "al", 1986, -1.0),
+            (3, None, "x", "t", "al", None, None),
+            (4, "", "x", "t", "al", -1, 10.0),
+        ],
+    )
+    bad = {r["Id"]: r["rule"] for r in Q.check_ranges(tracks).collect()}
+    assert bad == {2: "Length", 4: "ReleaseYear"}  # -0.5 and NULL pass
+    assert {r["ISRC"]: r["n"] for r in Q.check_unique(tracks, ["ISRC"]).collect()} == {"a": 2}
+    assert [r["Id"] for r in Q.check_required(tracks, ["ISRC"]).collect()] == [3]
+    assert [r["Id"] for r in Q.check_isrc_not_empty(tracks).collect()] == [4]
+    slices = slices_df(spark, [(10, 1, 0, 0.0, GENERIC, None), (11, 9, 0, 0.0, GENERIC, None)])
+    assert [r["Id"] for r in Q.check_orphans(slices, tracks).collect()] == [11]
+    long_title = tracks_df(spark, [(5, "i" * 51, "x", "t" * 256, "al", 1986, 1.0)])
+    assert Q.check_lengths(long_title, {"ISRC": 50, "Title": 255}).collect()[0]["rule"] == "too long ISRC,Title"
+    fitted = Q.fit_lengths(long_title, {"ISRC": 50, "Title": 255}).collect()[0]
+    assert len(fitted["ISRC"]) == 50 and len(fitted["Title"]) == 255
