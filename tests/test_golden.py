@@ -217,3 +217,33 @@ def test_integrity_checks(spark):
     assert Q.check_lengths(long_title, {"ISRC": 50, "Title": 255}).collect()[0]["rule"] == "too long ISRC,Title"
     fitted = Q.fit_lengths(long_title, {"ISRC": 50, "Title": 255}).collect()[0]
     assert len(fitted["ISRC"]) == 50 and len(fitted["Title"]) == 255
+
+
+def test_record_functions(spark):
+    from bucketvote.functions import records as R
+
+    df = spark.createDataFrame(
+        [(1, ("a", (2, "x")), None, None), (2, ("b", (3, None)), "view", 7)],
+        "k int, rec struct<name string, inner struct<n int, s string>>, kind string, num int",
+    )
+    flat = R.flatten_record(df, "rec")
+    assert set(flat.columns) == {"k", "kind", "num", "rec_name", "rec_inner_n", "rec_inner_s"}
+    assert R.flatten_record(df, "rec", ignore=["inner.s"]).columns.count("rec_inner_s") == 0
+    back = R.nest_record(flat, "rec", depth=2).select("k", "rec.name", "rec.inner.n").orderBy("k").collect()
+    assert [tuple(r) for r in back] == [(1, "a", 2), (2, "b", 3)]
+    d = R.default_nulls(flat).orderBy("k").collect()
+    assert d[0]["kind"] == "" and d[0]["num"] == 0 and d[1]["rec_inner_s"] == ""
+    names = df.select(R.enum_from_name("kind", ["Click", "View"]).alias("e")).orderBy("e").collect()
+    assert [r["e"] for r in names] == ["Click", "View"]  # NULL -> first member; case-insensitive
+    with pytest.raises(Exception):
+        spark.createDataFrame([("nope",)], "kind string").select(R.enum_from_name("kind", ["Click"])).collect()
+    ords = df.select(R.enum_from_ordinal("num", {0: "None", 7: "Seven"}).alias("o")).orderBy("o").collect()
+    assert [r["o"] for r in ords] == ["None", "Seven"]
+    assert spark.createDataFrame([(9,)], "num int").select(R.enum_from_ordinal("num", {0: "None"})).collect()[0][0] == "9"
+    m = R.to_unique_map(spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], "g int, k string, v string"), "k", "v", ["g"])
+    assert m.collect()[0]["map"] == {"a": "x", "b": "y"}
+    with pytest.raises(Exception):
+        R.to_unique_map(spark.createDataFrame([(1, "a", "x"), (1, "a", "y")], "g int, k string, v string"), "k", "v", ["g"]).collect()
+    first = C.first_or_none(spark.createDataFrame([(3,), (1,), (2,)], "x int"), ["x"]).collect()
+    assert [r["x"] for r in first] == [1]
+    assert C.first_or_none(spark.createDataFrame([], "x int"), ["x"]).count() == 0
