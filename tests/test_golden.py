@@ -247,3 +247,22 @@ def test_record_functions(spark):
     first = C.first_or_none(spark.createDataFrame([(3,), (1,), (2,)], "x int"), ["x"]).collect()
     assert [r["x"] for r in first] == [1]
     assert C.first_or_none(spark.createDataFrame([], "x int"), ["x"]).count() == 0
+
+
+def test_reshape_rules(spark):
+    from bucketvote.operators import reshape as S
+
+    tracks = spark.createDataFrame(
+        [(1, "old1", 1900, 10), (2, "old2", 1901, 20), (3, "old3", 1902, 99)], "Id int, Album string, ReleaseYear int, AlbumId int"
+    )
+    albums = spark.createDataFrame([(10, "A", 1986), (20, None, None)], "Id int, Name string, ReleaseYear int")
+    got = {r["Id"]: (r["Album"], r["ReleaseYear"]) for r in S.denormalise_albums(tracks, albums).collect()}
+    assert got == {1: ("A", 1986), 2: (None, None), 3: ("old3", 1902)}  # matched NULL overwrites; unmatched keeps
+    once = S.evolve_schema(tracks, add={"GroupId": "string"}, drop=["AlbumId"], rename={"Album": "AlbumName"})
+    twice = S.evolve_schema(once, add={"GroupId": "string"}, drop=["AlbumId"], rename={"Album": "AlbumName"})
+    assert once.columns == twice.columns == ["Id", "AlbumName", "ReleaseYear", "GroupId"]
+    big = spark.createDataFrame([(1, 2**40, 5)], "HashTable int, HashBin long, SubFingerprintId long")
+    with pytest.raises(Exception):
+        S.rebase_bins(big).collect()  # ANSI: a bin that does not fit an int raises
+    ok = S.rebase_bins(spark.createDataFrame([(25, 7, 5)], "HashTable int, HashBin long, SubFingerprintId long")).collect()[0]
+    assert (ok["HashTable"], ok["HashBin"]) == (24, 7)
