@@ -266,3 +266,20 @@ def test_reshape_rules(spark):
         S.rebase_bins(big).collect()  # ANSI: a bin that does not fit an int raises
     ok = S.rebase_bins(spark.createDataFrame([(25, 7, 5)], "HashTable int, HashBin long, SubFingerprintId long")).collect()[0]
     assert (ok["HashTable"], ok["HashBin"]) == (24, 7)
+
+
+def test_keyed_lookups(spark):
+    tracks = tracks_df(
+        spark,
+        [(5, "dup", "a", "t", "al", 1986, 1.0), (2, "dup", "a", "t", "al", 1986, 1.0), (7, "x", "b", "u", "al", 1986, 1.0)],
+    )
+    req = spark.createDataFrame([(0, 7), (1, 7), (2, 99), (3, 2)], "ordinal int, Id int")
+    got = [(r["ordinal"], r["RequestedId"], r["Id"]) for r in C.tracks_by_ids(tracks, req).orderBy("ordinal").collect()]
+    assert got == [(0, 7, 7), (1, 7, 7), (2, 99, None), (3, 2, 2)]  # repeats kept, missing -> NULL track
+    assert C.tracks_by_artist_title(tracks, None, "t").count() == 0
+    assert ids(C.tracks_by_artist_title(tracks, "a", "t")) == [2, 5]
+    assert ids(C.track_by_isrc(tracks, "dup")) == [2]
+    assert C.track_by_isrc(tracks, "none").count() == 0 and C.track_by_id(tracks, None).count() == 0
+    sigs = spark.createDataFrame([(1, bytes([1, 2]), 7)], "Id int, Signature binary, TrackId int")
+    assert ids(C.track_by_signature_id(tracks, sigs, 1)) == [7]
+    assert C.signatures_by_track(sigs, 7).collect()[0]["Signature"] == bytearray([1, 2])
