@@ -168,6 +168,8 @@ from slices""",
     + "select s.Id, s.TrackId, cast(v.votes as int) as votes from slices s join voted v on s.Id = v.Id",
     "vote_lookup_group": _with(SLICES, TRACKS, _voted("slices", QB, T))
     + f"select s.* from slices s where s.Id in (select Id from voted) and s.TrackId in (select Id from tracks where Artist = '{RG.GROUP}')",
+    "vote_lookup_group_lcase": _with(SLICES, TRACKS, _voted("slices", QB, T))
+    + f"select s.* from slices s where s.Id in (select Id from voted) and s.TrackId in (select Id from tracks where lower(Artist) = '{RG.GROUP.lower()}')",
     "vote_lookup_inverted": _with(BINS_LONG)
     + "select SubFingerprintId as Id, count(*) as votes from (\n  "
     + "\n  union all\n  ".join(

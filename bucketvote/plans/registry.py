@@ -216,6 +216,14 @@ def vote_lookup_group(spark, d):
     return L.vote_lookup_group(st.get("slices"), st.get("tracks"), _q(), THRESHOLD, GROUP, group_col="Artist")
 
 
+def vote_lookup_group_lcase(spark, d):
+    """V5 with a case-insensitive group compare (collation UTF8_LCASE)."""
+    st = _st(spark, d)
+    return L.vote_lookup_group(
+        st.get("slices"), st.get("tracks"), _q(), THRESHOLD, GROUP.lower(), group_col="Artist", collation="UTF8_LCASE"
+    )
+
+
 def vote_lookup_inverted(spark, d):
     return L.vote_lookup_inverted(_st(spark, d).get("bins_long"), _q(), THRESHOLD)
 
@@ -458,6 +466,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vote_lookup_clusters": vote_lookup_clusters,
     "vote_lookup_votes": vote_lookup_votes,
     "vote_lookup_group": vote_lookup_group,
+    "vote_lookup_group_lcase": vote_lookup_group_lcase,
     "vote_lookup_inverted": vote_lookup_inverted,
     "vote_lookup_t0": vote_lookup_t0,
     "vote_lookup_t25": vote_lookup_t25,
