@@ -66,3 +66,18 @@ def test_no_cross_join_in_any_registered_query(spark, smoke_dir):
     for key, fn in queries().items():
         p = plan_of(fn(spark, smoke_dir))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+
+
+def test_split_by_position_prunes_folders(spark, store):
+    import os
+
+    from bucketvote.operators import reshape as S
+    from bucketvote.session import scratch_path
+
+    path = scratch_path(spark, "split-test")
+    out = S.split_bins_by_table(S.bins_to_long(store.get("slices")), path)
+    local = path.replace("file:", "")
+    if os.path.isdir(local):
+        assert sorted(d for d in os.listdir(local) if d.startswith("HashTable=")) == sorted(f"HashTable={i}" for i in range(1, 26))
+    p = plan_of(out.filter("HashTable = 3 AND HashBin = 2"))
+    assert "PartitionFilters: [isnotnull(HashTable" in p and "(HashTable" in p and "EqualTo(HashBin,2)" in p
