@@ -43,3 +43,22 @@ def test_vote_join_equals_brute_force(spark, store, queries, t):
     for plan in (VoteJoinPlan(), VoteJoinPlan(strategy="count"), VoteJoinPlan(strategy="shuffle")):
         pairs = {(r["a_id"], r["b_id"]) for r in BT.similar_pairs(s, t, plan=plan).collect()}
         assert pairs == want_pairs
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(store=st.lists(vec, min_size=1, max_size=10), queries=st.lists(vec, min_size=1, max_size=4), t=st.integers(0, 25))
+def test_inverted_batch_equals_brute_force(spark, store, queries, t):
+    from bucketvote.operators.reshape import bins_to_long
+
+    s = slices_df(spark, [(i, 1, i, 0.0, v, None) for i, v in enumerate(store)])
+    q = queries_df(spark, queries)
+    tt = max(t, 1)
+    want = {
+        (qi, si, sum(a == b for a, b in zip(qv, sv)))
+        for qi, qv in enumerate(queries)
+        for si, sv in enumerate(store)
+        if sum(a == b for a, b in zip(qv, sv)) >= tt
+    }
+    plan = VoteJoinPlan(skew_factor=0.01, max_salt=3, sample_fraction=1.0)
+    got = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join_inverted(q, bins_to_long(s), t, plan=plan).collect()}
+    assert got == want
