@@ -48,9 +48,11 @@ class ModelService:
             [(0, isrc, artist, title, album, release_year, float(length) if length is not None else None)],
             "_k int, ISRC string, Artist string, Title string, Album string, ReleaseYear int, Length double",
         )
-        new = C.insert_tracks(self.store.read("tracks"), row, ["_k"])
+        # one row: the id is max(Id) + 1, read as a scalar subquery
+        top = self.store.read("tracks").select(F.max("Id").alias("m")).scalar()
+        new = row.select((F.coalesce(top, F.lit(0)) + 1).cast("int").alias("Id"), *TRACK_FIELDS)
         self.store.append("tracks", new)
-        return int(new.select("Id").first()[0])  # one row: the generated id
+        return int(self.store.read("tracks").agg(F.max("Id")).first()[0])
 
     def read_tracks(self) -> DataFrame:
         return C.read_tracks(self.store.read("tracks"))
@@ -103,6 +105,13 @@ class ModelService:
             "Id", "TrackId", "SequenceNumber", F.col("SequenceAt").cast("float").alias("SequenceAt"), "bins"
         )
 
+    def identify(self, queries: DataFrame, threshold: int = DEFAULT_THRESHOLD, set_id: str = "set_id") -> DataFrame:
+        """Matched tracks per query clip (``set_id``, ``qid`` + 25 bins), one
+        entry per track, with the best one flagged."""
+        from .operators.identify import identify_tracks
+
+        return identify_tracks(self.store.read("slices"), queries, threshold, set_id=set_id, plan=self.plan)
+
     # ---- signatures ------------------------------------------------------------
     def insert_signatures(self, signatures: DataFrame, order: Sequence[str]) -> DataFrame:
         new = C.insert_signatures(self.store.read("signatures"), signatures, order)

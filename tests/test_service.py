@@ -38,3 +38,21 @@ def test_threshold_and_clusters_through_service(spark):
     assert svc.read_subfingerprints(QUERY, 4, ["first-group-id"]).collect()[0]["TrackId"] == a
     q = spark.createDataFrame([(0, *QUERY), (1, *FIRST)], ["qid", *[f"HashTable_{i}" for i in range(25)]])
     assert svc.read_subfingerprints_batch(q, 5).count() == 1
+
+
+def test_identification_through_service(spark):
+    from pyspark.sql import functions as F
+
+    from bucketvote.schema import BIN_COLS
+
+    svc = ModelService(spark)
+    mine = [[(i * 31 + j * 7) % 1000 for j in range(25)] for i in range(8)]
+    other = [[(i * 17 + j * 13) % 1000 + 5000 for j in range(25)] for i in range(8)]
+    a = svc.insert_track("a", "x", "y", "z", 2012, 200)
+    b = svc.insert_track("b", "x", "y", "z", 2012, 200)
+    assert b == a + 1
+    svc.insert_hashes_for_track(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(mine)]), a)
+    svc.insert_hashes_for_track(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(other)]), b)
+    q = spark.createDataFrame([(i, *v) for i, v in enumerate(mine)], ["qid", *BIN_COLS]).withColumn("set_id", F.lit(1))
+    best = svc.identify(q, 5).filter("is_best").collect()
+    assert len(best) == 1 and best[0]["TrackId"] == a
