@@ -40,14 +40,19 @@ def track_by_id(tracks: DataFrame, track_id: int | None) -> DataFrame:
     return tracks.filter(F.col("Id") == F.lit(int(track_id)))
 
 
-def tracks_by_ids(tracks: DataFrame, ids: DataFrame, id_col: str = "Id", ordinal: str = "ordinal") -> DataFrame:
+def tracks_by_ids(
+    tracks: DataFrame, ids: DataFrame, id_col: str = "Id", ordinal: str = "ordinal", ordered: bool = False
+) -> DataFrame:
     """L2: one output row per *input* id (repeats kept, input order in
     ``ordinal``); a missing id gives NULL track fields.  A left join: Catalyst
-    broadcasts the side that its size estimate puts under the threshold."""
+    broadcasts the side that its size estimate puts under the threshold.
+    With ``ordered`` the rows come back in input order (a range-partitioned
+    global sort)."""
     req = ids.select(F.col(ordinal), F.col(id_col).alias("_bv_req"))
-    return req.join(tracks, req["_bv_req"] == tracks["Id"], "left").select(
+    out = req.join(tracks, req["_bv_req"] == tracks["Id"], "left").select(
         ordinal, F.col("_bv_req").alias("RequestedId"), *tracks.columns
     )
+    return out.orderBy(ordinal) if ordered else out
 
 
 def text_eq(col: str, value: str, collation: str | None = None):

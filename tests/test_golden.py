@@ -276,6 +276,8 @@ def test_keyed_lookups(spark):
     req = spark.createDataFrame([(0, 7), (1, 7), (2, 99), (3, 2)], "ordinal int, Id int")
     got = [(r["ordinal"], r["RequestedId"], r["Id"]) for r in C.tracks_by_ids(tracks, req).orderBy("ordinal").collect()]
     assert got == [(0, 7, 7), (1, 7, 7), (2, 99, None), (3, 2, 2)]  # repeats kept, missing -> NULL track
+    in_order = [r["RequestedId"] for r in C.tracks_by_ids(tracks, req, ordered=True).collect()]
+    assert in_order == [7, 7, 99, 2]
     assert C.tracks_by_artist_title(tracks, None, "t").count() == 0
     assert ids(C.tracks_by_artist_title(tracks, "a", "t")) == [2, 5]
     assert ids(C.track_by_isrc(tracks, "dup")) == [2]
