@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from bucketvote.plans.registry import QUERIES
 
 from .compare import compare, duck
 
-KEYS = sorted(queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con(smoke_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 def test_entry_runs(spark):
