@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contamination import contamination
+from .likelihood import likelihood
+from .pieces import decode, encode
 from .simhash import near_duplicates
 from .substrings import repeated_substrings
 
@@ -17,6 +19,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("text_hash", F.xxhash64("text"))
+    back = decode(encode(docs, carry=["doc_id", "text_hash"]))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.element_at("nbest", 1)["score"].alias("score"),
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"), "ids", "nbest",
+    )
+
+
+def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihood(_table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["words"])
@@ -37,5 +52,5 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_benchmark_decontamination, op6_substring_dedup, op7_simhash_near_dedup)
+    f.__name__: f for f in (op1_sentencepiece_nbest, op2_lattice_likelihood, op4_benchmark_decontamination, op6_substring_dedup, op7_simhash_near_dedup)
 }
