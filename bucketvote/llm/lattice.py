@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-from .text import Roller, mix
+from .text import KeyTable, Roller, mix
 
 MARK = "▁"
 #: Stands for a mark that is part of the text itself: never in a piece.
@@ -85,35 +85,11 @@ class Lattice:
         size = np.array([len(p) for p in known], np.int64)
         end = np.cumsum(size)
         keys = self._keys(points, end - size, end)
-        self.bits = max(4, int(4 * len(known)).bit_length())
-        self.table = np.zeros(1 << self.bits, np.uint64)
-        self.found = np.full(1 << self.bits, -1, np.int32)
-        todo, slot = np.arange(len(known)), self._slot(keys)
-        ids = np.array(list(known.values()), np.int32)
-        while len(todo):
-            free = self.table[slot] == 0
-            first = np.zeros(len(todo), bool)
-            first[np.unique(slot, return_index=True)[1]] = True
-            put = free & first
-            self.table[slot[put]], self.found[slot[put]] = keys[todo[put]], ids[todo[put]]
-            todo, slot = todo[~put], (slot[~put] + ~free[~put]) & ((1 << self.bits) - 1)
+        self.table = KeyTable(keys, np.array(list(known.values()), np.int32))
 
     def _keys(self, points, begin, end):
         return mix(self.roller.spans(points.astype(np.uint64) + np.uint64(1), begin, end)) | np.uint64(1)
 
-    def _slot(self, keys):
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _lookup(self, keys: np.ndarray) -> np.ndarray:
-        out, todo, slot = np.full(len(keys), -1, np.int32), np.arange(len(keys)), self._slot(keys)
-        while len(todo):
-            got = self.table[slot]
-            hit = got == keys[todo]
-            out[todo[hit]] = self.found[slot[hit]]
-            go = ~hit & (got != 0)
-            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
-        return out
-
     def edges(self, chunks: list[str]):
         """(points, begin, size, ids): all code points, each chunk's begin and
         length, and by piece length L (1, 2, ...) the piece id at each point,
@@ -136,7 +112,7 @@ class Lattice:
             at = at[left[at] >= length]
             if not len(at):
                 break
-            got = self._lookup(mix((total[at + length] - total[at]) * self.roller.down[at]) | np.uint64(1))
+            got = self.table.get(mix((total[at + length] - total[at]) * self.roller.down[at]) | np.uint64(1), -1)
             own = np.full(len(points), -2 if length == 1 else -1, np.int32)
             own[at[got >= 0]] = got[got >= 0]
             ids.append(own)

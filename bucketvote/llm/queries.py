@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .contamination import contamination
 from .likelihood import likelihood
 from .pieces import decode, encode
+from .quality import classify
 from .simhash import near_duplicates
 from .substrings import repeated_substrings
 
@@ -41,6 +42,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_substrings(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "removed")
@@ -52,5 +57,5 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece_nbest, op2_lattice_likelihood, op4_benchmark_decontamination, op6_substring_dedup, op7_simhash_near_dedup)
+    f.__name__: f for f in (op1_sentencepiece_nbest, op2_lattice_likelihood, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_simhash_near_dedup)
 }

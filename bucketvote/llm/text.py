@@ -105,6 +105,30 @@ class Roller:
         return (total[end] - total[begin]) * self.down[begin]
 
 
-def require(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, whatever else the table carries."""
-    return df.select(*columns)
+class KeyTable:
+    """Looks up many 64-bit keys (none of them zero) at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(3 * len(keys)).bit_length())
+        self.keys, self.values = np.zeros(1 << self.bits, np.uint64), np.empty(1 << self.bits, values.dtype)
+        todo, slot = np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            free = self.keys[slot] == 0
+            first = np.zeros(len(todo), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = free & first
+            self.keys[slot[put]], self.values[slot[put]] = keys[todo[put]], values[todo[put]]
+            todo, slot = todo[~put], (slot[~put] + ~free[~put]) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray, missing) -> np.ndarray:
+        out, todo, slot = np.full(len(keys), missing, self.values.dtype), np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            got = self.keys[slot]
+            hit = got == keys[todo]
+            out[todo[hit]] = self.values[slot[hit]]
+            go = ~hit & (got != 0)
+            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
+        return out
