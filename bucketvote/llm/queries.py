@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import url_filter
 from .contamination import contamination
+from .html_text import main_text
 from .likelihood import likelihood
 from .pieces import decode, encode
 from .quality import classify
+from .rules import judged
+from .sharding import shard
 from .simhash import near_duplicates
 from .substrings import repeated_substrings
 
@@ -33,6 +37,11 @@ def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihood(_table(spark, sf_dir, "documents"))
 
 
+def op3_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shard(_table(spark, sf_dir, "documents"), shards=24)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["words"])
@@ -56,6 +65,31 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# The rules of the query, as verdict, host and path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict", "inherited")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judged(_table(spark, sf_dir, "documents"))
+    base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (~base_failed & F.col("passed")).alias("kept")
+    )
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece_nbest, op2_lattice_likelihood, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_simhash_near_dedup)
-}
+    f.__name__: f
+    for f in (
+        op1_sentencepiece_nbest, op2_lattice_likelihood, op3_kd_tree_sharding, op4_benchmark_decontamination, op5_quality_classifier,
+        op6_substring_dedup, op7_simhash_near_dedup, op8_url_filter, op9_quality_rules, op10_html_extraction,
+    )
+}
