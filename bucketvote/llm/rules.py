@@ -21,18 +21,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import bounded_batches
+from .text import bounded_batches, let
 
 SAMPLE_ROWS = 4000
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

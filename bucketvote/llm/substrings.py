@@ -48,26 +48,52 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1]))) if len(sorted_values) else np.zeros(0, np.int64)
 
 
-_SHAPE = "bucket int, docs binary, checks binary, counts binary, places binary, hashes binary, known boolean"
+_PLACES = "target int, docs binary, checks binary, counts binary, places binary"
+_SHAPE = f"{_PLACES}, hashes binary"
+
+
+def _pack(target: int, doc, place, ids, checks) -> tuple:
+    """Places in documents as one row; ``doc`` indexes ids and checks and is
+    sorted, and so are the places of each document."""
+    at = _runs(doc)
+    step = np.diff(place, prepend=0)
+    step[at] = place[at]  # places restart with each document
+    counts = np.diff(at, append=len(doc))
+    return target, _squeeze(ids[doc[at]]), _squeeze(checks[doc[at]]), _squeeze(counts.astype("<u4")), _squeeze(step.astype("<u4"))
+
+
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, checks, which of them each place is in, places)."""
+    ids, checks = _unsqueeze(row["docs"], "<i8"), _unsqueeze(row["checks"], "<i4")
+    counts, step = _unsqueeze(row["counts"], "<u4").astype(np.int64), _unsqueeze(row["places"], "<u4").astype(np.int64)
+    total, start = np.cumsum(step), np.cumsum(counts) - counts
+    return ids, checks, np.repeat(np.arange(len(ids)), counts), total - np.repeat(total[start] - step[start], counts)
+
+
+def _dealt(doc, place, ids, checks, targets: int) -> Iterator[tuple]:
+    """Packed rows by target, which a document's id decides."""
+    to = (mix(ids.astype(np.uint64)) % np.uint64(targets)).astype(np.int64)[doc]
+    order = np.lexsort((place, doc, to))
+    to, doc, place = to[order], doc[order], place[order]
+    at = [*_runs(to).tolist(), len(to)]
+    for a, b in zip(at, at[1:]):
+        yield _pack(int(to[a]), doc[a:b], place[a:b], ids, checks)
+
+
+def _batches(rows: list[tuple], shape: str) -> Iterator[pa.RecordBatch]:
+    fields = [x.split() for x in shape.split(", ")]
+    for i in range(0, len(rows), 256):
+        columns = zip(*rows[i : i + 256])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == "int" else pa.binary()) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
 def _hashed(width: int, buckets: int):
-    """Rows of windows: for each bucket of a slice, its hashes and where they
-    are; ``known`` rows hold windows already found to be repeated."""
-
-    def pack(bucket: int, doc, place, ids, checks, hashes, known: bool) -> tuple:
-        at = _runs(doc)
-        step = np.diff(place, prepend=0)
-        step[at] = place[at]  # places restart with each document
-        return (
-            bucket, _squeeze(ids[doc[at]]), _squeeze(checks[doc[at]]),
-            _squeeze(np.diff(at, append=len(doc)).astype("<u4")), _squeeze(step.astype("<u4")),
-            None if known else hashes.tobytes(), known,
-        )
+    """Rows of windows by bucket: their hashes, and twice their places, plus
+    one where the slice has the window several times; for those, a row (by
+    document, without hashes) has all places."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_byte, by_word = Roller(_BYTE_BASE), Roller(_WORD_BASE)
-        turn = 0
         for batch in slices(batches, limit=SLICE):
             data, starts = flat_bytes(batch.column("text"))
             begin, end, first = word_spans(data, starts)
@@ -86,67 +112,69 @@ def _hashed(width: int, buckets: int):
             size = np.diff(run, append=len(order))
             several = np.zeros(len(order), bool)
             several[order] = np.repeat(size > 1, size)
-            rows = []
-            if several.any():
-                turn += 1
-                rows.append(pack(int(ids[doc[several][0]] + turn) % buckets, doc[several], place[several], ids, checks, None, True))
+            rows = [(*r, None) for r in _dealt(doc[several], place[several], ids, checks, buckets)]
             alone = np.zeros(len(order), bool)
             alone[order[run]] = True  # one of each
             alone = np.flatnonzero(alone)
             target = ((value[alone] >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
             by_target = np.argsort(target, kind="stable")
             cut = np.searchsorted(target[by_target], np.arange(buckets + 1))
-            for b in range(buckets):
+            for b in np.flatnonzero(np.diff(cut)).tolist():
                 own = alone[by_target[cut[b] : cut[b + 1]]]
-                if len(own):
-                    # the top bit of a count says that the slice itself has several
-                    rows.append(pack(b, doc[own], place[own] * 2 + several[own], ids, checks, value[own], False))
-            for i in range(0, len(rows), 256):
-                columns = list(zip(*rows[i : i + 256]))
-                kinds = [pa.int32(), *[pa.binary()] * 5, pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _SHAPE.split(", ")])
+                rows.append((*_pack(b, doc[own], place[own] * 2 + several[own], ids, checks), value[own].tobytes()))
+            yield from _batches(rows, _SHAPE)
 
     return of
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(dk, check, places) of repeated windows in one bucket."""
+def _found(buckets: int):
+    """Places of the repeated windows of one bucket, dealt by document."""
 
-    def emit(docs, checks, run_of, place):
-        at = _runs(run_of)
-        offsets = np.concatenate((at, [len(run_of)])).astype("<i4") * 4
-        blobs = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(place.astype("<i4").tobytes())])
-        for i in range(0, len(at), 20_000):
-            own = run_of[at[i : i + 20_000]]
-            yield pa.RecordBatch.from_arrays([pa.array(docs[own]), pa.array(checks[own]), blobs.slice(i, 20_000)], names=["dk", "check", "places"])
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        docs = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["hashes"] is None:
+                    yield from _batches([tuple(row[x.split()[0]] for x in _PLACES.split(", "))], _PLACES)
+                    continue
+                ids, checks, doc, place = _unpack(row)
+                held.append([ids, checks, (doc + docs).astype(np.int32), place.astype(np.uint32), np.frombuffer(row["hashes"], "<u8")])
+                docs += len(ids)
+        if not held:
+            return
+        ids, checks, doc, place, value = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order = np.argsort(value, kind="stable")
+        run = _runs(value[order])
+        size = np.diff(run, append=len(order))
+        hit = np.zeros(len(order), bool)
+        hit[order] = np.repeat(size > 1, size)
+        hit &= (place & 1) == 0  # else its slice has reported it
+        yield from _batches(list(_dealt(doc[hit], (place[hit] >> 1).astype(np.int64), ids, checks, buckets)), _PLACES)
 
-    held: list[list[np.ndarray]] = []
-    runs = 0
+    return of
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document with repeated windows: all their places."""
+    held = []
     for batch in batches:
         for row in batch.to_pylist():
-            docs, checks = _unsqueeze(row["docs"], "<i8"), _unsqueeze(row["checks"], "<i4")
-            counts, step = _unsqueeze(row["counts"], "<u4").astype(np.int64), _unsqueeze(row["places"], "<u4").astype(np.int64)
-            run_of = np.repeat(np.arange(len(docs)), counts)
-            total = np.cumsum(step)
-            start = np.cumsum(counts) - counts
-            place = total - np.repeat(total[start] - step[start], counts)
-            if row["known"]:
-                yield from emit(docs, checks, run_of, place)
-                continue
-            held.append([docs, checks, (run_of + runs).astype(np.int32), place.astype(np.uint32), np.frombuffer(row["hashes"], "<u8")])
-            runs += len(docs)
+            ids, checks, doc, place = _unpack(row)
+            held.append([ids[doc], checks[doc], place.astype("<i4")])
     if not held:
         return
-    docs, checks, run_of, place, value = (np.concatenate(x) for x in zip(*held))
+    ids, checks, place = (np.concatenate(x) for x in zip(*held))
     held.clear()
-    order = np.argsort(value, kind="stable")
-    run = _runs(value[order])
-    size = np.diff(run, append=len(order))
-    hit = np.zeros(len(order), bool)
-    hit[order] = np.repeat(size > 1, size)
-    hit &= (place & 1) == 0  # else its slice has reported it
-    if hit.any():
-        yield from emit(docs, checks, run_of[hit], place[hit] >> 1)
+    order = np.lexsort((place, checks, ids))
+    ids, checks, place = ids[order], checks[order], place[order]
+    at = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (checks[1:] != checks[:-1]))))
+    offsets = np.concatenate((at, [len(ids)])).astype("<i4") * 4
+    blobs = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(place.tobytes())])
+    for i in range(0, len(at), 1000):
+        own = at[i : i + 1000]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(checks[own]), blobs.slice(i, 1000)], names=["dk", "check", "places"])
 
 
 def _cut(width: int):
@@ -163,7 +191,7 @@ def _cut(width: int):
                     kept.append(b" ".join(own))
                     continue
                 edge = np.zeros(len(own) + 1, np.int32)
-                at = np.unique(np.frombuffer(b"".join(places), "<i4"))
+                at = np.unique(np.frombuffer(places, "<i4"))
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + width, -1)
                 gone = np.cumsum(edge[:-1]) > 0
@@ -197,16 +225,16 @@ def repeated_substrings(docs: DataFrame, width: int = WINDOW, carry: list[str] |
     dk = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     check = F.hash(F.col("doc_id").isNull(), "text")
     rows = docs.select(dk.alias("dk"), check.alias("check"), utf8("text").alias("text")).mapInArrow(_hashed(width, buckets), _SHAPE)
-    # one bucket to a partition: its rows meet in one task of bounded size
+    # one bucket to a partition: its rows meet in one task of bounded size; then one row a document
     places = (
-        rows.repartitionById(buckets, F.col("bucket"))
-        .mapInArrow(_found, "dk long, check int, places binary")
-        .groupBy("dk", "check")
-        .agg(F.collect_list("places").alias("_llm_places"))  # one document's own windows
+        rows.repartitionById(buckets, F.col("target"))
+        .mapInArrow(_found(buckets), _PLACES)
+        .repartitionById(buckets, F.col("target"))
+        .mapInArrow(_by_document, "dk long, check int, places binary")
     )
     keyed = docs.select(*carry, utf8("text").alias("_llm_text"), dk.alias("_llm_dk"), check.alias("_llm_check"))
     joined = keyed.join(
-        places.select(F.col("dk").alias("_llm_dk"), F.col("check").alias("_llm_check"), "_llm_places"), ["_llm_dk", "_llm_check"], "left"
+        places.select(F.col("dk").alias("_llm_dk"), F.col("check").alias("_llm_check"), F.col("places").alias("_llm_places")), ["_llm_dk", "_llm_check"], "left"
     ).drop("_llm_dk", "_llm_check")
     shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema), "n_words long, n_removed long, removed array<struct<first:int,words:int>>, kept string"])
     return joined.mapInArrow(_cut(width), shape)

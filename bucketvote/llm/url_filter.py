@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import bounded_batches
+from .text import bounded_batches, let
 
 #: Rules are broadcast up to this many, and joined by shuffles beyond.
 BROADCAST_RULES = 10_000
@@ -47,30 +47,18 @@ def path_of(url: Column) -> Column:
 def node_of(url: Column) -> Column:
     """The resource a url names: no fragment, http and https alike, an empty
     path as ``/``; null for what has no host."""
-    scheme = F.lower(F.regexp_extract(url, r"(?s)^\s*([a-zA-Z][a-zA-Z0-9+.-]*)://", 1))
-    path, query = path_of(url), _part(url, 3)
-    name = F.concat(F.when(scheme == "https", "http").otherwise(scheme), F.lit("://"), host_of(url), F.when(path == "", "/").otherwise(path), query)
-    return F.when((scheme != "") & (host_of(url) != ""), name)
+    return let(url, _node)
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    value = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    return F.trim(F.concat(*[F.regexp_extract(tag, value, g) for g in (1, 2, 3)]))
+def _node(url: Column) -> Column:
+    scheme = F.regexp_replace(F.lower(F.regexp_extract(url, r"(?s)^\s*([a-zA-Z][a-zA-Z0-9+.-]*)://", 1)), "^https$", "http")
+    path = F.regexp_replace(path_of(url), r"^\z", "/")
+    return F.concat(F.nullif(scheme, F.lit("")), F.lit("://"), F.nullif(host_of(url), F.lit("")), path, _part(url, 3))
 
 
-def _resolved(link: Column, base: Column) -> Column:
-    """A link as an absolute url, seen from the page ``base``."""
-    link = F.regexp_replace(link, r"(?i)&(amp|#38|#x26);", "&")
-    scheme = F.regexp_extract(base, r"(?s)^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    root = F.concat(scheme, F.lit("://"), _part(base, 1))
-    folder = F.regexp_extract(path_of(base), r"(?s)^(.*/)", 1)
-    return (
-        F.when(link.rlike(r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(root, link))
-        .when(link.startswith("?"), F.concat(root, path_of(base), link))
-        .when((link != "") & ~link.startswith("#"), F.concat(root, F.when(folder == "", "/").otherwise(folder), link))
-    )
+def _attribute(tag: str, name: str) -> Column:
+    value = rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    return F.trim(F.regexp_replace(F.regexp_extract(tag, value, 1), "^[\"']|[\"']$", ""))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -80,11 +68,29 @@ def page_links(pages: DataFrame) -> DataFrame:
     tags = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select(
         "url", F.explode(F.regexp_extract_all(shown, F.lit(r"(?is)<(?:link|meta)\s[^>]*>"), F.lit(0))).alias("tag")
     )
-    canonical = F.when(F.array_contains(F.split(F.lower(_attribute(F.col("tag"), "rel")), r"\s+"), "canonical"), _attribute(F.col("tag"), "href"))
-    content = _attribute(F.col("tag"), "content")
-    refresh = F.when(F.lower(_attribute(F.col("tag"), "http-equiv")) == "refresh", F.regexp_extract(content, r"(?is)[;,]\s*url\s*=\s*['\"]?\s*([^'\"]+)", 1))
-    found = tags.select("url", F.coalesce(F.when(F.lower("tag").startswith("<link"), canonical), refresh).alias("link"))
-    return found.select(node_of(F.col("url")).alias("u"), node_of(_resolved(F.col("link"), F.col("url"))).alias("v")).filter("u is not null and v is not null and u != v").distinct()
+    refresh = F.regexp_extract(_attribute("tag", "content"), r"(?is)[;,]\s*url\s*=\s*['\"]?\s*([^'\"]+)", 1)
+    found = tags.select(
+        "url",
+        F.when(F.lower(_attribute("tag", "rel")).rlike(r"(^|\s)canonical(\s|$)"), _attribute("tag", "href"))
+        .when(F.lower(_attribute("tag", "http-equiv")) == "refresh", refresh)
+        .alias("link"),
+    ).filter("link != ''")
+    to = let(F.struct(F.col("url").alias("url"), F.regexp_replace("link", r"(?i)&(amp|#38|#x26);", "&").alias("link")), _absolute)
+    return found.select(node_of(F.col("url")).alias("u"), node_of(to).alias("v")).filter("u != v").distinct()
+
+
+def _absolute(seen: Column) -> Column:
+    """A link as an absolute url, seen from its page; null within the page."""
+    link, url = seen["link"], seen["url"]
+    scheme = F.regexp_extract(url, r"(?s)^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
+    root, folder = F.concat(scheme, F.lit("://"), _part(url, 1)), F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    return (
+        F.when(link.rlike(r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, link))
+        .when(link.startswith("?"), F.concat(root, path_of(url), link))
+        .when(~link.startswith("#"), F.concat(root, F.regexp_replace(folder, r"^\z", "/"), link))
+    )
 
 
 def fitting_rules(urls: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
