@@ -18,8 +18,6 @@ like any other.  Repeated rows have equal keys and may share a shard.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,18 +33,6 @@ _COORDINATE, _TEXT, _ID = 21, 22, 20  # bits of a key: 63
 TOLERANCE = 1e-4
 
 
-@dataclass
-class Part:
-    """A node of the tree: how many shards it becomes, and its cut."""
-
-    leaves: int
-    shard: int = -1
-    dimension: int = 0
-    cut: int = 0
-    left: Part | None = None
-    right: Part | None = None
-
-
 def _coordinates(docs: DataFrame, dimensions: tuple[str, ...]) -> list[Column]:
     """Each dimension in [0, 1]: numbers by their range, others by a hash."""
     numeric = [c for c in dimensions if isinstance(docs.schema[c].dataType, T.NumericType)]
@@ -77,36 +63,25 @@ def points(docs: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *keys)
 
 
-def _place(part: Part) -> Column:
-    """The shard, or the open part, of a row, by the cuts so far."""
-    if part.left is None:
-        return F.lit(part.shard)
-    return F.when(F.col(f"k{part.dimension}") < F.lit(part.cut), _place(part.left)).otherwise(_place(part.right))
-
-
-def _pick(by_part: dict[int, Column], otherwise: Column) -> Column:
-    out = otherwise
-    for part, value in by_part.items():
-        out = F.when(F.col("part") == part, value).otherwise(out)
-    return out
+def _of(values, part: str = "part") -> Column:
+    """The value of a row's part, from one value for each part."""
+    return F.get(F.array(*[F.lit(v) for v in values]), F.col(part))
 
 
-def _cuts(rows: DataFrame, open_: dict[int, Part], weights: dict[int, int]) -> None:
-    """Sets the cut of each open part: the key below which lies the part's
-    share of bytes for its left side, found ten bits at a time."""
-    left = dict.fromkeys(open_, 63)  # bits not yet fixed
-    prefix = dict.fromkeys(open_, 0)
-    below = dict.fromkeys(open_, 0)
-    target = {p: weights[p] * (x.leaves // 2) / x.leaves for p, x in open_.items()}
-    todo = set(open_)
-    keyed = rows.withColumn("key", _pick({p: F.col(f"k{x.dimension}") for p, x in open_.items()}, F.lit(None).cast("long")))
+def _cuts(rows: DataFrame, leaves: list[int], weights: list[int]) -> list[int | None]:
+    """For each part that becomes several leaves, the key below which lies its
+    left side's share of bytes, found ten bits at a time."""
+    left, prefix, below = 63, [0] * len(leaves), [0] * len(leaves)
+    target = [w * (n // 2) / n for w, n in zip(weights, leaves)]
+    cuts: list[int | None] = [None] * len(leaves)
+    todo = {p for p, n in enumerate(leaves) if n > 1 and weights[p]}
     while todo:
-        bits = {p: min(STEP, left[p]) for p in todo}
-        inside = _pick({p: F.shiftright("key", left[p]) == prefix[p] for p in todo}, F.lit(False))
-        digit = _pick({p: F.shiftright("key", left[p] - bits[p]).bitwiseAND(F.lit((1 << bits[p]) - 1)) for p in todo}, F.lit(None).cast("long"))
-        counted = keyed.filter(F.col("part").isin([*todo]) & inside).groupBy("part", digit.alias("digit")).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"))
+        bits = min(STEP, left)
+        inside = rows.filter(F.col("part").isin([*todo]) & (F.shiftright("key", left) == _of(prefix)))
+        left -= bits
+        digit = F.shiftright("key", left).bitwiseAND(F.lit((1 << bits) - 1)).alias("digit")
         seen: dict[int, list] = {p: [] for p in todo}
-        for r in counted.collect():  # at most 1024 rows for each part
+        for r in inside.groupBy("part", digit).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n")).collect():  # at most 1024 rows a part
             seen[r["part"]].append((r["digit"], r["w"], r["n"]))
         for p in [*todo]:
             at = below[p]
@@ -114,49 +89,44 @@ def _cuts(rows: DataFrame, open_: dict[int, Part], weights: dict[int, int]) -> N
                 if at + w >= target[p]:
                     break
                 at += w
-            left[p] -= bits[p]
-            prefix[p], below[p] = (prefix[p] << bits[p]) | d, at
-            if left[p] == 0 or n == 1 or w <= TOLERANCE * weights[p]:
-                # the bucket goes to the side that is nearer to the share
+            prefix[p], below[p] = (prefix[p] << bits) | d, at
+            if left == 0 or n == 1 or w <= TOLERANCE * weights[p]:
+                # the bucket goes to the side that brings the cut nearer to the share
                 after = at + w - target[p] < target[p] - at
-                open_[p].cut = (prefix[p] + after) << left[p]
+                cuts[p] = (prefix[p] + after) << left
                 todo.discard(p)
+    return cuts
 
 
-def tree(rows: DataFrame, dimensions: int, target_bytes: int | None = None, shards: int | None = None) -> Part:
-    """Splits ``rows`` (see ``points``) until each leaf has ``target_bytes``,
-    or into ``shards`` leaves (whose target is then an equal share)."""
-    whole = rows.agg(F.sum("size").alias("w")).first()["w"] or 0
+def split(rows: DataFrame, dimensions: int, target_bytes: int | None = None, shards: int | None = None) -> DataFrame:
+    """``rows`` (see ``points``) with their part: parts are split until each
+    has ``target_bytes``, or into ``shards`` of an equal share."""
     if shards is None:
+        whole = rows.agg(F.sum("size").alias("w")).first()["w"] or 0
         shards = max(1, -(-whole // target_bytes))
-    root = Part(shards, 0)
-    width, numbers = None, 0
-    while True:
-        leaves, stack = [], [root]
-        while stack:
-            p = stack.pop()
-            if p.left is None:
-                leaves.append(p)
-            else:
-                stack += [p.right, p.left]
-        for i, p in enumerate(leaves):
-            p.shard = i
-        open_ = {p.shard: p for p in leaves if p.leaves > 1}
-        if not open_:
-            return root
-        numbers += 1
-        placed = rows.withColumn("part", _place(root)).filter(F.col("part").isin([*open_]))
-        ranges = placed.groupBy("part").agg(F.sum("size").alias("w"), *[f(f"k{i}").alias(f"{n}{i}") for i in range(dimensions) for n, f in (("low", F.min), ("high", F.max))]).collect()
-        weights = {}
-        for r in ranges:  # a row for each part
+    leaves, widest = [shards], None
+    placed = rows.withColumn("part", F.lit(0))
+    while max(leaves) > 1:
+        measures = [f(f"k{i}").alias(f"{n}{i}") for i in range(dimensions) for n, f in (("low", F.min), ("high", F.max))]
+        weights, dimension = [0] * len(leaves), [0] * len(leaves)
+        for r in placed.groupBy("part").agg(F.sum("size").alias("w"), *measures).collect():  # a row for each part
             widths = [r[f"high{i}"] - r[f"low{i}"] for i in range(dimensions)]
-            width = width or [max(w, 1) for w in widths]
-            open_[r["part"]].dimension = max(range(dimensions), key=lambda i: (widths[i] / width[i], -i))
+            widest = widest or [max(w, 1) for w in widths]
             weights[r["part"]] = r["w"]
-        _cuts(placed, {p: x for p, x in open_.items() if p in weights}, weights)
-        for x in open_.values():
-            half = x.leaves // 2
-            x.left, x.right = Part(half), Part(x.leaves - half)
+            dimension[r["part"]] = max(range(dimensions), key=lambda i: (widths[i] / widest[i], -i))
+        keyed = placed.withColumn("key", F.get(F.array(*[f"k{i}" for i in range(dimensions)]), _of(dimension)))
+        cuts = _cuts(keyed, leaves, weights)
+        # parts stay in order: one that is split moves those after it by one
+        number, numbers, new = 0, [], []
+        for n in leaves:
+            numbers.append(number)
+            sides = [n] if n == 1 else [n // 2, n - n // 2]
+            new += sides
+            number += len(sides)
+        upper = F.coalesce(F.col("key") >= _of([(1 << 63) - 1 if c is None else c for c in cuts]), F.lit(False)) & _of([n > 1 for n in leaves])
+        placed = keyed.withColumn("part", _of(numbers) + upper.cast("int")).drop("key").checkpoint()
+        leaves = new
+    return placed
 
 
 def shard(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, target_bytes: int | None = None, shards: int | None = None) -> DataFrame:
@@ -166,8 +136,8 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, target_byte
     Parts are halved in proportion to the leaves they become; sizes are then
     near equal.  An empty table gives no rows."""
     bounded_batches(docs.sparkSession)
-    rows = points(docs, dimensions).checkpoint()
-    placed = rows.select("doc_id", "size", "text_crc32", _place(tree(rows, len(dimensions), target_bytes, shards)).cast("int").alias("shard"))
+    parts = split(points(docs, dimensions).checkpoint(), len(dimensions), target_bytes, shards)
+    placed = parts.select("doc_id", "size", "text_crc32", F.col("part").alias("shard"))
     # slots: rows are numbered in groups of bounded size, which follow one another
     most = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
     group = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(max(16, -(-most // NUMBERED)))).alias("bucket")
