@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Roller, bounded_batches, slices, utf8
+from .text import Roller, bounded_batches, sealed, slices, unsealed, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -143,5 +143,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ca
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no test window occurs."""
-    names = docs.columns
-    return contamination(docs, benchmark, width, names).filter(F.size("items") == 0).select(*names)
+    wide, names = sealed(docs, "text")
+    return unsealed(contamination(wide, benchmark, width, names).filter(F.size("items") == 0), docs)

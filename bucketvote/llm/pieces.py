@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lattice import MARK, SCALE, Lattice, Vocabulary, chunks_of, load_vocabulary
-from .text import bounded_batches, slices, utf8
+from .text import bounded_batches, sealed, slices, utf8
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 4
@@ -189,3 +189,12 @@ def decode(pieces: DataFrame, vocabulary: str = VOCABULARY, column: str = "ids",
     shared = pieces.sparkSession.sparkContext.broadcast(piece_bytes(load_vocabulary(vocabulary)))
     out = _shape(pieces, carry, "decoded string")
     return pieces.select(*carry, F.col(column).alias("_llm_ids")).mapInArrow(_decode(shared), out)
+
+
+def with_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, n: int = NBEST) -> DataFrame:
+    """``docs`` with n_pieces, ids and nbest (which replace columns that have
+    these names)."""
+    wide, names = sealed(docs, "text")
+    found = encode(wide, vocabulary, n, names)
+    old = [F.col(x).alias(c) for c, x in zip(docs.columns, names) if c not in ("n_pieces", "ids", "nbest")]
+    return found.select(*old, F.size("ids").cast("long").alias("n_pieces"), "ids", "nbest")

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Roller, bounded_batches, flat_bytes, mix, slices, utf8, word_spans
+from .text import Roller, bounded_batches, flat_bytes, mix, sealed, slices, unsealed, utf8, word_spans
 
 WINDOW = 35
 BUCKET_WINDOWS = 2_500_000
@@ -244,10 +244,12 @@ def without_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """``docs`` with repeated substrings removed from ``text``; a text that
     loses nothing is unchanged, any other becomes its kept words joined by one
     space.  ``n_chars``, if there is one, follows the text."""
-    names = docs.columns
-    found = repeated_substrings(docs, width, names)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    wide, names = sealed(docs, "doc_id", "text")
+    found = repeated_substrings(wide, width, names)
+    cut = F.col("n_removed") > 0
+    text = F.col(names[docs.columns.index("text")])
+    changed = {"text": F.when(cut, F.col("kept")).otherwise(text)}
+    if "n_chars" in docs.columns:
+        own = F.col(names[docs.columns.index("n_chars")])
+        changed["n_chars"] = F.when(cut, F.char_length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(own)
+    return unsealed(found, docs, **changed)

@@ -137,3 +137,19 @@ class KeyTable:
             go = ~hit & (got != 0)
             todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
         return out
+
+
+def column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def sealed(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """All columns under names that clash with none of an operator's, next to
+    the ``needed`` columns under their own; and these names, in order."""
+    names = [f"_llm_{i}" for i in range(len(docs.columns))]
+    return docs.select(*[column(c).alias(n) for c, n in zip(docs.columns, names)], *needed), names
+
+
+def unsealed(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return rows.select(*[changed.get(c, F.col(f"_llm_{i}")).alias(c) for i, c in enumerate(docs.columns)])
