@@ -11,10 +11,9 @@ the result against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bucketvote.llm.contamination import without_contaminated
-from bucketvote.llm.pieces import encode
+from bucketvote.llm.pieces import with_pieces
 from bucketvote.llm.quality import keep_good
 from bucketvote.llm.simhash import keep_first
 from bucketvote.llm.substrings import without_repeats
@@ -44,8 +43,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the piece ids of their texts and the next best
     segmentations."""
-    found = encode(docs, carry=docs.columns)
-    return found.select(*docs.columns, F.size("ids").cast("long").alias("n_pieces"), "ids", "nbest")
+    return with_pieces(docs)
 
 
 STAGES = [
