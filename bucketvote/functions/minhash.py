@@ -2,7 +2,7 @@
 step is, so that the store and the lookups get realistic input.
 
 Per item: ``w`` = the non-empty tokens of the text split on one blank,
-``x`` = the first 7 hex digits of ``md5(w)`` read as a number, and
+``x`` = the first 15 hex digits of ``md5(w)`` read as a number, modulo p, and
 ``HashTable_i = min over w of (x * a_i + b_i) mod p``.  The minimum over a
 bag equals the minimum over its set, so no ``distinct`` (and no shuffle of
 tokens) is needed: the tokens of one item are exploded in the task that
@@ -12,26 +12,31 @@ only that row is shuffled.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import BIN_COLS, N_BINS
 
-# Fixed values of the MinHash family: modulus p and, for position i in
-# 0..24, multiplier a_i = (i + 1) * 7919 * 1009 and offset b_i = (i + 1) * 104729.
-MINHASH_PRIME = 268435399
-MINHASH_A_BASE = 7919 * 1009
-MINHASH_B_BASE = 104729
-TOKEN_HEX_DIGITS = 7
+# Fixed values of the MinHash family: modulus p (2^31 - 1), and a seed from
+# which the 25 unrelated pairs (a_i, b_i) are drawn.
+MINHASH_PRIME = 2147483647
+MINHASH_SEED = 20240229
+# hex digits of md5 that identify a token (60 bits)
+TOKEN_HEX_DIGITS = 15
 
 
 def minhash_coefficients() -> list[tuple[int, int]]:
-    return [((i + 1) * MINHASH_A_BASE, (i + 1) * MINHASH_B_BASE) for i in range(N_BINS)]
+    """25 pairs with 1 <= a < p and 0 <= b < p, from a fixed seed."""
+    rng = random.Random(MINHASH_SEED)
+    return [(rng.randrange(1, MINHASH_PRIME), rng.randrange(MINHASH_PRIME)) for _ in range(N_BINS)]
 
 
 def token_hash(token_col: str = "w"):
-    """First 7 hex digits of md5(token) as a bigint (< 2^28)."""
-    return F.conv(F.substring(F.md5(F.col(token_col)), 1, TOKEN_HEX_DIGITS), 16, 10).cast("bigint")
+    """The token's 60-bit number modulo p."""
+    wide = F.conv(F.substring(F.md5(F.col(token_col)), 1, TOKEN_HEX_DIGITS), 16, 10).cast("bigint")
+    return wide % F.lit(MINHASH_PRIME)
 
 
 def minhash_bins(items: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
@@ -40,7 +45,7 @@ def minhash_bins(items: DataFrame, id_col: str, text_col: str, carry: list[str]
 
     ``carry`` are columns functionally dependent on ``id_col``; they ride
     along the grouping instead of being joined back afterwards.  Whole texts
-    are tokenised; products stay below 2^56 in bigint.
+    are tokenised; products stay below 2^62 in bigint.
     """
     carry = list(carry or [])
     toks = (

@@ -7,11 +7,10 @@ positions.  Plan:
    25 - T + 1 positions, so each side is exploded to one row per such
    position only: (position, bin, id, the 25 bins).
 2. Equi-join on (position, bin) — broadcast when the query side is small
-   (size measured), else a shuffle join with hot keys salted
-   (``plans.strategy``).  When the threshold is so low that pigeonhole keeps
-   nearly all positions, the shuffle uses the narrow *count* plan instead
-   (``_count_join``): all 25 positions as (position, bin, id) rows, votes
-   counted per pair.
+   (bytes measured), else a shuffle join whose hot keys are split on both
+   sides (``_salted``).  The narrow *count* plan (``_count_join``: all 25
+   positions as (position, bin, id) rows, votes counted per pair) is there
+   for callers who ask for it.
 3. Each joined row carries both bin vectors, encoded once per row as 25
    longs ``position << 32 | bin`` (one array column instead of 25).  The
    exact vote count is ``size(array_intersect(q, s))`` (a value can only
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bins import effective_threshold, pigeonhole_positions
-from ..plans.strategy import DEFAULT_PLAN, VoteJoinPlan, choose
+from ..plans.strategy import DEFAULT_PLAN, EXPLODED_ROW_BYTES, VoteJoinPlan, choose
 from ..session import ensure_checkpoint_dir
 from ..schema import BIN_COLS, N_BINS
 from .lookup import VOTES, cluster_predicate
@@ -68,62 +67,76 @@ def _common():
     return F.array_intersect(F.col(Q + "v"), F.col(S + "v"))
 
 
-def _votes():
-    return F.size(_common())
+def _scored(joined: DataFrame, threshold: int) -> DataFrame:
+    """The joined rows that are matches and in their pair's first agreeing
+    position, with the votes.  The common bins are computed once a row: the
+    generator keeps the optimizer from repeating the expression."""
+    match = F.filter(
+        F.array(_common()),
+        lambda c: (F.size(c) >= threshold) & ((F.array_min(c) / F.lit(1 << 32)).cast("int") == F.col("pos")),
+    )
+    return joined.select("*", F.explode(match).alias("_hit")).withColumn(VOTES, F.size("_hit")).drop("_hit")
+
+
+def _key_counts(x: DataFrame, name: str) -> DataFrame:
+    """Rows of each (pos, bin): a partial count in each task, so the shuffle
+    has one row a key and task."""
+    return x.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias(name))
 
 
-def _first_agree():
-    return (F.array_min(_common()) / F.lit(1 << 32)).cast("int")
+def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool) -> tuple[DataFrame, DataFrame]:
+    """Split hot (pos, bin) keys by pair work, on both sides.
 
+    A key with more than ``skew_factor`` times the mean pair work of a
+    partition becomes a grid of ``a x b`` cells: a store row has one of ``a``
+    numbers and is copied to the b cells of it, a query row one of ``b``
+    numbers and to the a cells of it, so every pair meets in one cell.  a and
+    b follow the rows of each side, which keeps copies near the square root of
+    the cells.  Keys with more than the mean times the factor number at most
+    ``n_parts / skew_factor`` whatever the data, so their table is broadcast.
 
-def _salted(
-    qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Salt hot (pos, bin) keys by pair work: store rows spread over k salts,
-    query rows copied to every salt.
+    With ``self_pairs`` both sides are one table and number their rows alike;
+    only the cells on and above the diagonal are made, so that a pair of a
+    split key meets once (``_ordered`` keeps one of the two on the diagonal).
+    """
+    cs = _key_counts(sx, "_ns")
+    cq = cs.withColumnRenamed("_ns", "_nq") if self_pairs else _key_counts(qx, "_nq")
+    work = cs.select("pos", "bin", "_ns", F.col("_ns").alias("_nq")) if self_pairs else cs.join(cq, ["pos", "bin"])
+    # one pass over the keys; the mean and the hot list both read the result
+    ensure_checkpoint_dir(qx.sparkSession)
+    work = work.withColumn("_w", F.col("_ns").cast("double") * F.col("_nq")).checkpoint(eager=True)
+    target = F.greatest(work.select((F.sum("_w") / F.lit(n_parts)).alias("m")).scalar() * F.lit(plan.skew_factor), F.lit(1.0))
+    cells = F.ceil(F.col("_w") / target)
+    a = F.greatest(F.lit(1), F.least(F.col("_ns"), F.ceil(F.sqrt(cells * F.col("_ns") / F.col("_nq")))))
+    hot = work.filter(F.col("_w") > target).select("pos", "bin", a.alias("_a"), F.greatest(F.lit(1), F.ceil(cells / a)).alias("_b"))
+    if self_pairs:
+        hot = hot.withColumn("_b", F.col("_a"))
 
-    Per-key row counts are estimated from a seeded sample of the key columns
-    only (``plan.sample_fraction``): they only choose salts, so the result
-    stays exact whatever the estimate.  A self-join counts one side.  The
-    hot-key table holds at most ``max_hot_keys`` rows, so it is broadcast."""
-    f = float(plan.sample_fraction)
+    def number(of: str, parts: str):
+        return F.pmod(F.xxhash64(F.col(of)), F.coalesce(F.col(parts), F.lit(1)))
 
-    def counts(x: DataFrame, name: str) -> DataFrame:
-        keys = x.select("pos", "bin")
-        if f < 1.0:
-            keys = keys.sample(fraction=f, seed=17)
-        # a key seen once in the sample cannot be hot: keep repeated keys only
-        return (
-            keys.groupBy("pos", "bin")
-            .agg(F.count(F.lit(1)).alias("_c"))
-            .filter(F.col("_c") >= F.lit(2 if f < 1.0 else 1))
-            .select("pos", "bin", (F.col("_c") / F.lit(f)).alias(name))
-        )
+    def to(last: str):
+        return F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(last), F.lit(1)) - 1)
 
-    cs = counts(sx, "_ns")
+    sx = sx.join(F.broadcast(hot), ["pos", "bin"], "left").withColumn("_sn", number(S + "id", "_a"))
+    qx = qx.join(F.broadcast(hot), ["pos", "bin"], "left").withColumn("_qn", number(Q + "id", "_b"))
     if self_pairs:
-        work = cs.select("pos", "bin", (F.col("_ns") * F.col("_ns")).alias("_w"))
+        sx = sx.withColumn("_qn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_sn"))))
+        qx = qx.withColumn("_sn", F.explode(F.sequence(F.col("_qn"), F.coalesce(F.col("_a"), F.lit(1)) - 1)))
     else:
-        work = cs.join(counts(qx, "_nq"), ["pos", "bin"]).select("pos", "bin", (F.col("_ns") * F.col("_nq")).alias("_w"))
-    # one pass over the keys; the mean and the hot list both read the result
-    ensure_checkpoint_dir(qx.sparkSession)
-    work = work.checkpoint(eager=True)
-    mean = work.select((F.sum("_w") / F.lit(n_parts)).alias("m")).scalar()
-    target = F.least(F.greatest(mean * F.lit(plan.skew_factor), F.lit(1.0)), F.lit(float(plan.hot_pairs)))
-    hot = (
-        work.filter(F.col("_w") > target)
-        .orderBy(F.col("_w").desc(), "pos", "bin")
-        .limit(plan.max_hot_keys)
-        .select("pos", "bin", F.least(F.lit(plan.max_salt), F.ceil(F.col("_w") / target)).cast("int").alias("_k"))
-    )
-    hot_b = F.broadcast(hot)
-    sx = sx.join(hot_b, ["pos", "bin"], "left").withColumn(
-        "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(S + "id")), F.col("_k")).cast("int"))
-    ).drop("_k")
-    qx = qx.join(hot_b, ["pos", "bin"], "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1))
-    ).drop("_k")
-    return qx, sx
+        sx = sx.withColumn("_qn", F.explode(to("_b")))
+        qx = qx.withColumn("_sn", F.explode(to("_a")))
+    return qx.drop("_a", "_b"), sx.drop("_a", "_b")
+
+
+def _ordered(joined: DataFrame) -> DataFrame:
+    """Of a self-join's rows each unordered pair once, the smaller id first."""
+    kept = joined.filter((F.col("_sn") != F.col("_qn")) | (F.col(Q + "id") < F.col(S + "id")))
+    low, high = F.least(Q + "id", S + "id"), F.greatest(Q + "id", S + "id")
+    return kept.withColumns({Q + "id": low, S + "id": high})
+
+
+_CELL = ["pos", "bin", "_sn", "_qn"]
 
 
 def _count_join(
@@ -155,10 +168,9 @@ def _count_join(
     spark = queries.sparkSession
     n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
-    keys = ["pos", "bin", "_salt"]
-    joined = ss.repartition(n_parts, *keys).join(qs.repartition(n_parts, *keys).hint(plan.join_hint), keys)
+    joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
     if self_pairs:
-        joined = joined.filter(F.col(Q + "id") < F.col(S + "id"))
+        joined = _ordered(joined)
     group = [Q + "id", S + "id", *[Q + c for c in keep_query], *[S + c for c in keep_store]]
     return (
         joined.groupBy(*group)
@@ -208,31 +220,29 @@ def vote_join(
     qx = _explode(queries, query_id, positions, Q, keep_query)
     sx = _explode(store, store_id, positions, S, keep_store)
 
-    n_q = None
-    if plan.strategy == "auto" and not self_pairs:
-        # measured, so the broadcast side has a checked size
-        n_q = qx.count()
-    how = "shuffle" if self_pairs else choose(plan, n_q, 16 * len(keep_query))
-    if how == "shuffle" and plan.strategy == "auto" and len(positions) >= plan.count_min_positions:
-        # pigeonhole keeps almost every position: shuffling narrow rows and
-        # counting beats shuffling rows that carry the bin vectors
-        pairs = _count_join(queries, store, t, query_id, store_id, keep_query, keep_store, self_pairs, plan)
-        return pairs.select(*out_cols)
+    spark = queries.sparkSession
+    n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    how = "shuffle" if self_pairs else choose(plan, _broadcast_bytes(qx, [Q + "id", *[Q + c for c in keep_query]]) if plan.strategy == "auto" else None)
     if how == "broadcast":
+        # a store of fewer files than tasks is dealt out before it is exploded
+        if store.rdd.getNumPartitions() < n_parts:
+            sx = _explode(store.repartition(n_parts), store_id, positions, S, keep_store)
         joined = sx.join(F.broadcast(qx), ["pos", "bin"])
     else:
-        spark = queries.sparkSession
-        n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
-        # explicit hash partitioning on the join keys: the join reuses it (no
+        # explicit hash partitioning on the cells: the join reuses it (no
         # further exchange) and AQE keeps the partition count
-        keys = ["pos", "bin", "_salt"]
-        joined = ss.repartition(n_parts, *keys).join(qs.repartition(n_parts, *keys).hint(plan.join_hint), keys)
-    # cheap and selective tests first: AND short-circuits
-    cond = (_votes() >= F.lit(t)) & (_first_agree() == F.col("pos"))
+        joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
     if self_pairs:
-        cond = (F.col(Q + "id") < F.col(S + "id")) & cond
-    return joined.filter(cond).withColumn(VOTES, _votes()).select(*out_cols)
+        joined = _ordered(joined)
+    return _scored(joined, t).select(*out_cols)
+
+
+def _broadcast_bytes(rows: DataFrame, carried: list[str]) -> int:
+    """Measured bytes of exploded query rows: 25 encoded bins and the key by
+    type, and the carried columns as they are."""
+    wide = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in carried), F.lit(EXPLODED_ROW_BYTES))
+    return rows.agg(F.sum(wide)).first()[0] or 0
 
 
 def vote_join_inverted(
@@ -246,7 +256,8 @@ def vote_join_inverted(
     """V6 for many queries: (query id, Id, votes) over the long layout
     (HashTable, HashBin, SubFingerprintId).  The long table already is the
     exploded store, so only the queries are exploded; the join on
-    (HashTable, HashBin, salt) is followed by a count per pair."""
+    (HashTable, HashBin) is a broadcast of the measured queries, else a shuffle
+    split by cells; a count per pair follows."""
     t = effective_threshold(threshold)
     keys = F.array(
         *[F.struct(F.lit(i + base).alias("pos"), F.col(c).cast("long").alias("bin")) for i, c in enumerate(BIN_COLS)]
@@ -259,11 +270,13 @@ def vote_join_inverted(
     )
     if t is None or t > N_BINS:
         return qx.select(F.col(Q + "id").alias(query_id), F.lit(0).cast("long").alias("Id"), F.lit(0).alias(VOTES)).filter(F.lit(False))
-    spark = queries.sparkSession
-    n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    qs, ss = _salted(qx, sx, plan, n_parts, False)
-    k = ["pos", "bin", "_salt"]
-    joined = ss.repartition(n_parts, *k).join(qs.repartition(n_parts, *k).hint(plan.join_hint), k)
+    if choose(plan, _broadcast_bytes(qx, [Q + "id"]) if plan.strategy == "auto" else None) == "broadcast":
+        # the long table is streamed once, unshuffled; only hits are counted
+        joined = sx.join(F.broadcast(qx), ["pos", "bin"])
+    else:
+        n_parts = plan.partitions or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        qs, ss = _salted(qx, sx, plan, n_parts, False)
+        joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
     return (
         joined.groupBy(Q + "id", S + "id")
         .agg(F.count(F.lit(1)).cast("int").alias(VOTES))
@@ -288,7 +301,7 @@ def vote_lookup_batch(
     if cp is not None:
         store = store.filter(cp)
     pairs = vote_join(queries, store, threshold, query_id=query_id, plan=plan)
-    return slices.join(pairs.select("Id"), "Id", "left_semi")
+    return slices.join(pairs.select("Id").distinct(), "Id", "left_semi")
 
 
 def vote_lookup_batch_votes(slices, queries, threshold, clusters=None, mode="text", query_id="qid", plan=DEFAULT_PLAN):

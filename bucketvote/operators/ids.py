@@ -2,80 +2,38 @@
 
 ``row_number()`` over a global order funnels every row into one task, and a
 window partitioned by a key puts a hot key (say a third of all rows) into
-one task.  Both are replaced here by a range-partitioned numbering:
+one task.  Both are replaced here by a range-partitioned numbering, with
+built-in functions only, so that no value of any column is touched:
 
 1. ``repartitionByRange`` on (keys, order) and sort within partitions, so a
    hot key is spread over many partitions in order;
-2. one vectorised pass per partition (``mapInPandas``) gives each row its
-   rank inside its (partition, key) run and records the partition index;
-3. the result is checkpointed (reliable, in the session's checkpoint folder)
-   so partition indices and ranks are fixed before they are combined;
-4. a small table holds, per (partition, key), the row count; only the first
-   and last key of a partition can continue into another partition, so the
-   offsets table keeps at most 2 rows per partition and is broadcast;
-5. rank = local rank + rows of the same key in earlier partitions.
-
-The numbering is the exact ``row_number() over (partition by keys order by
-order)`` when (keys, order) is unique; no row passes through the driver.
+2. ``spark_partition_id()`` and the low bits of
+   ``monotonically_increasing_id()`` give each row its partition and its
+   place in it; the result is checkpointed (reliable, in the session's
+   checkpoint folder), which fixes both;
+3. without keys, rank = place + rows of earlier partitions; with keys, rows
+   are numbered within (partition, key), a group no larger than a range
+   partition, and the rows of the same key in earlier partitions are added.
+
+A key continues into another partition at most once per partition boundary,
+so the offsets have at most two rows per partition and are broadcast.  The
+numbering is ``row_number() over (partition by keys order by order)`` when
+(keys, order) is unique.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 _PID = "_bv_pid"
-_LRANK = "_bv_lrank"
-
-
-def _local_rank_fn(keys: list[str]):
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        last_key = None
-        run_len = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            if keys:
-                kdf = pdf[keys]
-                prev = kdf.shift(1)
-                same = pd.Series(True, index=pdf.index)
-                for k in keys:
-                    a, b = kdf[k], prev[k]
-                    same &= (a == b) | (a.isna() & b.isna())
-                # the first row of this batch continues the previous batch's run?
-                first = tuple(kdf.iloc[0].tolist())
-                cont = last_key is not None and all(
-                    (x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(first, last_key)
-                )
-                same.iloc[0] = cont
-                seg = (~same).cumsum()
-                rank = pdf.groupby(seg.values).cumcount().to_numpy()
-                if cont:
-                    rank = rank + (seg.values == 0) * run_len
-                # rows in the trailing run of this batch
-                tail_seg = seg.values[-1]
-                tail_len = int((seg.values == tail_seg).sum())
-                run_len = (run_len + tail_len) if (cont and tail_seg == 0) else tail_len
-                last_key = tuple(kdf.iloc[-1].tolist())
-            else:
-                rank = run_len + pd.RangeIndex(n).to_numpy()
-                run_len += n
-            out = pdf.copy()
-            out[_PID] = pid
-            out[_LRANK] = rank.astype("int64")
-            yield out
-
-    return run
+_PLACE = "_bv_place"
+_PRIOR = "_bv_prior"
 
 
 def sequence_within(
@@ -88,40 +46,30 @@ def sequence_within(
 ) -> DataFrame:
     """Add ``out`` = start + 0-based rank of each row within its key group by
     ``order`` (ascending).  (keys, order) should be unique for a
-    deterministic result.  With no keys the rank is global."""
+    deterministic result.  With no keys the rank is global; NULL keys form
+    one group."""
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     sort_cols = [*keys, *order]
-    # without an explicit count AQE may merge adjacent range partitions; a
-    # merged partition is still one contiguous range, so the bound below holds
+    # AQE may merge adjacent range partitions; a merged one is still one range
     ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
-    base = ranged.sortWithinPartitions(*sort_cols)
-    schema = T.StructType(
-        base.schema.fields + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_LRANK, T.LongType(), False)]
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = (
+        ranged.sortWithinPartitions(*sort_cols)
+        .withColumns({_PID: F.spark_partition_id(), _PLACE: place})
+        .checkpoint(eager=True)
     )
-    ranked = base.mapInPandas(_local_rank_fn(keys), schema).checkpoint(eager=True)
-
-    counts = ranked.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_bv_n"))
+    counts = placed.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_bv_n"))
+    earlier = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    prior = counts.withColumn(_PRIOR, F.sum("_bv_n").over(earlier)).filter(F.col(_PRIOR).isNotNull())
+    small = prior.select(F.col(_PID).alias("_bv_p"), *[F.col(k).alias(f"_bv_k{i}") for i, k in enumerate(keys)], _PRIOR)
     if keys:
-        w = Window.partitionBy(*keys).orderBy(_PID)
-        prior = (
-            counts.withColumn("_bv_parts", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-            .filter(F.col("_bv_parts") > 1)
-            .withColumn("_bv_prior", F.coalesce(F.sum("_bv_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .select(_PID, *keys, "_bv_prior")
-        )
-        # At most the first and last key of each partition continue across
-        # partitions, so `prior` holds <= 2 rows per partition: safe to broadcast.
-        joined = ranked.join(F.broadcast(prior), [_PID, *keys], "left")
-    else:
-        w = Window.orderBy(_PID)  # one row per partition
-        prior = counts.withColumn(
-            "_bv_prior", F.coalesce(F.sum("_bv_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ).select(_PID, "_bv_prior")
-        joined = ranked.join(F.broadcast(prior), [_PID], "left")
-    res = joined.withColumn(out, F.col(_LRANK) + F.coalesce(F.col("_bv_prior"), F.lit(0)) + F.lit(start))
-    return res.drop(_PID, _LRANK, "_bv_prior")
+        own = Window.partitionBy(_PID, *keys).orderBy(_PLACE)
+        placed = placed.withColumn(_PLACE, F.row_number().over(own) - 1)
+    same = [F.col(_PID) == F.col("_bv_p"), *[F.col(k).eqNullSafe(F.col(f"_bv_k{i}")) for i, k in enumerate(keys)]]
+    joined = placed.join(F.broadcast(small), reduce(lambda a, b: a & b, same), "left")
+    rank = F.col(_PLACE) + F.coalesce(F.col(_PRIOR), F.lit(0)) + F.lit(start)
+    return joined.select(*df.columns, rank.cast("long").alias(out))
 
 
 def assign_ids(

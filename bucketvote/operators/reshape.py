@@ -120,11 +120,12 @@ def backfill_by_join(
     """Update-from-join.  For each target row with a matching source row,
     set ``target[t] = source[s]`` for every (t -> s) in ``columns`` (even
     when the source value is NULL); unmatched rows keep their old values.
-    The source key must be unique (one match per row)."""
-    src = source.select(
-        F.col(source_key).alias("_bv_key"),
-        F.lit(True).alias("_bv_hit"),
-        *[F.col(s).alias(f"_bv_src_{t}") for t, s in columns.items()],
+    A source key that repeats never adds rows: one of its rows is used (the
+    least by the used columns, in their order)."""
+    src = (
+        source.groupBy(F.col(source_key).alias("_bv_key"))
+        .agg(F.min(F.struct(*[F.col(s).alias(f"_bv_src_{t}") for t, s in columns.items()])).alias("_bv_row"))
+        .select("_bv_key", F.lit(True).alias("_bv_hit"), "_bv_row.*")
     )
     joined = target.join(src, target[target_key] == src["_bv_key"], "left")
     out = joined
@@ -156,18 +157,28 @@ def evolve_schema(
 ) -> DataFrame:
     """Idempotent schema changes: add a column if absent (NULL of the
     given type), drop if present, rename if present, retype.  Every column
-    of the result is nullable (NOT NULL relaxed)."""
+    of the result is nullable (NOT NULL relaxed).
+
+    Names are compared without case, as the session resolves them, and a
+    column that the same call renames or drops is not added again, so
+    running the same changes twice equals running them once."""
     out = df
-    for name, typ in (add or {}).items():
-        if name not in out.columns:
+    rename, add, gone = dict(rename or {}), dict(add or {}), {c.lower() for c in drop or []}
+    renamed = {old.lower(): new.lower() for old, new in rename.items()}
+
+    def has(name: str) -> bool:
+        return name.lower() in {c.lower() for c in out.columns}
+
+    for name, typ in add.items():
+        if not has(name) and name.lower() not in gone and not has(renamed.get(name.lower(), name)):
             out = out.withColumn(name, F.lit(None).cast(typ))
-    drops = [c for c in (drop or []) if c in out.columns]
-    if drops:
-        out = out.drop(*drops)
-    for old, new in (rename or {}).items():
-        if old in out.columns and new not in out.columns:
-            out = out.withColumnRenamed(old, new)
+    out = out.drop(*[c for c in out.columns if c.lower() in gone])
+    for old, new in rename.items():
+        if has(old) and (old.lower() == new.lower() or not has(new)):
+            out = out.select(*[F.col(c).alias(new if c.lower() == old.lower() else c) for c in out.columns])
     for name, typ in (cast or {}).items():
-        if name in out.columns:
-            out = out.withColumn(name, F.col(name).cast(typ))
-    return out
+        if has(name):
+            own = next(c for c in out.columns if c.lower() == name.lower())
+            out = out.withColumn(own, F.col(own).cast(typ))
+    # a CASE without ELSE is nullable; the optimizer removes it
+    return out.select(*[F.when(F.lit(True), F.col(c)).alias(c) for c in out.columns])

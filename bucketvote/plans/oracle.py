@@ -1,16 +1,16 @@
 """Oracle SQL (DuckDB dialect) for the registered queries.
 
 Each string rebuilds the bindings from the driver's tables with plain SQL
-and computes the operator independently: the vote oracles use the literal
-form of 25 posting-list reads glued by UNION ALL, grouped and filtered by
-HAVING, while the Spark side runs the one-scan or join form.
+and computes the operator independently: the vote oracles unpivot the bins
+to rows and count agreements, while the Spark side runs the one-scan or join
+form.
 """
 
 from __future__ import annotations
 
 from ..schema import BIN_COLS, N_BINS
 from ..sources.bindings import BIN_MOD_BASE, LINE_STRIDE, query_bins_a
-from ..functions.minhash import MINHASH_PRIME, minhash_coefficients
+from ..functions.minhash import MINHASH_PRIME, TOKEN_HEX_DIGITS, minhash_coefficients
 from . import registry as RG
 
 _BIN_EXPRS = ",\n".join(f"cast(o_orderkey % {BIN_MOD_BASE + i} as int) as {c}" for i, c in enumerate(BIN_COLS))
@@ -51,7 +51,7 @@ def _minhash_select(id_expr: str, src: str) -> str:
         for (a, b), c in zip(minhash_coefficients(), BIN_COLS)
     )
     return f"""select {id_expr} as Id, {aggs}
-  from (select _owner, cast(('0x' || substr(md5(w), 1, 7)) as bigint) as x
+  from (select _owner, cast(('0x' || substr(md5(w), 1, {TOKEN_HEX_DIGITS})) as bigint) % {MINHASH_PRIME} as x
         from (select {src}) where w <> '')
   group by _owner"""
 
@@ -81,16 +81,17 @@ def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
-def _union_form(table: str, bins: list[int]) -> str:
-    """The literal 25-branch posting-list union of one query."""
-    return "\n  union all\n  ".join(f"select Id from {table} where {c} = {b}" for c, b in zip(BIN_COLS, bins))
+def _agreeing(table: str, bins: list[int]) -> str:
+    """One row for each position in which a row of ``table`` has the query's
+    bin: rows are unpivoted and compared with the query as a list."""
+    return f"""select Id from (
+    select Id, p + 1 as pos, list_extract([{", ".join(BIN_COLS)}], p + 1) as bin from {table}, range({N_BINS}) t(p)
+  ) e where bin = list_extract({bins}, pos)"""
 
 
 def _voted(table: str, bins: list[int], t: int) -> str:
     return f"""voted as (
-  select Id, count(Id) as votes from (
-  {_union_form(table, bins)}
-  ) h group by Id having count(Id) >= {t})"""
+  select Id, count(*) as votes from ({_agreeing(table, bins)}) h group by Id having count(*) >= {t})"""
 
 
 def _pair_votes(a: str, b: str) -> str:
@@ -156,7 +157,7 @@ from slices where TrackId = {RG.TRACK}""",
        case when Clusters is null or Clusters = '' then '' else array_to_string(string_split(Clusters, ','), '|') end as labels
 from slices""",
     "candidates_join_back": _with(SLICES)
-    + f"select * from slices where Id in (\n  {_union_form('slices', QB)}\n)",
+    + f"select * from slices where Id in (\n  {_agreeing('slices', QB)}\n)",
     "track_by_signature_id": _with(TRACKS, SIGNATURES)
     + f"select t.* from tracks t join signatures s on t.Id = s.TrackId where s.Id = {RG.SIGNATURE}",
     "backfill_track_id": _with(BINS_LONG, SLICES)

@@ -1,23 +1,19 @@
 """Plan choices for the batch vote join.
 
 ``broadcast``: the exploded query side is small enough to ship to every
-task (its row count is measured first, so the bound is checked, not
-assumed); the store is streamed once through a broadcast hash join, with no
+task (its bytes are measured first, so the bound is checked, not assumed); the store is streamed once through a broadcast hash join, with no
 shuffle of the store at all.
 
 ``shuffle``: both exploded sides are hash-partitioned on (position, bin,
-salt).  The pair work of a key is (query rows) x (store rows) with that
-(position, bin); it is estimated from a seeded sample of the key columns
-(it only chooses salts, so results stay exact).  Hot keys — for
-example a bin shared by a third of all slices — are split: the store rows
-of a hot key are spread over ``k`` salts and the query rows of that key are
-copied to each salt, so no single task holds the hot key's whole pair work.
-The hot-key table is capped in length (it is broadcast); keys past the cap
-are still joined exactly, just unsalted.
+cell).  The pair work of a key is (query rows) x (store rows) with that
+(position, bin), from exact counts.  Hot keys — for example a bin shared by a
+third of all slices — become grids of cells, so that both sides of a hot key
+are spread and no task holds more than about ``skew_factor`` times the mean
+work; copies grow with the square root of the cells.
 
 ``count``: the shuffle plan on narrow rows — all 25 positions as (position,
-bin, id), agreements counted per pair.  ``auto`` takes it when pigeonhole
-keeps so many positions that carrying the bin vectors does not pay.
+bin, id), agreements counted per pair; only on request, since it shuffles a
+row for each agreeing (pair, position).
 """
 
 from __future__ import annotations
@@ -30,30 +26,18 @@ class VoteJoinPlan:
     # "auto" | "broadcast" | "shuffle" (carry bin vectors, pigeonhole keys)
     # | "count" (narrow rows on all 25 positions, count agreements per pair)
     strategy: str = "auto"
-    # the exploded query side is broadcast when its measured row count times
-    # its row width (ids, 25 encoded bins, key) fits in this many bytes
+    # the exploded query side is broadcast when its measured bytes (ids, 25
+    # encoded bins, key) fit in this
     broadcast_bytes: int = 128 << 20
     # a (position, bin) key whose pair work (query rows x store rows) is more
-    # than ``skew_factor`` times the mean work per partition is salted, as is
-    # any key with more than ``hot_pairs`` pair work
+    # than ``skew_factor`` times the mean work per partition is split
     skew_factor: float = 2.0
-    hot_pairs: int = 50_000_000
-    # share of exploded key rows sampled to estimate per-key work (salts only)
-    sample_fraction: float = 0.05
-    # at most this many hot keys are salted (the rest join unsalted, exactly)
-    max_hot_keys: int = 10_000
-    # upper bound of salts per hot key
-    max_salt: int = 256
     # partitions of the shuffle join (None: spark.sql.shuffle.partitions);
     # set explicitly so that AQE does not merge partitions whose bytes are
     # small but whose pair work is large
     partitions: int | None = None
-    # in "auto", a shuffle join uses the narrow count plan when pigeonhole
-    # keeps at least this many positions (T <= 6); measured at sf0.1: T = 5
-    # count 5.0 s vs carry 5.4 s, T = 8 (queries) 3.8 vs 4.5, T = 12 5.6 vs 3.4
-    count_min_positions: int = 20
     # physical join of the shuffle strategy: both sides stay partitioned by
-    # (position, bin, salt) so the salts spread the work
+    # (position, bin, cell) so the cells spread the work
     join_hint: str = "merge"
 
 
@@ -64,15 +48,11 @@ DEFAULT_PLAN = VoteJoinPlan()
 EXPLODED_ROW_BYTES = 8 + 4 + 4 + 25 * 8 + 32
 
 
-def choose(plan: VoteJoinPlan, exploded_query_rows: int | None, extra_bytes_per_row: int = 0) -> str:
+def choose(plan: VoteJoinPlan, query_bytes: int | None) -> str:
     if plan.strategy in ("broadcast", "shuffle"):
         return plan.strategy
     if plan.strategy == "count":
         return "shuffle"
     if plan.strategy != "auto":
         raise ValueError(f"unknown strategy {plan.strategy!r}")
-    if exploded_query_rows is not None:
-        size = exploded_query_rows * (EXPLODED_ROW_BYTES + extra_bytes_per_row)
-        if size <= plan.broadcast_bytes:
-            return "broadcast"
-    return "shuffle"
+    return "broadcast" if query_bytes is not None and query_bytes <= plan.broadcast_bytes else "shuffle"

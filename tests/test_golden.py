@@ -163,8 +163,8 @@ def test_similar_pairs_matches_brute_force(spark):
         }
         for plan in (
             VoteJoinPlan(),
-            VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=4, sample_fraction=1.0),
-            VoteJoinPlan(strategy="count", skew_factor=0.01, max_salt=4, sample_fraction=1.0),
+            VoteJoinPlan(strategy="shuffle", skew_factor=0.01),
+            VoteJoinPlan(strategy="count", skew_factor=0.01),
         ):
             got = {(r["a_id"], r["b_id"]) for r in BT.similar_pairs(s, t, plan=plan).collect()}
             assert got == want, (t, plan)

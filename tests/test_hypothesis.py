@@ -30,8 +30,8 @@ def test_vote_join_equals_brute_force(spark, store, queries, t):
     }
     for plan in (
         VoteJoinPlan(strategy="broadcast"),
-        VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=3, sample_fraction=1.0),
-        VoteJoinPlan(strategy="count", skew_factor=0.01, max_salt=3, sample_fraction=1.0),
+        VoteJoinPlan(strategy="shuffle", skew_factor=0.01),
+        VoteJoinPlan(strategy="count", skew_factor=0.01),
     ):
         got = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join(q, s, t, plan=plan).collect()}
         assert got == want
@@ -59,6 +59,6 @@ def test_inverted_batch_equals_brute_force(spark, store, queries, t):
         for si, sv in enumerate(store)
         if sum(a == b for a, b in zip(qv, sv)) >= tt
     }
-    plan = VoteJoinPlan(skew_factor=0.01, max_salt=3, sample_fraction=1.0)
+    plan = VoteJoinPlan(skew_factor=0.01)
     got = {(r["qid"], r["Id"], r["votes"]) for r in BT.vote_join_inverted(q, bins_to_long(s), t, plan=plan).collect()}
     assert got == want

@@ -63,7 +63,11 @@ def test_no_collect_or_cross_join_in_operators():
 def test_no_cross_join_in_any_registered_query(spark, smoke_dir):
     from __spark_entry__ import queries
 
+    from bucketvote.plans.registry import QUERIES
+
     for key, fn in queries().items():
+        if key not in QUERIES:
+            continue
         p = plan_of(fn(spark, smoke_dir))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
 

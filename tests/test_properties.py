@@ -53,8 +53,8 @@ def test_inverted_equals_wide(store):
     [
         VoteJoinPlan(strategy="broadcast"),
         VoteJoinPlan(strategy="shuffle"),
-        VoteJoinPlan(strategy="shuffle", skew_factor=0.01, max_salt=8, sample_fraction=1.0),
-        VoteJoinPlan(strategy="count", skew_factor=0.01, max_salt=8, sample_fraction=1.0),
+        VoteJoinPlan(strategy="shuffle", skew_factor=0.01),
+        VoteJoinPlan(strategy="count", skew_factor=0.01),
     ],
 )
 def test_batch_is_union_of_singles(spark, store, plan):
