@@ -32,8 +32,9 @@ from .text import bounded_batches, sealed, slices, utf8
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 4
-#: Solved chunks that a task keeps; more begin anew (the results are the same).
-MEMORY = 300_000
+#: Solved chunks that a task keeps (more begin anew; the results are the same),
+#: chunks solved side by side, and text bytes handled at a time.
+MEMORY, AT_ONCE, SLICE = 200_000, 20_000, 1 << 20
 
 _EDIT = pa.struct([("first", pa.int32()), ("pieces", pa.int32()), ("ids", pa.list_(pa.int32()))])
 _BEST = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(_EDIT))]))
@@ -60,14 +61,17 @@ class _Solved:
         if not new:
             return
         known.update(zip(new, range(len(known), len(known) + len(new))))
-        flat, offsets, score, gap = self.lattice.best(new)
-        self.offsets = np.concatenate((self.offsets, offsets[1:] + self.offsets[-1]))
-        self.flat = np.concatenate((self.flat, flat))
-        self.score, self.gap = np.concatenate((self.score, score)), np.concatenate((self.gap, gap))
+        for i in range(0, len(new), AT_ONCE):
+            flat, offsets, score, gap = self.lattice.best(new[i : i + AT_ONCE])
+            self.offsets = np.concatenate((self.offsets, offsets[1:] + self.offsets[-1]))
+            self.flat = np.concatenate((self.flat, flat))
+            self.score, self.gap = np.concatenate((self.score, score)), np.concatenate((self.gap, gap))
 
     def nbest(self, chunk: str, n: int) -> list[tuple[int, list[int]]]:
         got = self.several.get(chunk)
         if got is None:
+            if len(self.several) >= AT_ONCE:
+                self.several.clear()
             got = self.several[chunk] = self.lattice.nbest(chunk, n)
         return got
 
@@ -98,7 +102,7 @@ def _combine(solved: _Solved, chunks: list[str], numbers: np.ndarray, begins: np
 def _encode(vocabulary, n: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         solved = _Solved(Lattice(Vocabulary(*vocabulary.value)))
-        for batch in slices(batches, "_llm_text"):
+        for batch in slices(batches, "_llm_text", SLICE):
             rest = [i for i, c in enumerate(batch.schema.names) if c != "_llm_text"]
             texts = [None if t is None else chunks_of(t.decode()) for t in batch.column("_llm_text").to_pylist()]
             solved.add([t for t in texts if t is not None])
