@@ -7,7 +7,7 @@ Main entry points (all take and return DataFrames):
 * ``vote_lookup_batch`` / ``vote_join`` / ``similar_pairs`` — many vectors;
 * ``identify_tracks`` — best matching track per query clip;
 * ``minhash_bins`` — 25 MinHash bins per text;
-* ``ModelService`` — the store's calls over a versioned parquet store.
+* ``VoteStore`` — the store's calls over a folder of parquet tables.
 """
 
 from .functions.minhash import minhash_bins
@@ -22,11 +22,11 @@ from .operators.lookup import (
     vote_lookup_votes,
 )
 from .plans.strategy import VoteJoinPlan
-from .service import ModelService
+from .service import VoteStore
 
 __all__ = [
-    "ModelService",
     "VoteJoinPlan",
+    "VoteStore",
     "identify_tracks",
     "minhash_bins",
     "similar_pairs",

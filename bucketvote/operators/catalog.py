@@ -127,10 +127,10 @@ def insert_hashes(
 
 def hashes_by_track(slices: DataFrame, track_id: int | None) -> DataFrame:
     """The slices of one track as (Id, bins array, SequenceNumber,
-    StartsAt as float, clusters array); NULL or '' labels -> empty list."""
-    if track_id is None:
-        return slices.filter(F.lit(False)).select("Id")
-    return slices.filter(F.col("TrackId") == F.lit(int(track_id))).select(
+    StartsAt as float, clusters array); NULL or '' labels -> empty list.
+    No track (None): no rows."""
+    own = F.lit(False) if track_id is None else F.col("TrackId") == F.lit(int(track_id))
+    return slices.filter(own).select(
         "Id",
         F.array(*[F.col(c) for c in BIN_COLS]).alias("bins"),
         "SequenceNumber",

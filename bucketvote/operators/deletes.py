@@ -1,10 +1,9 @@
-"""Deletes as complement filters (copy-on-write).
+"""Deletes as complement filters.
 
 Parquet is never changed in place.  The DataFrame forms compute the
 remaining rows of each table with an anti-join (and the removed-row counts
-with aggregates); ``delete_tracks_in_store`` applies a delete to a versioned
-store, rewriting only the files that hold removed rows
-(``sources.store.Store.delete_rows``).
+with aggregates); ``delete_tracks_in_store`` deletes in a store, which keeps
+the removed keys next to the rows (``sources.store.Store.delete_rows``).
 """
 
 from __future__ import annotations
@@ -95,30 +94,19 @@ def delete_cascade(
     return res
 
 
-def apply_to_store(store, result: dict[str, DataFrame]) -> DataFrame:
-    """Write every changed table of a delete result as its next version
-    (whole-table copy-on-write) and return the counts."""
-    # a handful of rows (one per table), taken before the tables are switched
-    counts_rows = result["counts"].collect()
-    for name, df in result.items():
-        if name != "counts":
-            store.write(name, df)
-    return store.spark.createDataFrame(counts_rows, "table string, removed long")
-
-
 def delete_tracks_in_store(store, track_ids: DataFrame | Sequence[int]) -> DataFrame:
-    """D1/D2/D4 on a versioned store with file-level copy-on-write: slices,
-    long bins (when present) and signatures of the tracks, then the tracks.
-    Returns (table, removed) rows plus a ``total`` row."""
+    """D1/D2/D4 on a store: slices, long bins (when present) and signatures
+    of the tracks, then the tracks.  Returns (table, removed) rows plus a
+    ``total`` row."""
     spark = store.spark
     tids = _ids_frame(spark, track_ids, "TrackId").distinct()
     rows = []
     if store.has("bins_long"):
         gone = store.read("slices").join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
-        rows.append(("bins_long", store.delete_rows("bins_long", gone, ["SubFingerprintId"])))
-    rows.append(("slices", store.delete_rows("slices", tids, ["TrackId"])))
+        rows.append(("bins_long", store.delete_rows("bins_long", gone, "SubFingerprintId")))
+    rows.append(("slices", store.delete_rows("slices", tids, "TrackId")))
     if store.has("signatures"):
-        rows.append(("signatures", store.delete_rows("signatures", tids, ["TrackId"])))
-    rows.append(("tracks", store.delete_rows("tracks", tids.withColumnRenamed("TrackId", "Id"), ["Id"])))
+        rows.append(("signatures", store.delete_rows("signatures", tids, "TrackId")))
+    rows.append(("tracks", store.delete_rows("tracks", tids.withColumnRenamed("TrackId", "Id"), "Id")))
     rows.append(("total", sum(n for _, n in rows)))
     return spark.createDataFrame(rows, "table string, removed long")

@@ -180,5 +180,5 @@ def evolve_schema(
         if has(name):
             own = next(c for c in out.columns if c.lower() == name.lower())
             out = out.withColumn(own, F.col(own).cast(typ))
-    # a CASE without ELSE is nullable; the optimizer removes it
-    return out.select(*[F.when(F.lit(True), F.col(c)).alias(c) for c in out.columns])
+    # a CASE with a NULL branch is nullable; the optimizer removes it
+    return out.select(*[F.when(F.lit(False), F.lit(None)).otherwise(F.col(c)).alias(c) for c in out.columns])

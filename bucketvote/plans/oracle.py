@@ -130,6 +130,7 @@ from doc_slices d join documents m on d.Id = m.doc_id""",
        lower(hex(unhex(md5(concat(c_name, '#2'))))) as Signature_hex, cast(c_custkey as int) as TrackId
 from customer""",
     "append_bins_routed": _with(BINS_LONG) + "select * from bins_long",
+    "append_bins_twice": _with(BINS_LONG) + "select * from bins_long",
     "track_by_id": _with(TRACKS) + f"select * from tracks where Id = {RG.LOOKUP_TRACK}",
     "tracks_by_ids": _with(TRACKS)
     + "select p.p_partkey as ordinal, cast(p.p_partkey as int) as RequestedId, t.* from part p left join tracks t on t.Id = cast(p.p_partkey as int)",
@@ -248,6 +249,13 @@ from tracks t join customer c on t.Id = cast(c.c_custkey as int)
 left join nation n on cast(c.c_nationkey as int) = n.n_nationkey""",
     "evolve_schema": _with(TRACKS)
     + "select Id, ISRC as Isrc, Artist, Title, Album, cast(ReleaseYear as bigint) as ReleaseYear, cast(null as varchar) as GroupId from tracks",
+    "evolve_schema_twice": _with(TRACKS)
+    + "select Id, ISRC as Isrc, Artist, Title, Album, cast(ReleaseYear as bigint) as ReleaseYear, cast(null as varchar) as GroupId from tracks",
+    "backfill_repeated_key": """select c_custkey as Id, p.o_orderpriority as Priority, p.o_orderstatus as Status
+from customer left join (
+  select o_custkey, o_orderpriority, o_orderstatus from orders
+  qualify row_number() over (partition by o_custkey order by o_orderpriority, o_orderstatus) = 1
+) p on c_custkey = o_custkey""",
     "delete_track": _with(TRACKS, SLICES, SIGNATURES)
     + f"""select 'tracks' as "table", count(*) as removed from tracks where Id = {RG.TRACK}
 union all select 'slices', count(*) from slices where TrackId = {RG.TRACK}
@@ -283,6 +291,17 @@ where TrackId is not null and TrackId not in (select cast(c_custkey as int) from
     + """select *, concat('not null ', concat_ws(',', case when ISRC is null then 'ISRC' end, case when Artist is null then 'Artist' end,
        case when Title is null then 'Title' end)) as rule
 from tracks where ISRC is null or Artist is null or Title is null""",
+    "check_unique_bins": _with(BINS_LONG)
+    + """select HashTable, HashBin, SubFingerprintId, count(*) as n, 'unique HashTable,HashBin,SubFingerprintId' as rule
+from bins_long group by 1, 2, 3 having count(*) > 1""",
+    "check_unique_ids": _with(SLICES) + "select Id, count(*) as n, 'unique Id' as rule from slices group by Id having count(*) > 1",
+    "check_required_bins": _with(SLICES)
+    + f"select Id, 'not null' as rule from slices where {' or '.join(c + ' is null' for c in ['TrackId', 'SequenceNumber', 'SequenceAt', *BIN_COLS])}",
+    "check_lengths_tracks": _with(TRACKS)
+    + f"""select Id, concat('too long ', concat_ws(',', case when length(ISRC) > {RG.LENGTH_LIMITS['tracks']['ISRC']} then 'ISRC' end,
+       case when length(Artist) > 255 then 'Artist' end, case when length(Title) > 255 then 'Title' end,
+       case when length(Album) > {RG.ALBUM_LIMIT} then 'Album' end)) as rule
+from tracks where length(ISRC) > 50 or length(Artist) > 255 or length(Title) > 255 or length(Album) > {RG.ALBUM_LIMIT}""",
     "check_lengths": "select doc_id, length(text) as n_chars, 'too long text' as rule from documents where length(text) > 255",
     "fit_lengths": "select doc_id, substr(text, 1, 255) as text from documents",
     "check_isrc_not_empty": _with(TRACKS) + "select *, 'ISRC not empty' as rule from tracks where ISRC = ''",

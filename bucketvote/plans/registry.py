@@ -23,7 +23,7 @@ from ..operators import identify as ID
 from ..operators import lookup as L
 from ..operators import quality as Q
 from ..operators import reshape as S
-from ..schema import BIN_COLS, SLICE_COLS
+from ..schema import BIN_COLS, LENGTH_LIMITS, REQUIRED, SLICE_COLS
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources.store import testdata_store
@@ -40,6 +40,7 @@ POSTING_POSITION, POSTING_BIN = 3, 2
 GROUP = "HOUSEHOLD"
 CLUSTER_LABELS = ["1-urgent"]
 EVENT_TYPES = ["Click", "View", "Purchase", "Error", "Signup"]
+ALBUM_LIMIT = 7  # below the stored limit, so that some names break it
 LINE_NAMES = {0: "None", 1: "First", 2: "Second", 3: "Third", 4: "Fourth", 5: "Fifth"}
 
 
@@ -108,6 +109,13 @@ def append_bins_routed(spark, d):
     return C.append_bins_routed(_st(spark, d).get("bins_long"), scratch_path(spark, "routed"))
 
 
+def append_bins_twice(spark, d):
+    """The rows of even slices, then those of odd ones, to the same folders."""
+    rows, path = _st(spark, d).get("bins_long"), scratch_path(spark, "routed")
+    C.append_bins_routed(rows.filter(F.col("SubFingerprintId") % 2 == 0), path)
+    return C.append_bins_routed(rows.filter(F.col("SubFingerprintId") % 2 != 0), path)
+
+
 # ---- keyed lookups ----------------------------------------------------------
 def track_by_id(spark, d):
     return C.track_by_id(_st(spark, d).get("tracks"), LOOKUP_TRACK)
@@ -319,14 +327,27 @@ def denormalise_albums(spark, d):
     return S.denormalise_albums(st.get("tracks_album"), st.get("albums"))
 
 
+_CHANGES = dict(
+    add={"GroupId": "string", "ISRC": "string"},
+    drop=["Length", "NoSuchColumn"],
+    rename={"ISRC": "Isrc"},
+    cast={"ReleaseYear": "bigint"},
+)
+
+
+def evolve_schema_twice(spark, d):
+    return S.evolve_schema(S.evolve_schema(_st(spark, d).get("tracks"), **_CHANGES), **_CHANGES)
+
+
+def backfill_repeated_key(spark, d):
+    """Each customer's least order priority and status, from all its orders."""
+    customers = B.table(spark, d, "customer").select(F.col("c_custkey").alias("Id"))
+    orders = B.table(spark, d, "orders")
+    return S.backfill_by_join(customers, orders, "Id", "o_custkey", {"Priority": "o_orderpriority", "Status": "o_orderstatus"})
+
+
 def evolve_schema(spark, d):
-    return S.evolve_schema(
-        _st(spark, d).get("tracks"),
-        add={"GroupId": "string", "ISRC": "string"},
-        drop=["Length", "NoSuchColumn"],
-        rename={"ISRC": "Isrc"},
-        cast={"ReleaseYear": "bigint"},
-    )
+    return S.evolve_schema(_st(spark, d).get("tracks"), **_CHANGES)
 
 
 # ---- deletes -----------------------------------------------------------------------
@@ -393,6 +414,22 @@ def fit_lengths(spark, d):
     return Q.fit_lengths(docs, {"text": 255})
 
 
+def check_unique_bins(spark, d):
+    return Q.check_unique(_st(spark, d).get("bins_long"), ["HashTable", "HashBin", "SubFingerprintId"])
+
+
+def check_unique_ids(spark, d):
+    return Q.check_unique(_st(spark, d).get("slices"), ["Id"])
+
+
+def check_required_bins(spark, d):
+    return Q.check_required(_st(spark, d).get("slices"), REQUIRED["slices"]).select("Id", "rule")
+
+
+def check_lengths_tracks(spark, d):
+    return Q.check_lengths(_st(spark, d).get("tracks"), {**LENGTH_LIMITS["tracks"], "Album": ALBUM_LIMIT}).select("Id", "rule")
+
+
 def check_isrc_not_empty(spark, d):
     return Q.check_isrc_not_empty(_st(spark, d).get("tracks"))
 
@@ -445,6 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_hashes": insert_hashes,
     "insert_signatures": insert_signatures,
     "append_bins_routed": append_bins_routed,
+    "append_bins_twice": append_bins_twice,
     "track_by_id": track_by_id,
     "tracks_by_ids": tracks_by_ids,
     "tracks_by_ids_repeated": tracks_by_ids_repeated,
@@ -487,6 +525,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebase_bins": rebase_bins,
     "denormalise_albums": denormalise_albums,
     "evolve_schema": evolve_schema,
+    "evolve_schema_twice": evolve_schema_twice,
+    "backfill_repeated_key": backfill_repeated_key,
     "delete_track": delete_track,
     "delete_tracks": delete_tracks,
     "delete_tracks_remaining": delete_tracks_remaining,
@@ -498,6 +538,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_required": check_required,
     "check_lengths": check_lengths,
     "fit_lengths": fit_lengths,
+    "check_unique_bins": check_unique_bins,
+    "check_unique_ids": check_unique_ids,
+    "check_required_bins": check_required_bins,
+    "check_lengths_tracks": check_lengths_tracks,
     "check_isrc_not_empty": check_isrc_not_empty,
     "flatten_record": flatten_record,
     "nest_record": nest_record,

@@ -1,8 +1,8 @@
-"""A service object over a versioned store: the calls a user of the store
-makes, each a DataFrame job over the store's tables.
+"""A service object over a store: the calls a user of the store makes, each a
+DataFrame job over the store's tables.
 
-Writes (insert, delete) create new table versions (``sources.store``);
-reads return lazy DataFrames.  Bulk forms take DataFrames; the single-row
+Writes (insert, delete) append to the store (``sources.store``) after their
+rows have met the table's constraints; reads return lazy DataFrames.  Bulk forms take DataFrames; the single-row
 forms exist for parity with one-call-per-item clients and return the one
 generated id.
 """
@@ -18,8 +18,10 @@ from .operators import batch as BT
 from .operators import catalog as C
 from .operators import deletes as D
 from .operators import lookup as L
+from .operators.constraints import enforce
+from .operators.reshape import bins_to_long
 from .plans.strategy import DEFAULT_PLAN, VoteJoinPlan
-from .schema import SIGNATURES, SLICES, TRACK_FIELDS, TRACKS
+from .schema import BINS_LONG, SIGNATURES, SLICES, TRACK_FIELDS, TRACKS
 from .sources.store import Store
 
 # Fixed value: the threshold used when the caller gives none (two of the
@@ -27,72 +29,81 @@ from .sources.store import Store
 DEFAULT_THRESHOLD = 4
 
 
-class ModelService:
+class VoteStore:
     def __init__(self, spark: SparkSession, root: str | None = None, plan: VoteJoinPlan = DEFAULT_PLAN):
         self.spark = spark
         self.store = Store(spark, root)
         self.plan = plan
-        for name, schema in (("tracks", TRACKS), ("slices", SLICES), ("signatures", SIGNATURES)):
+        by_track = {"sort_within": ["TrackId", "SequenceNumber"]}
+        by_bin = {"partition_by": ["HashTable"], "sort_within": ["HashBin"]}
+        for name, schema, layout in (("tracks", TRACKS, {}), ("slices", SLICES, by_track), ("signatures", SIGNATURES, {}), ("bins_long", BINS_LONG, by_bin)):
             if not self.store.has(name):
-                self.store.write(name, spark.createDataFrame([], schema))
+                self.store.write(name, spark.createDataFrame([], schema), **layout)
 
     # ---- tracks -------------------------------------------------------------
-    def insert_tracks(self, tracks: DataFrame, order: Sequence[str]) -> DataFrame:
-        """Bulk insert; returns the inserted rows with their new Ids."""
-        new = C.insert_tracks(self.store.read("tracks"), tracks, order)
+    def add_tracks(self, tracks: DataFrame, order: Sequence[str]) -> DataFrame:
+        """Bulk insert; returns the inserted rows with their new Ids.  Rows
+        that break a constraint raise and nothing is written."""
+        new = enforce("tracks", C.insert_tracks(self.store.next_id_base("tracks"), tracks, order).checkpoint())
         self.store.append("tracks", new)
         return new
 
-    def insert_track(self, isrc, artist, title, album, release_year, length) -> int:
-        row = self.spark.createDataFrame(
-            [(0, isrc, artist, title, album, release_year, float(length) if length is not None else None)],
-            "_k int, ISRC string, Artist string, Title string, Album string, ReleaseYear int, Length double",
-        )
-        # one row: the id is max(Id) + 1, read as a scalar subquery
-        top = self.store.read("tracks").select(F.max("Id").alias("m")).scalar()
-        new = row.select((F.coalesce(top, F.lit(0)) + 1).cast("int").alias("Id"), *TRACK_FIELDS)
-        self.store.append("tracks", new)
-        return int(self.store.read("tracks").agg(F.max("Id")).first()[0])
+    def add_track(self, isrc, artist, title, album, release_year, length) -> int:
+        """One track; returns its Id.  One writer at a time should insert
+        tracks: two at once would draw the same Ids."""
+        track_id = (self.store.next_id_base("tracks").first()["Id"] or 0) + 1
+        row = self.spark.createDataFrame([(track_id, isrc, artist, title, album, release_year, None if length is None else float(length))], TRACKS)
+        self.store.append("tracks", enforce("tracks", row))
+        return track_id
 
-    def read_tracks(self) -> DataFrame:
+    def tracks(self) -> DataFrame:
         return C.read_tracks(self.store.read("tracks"))
 
-    def read_track_by_id(self, track_id: int) -> DataFrame:
+    def track(self, track_id: int) -> DataFrame:
         return C.track_by_id(self.store.read("tracks"), track_id)
 
-    def read_tracks_by_ids(self, ids: DataFrame) -> DataFrame:
+    def tracks_for(self, ids: DataFrame) -> DataFrame:
         return C.tracks_by_ids(self.store.read("tracks"), ids)
 
-    def read_track_by_isrc(self, isrc: str) -> DataFrame:
+    def tracks_with_isrc(self, isrc: str) -> DataFrame:
         return C.track_by_isrc(self.store.read("tracks"), isrc)
 
-    def read_track_by_artist_and_title(self, artist: str, title: str) -> DataFrame:
+    def tracks_titled(self, artist: str, title: str) -> DataFrame:
         return C.tracks_by_artist_title(self.store.read("tracks"), artist, title)
 
-    def delete_track(self, track_id: int) -> int:
-        """Removes the track, its slices and its signatures; returns the
-        number of rows removed (1 + slices + signatures)."""
+    def remove_track(self, track_id: int) -> int:
+        """Removes the track, its slices (with their inverted rows) and its
+        signatures; returns the number of rows removed (1 + slices +
+        signatures)."""
         counts = {r["table"]: r["removed"] for r in D.delete_tracks_in_store(self.store, [track_id]).collect()}
-        return int(counts["total"])
+        return int(counts["total"] - counts["bins_long"])
 
     # ---- slices ---------------------------------------------------------------
-    def insert_hashes_for_track(self, hashed: DataFrame, track_id: int, order: Sequence[str] = ("SequenceNumber",)) -> DataFrame:
+    def add_slices(self, hashed: DataFrame, track_id: int, order: Sequence[str] = ("SequenceNumber",)) -> DataFrame:
         """``hashed``: (bins array<int>, SequenceNumber, SequenceAt, clusters array<string>).
-        The new slices are written clustered by (TrackId, SequenceNumber)."""
-        new = C.insert_hashes(self.store.read("slices"), hashed, list(order), track_id=track_id)
-        self.store.append("slices", new, sort_within=["TrackId", "SequenceNumber"])
+        The new slices are written clustered by (TrackId, SequenceNumber), and
+        their bins to the inverted layout.  Slices of an unknown track or with
+        a NULL bin raise and nothing is written."""
+        new = C.insert_hashes(self.store.next_id_base("slices"), hashed, list(order), track_id=track_id).checkpoint()
+        self.store.append("slices", enforce("slices", new, self.store.read("tracks")))
+        self.store.append("bins_long", bins_to_long(new))
         return new
 
-    def read_hashes_by_track(self, track_id: int) -> DataFrame:
+    def slices_of(self, track_id: int) -> DataFrame:
         return C.hashes_by_track(self.store.read("slices"), track_id)
 
-    def read_subfingerprints(self, bins: Sequence[int], threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
+    def candidates(self, bins: Sequence[int], threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
         """Candidates of one query vector: (Id, TrackId, SequenceNumber,
         SequenceAt as float, bins) — no labels, as the store returns them."""
-        hits = L.vote_lookup(self.store.read("slices"), bins, threshold, clusters=list(clusters))
-        return self._candidates(hits)
-
-    def read_subfingerprints_batch(self, queries: DataFrame, threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
+        if threshold and threshold > 0:
+            # posting lists of the inverted layout, then the slices they name
+            ids = L.vote_lookup_inverted(self.store.read("bins_long"), bins, threshold).select("Id")
+            rows = self.store.read("slices").join(ids, "Id", "left_semi")
+            wanted = L.cluster_predicate(list(clusters), "text")
+            return self._candidates(rows if wanted is None else rows.filter(wanted))
+        return self._candidates(L.vote_lookup(self.store.read("slices"), bins, threshold, clusters=list(clusters)))
+
+    def candidates_of_all(self, queries: DataFrame, threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
         """Distinct candidates of many query vectors (qid + 25 bins)."""
         hits = BT.vote_lookup_batch(self.store.read("slices"), queries, threshold, clusters=list(clusters), plan=self.plan)
         return self._candidates(hits)
@@ -113,13 +124,13 @@ class ModelService:
         return identify_tracks(self.store.read("slices"), queries, threshold, set_id=set_id, plan=self.plan)
 
     # ---- signatures ------------------------------------------------------------
-    def insert_signatures(self, signatures: DataFrame, order: Sequence[str]) -> DataFrame:
-        new = C.insert_signatures(self.store.read("signatures"), signatures, order)
-        self.store.append("signatures", new)
+    def add_signatures(self, signatures: DataFrame, order: Sequence[str]) -> DataFrame:
+        new = C.insert_signatures(self.store.next_id_base("signatures"), signatures, order).checkpoint()
+        self.store.append("signatures", enforce("signatures", new, self.store.read("tracks")))
         return new
 
-    def read_signatures_by_track(self, track_id: int) -> DataFrame:
+    def signatures_of(self, track_id: int) -> DataFrame:
         return C.signatures_by_track(self.store.read("signatures"), track_id)
 
 
-__all__ = ["ModelService", "DEFAULT_THRESHOLD", "TRACK_FIELDS"]
+__all__ = ["VoteStore", "DEFAULT_THRESHOLD", "TRACK_FIELDS"]

@@ -1,156 +1,148 @@
-"""A versioned parquet store of named tables.
-
-Parquet files are never changed in place.  A table version is a list of
-folders: a full write (or a copy-on-write delete) puts the rows in one new
-folder ``<root>/<table>/v<n>-<id>``; an append puts only the new rows in a new
-folder and lists it after the folders of the previous version.  Each change
-appends one line (table, version, folders) to the manifest table
-``<root>/_manifest`` — written by Spark, so it works on any shared file
-system.  Readers resolve the newest version per table, so a path being read
-is never overwritten, and a failed write leaves the previous version
-current.
+"""A folder of named parquet tables, written with plain Spark writes.
+
+A table is a set of batches: every write or append puts its rows in a fresh
+folder ``<table>/rows/batch=<id>``, and a read takes all batches.  No file is
+ever changed and no list of files is kept, so appends of any number of
+writers add up, a failed write leaves at most an unfinished folder that
+readers skip, and paths may hold any character.
+
+A delete appends the removed keys under ``<table>/removed``; a read leaves
+out the rows whose key is there.  Rows keep their files, and so their order
+and their folders; ``copy_to`` writes the rows that are left to a new place.
+Ids are numbered after the largest ever written (``next_id_base``), deleted
+ones included, so none is used twice.
+
+The layout of a table (schema, folders, sort order) is written once, with its
+first batch, and every append follows it.  Only a missing path counts as a
+missing table; anything else that cannot be read raises.
 """
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-_MANIFEST_SCHEMA = "table string, version long, paths array<string>, partition_by array<string>"
+# Columns that deletes may name, as removed keys are stored by column.
+KEY_COLUMNS = ("Id", "TrackId", "SubFingerprintId")
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
-        self._versions: dict[str, tuple[int, list[str]]] = {}
-        self._partitioned: dict[str, list[str]] = {}
-        self._loaded = False
-
-    # ---- manifest -------------------------------------------------------
-    def _manifest_path(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def _load_manifest(self) -> None:
-        if self._loaded:
-            return
-        self._loaded = True
+
+    # ---- layout ---------------------------------------------------------
+    def _read_if_there(self, read) -> DataFrame | None:
         try:
-            m = self.spark.read.schema(_MANIFEST_SCHEMA).json(self._manifest_path())
-            # one row per table: bounded by the number of tables
-            rows = m.groupBy("table").agg(
-                F.max_by(F.struct("version", "paths", "partition_by"), "version").alias("v")
-            ).collect()
-        except Exception:  # no manifest yet
-            rows = []
-        for r in rows:
-            self._versions[r["table"]] = (int(r["v"]["version"]), list(r["v"]["paths"]))
-            self._partitioned[r["table"]] = list(r["v"]["partition_by"] or [])
-
-    def _commit(self, name: str, version: int, paths: list[str], partition_by: list[str] | None = None) -> None:
-        part = list(partition_by or [])
-        self.spark.createDataFrame([(name, version, paths, part)], _MANIFEST_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).json(self._manifest_path())
-        self._versions[name] = (version, paths)
-        self._partitioned[name] = part
-
-    def tables(self) -> list[str]:
-        self._load_manifest()
-        return sorted(self._versions)
-
-    def version(self, name: str) -> int:
-        self._load_manifest()
-        return self._versions.get(name, (0, None))[0]
+            return read()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def layout(self, name: str) -> dict | None:
+        """Schema, partition_by and sort_within of a table; None if there is
+        no such table."""
+        rows = self._read_if_there(lambda: self.spark.read.text(f"{self.root}/{name}/layout"))
+        if rows is None:
+            return None
+        found = [r["value"] for r in rows.collect()]  # the same line for each creator
+        if not found:
+            raise ValueError(f"the layout of table {name!r} in {self.root} is empty")
+        return json.loads(found[0])
 
     def has(self, name: str) -> bool:
-        self._load_manifest()
-        return name in self._versions
+        return self.layout(name) is not None
 
-    # ---- read / write ---------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        self._load_manifest()
-        if name not in self._versions:
+    def _layout(self, name: str) -> dict:
+        found = self.layout(name)
+        if found is None:
             raise KeyError(f"no table {name!r} in store {self.root}")
-        return self.spark.read.parquet(*self._versions[name][1])
-
-    def _write_folder(self, name: str, v: int, df: DataFrame, partition_by, sort_within) -> str:
-        # a fresh folder per attempt: a job that died mid-write leaves an
-        # unreferenced folder and the retry writes a new one; only the
-        # manifest line makes a folder part of the table
-        path = f"{self.root}/{name}/v{v}-{uuid.uuid4().hex[:12]}"
-        out = df
-        if sort_within:
+        return found
+
+    # ---- read -----------------------------------------------------------
+    def read_all(self, name: str, without_batch: str | None = None) -> DataFrame:
+        """All rows ever written, removed ones included."""
+        schema = T.StructType.fromJson(self._layout(name)["schema"])
+        path = f"{self.root}/{name}/rows"
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.StringType())])).parquet(path)
+        if without_batch is not None:
+            rows = rows.filter(F.col("batch") != without_batch)
+        return rows.select(*schema.names)
+
+    def read(self, name: str) -> DataFrame:
+        rows = self.read_all(name)
+        gone = self._read_if_there(lambda: self.spark.read.schema("value long, on string, batch string").parquet(f"{self.root}/{name}/removed"))
+        if gone is not None:
+            for c in KEY_COLUMNS:
+                if c in rows.columns:
+                    keys = gone.filter(F.col("on") == c).select(F.col("value").alias("_bv_gone"))
+                    rows = rows.join(keys, rows[c].cast("long") == keys["_bv_gone"], "left_anti")
+        return rows
+
+    def next_id_base(self, name: str, without_batch: str | None = None) -> DataFrame:
+        """One row: the largest Id ever written (NULL if none)."""
+        return self.read_all(name, without_batch).select(F.max("Id").alias("Id"))
+
+    # ---- write ----------------------------------------------------------
+    def _write_batch(self, name: str, df: DataFrame, layout: dict, batch: str | None) -> None:
+        by, sort = layout["partition_by"], layout["sort_within"]
+        out = df.select(*T.StructType.fromJson(layout["schema"]).names)
+        if sort:
             # range partitioning on (folders, sort keys): balanced tasks, each
             # writing a few folders, never one task per folder value
-            keys = [*(partition_by or []), *sort_within]
-            out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        w = out.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path
-
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
-              sort_within: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as the next version of ``name`` (one folder) and make it
-        current."""
-        self._load_manifest()
-        v = self.version(name) + 1
-        self._commit(name, v, [self._write_folder(name, v, df, partition_by, sort_within)], partition_by)
+            out = out.repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
+        # a named batch that is written again replaces itself
+        w = out.write.mode("overwrite" if batch else "errorifexists")
+        w = w.partitionBy(*by) if by else w
+        w.parquet(f"{self.root}/{name}/rows/batch={batch or uuid.uuid4().hex}")
+
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
+        """Create the table ``name`` with the rows of ``df``; raises if the
+        table is there."""
+        if self.has(name):
+            raise ValueError(f"table {name!r} is already in store {self.root}")
+        layout = {"schema": df.schema.jsonValue(), "partition_by": list(partition_by or []), "sort_within": list(sort_within or [])}
+        self._write_batch(name, df, layout, None)
+        self.spark.createDataFrame([(json.dumps(layout, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/{name}/layout")
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
-               sort_within: list[str] | None = None) -> DataFrame:
-        """Append rows: only the new rows are written (with the table's
-        layout options); the new version lists the previous version's
-        folders plus the new one."""
-        if not self.has(name):
-            return self.write(name, df, partition_by, sort_within)
-        old_cols = self.read(name).columns
-        v = self.version(name) + 1
-        path = self._write_folder(name, v, df.select(*old_cols), partition_by, sort_within)
-        self._commit(name, v, [*self._versions[name][1], path], partition_by)
+    def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
+        """Add rows, in the layout of the table; only they are written.  With
+        ``batch``, a repeated append of this name replaces the first."""
+        self._write_batch(name, df, self._layout(name), batch)
         return self.read(name)
 
-    def delete_rows(self, name: str, keys: DataFrame, on: list[str]) -> int:
-        """Remove the rows whose ``on`` columns match a row of ``keys``;
-        returns the number removed.
-
-        File-level copy-on-write: only the files holding a removed row are
-        rewritten (their surviving rows go to one new folder); every other
-        file is kept by reference in the new version.  With tables clustered
-        on the key (slices by TrackId) a delete touches few files.  A table
-        written with ``partition_by`` is rewritten whole (its folder names
-        carry a column)."""
-        cur = self.read(name)
-        k = keys.select(*on).distinct()
-        part = self._partitioned.get(name) or []
-        removed = cur.join(k, on, "left_semi").count()
-        if removed == 0:
-            return 0
-        v = self.version(name) + 1
-        if part:
-            path = self._write_folder(name, v, cur.join(k, on, "left_anti"), part, None)
-            self._commit(name, v, [path], part)
-            return removed
-        # file names are table metadata: bounded by the table's file count
-        # the file name is taken at the scan (it is lost after a shuffle)
-        tagged = cur.select(*on, F.input_file_name().alias("_bv_file"))
-        touched = {r[0] for r in tagged.join(k, on, "left_semi").select("_bv_file").distinct().collect()}
-        kept = [f for f in cur.inputFiles() if f not in touched]
-        survivors = self.spark.read.parquet(*sorted(touched)).join(k, on, "left_anti")
-        path = self._write_folder(name, v, survivors, None, None)
-        self._commit(name, v, [*kept, path])
+    def delete_rows(self, name: str, keys: DataFrame, on: str) -> int:
+        """Remove the rows whose column ``on`` is among those of ``keys``;
+        returns their number."""
+        if on not in KEY_COLUMNS:
+            raise ValueError(f"rows are deleted by one of {KEY_COLUMNS}")
+        own = keys.select(F.col(on).cast("long").alias("value")).distinct()
+        removed = self.read(name).join(own, F.col(on).cast("long") == F.col("value"), "left_semi").count()
+        if removed:
+            own.withColumn("on", F.lit(on)).write.mode("errorifexists").partitionBy("on").parquet(f"{self.root}/{name}/removed/batch={uuid.uuid4().hex}")
         return removed
 
+    def copy_to(self, root: str, names: list[str]) -> Store:
+        """A new store at ``root`` with the rows that are left, one batch to a
+        table; for stores of many small batches or many removed rows."""
+        other = Store(self.spark, root)
+        for name in names:
+            layout = self._layout(name)
+            other.write(name, self.read(name), layout["partition_by"], layout["sort_within"])
+        return other
+
 
-_CACHE: dict[tuple[int, str], "TestdataStore"] = {}
+_CACHE: dict[tuple[int, str], TestdataStore] = {}
 _LOCK = threading.Lock()
 
 
@@ -158,18 +150,20 @@ class TestdataStore(Store):
     """A store whose tables are built from the driver's parquet tables on
     first use (one Spark job per table), then read back as parquet."""
 
+    __test__ = False
+
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         super().__init__(spark, root)
         self.sf_dir = sf_dir.rstrip("/")
-        self._loaded = True  # fresh store: nothing to load
+        self._built: set[str] = set()
 
     def get(self, name: str) -> DataFrame:
-        if not self.has(name):
+        if name not in self._built:
             from . import tables
 
-            build = tables.BUILDERS[name]
-            df, layout = build(self.spark, self.sf_dir)
+            df, layout = tables.BUILDERS[name](self.spark, self.sf_dir)
             self.write(name, df, **layout)
+            self._built.add(name)
         return self.read(name)
 
 

@@ -12,6 +12,8 @@ overwrites its own folder instead of appending twice.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,12 +58,14 @@ def stream_insert_hashes(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append hashed slices arriving on a stream to the store's ``slices``
-    table, one new table version per micro-batch (ids after the current
-    ``max(Id)``; only the batch's rows are written)."""
+    table: one batch of the table per micro-batch, named after the stream's
+    checkpoint and the batch id, so a replayed micro-batch replaces its rows
+    (with the same Ids: they follow the largest Id of all other batches)."""
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        new = insert_hashes(store.read("slices"), batch, order)
-        store.append("slices", new)
+        name = f"stream-{stream}-{batch_id}"
+        store.append("slices", insert_hashes(store.next_id_base("slices", name), batch, order), batch=name)
 
     w = hashed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))

@@ -14,7 +14,7 @@ from bucketvote.operators import lookup as L
 from bucketvote.plans.strategy import VoteJoinPlan
 from bucketvote.schema import BIN_COLS
 
-from .fixtures import FIRST, GENERIC, QUERY, SECOND, ids, queries_df, slices_df, tracks_df
+from .fixtures import PLAIN, PROBE, SIX, THREE, ids, queries_df, slices_df, tracks_df
 
 
 @pytest.fixture(scope="module")
@@ -22,20 +22,20 @@ def two(spark):
     return slices_df(
         spark,
         [
-            (1, 1, 0, 0.0, FIRST, "first-group-id"),
-            (2, 2, 0, 0.0, SECOND, "second-group-id"),
+            (1, 1, 0, 0.0, SIX, "north-set"),
+            (2, 2, 0, 0.0, THREE, "south-set"),
         ],
     )
 
 
-@pytest.mark.parametrize("t,expected", [(-1, [1, 2]), (0, [1, 2]), (1, [1, 2]), (4, [1, 2]), (5, [1]), (6, []), (25, []), (None, [])])
+@pytest.mark.parametrize("t,expected", [(-1, [1, 2]), (0, [1, 2]), (1, [1, 2]), (3, [1, 2]), (4, [1]), (6, [1]), (7, []), (25, []), (None, [])])
 def test_threshold_case(two, t, expected):
-    assert ids(L.vote_lookup(two, QUERY, t)) == expected
+    assert ids(L.vote_lookup(two, PROBE, t)) == expected
 
 
 def test_votes_by_position(two):
-    got = {r["Id"]: r["votes"] for r in L.vote_lookup_votes(two, QUERY, 1).collect()}
-    assert got == {1: 5, 2: 4}
+    got = {r["Id"]: r["votes"] for r in L.vote_lookup_votes(two, PROBE, 1).collect()}
+    assert got == {1: 6, 2: 3}
 
 
 def test_positional_not_set_membership(spark):
@@ -48,26 +48,26 @@ def test_positional_not_set_membership(spark):
 
 def test_wrong_length_raises(two):
     with pytest.raises(ValueError):
-        L.vote_lookup(two, QUERY[:24], 1)
+        L.vote_lookup(two, PROBE[:24], 1)
 
 
 @pytest.mark.parametrize(
     "labels,expected",
-    [(["first-group-id"], [1]), ([], [1, 2]), (None, [1, 2]), (["group-id"], [1, 2]), (["first-group-id", "x"], [])],
+    [(["north-set"], [1]), ([], [1, 2]), (None, [1, 2]), (["-set"], [1, 2]), (["north-set", "x"], [])],
 )
 def test_cluster_case(spark, labels, expected):
-    s = slices_df(spark, [(1, 1, 0, 0.0, GENERIC, "first-group-id"), (2, 2, 0, 0.0, GENERIC, "second-group-id")])
-    assert ids(L.vote_lookup(s, QUERY, 4, clusters=labels)) == expected
+    s = slices_df(spark, [(1, 1, 0, 0.0, SIX, "north-set"), (2, 2, 0, 0.0, SIX, "south-set")])
+    assert ids(L.vote_lookup(s, PROBE, 4, clusters=labels)) == expected
 
 
 def test_cluster_text_rules(spark):
     s = slices_df(
         spark,
-        [(1, 1, 0, 0.0, GENERIC, "a,b"), (2, 1, 1, 0.0, GENERIC, "b,a"), (3, 1, 2, 0.0, GENERIC, None), (4, 1, 3, 0.0, GENERIC, "")],
+        [(1, 1, 0, 0.0, PLAIN, "a,b"), (2, 1, 1, 0.0, PLAIN, "b,a"), (3, 1, 2, 0.0, PLAIN, None), (4, 1, 3, 0.0, PLAIN, "")],
     )
-    assert ids(L.vote_lookup(s, GENERIC, 25, clusters=["a", "b"])) == [1]
-    assert ids(L.vote_lookup(s, GENERIC, 25, clusters=["a", "b"], mode="any")) == [1, 2]
-    assert ids(L.vote_lookup(s, GENERIC, 25, clusters=["%"])) == [1, 2, 4]
+    assert ids(L.vote_lookup(s, PLAIN, 25, clusters=["a", "b"])) == [1]
+    assert ids(L.vote_lookup(s, PLAIN, 25, clusters=["a", "b"], mode="any")) == [1, 2]
+    assert ids(L.vote_lookup(s, PLAIN, 25, clusters=["%"])) == [1, 2, 4]
 
 
 def test_cluster_case_full_threshold(spark):
@@ -86,9 +86,9 @@ def test_clusters_round_trip(spark):
 
 
 def test_insert_unique_ids_and_empty_strings(spark):
-    tracks = tracks_df(spark, [(1, "isrc", "artist", "title", "album", 1986, 200.0)])
+    tracks = tracks_df(spark, [(1, "code", "singer", "song", "record", 1999, 181.0)])
     new = spark.createDataFrame(
-        [(i, "isrc" + str(i), "artist", "title", "album", 1986, 200.0) for i in range(100)] + [(100, "", "", "", "", 1986, 200.0)],
+        [(i, "code" + str(i), "singer", "song", "record", 1999, 181.0) for i in range(100)] + [(100, "", "", "", "", 1999, 181.0)],
         "k int, ISRC string, Artist string, Title string, Album string, ReleaseYear int, Length double",
     )
     out = C.insert_tracks(tracks, new, ["k"]).collect()
@@ -98,39 +98,39 @@ def test_insert_unique_ids_and_empty_strings(spark):
 
 
 def test_hundred_slices_round_trip(spark):
-    slices = slices_df(spark, [(1, 9, 0, 0.0, GENERIC, None)])
+    slices = slices_df(spark, [(1, 9, 0, 0.0, PLAIN, None)])
     hashed = spark.createDataFrame(
-        [(GENERIC, i, float(i * 0.928), []) for i in range(100)],
+        [(PLAIN, i, float(i * 0.75), []) for i in range(100)],
         "bins array<int>, SequenceNumber int, SequenceAt double, clusters array<string>",
     )
     ins = C.insert_hashes(slices, hashed, ["SequenceNumber"], track_id=7)
     back = sorted(C.hashes_by_track(ins, 7).collect(), key=lambda r: r["SequenceNumber"])
     assert len(back) == 100
     for i, r in enumerate(back):
-        assert r["bins"] == GENERIC and r["SequenceNumber"] == i
-        assert abs(r["StartsAt"] - i * 0.928) < 1e-4 and r["clusters"] == []
+        assert r["bins"] == PLAIN and r["SequenceNumber"] == i
+        assert abs(r["StartsAt"] - i * 0.75) < 1e-4 and r["clusters"] == []
 
 
 def test_insert_wrong_bin_count_raises(spark):
-    slices = slices_df(spark, [(1, 9, 0, 0.0, GENERIC, None)])
-    hashed = spark.createDataFrame([(GENERIC[:24], 0, 0.0, [])], "bins array<int>, SequenceNumber int, SequenceAt double, clusters array<string>")
+    slices = slices_df(spark, [(1, 9, 0, 0.0, PLAIN, None)])
+    hashed = spark.createDataFrame([(PLAIN[:24], 0, 0.0, [])], "bins array<int>, SequenceNumber int, SequenceAt double, clusters array<string>")
     with pytest.raises(Exception):
         C.insert_hashes(slices, hashed, ["SequenceNumber"], track_id=1).collect()
 
 
 def test_delete_case(spark):
-    tracks = tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0), (2, "j", "a", "t", "al", 1986, 200.0)])
-    slices = slices_df(spark, [(10 + i, 1, i, 0.0, GENERIC, None) for i in range(7)] + [(99, 2, 0, 0.0, SECOND, None)])
+    tracks = tracks_df(spark, [(1, "i", "a", "t", "rec", 1999, 181.0), (2, "j", "a", "t", "rec", 1999, 181.0)])
+    slices = slices_df(spark, [(10 + i, 1, i, 0.0, PLAIN, None) for i in range(7)] + [(99, 2, 0, 0.0, THREE, None)])
     res = D.delete_track(tracks, slices, 1)
     counts = {r["table"]: r["removed"] for r in res["counts"].collect()}
     assert counts["total"] == 1 + 7
     assert ids(res["tracks"]) == [2]
-    assert ids(L.vote_lookup(res["slices"], GENERIC, 25)) == []
+    assert ids(L.vote_lookup(res["slices"], PLAIN, 25)) == []
 
 
 def test_delete_cascades_signatures(spark):
-    tracks = tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0)])
-    slices = slices_df(spark, [(10, 1, 0, 0.0, GENERIC, None)])
+    tracks = tracks_df(spark, [(1, "i", "a", "t", "rec", 1999, 181.0)])
+    slices = slices_df(spark, [(10, 1, 0, 0.0, PLAIN, None)])
     sigs = spark.createDataFrame([(1, bytes(100), 1)], "Id int, Signature binary, TrackId int")
     res = D.delete_track(tracks, slices, 1, sigs)
     counts = {r["table"]: r["removed"] for r in res["counts"].collect()}
@@ -171,7 +171,7 @@ def test_similar_pairs_matches_brute_force(spark):
 
 
 def test_collations(spark):
-    tracks = tracks_df(spark, [(1, "AbC ", "Artist", "Title", "al", 1986, 200.0), (2, "abc", "artist", "title", "al", 1986, 200.0)])
+    tracks = tracks_df(spark, [(1, "AbC ", "Artist", "Title", "rec", 1999, 181.0), (2, "abc", "artist", "title", "rec", 1999, 181.0)])
     assert ids(C.track_by_isrc(tracks, "abc")) == [2]
     assert ids(C.track_by_isrc(tracks, "ABC", collation="UTF8_LCASE")) == [2]
     assert ids(C.tracks_by_artist_title(tracks, "ARTIST", "TITLE", collation="UTF8_LCASE")) == [1, 2]
@@ -211,7 +211,7 @@ def test_integrity_checks(spark):
     assert {r["ISRC"]: r["n"] for r in Q.check_unique(tracks, ["ISRC"]).collect()} == {"a": 2}
     assert [r["Id"] for r in Q.check_required(tracks, ["ISRC"]).collect()] == [3]
     assert [r["Id"] for r in Q.check_isrc_not_empty(tracks).collect()] == [4]
-    slices = slices_df(spark, [(10, 1, 0, 0.0, GENERIC, None), (11, 9, 0, 0.0, GENERIC, None)])
+    slices = slices_df(spark, [(10, 1, 0, 0.0, PLAIN, None), (11, 9, 0, 0.0, PLAIN, None)])
     assert [r["Id"] for r in Q.check_orphans(slices, tracks).collect()] == [11]
     long_title = tracks_df(spark, [(5, "i" * 51, "x", "t" * 256, "al", 1986, 1.0)])
     assert Q.check_lengths(long_title, {"ISRC": 50, "Title": 255}).collect()[0]["rule"] == "too long ISRC,Title"
@@ -285,3 +285,89 @@ def test_keyed_lookups(spark):
     sigs = spark.createDataFrame([(1, bytes([1, 2]), 7)], "Id int, Signature binary, TrackId int")
     assert ids(C.track_by_signature_id(tracks, sigs, 1)) == [7]
     assert C.signatures_by_track(sigs, 7).collect()[0]["Signature"] == bytearray([1, 2])
+
+
+def test_generated_ids_leave_values_alone(spark):
+    import datetime as dt
+
+    rows = [
+        (2, 9007199254740993, float("nan"), dt.datetime(1, 1, 1), None),
+        (1, None, 1.5, dt.datetime(9999, 12, 31), b"\x00"),
+        (3, -(1 << 63), None, None, b""),
+    ]
+    df = spark.createDataFrame(rows, "k int, big bigint, x double, at timestamp_ntz, raw binary")
+    from bucketvote.operators.ids import assign_ids
+
+    got = {r["k"]: r for r in assign_ids(df, ["k"], start=10).collect()}
+    assert [got[k]["Id"] for k in (1, 2, 3)] == [11, 12, 13]
+    assert got[2]["big"] == 9007199254740993 and got[1]["big"] is None and got[3]["big"] == -(1 << 63)
+    assert got[2]["x"] != got[2]["x"] and got[3]["x"] is None
+    assert got[2]["at"].year == 1 and got[1]["at"].year == 9999 and got[1]["raw"] == b"\x00"
+
+
+def test_numbering_of_a_hot_key_and_null_keys(spark):
+    from bucketvote.operators.ids import sequence_within
+
+    rows = [(None if i % 3 == 0 else i % 7, i) for i in range(600)]
+    got = sequence_within(spark.createDataFrame(rows, "k int, o int"), ["k"], ["o"], num_partitions=9).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["o"]):
+        by.setdefault(r["k"], []).append(r["seq"])
+    assert all(v == list(range(len(v))) for v in by.values()) and len(by[None]) == 200
+
+
+def test_schema_changes_twice_are_the_same_as_once(spark):
+    from bucketvote.operators.reshape import evolve_schema
+
+    df = tracks_df(spark, [(1, "I1", "a", "b", "c", 1990, 1.0)])
+    change = dict(add={"GroupId": "string", "isrc": "string", "Extra": "int"}, drop=["LENGTH"], rename={"ISRC": "Isrc", "Extra": "More"}, cast={"releaseyear": "bigint"})
+    once = evolve_schema(df, **change)
+    twice = evolve_schema(once, **change)
+    assert once.schema == twice.schema and once.collect() == twice.collect()
+    assert once.collect()[0]["Isrc"] == "I1" and "More" in once.columns and "Extra" not in once.columns
+    assert all(f.nullable for f in once.schema.fields)
+
+
+def test_backfill_with_a_repeated_key_adds_no_rows(spark):
+    from bucketvote.operators.reshape import backfill_by_join
+
+    target = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "a"), (None, "z")], "key int, value string")
+    got = backfill_by_join(target, source, "k", "key", {"v": "value"}).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "a"), (2, "old")]
+
+
+def test_a_hot_key_is_split_on_both_sides(spark):
+    # a third of all rows share every bin; the join's cells stay small
+    hot = [(i, 1, i, 0.0, [7] * 25, None) for i in range(200)]
+    cold = [(1000 + i, 1, i, 0.0, [100 * i + j for j in range(25)], None) for i in range(400)]
+    s = slices_df(spark, hot + cold)
+    qx, sx = BT._explode(s, "Id", [0], "q_", []), BT._explode(s, "Id", [0], "s_", [])
+    for self_pairs in (True, False):
+        q, t = BT._salted(qx, sx, VoteJoinPlan(), 16, self_pairs)
+        most = 2 * max(r["count"] for d in (q, t) for r in d.groupBy("pos", "bin", "_sn", "_qn").count().collect())
+        assert most <= 200  # of 200 hot rows on each side
+    pairs = BT.similar_pairs(s, 25, plan=VoteJoinPlan(partitions=16))
+    assert pairs.count() == 200 * 199 // 2
+    assert pairs.filter("a_id >= b_id").count() == 0 and pairs.distinct().count() == pairs.count()
+
+
+def test_votes_follow_similarity(spark):
+    from bucketvote.functions.minhash import minhash_bins
+
+    import random
+
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows, true = [], {}
+    for k, swapped in enumerate((0, 20, 60, 100)):
+        for rep in range(30):
+            own = [f"{w}r{rep}" for w in base]
+            other = own[: 200 - swapped] + [f"x{i}r{rep}s{k}" for i in range(swapped)]
+            rng.shuffle(other)
+            rows += [(1000 * k + rep, " ".join(own)), (100_000 + 1000 * k + rep, " ".join(other))]
+        true[k] = (200 - swapped) / (200 + swapped)
+    bins = {r["id"]: r for r in minhash_bins(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect()}
+    for k in true:
+        votes = [sum(bins[1000 * k + rep][c] == bins[100_000 + 1000 * k + rep][c] for c in BIN_COLS) for rep in range(30)]
+        assert abs(sum(votes) / 30 / 25 - true[k]) < 0.06

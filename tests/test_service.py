@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from bucketvote.service import ModelService
+import pytest
 
-from .fixtures import FIRST, GENERIC, QUERY, SECOND
+from bucketvote.operators.constraints import ConstraintError
+from bucketvote.service import VoteStore
+
+from .fixtures import PLAIN, PROBE, SIX, THREE
 
 
 def _hashed(spark, rows):
@@ -12,32 +15,32 @@ def _hashed(spark, rows):
 
 
 def test_insert_read_delete_flow(spark):
-    svc = ModelService(spark)
-    ids = [svc.insert_track(f"isrc{i}", "artist", "title", "album", 1986, 200) for i in range(3)]
+    svc = VoteStore(spark)
+    ids = [svc.add_track(f"code{i}", "singer", "song", "record", 1999, 181) for i in range(3)]
     assert len(set(ids)) == 3
-    assert svc.read_tracks().count() == 3
-    assert svc.read_track_by_isrc("isrc1").collect()[0]["Id"] == ids[1]
+    assert svc.tracks().count() == 3
+    assert svc.tracks_with_isrc("code1").collect()[0]["Id"] == ids[1]
     t = ids[0]
-    svc.insert_hashes_for_track(_hashed(spark, [(GENERIC, i, i * 0.928, []) for i in range(10)]), t)
-    back = svc.read_hashes_by_track(t).collect()
-    assert len(back) == 10 and all(r["bins"] == GENERIC for r in back)
-    assert svc.read_subfingerprints(GENERIC, 25).count() == 10
-    assert svc.delete_track(t) == 1 + 10
-    assert svc.read_subfingerprints(GENERIC, 25).count() == 0
-    assert svc.read_track_by_id(t).count() == 0
+    svc.add_slices(_hashed(spark, [(PLAIN, i, i * 0.75, []) for i in range(10)]), t)
+    back = svc.slices_of(t).collect()
+    assert len(back) == 10 and all(r["bins"] == PLAIN for r in back)
+    assert svc.candidates(PLAIN, 25).count() == 10
+    assert svc.remove_track(t) == 1 + 10
+    assert svc.candidates(PLAIN, 25).count() == 0
+    assert svc.track(t).count() == 0
 
 
 def test_threshold_and_clusters_through_service(spark):
-    svc = ModelService(spark)
-    a = svc.insert_track("a", "x", "y", "z", 2012, 200)
-    b = svc.insert_track("b", "x", "y", "z", 2012, 200)
-    svc.insert_hashes_for_track(_hashed(spark, [(FIRST, 0, 0.0, ["first-group-id"])]), a)
-    svc.insert_hashes_for_track(_hashed(spark, [(SECOND, 0, 0.0, ["second-group-id"])]), b)
-    assert svc.read_subfingerprints(QUERY).count() == 2  # default threshold
-    assert svc.read_subfingerprints(QUERY, 5).count() == 1
-    assert svc.read_subfingerprints(QUERY, 4, ["first-group-id"]).collect()[0]["TrackId"] == a
-    q = spark.createDataFrame([(0, *QUERY), (1, *FIRST)], ["qid", *[f"HashTable_{i}" for i in range(25)]])
-    assert svc.read_subfingerprints_batch(q, 5).count() == 1
+    svc = VoteStore(spark)
+    a = svc.add_track("a", "x", "y", "z", 2001, 240)
+    b = svc.add_track("b", "x", "y", "z", 2001, 240)
+    svc.add_slices(_hashed(spark, [(SIX, 0, 0.0, ["north-set"])]), a)
+    svc.add_slices(_hashed(spark, [(THREE, 0, 0.0, ["south-set"])]), b)
+    assert svc.candidates(PROBE).count() == 1  # default threshold (4)
+    assert svc.candidates(PROBE, 3).count() == 2
+    assert svc.candidates(PROBE, 3, ["north-set"]).collect()[0]["TrackId"] == a
+    q = spark.createDataFrame([(0, *PROBE), (1, *SIX)], ["qid", *[f"HashTable_{i}" for i in range(25)]])
+    assert svc.candidates_of_all(q, 5).count() == 1
 
 
 def test_identification_through_service(spark):
@@ -45,14 +48,35 @@ def test_identification_through_service(spark):
 
     from bucketvote.schema import BIN_COLS
 
-    svc = ModelService(spark)
+    svc = VoteStore(spark)
     mine = [[(i * 31 + j * 7) % 1000 for j in range(25)] for i in range(8)]
     other = [[(i * 17 + j * 13) % 1000 + 5000 for j in range(25)] for i in range(8)]
-    a = svc.insert_track("a", "x", "y", "z", 2012, 200)
-    b = svc.insert_track("b", "x", "y", "z", 2012, 200)
+    a = svc.add_track("a", "x", "y", "z", 2001, 240)
+    b = svc.add_track("b", "x", "y", "z", 2001, 240)
     assert b == a + 1
-    svc.insert_hashes_for_track(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(mine)]), a)
-    svc.insert_hashes_for_track(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(other)]), b)
+    svc.add_slices(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(mine)]), a)
+    svc.add_slices(_hashed(spark, [(v, i, float(i), []) for i, v in enumerate(other)]), b)
     q = spark.createDataFrame([(i, *v) for i, v in enumerate(mine)], ["qid", *BIN_COLS]).withColumn("set_id", F.lit(1))
     best = svc.identify(q, 5).filter("is_best").collect()
     assert len(best) == 1 and best[0]["TrackId"] == a
+
+
+def test_ids_are_not_used_twice(spark):
+    svc = VoteStore(spark)
+    a = svc.add_track("a", "x", "y", "z", 2001, 240)
+    assert svc.remove_track(a) == 1
+    assert svc.add_track("b", "x", "y", "z", 2001, 240) == a + 1
+
+
+def test_broken_constraints_raise_and_write_nothing(spark):
+    svc = VoteStore(spark)
+    t = svc.add_track("a", "x", "y", "z", 2001, 240)
+    for bad in ([(PLAIN, 0, 0.0, [])], [([None, *PLAIN[1:]], 0, 0.0, [])], [(PLAIN, None, 0.0, [])], [(PLAIN, 0, 0.0, ["l" * 300])]):
+        with pytest.raises(ConstraintError):
+            svc.add_slices(_hashed(spark, bad), t if bad[0][0] != PLAIN or bad[0][1] is None or bad[0][3] else 999)
+    for year, length, code in ((-5, 1, "c"), (1990, -9, "c"), (1990, 1, "c" * 51)):
+        with pytest.raises(ConstraintError):
+            svc.add_track(code, "x", "y", "z", year, length)
+    with pytest.raises(ConstraintError):
+        svc.add_signatures(spark.createDataFrame([(bytes(5000), t)], "Signature binary, TrackId int"), ["TrackId"])
+    assert svc.tracks().count() == 1 and svc.slices_of(t).count() == 0 and svc.store.read("bins_long").count() == 0

@@ -1,93 +1,100 @@
-"""The versioned store: writes never touch a version being read; deletes
-switch tables to new versions; a fresh handle sees the newest versions."""
+"""The store: appends add up, deletes leave the layout alone, nothing that
+cannot be read counts as empty."""
 
 from __future__ import annotations
 
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
 from bucketvote.operators import deletes as D
+from bucketvote.session import scratch_path
 from bucketvote.sources.store import Store
+from bucketvote.streaming.lookups import stream_insert_hashes
 
-from .fixtures import GENERIC, slices_df, tracks_df
+from .fixtures import PLAIN, ids, slices_df, tracks_df
 
+LONG = "HashTable int, HashBin long, SubFingerprintId long"
 
-def test_versions_and_delete(spark):
-    st = Store(spark)
-    tracks = tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0), (2, "j", "a", "t", "al", 1986, 200.0)])
-    slices = slices_df(spark, [(10 + i, 1, i, 0.0, GENERIC, None) for i in range(3)] + [(20, 2, 0, 0.0, GENERIC, None)])
-    st.write("tracks", tracks)
-    st.write("slices", slices)
-    old = st.read("slices")
-    counts = {r["table"]: r["removed"] for r in D.apply_to_store(st, D.delete_track(st.read("tracks"), st.read("slices"), 1)).collect()}
-    assert counts["total"] == 4
-    assert st.version("slices") == 2 and st.read("slices").count() == 1
-    assert old.count() == 4  # the previous version is untouched
-    again = Store(spark, st.root)
-    assert again.version("tracks") == 2 and again.read("tracks").count() == 1
-
-
-def test_append(spark):
-    st = Store(spark)
-    t = tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0)])
-    st.append("tracks", t)
-    st.append("tracks", tracks_df(spark, [(2, "j", "a", "t", "al", 1986, 200.0)]))
-    assert sorted(r["Id"] for r in st.read("tracks").collect()) == [1, 2]
 
+def one(spark, i):
+    return tracks_df(spark, [(i, "i", "a", "t", "rec", 1999, 181.0)])
 
-def test_append_writes_only_new_rows(spark):
+
+def test_two_writers_lose_nothing(spark):
     st = Store(spark)
-    st.write("tracks", tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0)]))
-    st.append("tracks", tracks_df(spark, [(2, "j", "a", "t", "al", 1986, 200.0)]))
-    v, paths = st._versions["tracks"]
-    assert v == 2 and len(paths) == 2
-    assert spark.read.parquet(paths[1]).count() == 1
-    assert Store(spark, st.root).read("tracks").count() == 2
+    st.write("tracks", one(spark, 1))
+    other = Store(spark, st.root)
+    st.append("tracks", one(spark, 2))
+    other.append("tracks", one(spark, 3))
+    assert ids(st.read("tracks")) == ids(other.read("tracks")) == ids(Store(spark, st.root).read("tracks")) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        other.write("tracks", one(spark, 9))
 
 
-def test_streamed_ingest_appends(spark):
-    from pyspark.sql import functions as F
+def test_what_cannot_be_read_is_not_empty(spark):
+    st = Store(spark)
+    with pytest.raises(KeyError):
+        st.read("tracks")
+    assert not st.has("tracks")
+    st.write("tracks", one(spark, 1))
+    for f in glob.glob(f"{st.root.replace('file:', '')}/tracks/layout/part-*"):
+        open(f, "w").write("not a layout")
+        crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    with pytest.raises(ValueError):
+        st.read("tracks")
+
+
+def test_appends_follow_the_layout(spark):
+    st = Store(spark, scratch_path(spark, "a store") + "/with a space")
+    st.write("bins_long", spark.createDataFrame([(1, 5, 10)], LONG), partition_by=["HashTable"], sort_within=["HashBin"])
+    st.append("bins_long", spark.createDataFrame([(2, 6, 10), (1, 7, 11)], LONG))
+    assert st.read("bins_long").count() == 3
+    assert all("HashTable=" in f for f in st.read_all("bins_long").inputFiles())
+    assert st.delete_rows("bins_long", spark.createDataFrame([(10,)], "SubFingerprintId long"), "SubFingerprintId") == 2
+    assert [tuple(r) for r in st.read("bins_long").collect()] == [(1, 7, 11)]
+
+
+def test_deletes_keep_files_and_the_ids_they_had(spark):
+    st = Store(spark)
+    st.write("slices", slices_df(spark, [(100 * t + i, t, i, 0.0, PLAIN, None) for t in range(1, 9) for i in range(5)]), sort_within=["TrackId", "SequenceNumber"])
+    before = sorted(st.read_all("slices").inputFiles())
+    assert st.delete_rows("slices", spark.createDataFrame([(3,), (3,), (77,)], "TrackId int"), "TrackId") == 5
+    assert st.delete_rows("slices", spark.createDataFrame([(3,)], "TrackId int"), "TrackId") == 0
+    assert sorted(st.read_all("slices").inputFiles()) == before
+    got = st.read("slices")
+    assert got.count() == 35 and got.filter("TrackId = 3").count() == 0
+    assert st.next_id_base("slices").first()["Id"] == 804
+    copy = st.copy_to(scratch_path(spark, "copy"), ["slices"])
+    assert copy.read_all("slices").count() == 35
 
-    from bucketvote.session import scratch_path
-    from bucketvote.streaming.lookups import stream_insert_hashes
 
+def test_streamed_ingest_appends_once(spark):
     st = Store(spark)
-    st.write("slices", slices_df(spark, [(1, 9, 0, 0.0, GENERIC, None)]))
+    st.write("slices", slices_df(spark, [(1, 9, 0, 0.0, PLAIN, None)]), sort_within=["TrackId", "SequenceNumber"])
     src = scratch_path(spark, "ingest-src")
     spark.createDataFrame(
-        [(7, GENERIC, i, float(i), ["x"]) for i in range(5)],
+        [(7, PLAIN, i, float(i), ["x"]) for i in range(5)],
         "TrackId int, bins array<int>, SequenceNumber int, SequenceAt double, clusters array<string>",
     ).write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    h = stream_insert_hashes(stream, st, ["SequenceNumber"], scratch_path(spark, "ingest-ckpt"))
-    h.awaitTermination(300)
+    stream_insert_hashes(stream, st, ["SequenceNumber"], scratch_path(spark, "ingest-ckpt")).awaitTermination(300)
     got = st.read("slices")
-    assert got.count() == 6
-    assert sorted(r["Id"] for r in got.collect()) == [1, 2, 3, 4, 5, 6]
-    assert got.filter(F.col("TrackId") == 7).count() == 5
-
-
-def test_delete_rewrites_only_touched_files(spark):
-    st = Store(spark)
-    rows = [(100 * t + i, t, i, 0.0, GENERIC, None) for t in range(1, 9) for i in range(5)]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files from tiny data
-    try:
-        st.write("slices", slices_df(spark, rows), sort_within=["TrackId", "SequenceNumber"])
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    before = set(st.read("slices").inputFiles())
-    assert len(before) > 1
-    tids = spark.createDataFrame([(3,)], "TrackId int")
-    assert st.delete_rows("slices", tids, ["TrackId"]) == 5
-    after = st._versions["slices"][1]
-    kept = [p for p in after if p in before]
-    assert len(kept) >= len(before) - 1  # only the file(s) holding track 3 were rewritten
-    got = st.read("slices")
-    assert got.count() == 35 and got.filter("TrackId = 3").count() == 0
-    assert Store(spark, st.root).read("slices").count() == 35
+    assert ids(got) == [1, 2, 3, 4, 5, 6] and got.filter(F.col("TrackId") == 7).count() == 5
+    # a replayed batch replaces its own rows
+    st.append("slices", slices_df(spark, [(50, 9, 1, 0.0, PLAIN, None)]), batch="again")
+    st.append("slices", slices_df(spark, [(51, 9, 1, 0.0, PLAIN, None)]), batch="again")
+    assert ids(st.read("slices")) == [1, 2, 3, 4, 5, 6, 51]
 
 
 def test_delete_tracks_in_store_counts(spark):
     st = Store(spark)
-    st.write("tracks", tracks_df(spark, [(1, "i", "a", "t", "al", 1986, 200.0), (2, "j", "a", "t", "al", 1986, 200.0)]))
-    st.write("slices", slices_df(spark, [(10 + i, 1, i, 0.0, GENERIC, None) for i in range(4)] + [(20, 2, 0, 0.0, GENERIC, None)]))
+    st.write("tracks", one(spark, 1).union(one(spark, 2)))
+    st.write("slices", slices_df(spark, [(10 + i, 1, i, 0.0, PLAIN, None) for i in range(4)] + [(20, 2, 0, 0.0, PLAIN, None)]))
     st.write("signatures", spark.createDataFrame([(1, bytes(4), 1)], "Id int, Signature binary, TrackId int"))
     counts = {r["table"]: r["removed"] for r in D.delete_tracks_in_store(st, [1]).collect()}
     assert counts == {"slices": 4, "signatures": 1, "tracks": 1, "total": 6}
