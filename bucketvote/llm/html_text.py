@@ -183,9 +183,10 @@ def main_blocks(page: str) -> list[str]:
         last: dict[int, int] = {}
         for i in order:
             section = found[i].section
-            if labels[i] is not None:
+            # in an article a linked line says nothing about its neighbours
+            if labels[i] or labels[i] is False and found[i].kind != "article":
                 last[section] = i
-            elif section in last:
+            elif labels[i] is None and section in last:
                 near[i] = (abs(i - last[section]), labels[last[section]])
     out = []
     for i, block in enumerate(found):
