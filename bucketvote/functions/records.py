@@ -117,22 +117,35 @@ def enum_from_ordinal(col: str, members: Mapping[int, str]) -> Column:
     return F.coalesce(F.element_at(lookup, n), n.cast("string"))
 
 
-def to_unique_map(df: DataFrame, key: str, value: str, group: Sequence[str], max_entries: int = 1_000_000) -> DataFrame:
-    """M6: per group a key -> value map; a repeated key raises.  A map is
-    one value per group, so a group larger than ``max_entries`` raises too
-    (nothing is dropped); the size check is a distributed count that runs
-    before any group is gathered."""
+def unique_pairs(df: DataFrame, key: str, value: str, group: Sequence[str]) -> DataFrame:
+    """M6 as a relation: (group, key, value), one row a key; a key that
+    repeats in its group raises.  A grouped count with a map-side partial
+    step, so a group of any size is spread over its keys."""
     group = list(group)
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_bv_n"))
-    checked = df.join(
-        sizes.withColumn(
-            "_bv_chk",
-            F.when(F.col("_bv_n") > F.lit(max_entries), F.raise_error(F.lit("to_unique_map: group too large"))),
-        )
-        .filter(F.col("_bv_chk").isNull())
-        .select(*group),
-        group,
-    )
-    return checked.groupBy(*group).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("map")
-    )
+    one = df.groupBy(*group, key).agg(F.first(value).alias(value), F.count(F.lit(1)).alias("_bv_n"))
+    checked = F.when(F.col("_bv_n") > 1, F.raise_error(F.lit("to_unique_map: a key repeats"))).otherwise(F.lit(True))
+    return one.filter(checked).select(*group, key, value)
+
+
+def to_unique_map(df: DataFrame, key: str, value: str, group: Sequence[str]) -> DataFrame:
+    """M6: per group a key -> value map; a repeated key raises.  A map is one
+    value, held whole by one row: for groups that may be large, use
+    ``unique_pairs``, which has the same content as rows."""
+    pairs = unique_pairs(df, key, value, group)
+    return pairs.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("map"))
+
+
+def enum_to_ordinal(col: str, members: Sequence[str]) -> Column:
+    """The writing side of M5: a member's number (its place), any case; NULL
+    stays NULL, an unknown name raises."""
+    lookup = F.create_map(*[x for k, m in enumerate(members) for x in (F.lit(m.lower()), F.lit(k))])
+    hit = F.element_at(lookup, F.lower(F.col(col)))
+    return F.when(F.col(col).isNull() | hit.isNotNull(), hit).otherwise(F.raise_error(F.concat(F.lit("unknown enum name: "), F.col(col))))
+
+
+def enum_to_name(col: str, members: Mapping[int, str]) -> Column:
+    """The writing side of M4: a number's member; a number without one stays
+    a number (as text)."""
+    lookup = F.create_map(*[x for k, v in sorted(members.items()) for x in (F.lit(int(k)), F.lit(v))])
+    n = F.col(col).cast("int")
+    return F.coalesce(F.element_at(lookup, n), n.cast("string"))

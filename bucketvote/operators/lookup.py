@@ -29,20 +29,23 @@ from ..schema import BIN_COLS, N_BINS
 VOTES = "votes"
 
 
-def cluster_predicate(clusters: Sequence[str] | None, mode: str = "text"):
+def cluster_predicate(clusters: Sequence[str] | None, mode: str = "text", collation: str | None = None):
     """Label restriction, or None when no labels are given.
 
     ``mode="text"`` (default) is the store's rule: the stored comma text
     must contain the labels joined by ',' as a LIKE pattern (labels must be
     adjacent and in that order; ``%``/``_`` in a label are wildcards; NULL
     never matches).  ``mode="any"`` is a true set test: some label of the
-    slice equals some given label.
+    slice equals some given label.  ``collation`` applies to the text mode.
     """
     labels = list(clusters or [])
     if not labels:
         return None
     if mode == "text":
-        return F.col("Clusters").like("%" + ",".join(labels) + "%")
+        pattern = F.lit("%" + ",".join(labels) + "%")
+        if collation is None:
+            return F.like(F.col("Clusters"), pattern)
+        return F.like(F.collate("Clusters", collation), F.collate(pattern, collation))
     if mode == "any":
         return F.arrays_overlap(decode_clusters("Clusters"), F.array(*[F.lit(x) for x in labels]))
     raise ValueError(f"unknown cluster mode {mode!r}")

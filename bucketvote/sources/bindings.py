@@ -32,7 +32,7 @@ from ..schema import BIN_COLS, SLICE_COLS
 # bin i (3 + i), the label rules, and the line-id stride of binding C.
 SLICE_STEP = Decimal("0.928")
 BIN_MOD_BASE = 3
-LINE_STRIDE = 1 << 20
+LINE_STRIDE = 1 << 31  # above the lines of any text (a text has fewer bytes)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

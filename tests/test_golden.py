@@ -371,3 +371,23 @@ def test_votes_follow_similarity(spark):
     for k in true:
         votes = [sum(bins[1000 * k + rep][c] == bins[100_000 + 1000 * k + rep][c] for c in BIN_COLS) for rep in range(30)]
         assert abs(sum(votes) / 30 / 25 - true[k]) < 0.06
+
+
+def test_label_text_with_a_collation(spark):
+    s = slices_df(spark, [(1, 1, 0, 0.0, PLAIN, "North,x"), (2, 1, 1, 0.0, PLAIN, "south"), (3, 1, 2, 0.0, PLAIN, None)])
+    assert ids(s.filter(L.cluster_predicate(["NORTH"], collation="UTF8_LCASE"))) == [1]
+    assert ids(s.filter(L.cluster_predicate(["NORTH"]))) == []
+
+
+def test_writing_side_of_enums_and_unique_pairs(spark):
+    from bucketvote.functions import records as R
+
+    df = spark.createDataFrame([("View", 1), (None, None), ("CLICK", 9)], "name string, n int")
+    got = df.select(R.enum_to_ordinal("name", ["Click", "View"]).alias("o"), R.enum_to_name("n", {1: "One"}).alias("m")).collect()
+    assert [tuple(r) for r in got] == [(1, "One"), (None, None), (0, "9")]
+    with pytest.raises(Exception):
+        spark.createDataFrame([("x",)], "name string").select(R.enum_to_ordinal("name", ["Click"])).collect()
+    pairs = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "z")], "g int, k string, v string")
+    assert sorted(tuple(r) for r in R.unique_pairs(pairs, "k", "v", ["g"]).collect()) == [(1, "a", "x"), (1, "b", "y"), (2, "a", "z")]
+    with pytest.raises(Exception):
+        R.unique_pairs(pairs.union(pairs), "k", "v", ["g"]).collect()
