@@ -57,7 +57,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_substrings(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "removed")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
