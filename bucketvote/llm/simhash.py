@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, se
 def keep_first(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:
     """One row of each group of near-duplicates: the one with the smallest
     doc_id (of rows that repeat this doc_id, the smallest text; of equal
-    rows, any).  Rows of a group that has no doc_id at all are all kept."""
+    rows, any).  Rows without a doc_id are all kept."""
     found = near_duplicates(docs, shingle_words, radius)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")

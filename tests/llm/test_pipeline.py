@@ -25,6 +25,8 @@ def folder(spark, tmp_path_factory):
     good = corpus()
     rows = [(1000 + i, t, lang, "s", len(t)) for i, t, lang, _ in good]
     rows += [(5000 + k, good[k * 5 + 1][1], "en", None, len(good[k * 5 + 1][1])) for k in range(20)]  # copies
+    passage = " ".join((good[2][1] + " " + good[4][1]).split()[:45])
+    rows += [(6000 + k, f"{good[16 + 2 * k][1]} {passage} {good[26 + 2 * k][1]}", "en", "s", 0) for k in range(3)]
     rows += [(d, t, "en", "s", None if t is None else len(t)) for d, t in texts() if d is not None and d < 50 and d != 41]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(1000 + i, q, 0) for i, _, _, q in good if i % 4 < 2], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
