@@ -32,13 +32,15 @@ from .components import components
 from .text import LOWER, bounded_batches, slices, utf8
 
 TILE = 16384
+#: Text bytes fingerprinted at a time; each needs some thirty bytes of arrays.
+SLICE = 2 << 20
 
 
 def _fingerprints(width: int, seed: int):
     digest = xxhash.xxh64_intdigest
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             hashes, ends = [], []
             for text in batch.column("text").to_pylist():
                 words = text.translate(LOWER).split() if text else ()

@@ -31,7 +31,7 @@ from .text import Roller, bounded_batches, flat_bytes, mix, sealed, slices, unse
 
 WINDOW = 35
 BUCKET_WINDOWS = 2_500_000
-SLICE = 16 << 20
+SLICE = 5 << 20
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
