@@ -44,7 +44,7 @@ def identify_tracks(
     )
     # entries feed both the per-set best and the join back: a reliable
     # checkpoint (in the session's checkpoint folder) computes the vote join
-    # once; left to exchange reuse it ran twice (31 s instead of 7 s at sf0.1)
+    # once (first run at sf0.1: 22.8 s with it, 31.4 s without)
     ensure_checkpoint_dir(entries.sparkSession)
     entries = entries.checkpoint(eager=True)
     best = entries.groupBy(set_id).agg(
