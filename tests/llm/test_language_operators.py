@@ -261,3 +261,18 @@ def test_without_trusted_text_everything_is_kept(spark):
     assert QU.classify(docs.limit(0), none).count() == 0
     one = spark.createDataFrame([(31, 1, 0), (40, 1, 0)], "doc_id long, quality int, toxic int")
     assert QU.classify(docs, one).count() == docs.count()
+
+
+def test_limit_is_the_quantile_and_repetition_goes(spark):
+    rng = random.Random(9)
+    parts = "the an er in on ti re at nd es".split()
+    known = ["".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(80)]
+    good = [" ".join(" ".join(rng.choices(known, k=rng.randint(5, 9))).capitalize() + "." for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    junk = [" ".join([w] * n) for w in ("the", "er", "The", "In") for n in (20, 40, 80)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(good + junk)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = QU.classify(docs, labels).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2))).collect()
+    judged = sorted(r["perplexity"] for r in got if r["doc_id"] < 300 and r["fold"] == 1)
+    assert {round(r["threshold"], 9) for r in got} == {round(judged[math.ceil(0.99 * len(judged)) - 1], 9)}
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 300)
+    assert sum(r["kept"] for r in got if r["doc_id"] < 300) >= 0.98 * 300
