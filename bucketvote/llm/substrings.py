@@ -13,8 +13,14 @@ return to their documents and merge into maximal removal intervals.
 Two different windows share a hash with probability 2**-64; no further check
 follows.
 
-Nulls: a null text has no words; a null doc_id is an id like any other.
-Repeated rows are copies of one another: their windows are repeated.
+On its way back a document is known by its doc_id and a 64-bit hash of its
+text (without doc_id by two such hashes), and its places are dealt by both, so
+texts that share an id, or have none, go to different tasks.  Rows that repeat
+id and text are one document there: a slice and a bucket report each of its
+places once, and the gathering task holds each place once.
+
+Nulls: a null text has no words; rows without doc_id are documents by their
+text.  Repeated rows are copies of one another: their windows are repeated.
 """
 
 from __future__ import annotations
@@ -32,6 +38,8 @@ from .text import Roller, bounded_batches, flat_bytes, mix, sealed, slices, unse
 WINDOW = 35
 BUCKET_WINDOWS = 2_500_000
 SLICE = 5 << 20
+#: Places held before repeated ones are dropped.
+GATHERED = 2_000_000
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -64,16 +72,23 @@ def _pack(target: int, doc, place, ids, checks) -> tuple:
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, checks, which of them each place is in, places)."""
-    ids, checks = _unsqueeze(row["docs"], "<i8"), _unsqueeze(row["checks"], "<i4")
+    ids, checks = _unsqueeze(row["docs"], "<i8"), _unsqueeze(row["checks"], "<i8")
     counts, step = _unsqueeze(row["counts"], "<u4").astype(np.int64), _unsqueeze(row["places"], "<u4").astype(np.int64)
     total, start = np.cumsum(step), np.cumsum(counts) - counts
     return ids, checks, np.repeat(np.arange(len(ids)), counts), total - np.repeat(total[start] - step[start], counts)
 
 
 def _dealt(doc, place, ids, checks, targets: int) -> Iterator[tuple]:
-    """Packed rows by target, which a document's id decides."""
-    to = (mix(ids.astype(np.uint64)) % np.uint64(targets)).astype(np.int64)[doc]
+    """Packed rows by target, which a document's id and check decide; places
+    of documents that are equal in both are there once."""
+    to = (mix(ids.astype(np.uint64) ^ mix(checks.astype(np.uint64))) % np.uint64(targets)).astype(np.int64)[doc]
+    order = np.lexsort((checks, ids))
+    new = np.concatenate(([True], (np.diff(ids[order]) != 0) | (np.diff(checks[order]) != 0)))[: len(order)]
+    first = np.empty(len(order), np.int64)
+    first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    doc = first[doc]
     order = np.lexsort((place, doc, to))
+    order = order[np.concatenate(([True], (np.diff(doc[order]) != 0) | (np.diff(place[order]) != 0)))[: len(order)]]
     to, doc, place = to[order], doc[order], place[order]
     at = [*_runs(to).tolist(), len(to)]
     for a, b in zip(at, at[1:]):
@@ -106,7 +121,7 @@ def _hashed(width: int, buckets: int):
             value = mix(by_word.spans(word, at, at + width))
             doc, place = doc_of[at], at - first[doc_of[at]]
             ids = batch.column("dk").to_numpy(zero_copy_only=False).astype("<i8")
-            checks = batch.column("check").to_numpy(zero_copy_only=False).astype("<i4")
+            checks = batch.column("check").to_numpy(zero_copy_only=False).astype("<i8")
             order = np.argsort(value, kind="stable")
             run = _runs(value[order])
             size = np.diff(run, append=len(order))
@@ -156,19 +171,31 @@ def _found(buckets: int):
     return of
 
 
+def _distinct(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (id, check, place), sorted; empties ``held``."""
+    ids, checks, place = (np.concatenate(x) for x in zip(*held))
+    held.clear()
+    order = np.lexsort((place, checks, ids))
+    ids, checks, place = ids[order], checks[order], place[order]
+    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (checks[1:] != checks[:-1]) | (place[1:] != place[:-1])))[: len(ids)]
+    return ids[new], checks[new], place[new]
+
+
 def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each document with repeated windows: all their places."""
-    held = []
+    held, n, most = [], 0, GATHERED
     for batch in batches:
         for row in batch.to_pylist():
             ids, checks, doc, place = _unpack(row)
-            held.append([ids[doc], checks[doc], place.astype("<i4")])
+            held.append((ids[doc], checks[doc], place.astype("<i4")))
+            n += len(doc)
+            if n > most:  # what came more than once is held once
+                held = [_distinct(held)]
+                n = len(held[0][0])
+                most = 2 * n + GATHERED
     if not held:
         return
-    ids, checks, place = (np.concatenate(x) for x in zip(*held))
-    held.clear()
-    order = np.lexsort((place, checks, ids))
-    ids, checks, place = ids[order], checks[order], place[order]
+    ids, checks, place = _distinct(held)
     at = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (checks[1:] != checks[:-1]))))
     offsets = np.concatenate((at, [len(ids)])).astype("<i4") * 4
     blobs = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(place.tobytes())])
@@ -222,15 +249,15 @@ def repeated_substrings(docs: DataFrame, width: int = WINDOW, carry: list[str] |
     carry = ["doc_id"] if carry is None else carry
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(spark.sparkContext.defaultParallelism, -(-size // (6 * BUCKET_WINDOWS)))
-    dk = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    check = F.hash(F.col("doc_id").isNull(), "text")
+    dk = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), "text"))
+    check = F.xxhash64(F.col("doc_id").isNull(), "text")
     rows = docs.select(dk.alias("dk"), check.alias("check"), utf8("text").alias("text")).mapInArrow(_hashed(width, buckets), _SHAPE)
     # one bucket to a partition: its rows meet in one task of bounded size; then one row a document
     places = (
         rows.repartitionById(buckets, F.col("target"))
         .mapInArrow(_found(buckets), _PLACES)
         .repartitionById(buckets, F.col("target"))
-        .mapInArrow(_by_document, "dk long, check int, places binary")
+        .mapInArrow(_by_document, "dk long, check long, places binary")
     )
     keyed = docs.select(*carry, utf8("text").alias("_llm_text"), dk.alias("_llm_dk"), check.alias("_llm_check"))
     joined = keyed.join(

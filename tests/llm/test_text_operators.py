@@ -267,3 +267,45 @@ def test_empty_tables_give_empty_results(spark):
     assert CO.contamination(none, bench).count() == 0
     assert SH.shard(none, shards=24).count() == 0
     assert RU.judged(none).count() == 0
+
+
+# ---- documents that share an id, or have none ------------------------------------
+def test_texts_without_doc_id_keep_their_own_places(spark):
+    passage = " ".join(f"p{k}" for k in range(40))
+    with_it = [f"{i} x {passage}" for i in (17499, 20036, 28345)]
+    # these share the 32-bit hash of (true, text) with those above
+    others = [" ".join(f"{j}q{k}" for k in range(36)) for j in (86706, 3071, 334945)]
+    short = [(None, f"{t} end") for t in others]
+    rows = [(None, t) for t in with_it + others] + short + [(7, passage), (7, f"other {passage}"), (7, " ".join(f"r{k}" for k in range(50)))]
+    df = documents(spark, rows)
+    pairs = df.select(F.hash(F.col("doc_id").isNull(), "text").alias("h")).distinct().count()
+    assert pairs == len(rows) - 3
+    found = SU.repeated_substrings(df, 35, ["doc_id", "text"])
+    expected = [(d, t, w, n, k) for (d, t), (_, w, n, k) in zip(rows, cut(rows, 35))]
+    assert by_row(found, "doc_id", "text", "n_words", "n_removed", "kept") == sorted(expected, key=repr)
+
+
+def test_places_of_one_id_are_dealt_by_text_too():
+    docs = 64
+    doc, place = np.repeat(np.arange(docs), 5), np.tile(np.arange(5), docs)
+    ids = np.full(docs, 5, "<i8")
+
+    def dealt(checks):
+        return [(t, *SU._unpack(dict(zip(("docs", "checks", "counts", "places"), rest)))) for t, *rest in SU._dealt(doc, place, ids, checks.astype("<i8"), 8)]
+
+    other = dealt(np.arange(docs) * 7919)
+    assert len({r[0] for r in other}) == 8 and sum(len(r[4]) for r in other) == docs * 5
+    same = dealt(np.ones(docs))
+    assert len(same) == 1 and same[0][4].tolist() == [0, 1, 2, 3, 4]
+
+
+def test_repeated_rows_are_gathered_once(monkeypatch):
+    monkeypatch.setattr(SU, "GATHERED", 100)
+    doc, place, ids, checks = np.zeros(60, np.int64), np.arange(60), np.array([5], "<i8"), np.array([1 << 40], "<i8")
+    row = next(iter(SU._dealt(doc, place, ids, checks, 1)))
+    largest = []
+    whole = SU._distinct
+    monkeypatch.setattr(SU, "_distinct", lambda held: largest.append(sum(len(h[0]) for h in held)) or whole(held))
+    out = [r for b in SU._by_document(SU._batches([row] * 50, SU._PLACES)) for r in b.to_pylist()]
+    assert [(r["dk"], r["check"]) for r in out] == [(5, 1 << 40)]
+    assert np.frombuffer(out[0]["places"], "<i4").tolist() == list(range(60)) and max(largest) <= 300
