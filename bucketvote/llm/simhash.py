@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import LOWER, bounded_batches, slices, utf8
+from .text import LOWER, bounded_batches, sealed, slices, unsealed, utf8
 
 TILE = 16384
 #: Text bytes fingerprinted at a time; each needs some thirty bytes of arrays.
@@ -62,7 +62,8 @@ def _fingerprints(width: int, seed: int):
             if has.any():
                 ones[has] = np.add.reduceat(bits, (end - n)[has], axis=0, dtype=np.int64)
             word = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(word.view("<i8"))], names=["doc_id", "fp"])
+            others = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(word.view("<i8"))], names=[*others, "fp"])
 
     return of
 
@@ -169,6 +170,11 @@ def links(fps: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     return crossed.unionByName(alone.repartition(parts)).mapInArrow(_compare(radius), "u long, v long")
 
 
+def _rooted(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+    """(node, root) of the linked ones among the distinct ``fps.fp``."""
+    return components(links(fps.select("fp"), radius, tile))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, seed: int = 42, tile: int = TILE) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``.
 
@@ -177,7 +183,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, se
     """
     prints = fingerprints(docs, shingle_words, seed).checkpoint()
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
-    rooted = components(links(least.select("fp"), radius, tile))
+    rooted = _rooted(least, radius, tile)
     # a component's smallest doc_id, then each fingerprint's component
     named = rooted.join(least, F.col("node") == F.col("fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -189,16 +195,32 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, se
 
 def keep_first(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:
     """One row of each group of near-duplicates: the one with the smallest
-    doc_id (of rows that repeat this doc_id, the smallest text; of equal
-    rows, any).  Rows without a doc_id are all kept."""
-    found = near_duplicates(docs, shingle_words, radius)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id").checkpoint()
+    doc_id (and the smallest text hash among its rows in the group; of equal
+    rows, any); in a group where no row has a doc_id, the one with the smallest
+    text hash.  Of rows left that share a doc_id, the smallest text stays."""
+    bounded_batches(docs.sparkSession)
+    wide, names = sealed(docs)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    keys = {"_key_id": doc_id.cast("long"), "_key_text": F.xxhash64(text)}
+    texts = wide.select(*[c.alias(k) for k, c in keys.items()], utf8(text).alias("text"))
+    prints = texts.mapInArrow(_fingerprints(shingle_words, 42), "_key_id long, _key_text long, fp long").checkpoint()
+    # a group's first row by (doc_id, text hash); nulls come last
+    first = F.min(F.struct(F.col("_key_id").isNull(), "_key_id", "_key_text")).alias("first")
+    least = prints.groupBy("fp").agg(first).checkpoint()
+    group = least.join(_rooted(least, radius), F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("root", "fp").alias("group"))
+    chosen = group.agg(F.min("first").alias("first")).select(F.col("first._key_id").alias("_first_id"), F.col("first._key_text").alias("_first_text")).checkpoint()
+    keyed = wide.withColumns(keys)
+    kept = keyed.join(chosen, F.col("_key_id").eqNullSafe(F.col("_first_id")) & (F.col("_key_text") == F.col("_first_text")), "left_semi")
+    # without doc_id, rows are known by their text
+    own = [F.col("_key_id"), F.when(F.col("_key_id").isNull(), F.col("_key_text")).alias("_key_alone")]
+    chosen_rows = prints.join(chosen, F.col("_key_id").eqNullSafe(F.col("_first_id")) & (F.col("_key_text") == F.col("_first_text")), "left_semi")
+    repeated = chosen_rows.groupBy(*own).count().filter("count > 1").drop("count").checkpoint()
     if repeated.isEmpty():
-        return kept
-    names = docs.columns
-    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*names), F.struct(F.coalesce("text", F.lit("")))).alias("row")
+        return unsealed(kept, docs)
+    repeated = repeated.select(F.col("_key_id").alias("_again_id"), F.col("_key_alone").alias("_again_alone"))
+    kept = kept.withColumn("_key_alone", own[1])
+    again = F.col("_key_id").eqNullSafe(F.col("_again_id")) & F.col("_key_alone").eqNullSafe(F.col("_again_alone"))
+    once = kept.join(repeated, again, "left_semi").groupBy("_key_id", "_key_alone").agg(
+        F.min_by(F.struct(*names), F.struct(F.coalesce(text, F.lit("")))).alias("row")
     )
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once.select("row.*"))
+    return unsealed(kept.join(repeated, again, "left_anti").select(*names).unionByName(once.select("row.*")), docs)

@@ -309,3 +309,15 @@ def test_repeated_rows_are_gathered_once(monkeypatch):
     out = [r for b in SU._by_document(SU._batches([row] * 50, SU._PLACES)) for r in b.to_pylist()]
     assert [(r["dk"], r["check"]) for r in out] == [(5, 1 << 40)]
     assert np.frombuffer(out[0]["places"], "<i4").tolist() == list(range(60)) and max(largest) <= 300
+
+
+def test_keep_first_goes_by_row(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(3, a), (5, a.upper()), (5, b), (None, b), (None, c), (None, c), (None, c + " end"), (None, a)]
+    assert len({d[2] for d in groups([(k, t) for k, (_, t) in enumerate(rows)], 4)}) == 3
+    kept = by_row(SI.keep_first(documents(spark, rows)), "doc_id", "text")
+    assert len(kept) == 3 and (3, a) in kept and (5, b) in kept
+    alone = [t for d, t in kept if d is None]
+    assert len(alone) == 1 and alone[0] in (c, c + " end")
+    same = [(7, a), (7, a), (None, b), (None, b)]
+    assert by_row(SI.keep_first(documents(spark, same)), "doc_id", "text") == sorted([(7, a), (None, b)], key=repr)
