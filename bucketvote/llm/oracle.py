@@ -111,4 +111,42 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          or 4 * len(regexp_extract_all(text, '[!?]{{2,}}')) > n_words) as kept
 from judged"""
 
-ORACLE: dict[str, str] = {"op4_benchmark_decontamination": OP4, "op6_substring_dedup": OP6, "op8_url_filter": OP8, "op9_quality_rules": OP9}
+OP12 = f"""with base as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, {_WORDS} as ws from documents),
+told as (select *, min(doc_id) over (partition by text) as first from base),
+marked as (select doc_id, part,
+    (len(ws) < 200)::int + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::int
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::int
+    + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * coalesce(first < doc_id, false)::int as mask
+  from told),
+tagged as (select part, mask, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic from marked
+  left join (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id) using (doc_id)),
+grouped as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from tagged group by all),
+letters(x, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (select [a.x, b.x, c.x, d.x, e.x] as names, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (select array_to_string(names, '') as filter_order, step, bits[step] as own, list_sum(list_concat([0], bits[:step - 1])) as before
+  from orders, (select unnest(range(1, 6)) as step)),
+figures as (select part, filter_order, step, own,
+    sum(n) filter (mask & (before + own) = 0) as kept, sum(n) filter (mask & before = 0 and mask & own > 0) as removed,
+    sum(n) filter (mask & before > 0 and mask & own > 0) as redundant, sum(n) filter (mask = own) as unique_fails,
+    sum(good) filter (mask & before = 0 and mask & own > 0) as good_lost, sum(toxic) filter (mask & before = 0 and mask & own > 0) as toxic_lost
+  from grouped, steps group by all)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley
+from figures"""
+
+OP13 = """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [floor(256 * x::double)::bigint for x in embedding] as e
+  from embeddings where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (select a.vec_id as anchor_id, r.vec_id as other, a.label = r.label as same,
+    list_sum([a.e[i] * r.e[i] for i in range(1, len(a.e) + 1)])::bigint as score
+  from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (select anchor_id, other as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id order by score desc, other))::int as rank,
+  other as negative_id, positive_score, score as negative_score
+from positives join pairs using (anchor_id) where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5"""
+
+ORACLE: dict[str, str] = {"op4_benchmark_decontamination": OP4, "op6_substring_dedup": OP6, "op8_url_filter": OP8, "op9_quality_rules": OP9, "op12_filter_audit": OP12, "op13_hard_negatives": OP13}

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from . import url_filter
 from .contamination import contamination
+from .filter_audit import filter_interactions
+from .hard_negatives import hard_negatives, stored_vectors
 from .html_text import main_text
+from .language import identify
 from .likelihood import likelihood
 from .pieces import decode, encode
 from .quality import classify
@@ -86,10 +89,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(stored_vectors(_table(spark, sf_dir, "embeddings"), label=moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece_nbest, op2_lattice_likelihood, op3_kd_tree_sharding, op4_benchmark_decontamination, op5_quality_classifier,
         op6_substring_dedup, op7_simhash_near_dedup, op8_url_filter, op9_quality_rules, op10_html_extraction,
+        op11_language_id, op12_filter_audit, op13_hard_negatives,
     )
 }

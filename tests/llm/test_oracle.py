@@ -11,6 +11,7 @@ from tests.compare import compare, duck
 
 from .corpus import documents, texts
 from .test_pages import LINKED, PAGES, URLS
+from .test_round_three import VECTORS, vectors
 from .test_text_operators import ITEMS
 
 
@@ -33,6 +34,8 @@ def folder(spark, tmp_path_factory):
         "benchmark": spark.createDataFrame([*ITEMS, (77, " ".join(rows[4][1].split()[:30]))], "item_id long, text string"),
         "pages": spark.createDataFrame([*LINKED, *((1000 + i, u, None) for i, u in enumerate(URLS))], PAGES),
     }
+    tables["labels"] = spark.createDataFrame([(d, d % 2, int(d % 3 == 0)) for d, _ in rows[::2]], "doc_id long, quality int, toxic int")
+    tables["embeddings"] = spark.createDataFrame([(i or 0, label, e) for i, label, e in vectors(3, 150)[:157] if e], VECTORS)
     import pyarrow.parquet as pq
 
     for name, df in tables.items():

@@ -1,0 +1,268 @@
+"""Language identification, filter interaction audit and hard-negative mining
+against brute-force versions, with nulls, ties, repeated rows, very long texts
+and empty tables."""
+
+from __future__ import annotations
+
+import math
+import random
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bucketvote.llm import filter_audit as FA
+from bucketvote.llm import hard_negatives as HN
+from bucketvote.llm import language as LA
+from bucketvote.llm.lattice import Lattice, Vocabulary
+
+from .corpus import EXTRA, VOCABULARY, by_row, documents, texts, words
+
+# ---- language identification ---------------------------------------------------
+
+
+def tiny() -> Vocabulary:
+    pieces = [None, "▁", "a", "b", "ab", "▁a", "ba", "aba", "é", None]
+    return Vocabulary(pieces, np.zeros(len(pieces), np.int64), np.arange(256, dtype=np.int32), -1)
+
+
+def enumerated(pieces, logs, byte, word: str) -> float:
+    """Log of the summed probability of all segmentations, one by one."""
+
+    def total(rest: str) -> float:
+        if not rest:
+            return 1.0
+        out = 0.0
+        for n in range(1, len(rest) + 1):
+            if rest[:n] in pieces:
+                out += math.exp(logs[pieces.index(rest[:n])]) * total(rest[n:])
+            elif n == 1:
+                out += math.exp(len(rest[0].encode()) * byte) * total(rest[1:])
+        return out
+
+    return math.log(total("▁" + word))
+
+
+def test_forward_sums_all_segmentations(monkeypatch):
+    rng, own = np.random.default_rng(3), tiny()
+    logs, byte = np.log(rng.dirichlet(np.ones(len(own.pieces)), 3).T), np.log([0.01, 0.02, 0.03])
+    cases = ["a", "ab", "abab", "ababaab", "é", "aéb", "zzab", "aba" * 3, "\U0001f600a", "a▁b"]
+    got = LA.Forward(Lattice(own), logs, byte)(cases)
+    for i, word in enumerate(cases):
+        for lang in range(3):
+            # a mark of the word itself is no piece
+            want = enumerated([None if p is None else p for p in own.pieces], logs[:, lang], byte[lang], word) if "▁" not in word else None
+            if want is not None:
+                assert got[i, lang] == pytest.approx(want, rel=1e-12)
+    # windows of a long word give what one lattice gives
+    long = "".join(random.Random(5).choices("abé", k=500))
+    whole = LA.Forward(Lattice(own), logs, byte)([long, "ab", long[:97]])
+    monkeypatch.setattr(LA, "SPAN", 16)
+    assert LA.Forward(Lattice(own), logs, byte)([long, "ab", long[:97]]) == pytest.approx(whole, rel=1e-12)
+
+
+def tongues(rng: random.Random) -> dict[str, list[str]]:
+    parts = {"en": "the an er in on ing ou th sh ly ea", "de": "der ein sch ung ich ü ge ver ß en au", "fr": "le que é ou eau tion dans è ai re", "x-y": "ko ni wa shi ta ru mo no ka sa"}
+    return {k: ["".join(rng.choices(v.split(), k=rng.randint(1, 4))) for _ in range(400)] for k, v in parts.items()}
+
+
+def test_language_of_held_out_texts(spark):
+    rng = random.Random(11)
+    stock = tongues(rng)
+    rows = [(i, " ".join(rng.choices(stock[lang], k=rng.randint(12, 80))), lang) for i, lang in enumerate(rng.choices(list(stock), weights=[6, 2, 1, 1], k=600))]
+    odd = [(9001, None, "en"), (9002, "", "de"), (9003, " 12 %% -- 3\n", "de"), (9004, "§ 47 … ²", "fr"), (None, rows[0][1], None), (9005, rows[1][1].upper(), None), (9006, "the" * 9000, None)]
+    docs = spark.createDataFrame([*rows, *odd, rows[5]], "doc_id long, text string, lang string").repartition(3)
+    got = {r["doc_id"]: r for r in LA.identify(docs).collect()}
+    assert LA.identify(docs).count() == len(rows) + len(odd) + 1
+    held = [(got[i]["lang_pred"], lang) for i, _, lang in rows if got[i]["held_out"]]
+    assert 80 < len(held) < 160 and sum(a == b for a, b in held) >= 0.98 * len(held)
+    assert all(0 < got[i]["score"] <= 1 for i, _, _ in rows)
+    for i in (9001, 9002, 9003, 9004):
+        assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+    assert got[None]["held_out"] and got[None]["lang_pred"] == rows[0][2]  # crc32 of an empty string is 0
+    assert got[9005]["lang_pred"] == rows[1][2] and got[9006]["lang_pred"] == "en"
+    import zlib
+
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items() if i is not None)
+
+
+def test_language_learns_only_from_training_rows(spark):
+    """Texts, labels and ids of held-out rows change no other row's result."""
+    rng = random.Random(2)
+    stock = tongues(rng)
+    rows = [(i, " ".join(rng.choices(stock[lang], k=9)), lang) for i, lang in enumerate(rng.choices(list(stock), k=80))]
+    a = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = LA.held_out(fold=0)
+    b = a.withColumns({"lang": F.when(held, F.lit("never")).otherwise(F.col("lang")), "text": F.when(held, F.lit("new text")).otherwise(F.col("text"))})
+    rest = [by_row(LA.identify(x).filter("not held_out"), "doc_id", "lang_pred", "score") for x in (a, b)]
+    assert rest[0] == rest[1] and "never" not in {r["lang_pred"] for r in LA.identify(b).collect()}
+    assert by_row(LA.identify(a.select("*", F.lit("x").alias("held"), F.lit(1).alias("word"))), "doc_id", "score") == by_row(LA.identify(a), "doc_id", "score")
+
+
+def test_language_bounds_and_empty_tables(spark):
+    docs = documents(spark, extra=True)
+    assert LA.identify(docs).count() == len(texts())
+    assert LA.identify(docs.filter("false")).count() == 0
+    none = LA.identify(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r["lang_pred"], r["score"]) for r in none.collect()} == {("und", 0.0)}
+    assert len({r["lang_pred"] for r in LA.identify(docs, languages=1).collect()} - {"und"}) == 1
+    assert LA.identify(docs, train_texts=2).count() == len(texts())
+
+
+# ---- filter interaction audit --------------------------------------------------------
+
+
+def masks_of(rows) -> list[int]:
+    """Failure bits of (doc_id, text) rows, from the definitions."""
+    out = []
+    for i, t in rows:
+        t = t or ""
+        w = [x for x in t.translate({c: " " for c in (9, 10, 11, 12, 13)}).split(" ") if x]
+        smaller = any(j is not None and i is not None and j < i and (u or "") == t for j, u in rows)
+        fails = [len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 3 * len(t), any(c in "#$%&*|" for c in t), smaller]
+        out.append(sum(b << k for k, b in enumerate(fails)))
+    return out
+
+
+def audited(rows) -> dict:
+    """(part, order, step) -> figures, by applying every order to the rows
+    (mask, part, good, toxic)."""
+    out = {}
+    for part in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == part]
+        removed_by = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left, gone = list(own), []
+            for k, x in enumerate(order, 1):
+                bit = 1 << "ABCDE".index(x)
+                go, left_ = [r for r in left if r[0] & bit], [r for r in left if not r[0] & bit]
+                out[part, "".join(order), k] = [len(left_), len(go), sum(1 for r in gone if r[0] & bit), sum(1 for r in own if r[0] == bit), sum(r[2] for r in go), sum(r[3] for r in go)]
+                removed_by[x] += len(go)
+                gone, left = gone + go, left_
+        for order in permutations("ABCDE"):
+            for k, x in enumerate(order, 1):
+                out[part, "".join(order), k].append(removed_by[x])
+    return out
+
+
+def audit_rows():
+    rng = random.Random(4)
+    long = " ".join(words(rng, 260))
+    few = " ".join(rng.choices(words(rng, 60), k=300))
+    bodies = [long, few, long.upper(), long + " #1", few + " | ", few.upper() + " &", "short", "SHORT $", None, "", "  \t", long.replace(" ", "\n")]
+    rows = [(i, rng.choice(bodies)) for i in range(90)]
+    rows += [(None, long), (None, long), (None, None), (7, rows[7][1]), (-3, few), (200, "ä" * 50 + " AB"), (201, "ä" * 50 + " ABC")]
+    return rows
+
+
+def test_audit_against_all_orders(spark):
+    rows = audit_rows()
+    langs = ["en", None, "de", ""]
+    docs = spark.createDataFrame([(i, t, langs[k % 4]) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+    for name in EXTRA:
+        docs = docs.withColumn(name, F.lit(1))
+    labels = [(i, i % 2, int(i % 3 == 0)) for i in range(0, 80, 2)] + [(1, 1, None), (1, 0, 1), (5, None, None), (None, 1, 1), (4000, 1, 1)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    data = [(m, langs[k % 4] or "", i in good, i in toxic) for k, ((i, _), m) in enumerate(zip(rows, masks_of(rows)))]
+    want = audited(data)
+    got = {(r["part"], r["filter_order"], r["step"]): [r[c] for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")] for r in FA.filter_interactions(docs, table).collect()}
+    assert len(got) == 3 * 600 and got == want
+
+
+def test_audit_odd_input(spark, monkeypatch):
+    docs, labels = documents(spark, extra=True), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert FA.filter_interactions(docs.filter("false"), labels).count() == 0
+    assert {(r["good_lost"], r["toxic_lost"]) for r in FA.filter_interactions(docs, labels).collect()} == {(0, 0)}
+    rng = random.Random(1)
+    text = (" ".join(words(rng, 700)) + " " + "x" * 900 + "\n" + " ".join(words(rng, 300))).encode()
+    whole = FA.text_failures(text)
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(FA, "PIECE", size)
+        assert FA.text_failures(text) == whole and FA.text_failures(b"") == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 191, 192, 193, 1000, 12_345])
+def test_popcounts(n):
+    masks = np.random.default_rng(n).integers(0, 32, n)
+    got = FA.positional_popcount(FA.survival_words(masks))
+    assert got.tolist() == [int(sum((m & s) == 0 for m in masks)) for s in range(32)]
+
+
+# ---- hard negatives ----------------------------------------------------------------------
+
+VECTORS = "vec_id long, label int, embedding array<float>"
+
+
+def mined(rows) -> set:
+    """All results, by scoring every pair."""
+    own = {}
+    for i, label, e in rows:
+        if i is None or label is None or not e or any(x is None or not math.isfinite(x) for x in e):
+            continue
+        x = tuple(max(-HN.LIMIT, min(HN.LIMIT, math.floor(256 * float(np.float32(v))))) for v in e)
+        own[i, label, x] = None
+    out = set()
+    for i, label, x in own:
+        if i % 100:
+            continue
+
+        def score(y, x=x):
+            return sum(a * b for a, b in zip(x, y))
+
+        same = sorted({(-score(y), j) for j, other, y in own if other == label and j != i})[:5]
+        rest = sorted({(-score(y), j) for j, other, y in own if other != label and j != i})
+        for s, j in same:
+            fits = [(t, k) for t, k in rest if -80 * s <= -100 * t <= -100 * s][:5]
+            out |= {(i, j, rank, k, -s, -t) for rank, (t, k) in enumerate(fits, 1)}
+    return out
+
+
+def vectors(seed: int, n: int, size: int = 40):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(4, size))
+    rows = [(i * 10, int(rng.integers(4)), None) for i in range(n)]
+    rows = [(i, label, (centre[(label + (i % 70 == 0)) % 4] + rng.normal(size=size) * rng.choice([0.0, 0.1, 0.6])).astype(np.float32).tolist()) for i, label, _ in rows]
+    some = rows[3][2]
+    rows += [(5001, 1, None), (5002, None, some), (5003, 1, [*some[:-1], None]), (5004, 1, [*some[:-1], float("nan")]), (5005, 1, [*some[:-1], float("inf")]), (5006, 1, []), (None, 1, some)]
+    rows += [rows[10], rows[10], rows[4], (rows[20][0], 3, some), (7003, 2, some[:17]), (7100, 2, [3e38] * 3), (7101, 2, [-3e38] * 3), (7102, 1, [3e38] * 3), (8000, 1, [0.0] * size), (9000, 77, some)]
+    return rows
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame(rows, VECTORS).repartition(5)
+    return {tuple(r) for r in HN.hard_negatives(HN.stored_vectors(df), F.col("vec_id") % 100 == 0, **kw).collect()}
+
+
+@pytest.mark.parametrize("size", [2, 40, 64])
+def test_mining_against_all_pairs(spark, size):
+    rows = vectors(size, 260, max(size, 2)) if size > 17 else [r for r in vectors(size, 260, 18)]
+    want = mined(rows)
+    assert len(want) > 50 and run(spark, rows) == want
+
+
+def test_mining_in_blocks_and_empty(spark):
+    rows = vectors(9, 200)
+    assert run(spark, rows, block_bytes=700) == run(spark, rows) == mined(rows)
+    assert run(spark, [], ) == set() and run(spark, [(1, 1, [1.0])]) == set() and run(spark, [(100, 1, [1.0])]) == set()
+
+
+def test_bounds_hold_at_every_level():
+    rng = np.random.default_rng(8)
+    for size in (1, 5, 64, 100):
+        x, y = rng.integers(-300, 300, (40, size)), rng.integers(-300, 300, (60, size)) + 50
+        a, b = (HN.Side(np.arange(len(g)), np.zeros(len(g)), g, *(s.astype(np.float32) for s in HN.summaries(g, HN.LEVELS[-1]))) for g in (x, y))
+        exact, before = x @ y.T, None
+        for (am, ad), (bm, bd) in zip(a.levels, b.levels):
+            low, high = am @ bm.T - ad @ bd.T, am @ bm.T + ad @ bd.T
+            assert (low <= exact + 1e-3).all() and (exact <= high + 1e-3).all()
+            assert before is None or (high - low <= before + 1e-2 + 1e-5 * before).all()
+            before = high - low
+
+
+def test_vocabulary_is_there():
+    import os
+
+    assert os.path.exists(VOCABULARY)
