@@ -35,7 +35,7 @@ def folder(spark, tmp_path_factory):
         "pages": spark.createDataFrame([*LINKED, *((1000 + i, u, None) for i, u in enumerate(URLS))], PAGES),
     }
     tables["labels"] = spark.createDataFrame([(d, d % 2, int(d % 3 == 0)) for d, _ in rows[::2]], "doc_id long, quality int, toxic int")
-    tables["embeddings"] = spark.createDataFrame([(i or 0, label, e) for i, label, e in vectors(3, 150)[:157] if e], VECTORS)
+    tables["embeddings"] = spark.createDataFrame([r for r in vectors(3, 150)[:156] if r[2]], VECTORS)
     import pyarrow.parquet as pq
 
     for name, df in tables.items():
