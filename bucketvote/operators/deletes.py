@@ -1,9 +1,8 @@
 """Deletes as complement filters.
 
-Parquet is never changed in place.  The DataFrame forms compute the
-remaining rows of each table with an anti-join (and the removed-row counts
-with aggregates); ``delete_tracks_in_store`` deletes in a store, which keeps
-the removed keys next to the rows (``sources.store.Store.delete_rows``).
+These compute the remaining rows of each table with an anti-join, and the
+removed-row counts with aggregates; ``sources.ingest.delete_tracks`` deletes
+in a store.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ids_frame(spark, ids: DataFrame | Sequence[int], col: str = "Id") -> DataFrame:
+def ids_frame(spark, ids: DataFrame | Sequence[int], col: str = "Id") -> DataFrame:
     if isinstance(ids, DataFrame):
         return ids.select(F.col(ids.columns[0]).cast("int").alias(col))
     return spark.createDataFrame([(int(i),) for i in ids], f"{col} int")
@@ -34,7 +33,7 @@ def delete_tracks(
     store's affected-row total (1 + n for one track with n slices).
     """
     spark = tracks.sparkSession
-    ids_df = _ids_frame(spark, ids, "Id").distinct()
+    ids_df = ids_frame(spark, ids, "Id").distinct()
     track_ids = ids_df.withColumnRenamed("Id", "TrackId")
     out = {
         "tracks": tracks.join(ids_df, "Id", "left_anti"),
@@ -67,7 +66,7 @@ def delete_bins_by_track(bins_long: DataFrame, slices: DataFrame, track_ids: Dat
     """D3: remove the long-layout rows of the slices of some tracks (rows of
     one table chosen by a join with another)."""
     spark = bins_long.sparkSession
-    tids = _ids_frame(spark, track_ids, "TrackId")
+    tids = ids_frame(spark, track_ids, "TrackId")
     gone = slices.join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
     return bins_long.join(gone, "SubFingerprintId", "left_anti")
 
@@ -83,7 +82,7 @@ def delete_cascade(
     spark = tracks.sparkSession
     res = delete_tracks(tracks, slices, track_ids, signatures)
     res["bins_long"] = delete_bins_by_track(bins_long, slices, track_ids)
-    tids = _ids_frame(spark, track_ids, "TrackId")
+    tids = ids_frame(spark, track_ids, "TrackId")
     gone = slices.join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
     n_bins = bins_long.join(gone, "SubFingerprintId", "left_semi").agg(F.count(F.lit(1)).alias("removed")).select(
         F.lit("bins_long").alias("table"), "removed"
@@ -92,21 +91,3 @@ def delete_cascade(
     total = per_table.agg(F.sum("removed").alias("removed")).select(F.lit("total").alias("table"), "removed")
     res["counts"] = per_table.unionByName(total)
     return res
-
-
-def delete_tracks_in_store(store, track_ids: DataFrame | Sequence[int]) -> DataFrame:
-    """D1/D2/D4 on a store: slices, long bins (when present) and signatures
-    of the tracks, then the tracks.  Returns (table, removed) rows plus a
-    ``total`` row."""
-    spark = store.spark
-    tids = _ids_frame(spark, track_ids, "TrackId").distinct()
-    rows = []
-    if store.has("bins_long"):
-        gone = store.read("slices").join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
-        rows.append(("bins_long", store.delete_rows("bins_long", gone, "SubFingerprintId")))
-    rows.append(("slices", store.delete_rows("slices", tids, "TrackId")))
-    if store.has("signatures"):
-        rows.append(("signatures", store.delete_rows("signatures", tids, "TrackId")))
-    rows.append(("tracks", store.delete_rows("tracks", tids.withColumnRenamed("TrackId", "Id"), "Id")))
-    rows.append(("total", sum(n for _, n in rows)))
-    return spark.createDataFrame(rows, "table string, removed long")

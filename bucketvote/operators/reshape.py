@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 from ..schema import BIN_COLS, N_BINS, SLICE_COLS
 
 
-def bins_to_long(slices: DataFrame, base: int = 1) -> DataFrame:
-    """Wide -> long.  One row per (slice, position)."""
+def bins_to_long(slices: DataFrame, base: int = 1, keep: Sequence[str] = ()) -> DataFrame:
+    """Wide -> long.  One row per (slice, position), with the columns
+    ``keep`` of the slice."""
     return slices.select(
         F.col("Id").alias("SubFingerprintId"),
+        *keep,
         F.posexplode(F.array(*[F.col(c) for c in BIN_COLS])).alias("_pos", "_bin"),
     ).select(
         (F.col("_pos") + F.lit(base)).cast("int").alias("HashTable"),
         F.col("_bin").cast("long").alias("HashBin"),
         F.col("SubFingerprintId"),
+        *keep,
     )
 
 

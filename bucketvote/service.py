@@ -1,10 +1,10 @@
 """A service object over a store: the calls a user of the store makes, each a
 DataFrame job over the store's tables.
 
-Writes (insert, delete) append to the store (``sources.store``) after their
-rows have met the table's constraints; reads return lazy DataFrames.  Bulk forms take DataFrames; the single-row
-forms exist for parity with one-call-per-item clients and return the one
-generated id.
+Writes go through ``sources.ingest``: rows are checked against the table's
+constraints, numbered and written.  Reads return lazy DataFrames.  Bulk forms
+take DataFrames; the single-row forms exist for parity with one-call-per-item
+clients and return the one generated id.  Any number of writers may add rows.
 """
 
 from __future__ import annotations
@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from .operators import batch as BT
 from .operators import catalog as C
-from .operators import deletes as D
 from .operators import lookup as L
 from .operators.constraints import enforce
-from .operators.reshape import bins_to_long
 from .plans.strategy import DEFAULT_PLAN, VoteJoinPlan
-from .schema import BINS_LONG, SIGNATURES, SLICES, TRACK_FIELDS, TRACKS
-from .sources.store import Store
+from .schema import TRACK_FIELDS, TRACKS
+from .sources import ingest as IN
+from .sources.store import PARTS, Store
 
 # Fixed value: the threshold used when the caller gives none (two of the
 # store's golden cases need <= 4).
@@ -30,30 +29,24 @@ DEFAULT_THRESHOLD = 4
 
 
 class VoteStore:
-    def __init__(self, spark: SparkSession, root: str | None = None, plan: VoteJoinPlan = DEFAULT_PLAN):
+    def __init__(self, spark: SparkSession, root: str | None = None, plan: VoteJoinPlan = DEFAULT_PLAN, parts: int = PARTS):
         self.spark = spark
         self.store = Store(spark, root)
         self.plan = plan
-        by_track = {"sort_within": ["TrackId", "SequenceNumber"]}
-        by_bin = {"partition_by": ["HashTable"], "sort_within": ["HashBin"]}
-        for name, schema, layout in (("tracks", TRACKS, {}), ("slices", SLICES, by_track), ("signatures", SIGNATURES, {}), ("bins_long", BINS_LONG, by_bin)):
-            if not self.store.has(name):
-                self.store.write(name, spark.createDataFrame([], schema), **layout)
+        IN.create_tables(self.store, parts)
 
     # ---- tracks -------------------------------------------------------------
     def add_tracks(self, tracks: DataFrame, order: Sequence[str]) -> DataFrame:
         """Bulk insert; returns the inserted rows with their new Ids.  Rows
         that break a constraint raise and nothing is written."""
-        new = enforce("tracks", C.insert_tracks(self.store.next_id_base("tracks"), tracks, order).checkpoint())
-        self.store.append("tracks", new)
-        return new
+        return IN.insert_tracks(self.store, tracks, order)
 
     def add_track(self, isrc, artist, title, album, release_year, length) -> int:
-        """One track; returns its Id.  One writer at a time should insert
-        tracks: two at once would draw the same Ids."""
-        track_id = (self.store.next_id_base("tracks").first()["Id"] or 0) + 1
-        row = self.spark.createDataFrame([(track_id, isrc, artist, title, album, release_year, None if length is None else float(length))], TRACKS)
-        self.store.append("tracks", enforce("tracks", row))
+        """One track; returns its Id."""
+        row = self.spark.createDataFrame([(0, isrc, artist, title, album, release_year, None if length is None else float(length))], TRACKS)
+        enforce("tracks", row)
+        track_id = self.store.reserve("tracks", 1) + 1
+        self.store.append("tracks", row.withColumn("Id", F.lit(track_id)))
         return track_id
 
     def tracks(self) -> DataFrame:
@@ -75,19 +68,16 @@ class VoteStore:
         """Removes the track, its slices (with their inverted rows) and its
         signatures; returns the number of rows removed (1 + slices +
         signatures)."""
-        counts = {r["table"]: r["removed"] for r in D.delete_tracks_in_store(self.store, [track_id]).collect()}
+        counts = {r["table"]: r["removed"] for r in IN.delete_tracks(self.store, [track_id]).collect()}
         return int(counts["total"] - counts["bins_long"])
 
     # ---- slices ---------------------------------------------------------------
-    def add_slices(self, hashed: DataFrame, track_id: int, order: Sequence[str] = ("SequenceNumber",)) -> DataFrame:
-        """``hashed``: (bins array<int>, SequenceNumber, SequenceAt, clusters array<string>).
-        The new slices are written clustered by (TrackId, SequenceNumber), and
-        their bins to the inverted layout.  Slices of an unknown track or with
-        a NULL bin raise and nothing is written."""
-        new = C.insert_hashes(self.store.next_id_base("slices"), hashed, list(order), track_id=track_id).checkpoint()
-        self.store.append("slices", enforce("slices", new, self.store.read("tracks")))
-        self.store.append("bins_long", bins_to_long(new))
-        return new
+    def add_slices(self, hashed: DataFrame, track_id: int | None = None, order: Sequence[str] = ("SequenceNumber",)) -> DataFrame:
+        """``hashed``: (bins array<int>, SequenceNumber, SequenceAt, clusters
+        array<string>), all of one track, or with a TrackId column.  The slices
+        and their rows in the inverted layout are written together.  Slices of
+        an unknown track or with a NULL bin raise and nothing is written."""
+        return IN.insert_slices(self.store, hashed, order, track_id)
 
     def slices_of(self, track_id: int) -> DataFrame:
         return C.hashes_by_track(self.store.read("slices"), track_id)
@@ -125,9 +115,7 @@ class VoteStore:
 
     # ---- signatures ------------------------------------------------------------
     def add_signatures(self, signatures: DataFrame, order: Sequence[str]) -> DataFrame:
-        new = C.insert_signatures(self.store.next_id_base("signatures"), signatures, order).checkpoint()
-        self.store.append("signatures", enforce("signatures", new, self.store.read("tracks")))
-        return new
+        return IN.insert_signatures(self.store, signatures, order)
 
     def signatures_of(self, track_id: int) -> DataFrame:
         return C.signatures_by_track(self.store.read("signatures"), track_id)

@@ -1,20 +1,26 @@
-"""A folder of named parquet tables, written with plain Spark writes.
-
-A table is a set of batches: every write or append puts its rows in a fresh
-folder ``<table>/rows/batch=<id>``, and a read takes all batches.  No file is
-ever changed and no list of files is kept, so appends of any number of
-writers add up, a failed write leaves at most an unfinished folder that
-readers skip, and paths may hold any character.
-
-A delete appends the removed keys under ``<table>/removed``; a read leaves
-out the rows whose key is there.  Rows keep their files, and so their order
-and their folders; ``copy_to`` writes the rows that are left to a new place.
-Ids are numbered after the largest ever written (``next_id_base``), deleted
-ones included, so none is used twice.
-
-The layout of a table (schema, folders, sort order) is written once, with its
-first batch, and every append follows it.  Only a missing path counts as a
-missing table; anything else that cannot be read raises.
+"""A folder of named tables, kept as plain partitioned parquet.
+
+All tables lie under one root and are partitioned by table, schema version,
+bin position (0 but for the inverted layout), part (a hash of the table's key)
+and batch.  So one Spark write can take rows of several tables: slices and
+their posting rows become visible together, or, if the job dies, not at all.
+
+Every append has a batch of its own and is written by dynamic partition
+overwrite, whose staging folder belongs to one job: writers at once do not
+disturb each other, and a named batch that is written again replaces itself.
+``copy_to`` merges many small batches.  A delete rewrites the folders that hold rows
+to be removed, and no others; nothing is kept of a removed row, so reads are
+plain scans, and a key that is added again is read again.  While a delete
+runs, no other writer should write the same part.
+
+A table's schema is that of an empty file written when the table is made; its
+key, number of parts and sort order are metadata of the fields.  ``evolve``
+adds a schema version and rewrites nothing: rows of earlier versions are read
+by the names and types they were written with.
+
+Ids come from claimed ranges (``reserve``): a claim is a small file that only
+one writer can make, holding the end of its range, so writers that work at
+once, or again after a failure, never share an Id.
 """
 
 from __future__ import annotations
@@ -22,149 +28,266 @@ from __future__ import annotations
 import json
 import threading
 import uuid
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from . import files
 
-# Columns that deletes may name, as removed keys are stored by column.
-KEY_COLUMNS = ("Id", "TrackId", "SubFingerprintId")
+TABLE, VERSION, POSITION, PART, BATCH = FOLDERS = ("bv_table", "bv_version", "HashTable", "bv_part", "bv_batch")
+#: Default number of parts of a table with a key; for large stores about the
+#: table's bytes by what one delete may rewrite.
+PARTS = 16
+
+_KEY, _SORT, _NAMES = "bv_parts", "bv_sort", "bv_names"
+
+
+def _with(field: T.StructField, **more) -> T.StructField:
+    return T.StructField(field.name, field.dataType, True, {**field.metadata, **more})
+
+
+def _names(field: T.StructField) -> list:
+    """[[version, name], ...]: what the column is called from a version on."""
+    return json.loads(field.metadata[_NAMES]) if _NAMES in field.metadata else [[0, field.name]]
+
+
+def _name_at(field: T.StructField, version: int) -> str | None:
+    held = [name for since, name in _names(field) if since <= version]
+    return held[-1] if held else None
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
+        self._schemas: dict[tuple[str, int], T.StructType] = {}
+
+    # ---- tables and their schemas -------------------------------------------
+    def _at(self, *values) -> str:
+        return "/".join([self.root, *(f"{c}={v}" for c, v in zip(FOLDERS, values))])
 
-    # ---- layout ---------------------------------------------------------
-    def _read_if_there(self, read) -> DataFrame | None:
-        try:
-            return read()
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def layout(self, name: str) -> dict | None:
-        """Schema, partition_by and sort_within of a table; None if there is
-        no such table."""
-        rows = self._read_if_there(lambda: self.spark.read.text(f"{self.root}/{name}/layout"))
-        if rows is None:
-            return None
-        found = [r["value"] for r in rows.collect()]  # the same line for each creator
-        if not found:
-            raise ValueError(f"the layout of table {name!r} in {self.root} is empty")
-        return json.loads(found[0])
+    def versions(self, name: str) -> list[int]:
+        return sorted(int(x.split("=")[1]) for x in files.names(self.spark, self._at(name)) if x.startswith(f"{VERSION}="))
 
     def has(self, name: str) -> bool:
-        return self.layout(name) is not None
+        return bool(self.versions(name))
 
-    def _layout(self, name: str) -> dict:
-        found = self.layout(name)
+    def _schema(self, name: str, version: int) -> T.StructType:
+        found = self._schemas.get((name, version))
         if found is None:
-            raise KeyError(f"no table {name!r} in store {self.root}")
+            found = self._schemas[name, version] = self.spark.read.parquet(self._at(name, version, 0, 0, "schema")).schema
         return found
 
-    # ---- read -----------------------------------------------------------
-    def read_all(self, name: str, without_batch: str | None = None) -> DataFrame:
-        """All rows ever written, removed ones included."""
-        schema = T.StructType.fromJson(self._layout(name)["schema"])
-        path = f"{self.root}/{name}/rows"
-        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.StringType())])).parquet(path)
-        if without_batch is not None:
-            rows = rows.filter(F.col("batch") != without_batch)
-        return rows.select(*schema.names)
+    def _newest(self, name: str) -> int:
+        held = self.versions(name)
+        if not held:
+            raise KeyError(f"no table {name!r} in store {self.root}")
+        return held[-1]
+
+    def schema(self, name: str) -> T.StructType:
+        return self._schema(name, self._newest(name))
+
+    def _set_schema(self, name: str, version: int, fields: list[T.StructField], mode: str) -> None:
+        empty = self.spark.createDataFrame([], T.StructType(fields))
+        empty.coalesce(1).write.mode(mode).parquet(self._at(name, version, 0, 0, "schema"))
+
+    def create(self, name: str, schema: T.StructType, key: str | None = None, sort_within: Sequence[str] = (), parts: int = PARTS) -> None:
+        """Make an empty table, unless it is there.  Rows are dealt into
+        ``parts`` folders by a hash of ``key`` (without a key into one)."""
+        if not self.has(name):
+            fields = [_with(f, **({_KEY: parts} if f.name == key else {}), **({_SORT: list(sort_within).index(f.name)} if f.name in sort_within else {})) for f in schema.fields]
+            self._set_schema(name, 0, fields, "ignore")
+
+    def evolve(self, name: str, add: Mapping[str, str] | None = None, drop: Sequence[str] | None = None, rename: Mapping[str, str] | None = None, cast: Mapping[str, str] | None = None) -> int:
+        """S5 on a stored table: the changes of ``reshape.evolve_schema`` as a
+        new schema version, from which on rows are written with the new
+        columns.  No file is rewritten.  Rows of earlier versions are read with
+        added columns NULL, dropped ones left out (also if the name is added
+        again later), renamed ones under the new name and retyped ones cast.
+        Changes that change nothing make no version.  Returns the version."""
+        from ..operators.reshape import evolve_schema
+
+        version = self._newest(name)
+        old = {f.name.lower(): f for f in self._schema(name, version).fields}
+        after = evolve_schema(self.spark.createDataFrame([], self._schema(name, version)), add, drop, rename, cast).schema
+        came = {new.lower(): before.lower() for before, new in (rename or {}).items()}
+        fields = []
+        for f in after.fields:
+            was = old.get(f.name.lower()) or old.get(came.get(f.name.lower(), ""))
+            history = [[version + 1, f.name]] if was is None else _names(was) + ([[version + 1, f.name]] if was.name != f.name else [])
+            fields.append(_with(T.StructField(f.name, f.dataType, True, was.metadata if was else {}), **{_NAMES: json.dumps(history)}))
+        if [(f.name, f.dataType) for f in fields] == [(f.name, f.dataType) for f in old.values()]:
+            return version
+        lost = {f.name for f in old.values() if _KEY in f.metadata} - {_name_at(f, version) for f in fields}
+        if lost:
+            raise ValueError(f"the key {lost} of table {name!r} cannot be dropped")
+        self._set_schema(name, version + 1, fields, "errorifexists")
+        return version + 1
+
+    # ---- read ------------------------------------------------------------------
+    def _stored(self, name: str, version: int) -> DataFrame:
+        """Rows of one schema version as they were written, with their folders."""
+        own = [f for f in self._schema(name, version).fields if f.name != POSITION]
+        folders = [T.StructField(POSITION, T.IntegerType()), T.StructField(PART, T.IntegerType()), T.StructField(BATCH, T.StringType())]
+        rows = self.spark.read.schema(T.StructType([*own, *folders])).parquet(self._at(name, version))
+        return rows.withColumns({TABLE: F.lit(name), VERSION: F.lit(version)})
+
+    def rows(self, name: str) -> DataFrame:
+        """All rows of a table in its newest schema, with their part."""
+        newest = self._newest(name)
+        target = self._schema(name, newest).fields
+
+        def then(field: T.StructField, version: int) -> Column:
+            own = _name_at(field, version)
+            return (F.lit(None) if own is None else F.col(own)).cast(field.dataType).alias(field.name)
+
+        frames = [self._stored(name, v).select(*[F.col(f.name) if v == newest else then(f, v) for f in target], PART) for v in self.versions(name)]
+        return reduce(DataFrame.unionByName, frames)
 
     def read(self, name: str) -> DataFrame:
-        rows = self.read_all(name)
-        gone = self._read_if_there(lambda: self.spark.read.schema("value long, on string, batch string").parquet(f"{self.root}/{name}/removed"))
-        if gone is not None:
-            for c in KEY_COLUMNS:
-                if c in rows.columns:
-                    keys = gone.filter(F.col("on") == c).select(F.col("value").alias("_bv_gone"))
-                    rows = rows.join(keys, rows[c].cast("long") == keys["_bv_gone"], "left_anti")
-        return rows
-
-    def next_id_base(self, name: str, without_batch: str | None = None) -> DataFrame:
-        """One row: the largest Id ever written (NULL if none)."""
-        return self.read_all(name, without_batch).select(F.max("Id").alias("Id"))
-
-    # ---- write ----------------------------------------------------------
-    def _write_batch(self, name: str, df: DataFrame, layout: dict, batch: str | None) -> None:
-        by, sort = layout["partition_by"], layout["sort_within"]
-        out = df.select(*T.StructType.fromJson(layout["schema"]).names)
-        if sort:
-            # range partitioning on (folders, sort keys): balanced tasks, each
-            # writing a few folders, never one task per folder value
-            out = out.repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
-        # a named batch that is written again replaces itself
-        w = out.write.mode("overwrite" if batch else "errorifexists")
-        w = w.partitionBy(*by) if by else w
-        w.parquet(f"{self.root}/{name}/rows/batch={batch or uuid.uuid4().hex}")
-
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
-        """Create the table ``name`` with the rows of ``df``; raises if the
-        table is there."""
-        if self.has(name):
-            raise ValueError(f"table {name!r} is already in store {self.root}")
-        layout = {"schema": df.schema.jsonValue(), "partition_by": list(partition_by or []), "sort_within": list(sort_within or [])}
-        self._write_batch(name, df, layout, None)
-        self.spark.createDataFrame([(json.dumps(layout, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/{name}/layout")
-        return self.read(name)
-
-    def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
-        """Add rows, in the layout of the table; only they are written.  With
-        ``batch``, a repeated append of this name replaces the first."""
-        self._write_batch(name, df, self._layout(name), batch)
-        return self.read(name)
+        return self.rows(name).drop(PART)
+
+    # ---- write -----------------------------------------------------------------
+    def _laid_out(self, name: str, df: DataFrame, batch: str) -> tuple[DataFrame, list[str]]:
+        """Rows with their folders, and the columns that they are sorted by."""
+        version = self._newest(name)
+        fields = self._schema(name, version).fields
+        key = next((f for f in fields if _KEY in f.metadata), None)
+        part = F.col(PART) if PART in df.columns else self.part_of(F.col(key.name), key) if key else F.lit(0)
+        position = F.col(POSITION).cast("int") if POSITION in df.columns else F.lit(0)
+        sort = [f.name for f in sorted((f for f in fields if _SORT in f.metadata), key=lambda f: f.metadata[_SORT])]
+        own = [F.col(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name != POSITION]
+        folders = [F.lit(name).alias(TABLE), F.lit(version).alias(VERSION), position.alias(POSITION), part.cast("int").alias(PART), F.lit(batch).alias(BATCH)]
+        return df.select(*own, *folders), sort or [key.name if key else fields[0].name]
+
+    @staticmethod
+    def part_of(value: Column, key: T.StructField) -> Column:
+        return F.pmod(F.xxhash64(value.cast(key.dataType)), F.lit(key.metadata[_KEY]))
+
+    def append(self, name: str, df: DataFrame, batch: str | None = None) -> None:
+        """Add rows.  With ``batch``, a repeated append of this name replaces
+        the first."""
+        self.append_together({name: df}, batch)
+
+    def append_together(self, tables: Mapping[str, DataFrame], batch: str | None = None) -> None:
+        """Add rows to several tables by one write, so that they are seen
+        together.  Columns that two of the tables share have one type."""
+        batch = batch or uuid.uuid4().hex
+        self._write([self._laid_out(name, df, batch) for name, df in tables.items()])
+
+    def _write(self, laid: list[tuple[DataFrame, list[str]]]) -> None:
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df for df, _ in laid])
+        # ranges of (folders, sort columns): balanced tasks of few folders each, never one task a folder
+        by = [*FOLDERS, *dict.fromkeys(c for _, sort in laid for c in sort if c not in FOLDERS)]
+        out = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS).parquet(self.root)
 
     def delete_rows(self, name: str, keys: DataFrame, on: str) -> int:
         """Remove the rows whose column ``on`` is among those of ``keys``;
         returns their number."""
-        if on not in KEY_COLUMNS:
-            raise ValueError(f"rows are deleted by one of {KEY_COLUMNS}")
-        own = keys.select(F.col(on).cast("long").alias("value")).distinct()
-        removed = self.read(name).join(own, F.col(on).cast("long") == F.col("value"), "left_semi").count()
-        if removed:
-            own.withColumn("on", F.lit(on)).write.mode("errorifexists").partitionBy("on").parquet(f"{self.root}/{name}/removed/batch={uuid.uuid4().hex}")
+        return self.delete_together({name: (keys, on)})[name]
+
+    def delete_together(self, tables: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
+        """Remove rows of several tables by one write of the folders that hold
+        such rows.  ``keys`` with a column ``bv_part`` say in which parts."""
+        removed, left, hit = dict.fromkeys(tables, 0), [], []
+        for name, (keys, on) in tables.items():
+            for version in self.versions(name):
+                field = next(f for f in self.schema(name).fields if f.name == on)
+                own = _name_at(field, version)
+                if own is None:
+                    continue
+                stored = self._stored(name, version)
+                key = next(f for f in self._schema(name, version).fields if f.name == own)
+                parts = keys.select(F.col(PART) if PART in keys.columns else self.part_of(F.col(on), key)) if PART in keys.columns or _KEY in key.metadata else None
+                if parts is not None:  # at most as many as the table has parts
+                    stored = stored.filter(F.col(PART).isin([r[0] for r in parts.distinct().collect()]))
+                wanted = keys.select(F.col(on).cast(key.dataType).alias("_bv_gone")).distinct()
+                same = stored[own] == wanted["_bv_gone"]
+                touched = stored.join(wanted, same, "left_semi").groupBy(*FOLDERS).count().collect()  # one row a folder
+                if not touched:
+                    continue
+                removed[name] += sum(r["count"] for r in touched)
+                hit += [tuple(r[c] for c in FOLDERS) for r in touched]
+                where = reduce(lambda a, b: a | b, [(F.col(POSITION) == p) & (F.col(PART) == q) & (F.col(BATCH) == b) for _, _, p, q, b in {tuple(r[c] for c in FOLDERS) for r in touched}])
+                sort = [f.name for f in self._schema(name, version).fields if _SORT in f.metadata] or [own]
+                left.append((stored.filter(where).join(wanted, same, "left_anti"), sort))
+        if hit:
+            # the rows that stay are kept aside first: their folders are about to be replaced
+            left = [(df.checkpoint(), sort) for df, sort in left]
+            self._write(left)
+            stay = {tuple(r) for df, _ in left for r in df.select(*FOLDERS).distinct().collect()}
+            for folder in set(hit) - stay:
+                files.remove(self.spark, self._at(*folder))
         return removed
 
-    def copy_to(self, root: str, names: list[str]) -> Store:
-        """A new store at ``root`` with the rows that are left, one batch to a
-        table; for stores of many small batches or many removed rows."""
+    def copy_to(self, root: str, names: Sequence[str]) -> Store:
+        """A new store at ``root`` with the same rows in few files; for stores
+        of many small appends."""
         other = Store(self.spark, root)
         for name in names:
-            layout = self._layout(name)
-            other.write(name, self.read(name), layout["partition_by"], layout["sort_within"])
+            fields = self.schema(name).fields
+            other._set_schema(name, 0, [T.StructField(f.name, f.dataType, True, {k: v for k, v in f.metadata.items() if k != _NAMES}) for f in fields], "errorifexists")
+            other.append(name, self.rows(name))
+            end = self._claimed(name)[1]
+            if end is not None:
+                files.create_new(self.spark, f"{other.root}/ids/{name}/{1:012d}", f"{end} {uuid.uuid4().hex}")
         return other
 
+    # ---- ids -------------------------------------------------------------------
+    def _claimed(self, name: str) -> tuple[int, int | None]:
+        """Number of the last claim, and the last Id that is claimed."""
+        held = [x for x in files.names(self.spark, f"{self.root}/ids/{name}") if not x.startswith(".")]
+        return (int(held[-1]), int(files.read_text(self.spark, f"{self.root}/ids/{name}/{held[-1]}").split()[0])) if held else (0, None)
+
+    def reserve(self, name: str, n: int, tag: str | None = None) -> int:
+        """Claim ``n`` Ids of a table for this writer: it may use the Ids after
+        the returned number.  A repeated call with the same ``tag`` returns the
+        same range."""
+        if tag is not None:
+            note = f"{self.root}/ids/{name}-{tag}"
+            if files.read_text(self.spark, note) is None:
+                files.create_new(self.spark, note, str(self.reserve(name, n)))
+            return int(files.read_text(self.spark, note))
+        while True:
+            number, end = self._claimed(name)
+            if end is None:
+                end = self.read(name).agg(F.max("Id")).first()[0] or 0
+            if files.create_new(self.spark, f"{self.root}/ids/{name}/{number + 1:012d}", f"{end + n} {uuid.uuid4().hex}"):
+                return end
+
 
 _CACHE: dict[tuple[int, str], TestdataStore] = {}
 _LOCK = threading.Lock()
 
 
-class TestdataStore(Store):
-    """A store whose tables are built from the driver's parquet tables on
-    first use (one Spark job per table), then read back as parquet."""
+class TestdataStore:
+    """Tables built from the driver's parquet tables on first use (one Spark
+    job a table), then read back as parquet."""
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
-        super().__init__(spark, root)
-        self.sf_dir = sf_dir.rstrip("/")
-        self._built: set[str] = set()
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self.root = scratch_path(spark, "tables").rstrip("/")
+        self._built: dict[str, T.StructType] = {}
 
     def get(self, name: str) -> DataFrame:
+        at = f"{self.root}/{name}"
         if name not in self._built:
             from . import tables
 
             df, layout = tables.BUILDERS[name](self.spark, self.sf_dir)
-            self.write(name, df, **layout)
-            self._built.add(name)
-        return self.read(name)
+            folders, sort = layout.get("partition_by", []), layout.get("sort_within", [])
+            out = df.repartitionByRange(*folders, *sort).sortWithinPartitions(*folders, *sort) if sort else df
+            out.write.partitionBy(*folders).parquet(at)
+            self._built[name] = df.schema
+        schema = self._built[name]
+        return self.spark.read.schema(schema).parquet(at).select(*schema.names)
 
 
 def testdata_store(spark: SparkSession, sf_dir: str) -> TestdataStore:

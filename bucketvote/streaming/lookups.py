@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.batch import vote_join
-from ..operators.catalog import insert_hashes
 from ..plans.strategy import DEFAULT_PLAN, VoteJoinPlan
+from ..sources.ingest import insert_slices
 
 
 def stream_vote_lookups(
@@ -57,15 +57,16 @@ def stream_insert_hashes(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append hashed slices arriving on a stream to the store's ``slices``
-    table: one batch of the table per micro-batch, named after the stream's
-    checkpoint and the batch id, so a replayed micro-batch replaces its rows
-    (with the same Ids: they follow the largest Id of all other batches)."""
+    """Append hashed slices arriving on a stream to a store: each micro-batch
+    goes through ``sources.ingest.insert_slices``, as any other insert, so its
+    slices are checked, and found by lookups as soon as they are there.  The
+    batch is named after the stream's checkpoint and the batch id: a replayed
+    micro-batch has the same Ids and replaces its rows.  Rows that break a
+    constraint end the stream with ``ConstraintError``."""
     stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        name = f"stream-{stream}-{batch_id}"
-        store.append("slices", insert_hashes(store.next_id_base("slices", name), batch, order), batch=name)
+        insert_slices(store, batch, order, batch=f"stream-{stream}-{batch_id}")
 
     w = hashed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
