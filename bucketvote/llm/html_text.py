@@ -6,11 +6,19 @@ of stop words: good, bad, or (short or in between) undecided.  In the second
 pass an undecided block takes the label of the nearest decided block of its
 section; of two equally near ones, good wins.  A section without any decided
 block counts as good if it is an article or the page has no article at all.
+Stop words say nothing about a page in a language that has none of those
+listed; there length and links decide, as in an article.
 
 Containers that are never main text (menus, headers, footers, sidebars,
 forms, notices, adverts, reader comments) are known by their tag, their role
-or a word of their class or id.  In an article only length and links count,
-since whatever prose it has belongs to it.
+or a name among their classes or their id.  A name counts if it is such a word
+(``sidebar``), ends in one (``site-footer``) or begins with one and goes on
+with words of layout (``comment-list``, ``nav-2``), but not if it says what a
+page has or lacks (``has-sidebar``).  In an article only what cannot belong to
+it counts, and ``main``, or a container with the id of the page's content, is
+never judged by its classes.  Of a page where this leaves nothing, the names
+are disregarded.  In an article only length and links count, since whatever
+prose it has belongs to it.
 
 Nulls: a null page has the empty text.  Markup that is cut off or wrongly
 nested is read as far as it goes; nothing is dropped for its length.
@@ -44,13 +52,29 @@ STOP_WORDS = frozenset(
 )
 # What containers are called.
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
-OTHER_WORDS = frozenset(
-    "ad ads advert advertisement advertising adverts alert alerts aside banner breadcrumb breadcrumbs byline comment comments"
-    " commentlist consent cookie cookies copyright disclaimer discussion disqus footer footnote form gdpr header legal login masthead"
-    " menu modal nav navbar navigation newsletter notice notices overlay pager pagination paywall popup promo promoted promotion"
-    " recommended related remark remarks replies reply reviews respond responses search share sharing sidebar signup social sponsor sponsored subscribe"
-    " subscription teaser toolbar widget".split()
+#: ... of what never belongs to an article,
+COMMENT_WORDS = frozenset("comment comments commentlist disqus remark remarks replies reply respond responses".split())
+ADVERT_WORDS = frozenset("ad ads advert advertisement advertising adverts promo promoted promotion sponsor sponsored".split())
+INSIDE_WORDS = (
+    COMMENT_WORDS
+    | ADVERT_WORDS
+    | frozenset(
+        "alert alerts aside banner breadcrumb breadcrumbs consent cookie cookies footer form gdpr login menu modal nav navbar navigation"
+        " newsletter notice notices overlay pager pagination paywall popup search sidebar signup subscribe subscription toolbar".split()
+    )
 )
+#: and of what does not belong to the main text elsewhere.
+OTHER_WORDS = INSIDE_WORDS | frozenset(
+    "byline copyright disclaimer discussion footnote header legal masthead recommended related reviews share sharing social teaser widget".split()
+)
+#: Words that only say where or what kind of box it is, and words after which a
+#: name says what a page has or lacks.
+LAYOUT_WORDS = frozenset(
+    "area articles bar block body bottom box col column container content entries entry form group inline inner item items label left link"
+    " links list main menu nav outer panel posts primary right row secondary section slot stories text title top unit widget widgets wrap wrapper".split()
+)
+MODIFIERS = frozenset("has is no not show hide with without".split())
+CONTENT_IDS = frozenset("article content main maincontent".split())
 _OTHER_TAGS = frozenset("nav header footer aside form menu dialog button select option label fieldset datalist".split())
 _OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _CONTAINERS = frozenset("div section article main nav header footer aside form menu dialog ul ol table figure details fieldset body td".split())
@@ -59,15 +83,16 @@ _BLOCKS = _CONTAINERS | frozenset(
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|textarea|title|xmp)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|iframe|textarea|title|xmp)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?(?=[\s/]|$)", re.I)
+#: Elements whose content is no text; one that is never closed is passed over.
+_HOLLOW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "template object svg math canvas audio video".split()}
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORD = re.compile(r"[a-z]+")
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Block(NamedTuple):
@@ -77,34 +102,47 @@ class Block(NamedTuple):
     section: int
 
 
-def _kind(tag: str, attrs: str, outer: str) -> str:
+def _named(names: list[str], words: frozenset) -> bool:
+    """Whether one of a container's names is of these words."""
+    for name in names:
+        parts = _WORD.findall(name)
+        if parts and not (parts[0] in MODIFIERS and len(parts) > 1):
+            if parts[-1] in words or parts[0] in words and all(p in LAYOUT_WORDS for p in parts[1:]):
+                return True
+    return False
+
+
+def _kind(tag: str, attrs: str, outer: str, by_name: bool) -> str:
     """The kind of a container, given what it lies in."""
     if outer == "other":
         return outer
-    words: set[str] = set()
+    own: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(attrs):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return "other"
-        if name == "role" and (value in _OTHER_ROLES or value == "main"):
-            return "article" if value == "main" else "other"
-        if name in ("class", "id"):
-            words.update(_WORD.findall(value))
-    if tag in _OTHER_TAGS and not (tag == "header" and outer == "article"):
+        own.setdefault(name.lower(), value.strip("\"'").lower())
+    if "hidden" in own or own.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", own.get("style", "")):
+        return "other"
+    role = own.get("role")
+    if role in _OTHER_ROLES or tag in _OTHER_TAGS and not (tag == "header" and outer == "article"):
         return "other"
-    if tag in ("article", "main"):
-        return "other" if words & {"comment", "comments", "reply"} else "article"
-    if tag != "body" and words & OTHER_WORDS:
+    names = [*own.get("class", "").split(), *own.get("id", "").split()]
+    if tag == "main" or role == "main":
+        return "article"
+    if tag == "article" or role == "article":
+        return "other" if by_name and _named(names, COMMENT_WORDS | ADVERT_WORDS) else "article"
+    whole = "".join(_WORD.findall(own.get("id", ""))) in CONTENT_IDS
+    if by_name and tag != "body" and not whole and _named(names, INSIDE_WORDS if outer == "article" else OTHER_WORDS):
         return "other"
-    return "article" if tag in ("div", "section", "td") and words & ARTICLE_WORDS else outer
+    words = {w for n in names for w in _WORD.findall(n)}
+    return "article" if tag in ("div", "section", "td") and (whole or words & ARTICLE_WORDS and not words & MODIFIERS) else outer
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, by_name: bool = True) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
     stack: list[tuple[str, str, int]] = [("", "plain", 0)]
     parts: list[str] = []
     sections = linked = link_depth = at = 0
+    open_ended: set[str] = set()  # hollow elements that are closed nowhere further on
 
     def close() -> None:
         nonlocal linked
@@ -121,7 +159,7 @@ def blocks(page: str) -> list[Block]:
         if link_depth:
             linked += len("".join(text.split()))
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -129,7 +167,14 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
-        if tag == "a":
+        if tag in _HOLLOW:
+            if not m["end"] and not m["attrs"].endswith("/") and tag not in open_ended:
+                closed = _HOLLOW[tag].search(page, at)
+                if closed:
+                    at = closed.end()
+                else:
+                    open_ended.add(tag)
+        elif tag == "a":
             link_depth = 0 if m["end"] else 1
         elif tag == "br":
             parts.append(" ")
@@ -143,7 +188,7 @@ def blocks(page: str) -> list[Block]:
                             del stack[i:]
                             break
                 elif not m["attrs"].endswith("/"):
-                    kind = _kind(tag, m["attrs"], stack[-1][1])
+                    kind = _kind(tag, m["attrs"], stack[-1][1], by_name)
                     if kind != stack[-1][1]:
                         sections += 1
                         stack.append((tag, kind, sections))
@@ -155,7 +200,11 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _label(block: Block, has_article: bool) -> bool | None:
+def _stops(words: list[str]) -> int:
+    return sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words)
+
+
+def _label(block: Block, has_article: bool, known: bool) -> bool | None:
     """First pass: good, bad or undecided."""
     if block.kind == "other" or has_article and block.kind != "article":
         return False
@@ -164,19 +213,25 @@ def _label(block: Block, has_article: bool) -> bool | None:
         return False
     if len(words) < SHORT:
         return False if "©" in block.text and block.kind != "article" else None
-    if block.kind == "article":
+    if block.kind == "article" or not known:
         return True
-    stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / len(words)
+    stops = _stops(words) / len(words)
     if stops >= MANY_STOPS:
         return True
     return None if stops >= FEW_STOPS or len(words) < LONG else False
 
 
 def main_blocks(page: str) -> list[str]:
-    """Both passes: the blocks of a page that are main text."""
-    found = blocks(page)
+    """The blocks of a page that are main text."""
+    return _main(blocks(page)) or _main(blocks(page, by_name=False))
+
+
+def _main(found: list[Block]) -> list[str]:
+    """Both passes."""
     has_article = any(b.kind == "article" for b in found)
-    labels = [_label(b, has_article) for b in found]
+    plain = [w for b in found if b.kind == "plain" for w in b.text.split()]
+    known = _stops(plain) >= FEW_STOPS * len(plain)  # the page is in a language with stop words
+    labels = [_label(b, has_article, known) for b in found]
     far = len(found) + 1
     before, after = [(far, False)] * len(found), [(far, False)] * len(found)
     for near, order in ((before, range(len(found))), (after, range(len(found) - 1, -1, -1))):
