@@ -12,22 +12,38 @@ their host.  Only urls without a rule of their own meet the components.
 
 Nulls: a null url, or one without ``://``, has an empty host and path, fits no
 rule and has no aliases; it is allowed.  A null html has no edges.  Repeated
-pages are judged alike.
+pages are judged alike.  Links are read as a browser does: quoted attributes
+may hold ``>``, character references are decoded, relative links and dot
+segments are resolved, from the page's ``base`` if it has one.
 """
 
 from __future__ import annotations
 
+import html
+import re
 import string
+from collections.abc import Iterator
+from urllib.parse import urljoin
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import bounded_batches, let
+from .text import bounded_batches, slices, utf8
 
 #: Rules are broadcast up to this many, and joined by shuffles beyond.
 BROADCAST_RULES = 10_000
-_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
+_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_NODE = re.compile(r"\s*([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)([^#]*)")
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<tag>base|link|meta)(?P<attrs>[\s/](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    re.S | re.I,
+)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_REFRESH = re.compile(r"(?is)[;,]\s*url\s*=\s*['\"]?\s*([^'\"]+)")
 
 
 def _part(url: Column, group: int) -> Column:
@@ -44,53 +60,81 @@ def path_of(url: Column) -> Column:
     return _part(url, 2)
 
 
-def node_of(url: Column) -> Column:
-    """The resource a url names: no fragment, http and https alike, an empty
-    path as ``/``; null for what has no host."""
-    return let(url, _node)
-
-
-def _node(url: Column) -> Column:
-    scheme = F.regexp_replace(F.lower(F.regexp_extract(url, r"(?s)^\s*([a-zA-Z][a-zA-Z0-9+.-]*)://", 1)), "^https$", "http")
-    path = F.regexp_replace(path_of(url), r"^\z", "/")
-    return F.concat(F.nullif(scheme, F.lit("")), F.lit("://"), F.nullif(host_of(url), F.lit("")), path, _part(url, 3))
-
-
-def _attribute(tag: str, name: str) -> Column:
-    value = rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-    return F.trim(F.regexp_replace(F.regexp_extract(tag, value, 1), "^[\"']|[\"']$", ""))
-
-
-def page_links(pages: DataFrame) -> DataFrame:
-    """(u, v): resources that pages of (url, html) redirect to by a meta
-    refresh or name as canonical, outside comments and scripts."""
-    shown = F.regexp_replace("html", r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b.*?(?:</\1\s*>|\z)", " ")
-    tags = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select(
-        "url", F.explode(F.regexp_extract_all(shown, F.lit(r"(?is)<(?:link|meta)\s[^>]*>"), F.lit(0))).alias("tag")
-    )
-    refresh = F.regexp_extract(_attribute("tag", "content"), r"(?is)[;,]\s*url\s*=\s*['\"]?\s*([^'\"]+)", 1)
-    found = tags.select(
-        "url",
-        F.when(F.lower(_attribute("tag", "rel")).rlike(r"(^|\s)canonical(\s|$)"), _attribute("tag", "href"))
-        .when(F.lower(_attribute("tag", "http-equiv")) == "refresh", refresh)
-        .alias("link"),
-    ).filter("link != ''")
-    to = let(F.struct(F.col("url").alias("url"), F.regexp_replace("link", r"(?i)&(amp|#38|#x26);", "&").alias("link")), _absolute)
-    return found.select(node_of(F.col("url")).alias("u"), node_of(to).alias("v")).filter("u != v").distinct()
-
-
-def _absolute(seen: Column) -> Column:
-    """A link as an absolute url, seen from its page; null within the page."""
-    link, url = seen["link"], seen["url"]
-    scheme = F.regexp_extract(url, r"(?s)^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    root, folder = F.concat(scheme, F.lit("://"), _part(url, 1)), F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
-    return (
-        F.when(link.rlike(r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(root, link))
-        .when(link.startswith("?"), F.concat(root, path_of(url), link))
-        .when(~link.startswith("#"), F.concat(root, F.regexp_replace(folder, r"^\z", "/"), link))
-    )
+def node_of(url: str | None) -> str | None:
+    """The resource a url names: no fragment, http and https alike, dot
+    segments resolved, an empty path as ``/``; None for what has no host."""
+    m = _NODE.match(url or "")
+    if not m or not m[2]:
+        return None
+    scheme, host, path = m[1].lower(), m[2].translate(_LOWER), m[3] or "/"
+    if "/." in path or "/%2" in path:
+        kept: list[str] = []
+        for part in path.split("/")[1:]:
+            name = part.lower().replace("%2e", ".")
+            if name == "..":
+                kept[-1:] = []
+            elif name != ".":
+                kept.append(part)
+        path = "/" + "/".join(kept) + ("/" if kept and name in (".", "..") else "")
+    return f"{'http' if scheme == 'https' else scheme}://{host}{path}{m[4]}"
+
+
+def links_of(url: str | None, page: str | None) -> list[str]:
+    """Absolute urls that a page redirects to by a meta refresh or names as
+    canonical, outside comments, scripts, styles and templates, seen from the
+    page's base."""
+    base, found = url, []
+    for m in _TAG.finditer(page or ""):
+        if not m["tag"]:
+            continue
+        own: dict[str, str] = {}
+        for name, value in _ATTRIBUTE.findall(m["attrs"]):
+            own.setdefault(name.lower(), html.unescape(value.strip("\"'") if value[:1] in "\"'" else value))
+        tag = m["tag"].lower()
+        if tag == "base" and base is url and own.get("href", "").strip():
+            base = _joined(url, own["href"])
+        elif tag == "link" and "canonical" in own.get("rel", "").lower().split():
+            found.append(own.get("href", ""))
+        elif tag == "meta" and own.get("http-equiv", "").strip().lower() == "refresh":
+            to = _REFRESH.search(own.get("content", ""))
+            found.append(to[1] if to else "")
+    return [to for link in found if link.strip() and (to := _joined(base, link))]
+
+
+def _joined(base: str | None, link: str) -> str | None:
+    link = re.sub(r"[\t\n\r]", "", link.strip())
+    try:
+        return urljoin(base or "", link)
+    except ValueError:  # not a url, such as an open bracket for a host
+        return None
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The node of each row's url, and the nodes that its html links to."""
+    for batch in slices(batches, "html"):
+        rest = [i for i, c in enumerate(batch.schema.names) if c != "html"]
+        urls = batch.column("url").to_pylist()
+        nodes = [node_of(u) for u in urls]
+        to = []
+        for u, own, page in zip(urls, nodes, batch.column("html").to_pylist()):
+            seen = {node_of(x) for x in links_of(u, page.decode(errors="replace"))} if own and page else set()
+            to.append(sorted(x for x in seen if x and x != own))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in rest), pa.array(nodes, pa.string()), pa.array(to, pa.list_(pa.string()))], names=[*(batch.schema.names[i] for i in rest), "node", "links"]
+        )
+
+
+def located(pages: DataFrame) -> DataFrame:
+    """page_id, url, node and links of (page_id, url, html).  Only html that
+    can hold a link leaves the JVM."""
+    page_id = next(f.dataType.simpleString() for f in pages.schema if f.name == "page_id")
+    rows = pages.select("page_id", "url", F.when(F.col("html").rlike("(?i)canonical|refresh"), utf8("html")).alias("html"))
+    return rows.mapInArrow(_located, f"page_id {page_id}, url string, node string, links array<string>")
+
+
+def _redirects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in batch.column(c).to_pylist()], pa.string()) for c in ("from_url", "to_url")], names=["u", "v"])
 
 
 def fitting_rules(urls: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,12 +158,13 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     comes from an alias).  ``rules`` has verdict, host and path; ``redirects``
     may add edges (from_url, to_url) to those in the pages' html."""
     bounded_batches(pages.sparkSession)
-    own = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"))
+    found = located(pages).checkpoint()  # narrow rows, read twice: the html is scanned once
+    own = found.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "node")
     places = own.select("host", "path").distinct()
     ruled = fitting_rules(places, rules, ["host", "path"])
-    edges = page_links(pages.select("url", "html"))
+    edges = found.select(F.col("node").alias("u"), F.explode("links").alias("v"))
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(node_of(F.col("from_url")).alias("u"), node_of(F.col("to_url")).alias("v")))
+        edges = edges.unionByName(redirects.select("from_url", "to_url").mapInArrow(_redirects, "u string, v string"))
     rooted = components(edges).checkpoint()
     # resources of a component that a rule blocks, then all members of such a component
     nodes = rooted.select("node", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path"))

@@ -79,6 +79,34 @@ def test_long_chains_and_empty_tables(spark):
     assert UF.judge(spark.createDataFrame(chain, PAGES), spark.createDataFrame([], RULES)).filter("verdict = 'allow'").count() == 50
 
 
+@pytest.mark.parametrize(
+    "url,page,node",
+    [
+        ("http://a.net/x/p", LINK % "../q", "http://a.net/q"), ("http://a.net/x/p", LINK % "./q/./r", "http://a.net/x/q/r"), ("http://a.net/x", LINK % "../../..", "http://a.net/"),
+        ("http://a.net/x/p", LINK % "caf&eacute;&#47;&#x62;", "http://a.net/x/café/b"), ("http://a.net/", LINK % "/b?u=1&amp;v=2#f", "http://a.net/b?u=1&v=2"),
+        ("http://a.net/", "<link title='a > b' data-x=\"'>\" rel=canonical href=/c>", "http://a.net/c"), ("https://A.net", LINK % "//B.Net", "http://b.net/"),
+        ("http://a.net/x", "<base href='http://c.net/y/'>" + LINK % "z", "http://c.net/y/z"), ("http://a.net/x", LINK % "?p=2", "http://a.net/x?p=2"),
+        ("http://a.net/x", LINK % "https://d.net/a/b/../%2E%2e/e/.", "http://d.net/e/"), ("http://a.net/x", '<META HTTP-EQUIV="refresh" CONTENT="5;URL=\'y\'">', "http://a.net/y"),
+        ("http://a.net/x", LINK % " \n/sp\tace ", "http://a.net/space"), ("http://a.net/x", "<link rel=canonical/href=/no><link data-rel=canonical href=/no>", None),
+        ("http://a.net/x", LINK % "http://[bad", None), ("http://a.net/x", "<template>" + LINK % "/t" + "</template>", None), ("http://a.net/" + "y" * 200_000, LINK % ("z" * 100_000), "http://a.net/" + "z" * 100_000),
+    ],
+)
+def test_links_as_a_browser_reads_them(url, page, node):
+    assert [UF.node_of(x) for x in UF.links_of(url, page)] == ([node] if node else [])
+
+
+def test_components_of_many_edges(spark):
+    """A hub of 60,000, a chain of 200, a tree and pairs: about 10**5 edges."""
+    from bucketvote.llm.components import components
+
+    hub = spark.range(1, 60_001).select(F.lit("hub").alias("u"), F.concat(F.lit("leaf"), F.col("id").cast("string")).alias("v"))
+    chain = spark.range(200).select(F.format_string("n%03d", "id").alias("u"), F.format_string("n%03d", F.col("id") + 1).alias("v"))
+    tree = spark.range(1, 20_000).select(F.format_string("t%05d", F.floor(F.col("id") / 3)).alias("u"), F.format_string("t%05d", "id").alias("v"))
+    pairs = spark.range(20_000).select(F.format_string("p%05da", "id").alias("u"), F.format_string("p%05db", "id").alias("v"))
+    found = components(hub.union(chain).union(tree).union(pairs)).withColumn("kind", F.substring("root", 1, 1)).groupBy("kind").agg(F.countDistinct("root").alias("roots"), F.count("*").alias("nodes"))
+    assert {r["kind"]: (r["roots"], r["nodes"]) for r in found.collect()} == {"h": (1, 60_001), "n": (1, 201), "t": (1, 20_000), "p": (20_000, 40_000)}
+
+
 LONG = "This is the first of the long paragraphs, which has so many words in it that it is good."
 PAGE = f"""<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><h1>Site name</h1></header><nav><ul><li><a href=/>Home</a></ul></nav><div class="cookie-notice">{LONG}</div>
