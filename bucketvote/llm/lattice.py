@@ -69,6 +69,38 @@ def chunks_of(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+class _Step:
+    """A piece of a path that is grown from a chunk's end, by its length.
+    Steps are in the order of the lengths of their paths, from the end; a
+    second pointer, further back, finds where two paths part in logarithmic
+    time."""
+
+    __slots__ = ("before", "depth", "far", "length")
+
+    def __init__(self, length: int, before: _Step | None):
+        self.length, self.before = length, before
+        if before is None:
+            self.depth, self.far = 0, self
+        else:
+            self.depth, far = before.depth + 1, before.far
+            self.far = far.far if before.depth - far.depth == far.depth - far.far.depth else before
+
+    def _back(self, depth: int) -> _Step:
+        at = self
+        while at.depth > depth:
+            at = at.far if at.far.depth >= depth else at.before
+        return at
+
+    def __lt__(self, other: _Step) -> bool:
+        depth = min(self.depth, other.depth)
+        a, b = self._back(depth), other._back(depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.before is not b.before:
+            a, b = (a.far, b.far) if a.far is not b.far else (a.before, b.before)
+        return a.length < b.length
+
+
 class Lattice:
     """Looks up the pieces of a vocabulary in chunks."""
 
@@ -219,65 +251,66 @@ class Lattice:
         """The ``n`` best segmentations (score, ids), best first, by backward
         A* whose heuristic is the forward Viterbi score, which is exact: every
         entry taken from the heap lies on one of the best paths left.  Equal
-        scores go by the lengths of the pieces from the last one, short first."""
-        into, ahead = self._into(chunk)
-        if len(ahead) > 512:
-            return self._by_lists(into, n)
-        heap = [(-ahead[-1], (), len(ahead) - 1, 0)]
+        scores go by the lengths of the pieces from the last one, short first.
+
+        An entry is one step with a pointer to the step before it, and only a
+        step's best way on and its next sibling are put on the heap, so a
+        chunk of any length is searched in space linear in it."""
+        into = self.ways_into(chunk)
+        size = len(chunk) + (chunk[:1] != "\n")
+        ahead = [0]
+        for t in range(1, size + 1):
+            ahead.append(max((ahead[t - L] + w for L, w, _ in into(t)), default=NONE))
+
+        def ways(at: int) -> list[tuple[int, int, int]]:
+            """(minus the best score by way of the edge, its length, its weight)."""
+            return sorted((-(ahead[at - L] + w), L, w) for L, w, _ in into(at) if ahead[at - L] > NONE)
+
+        def push(before: _Step, at: int, done: int, rank: int) -> None:
+            held = ways(at)
+            if rank < len(held):
+                minus, L, w = held[rank]
+                heapq.heappush(heap, (minus - done, _Step(L, before), at, done, w, rank))
+
+        heap: list = []
         out: list[tuple[int, list[int]]] = []
+        if size:
+            push(_Step(0, None), size, 0, 0)
+        else:
+            out.append((0, []))
         while heap and len(out) < n:
-            _, path, at, done = heapq.heappop(heap)
-            if not at:
-                out.append((done, self._ids(into, path, len(ahead) - 1)))
-                continue
-            for L, w, _ in into[at]:
-                if ahead[at - L] > NONE:
-                    heapq.heappush(heap, (-(ahead[at - L] + w + done), (*path, L), at - L, done + w))
+            _, step, at, done, w, rank = heapq.heappop(heap)
+            push(step.before, at, done, rank + 1)
+            if at > step.length:
+                push(step, at - step.length, done + w, 0)
+            else:
+                out.append((done + w, self._ids(into, step)))
         return out
 
-    def _into(self, chunk: str):
-        """Edges into each position as (length, weight, ids), shortest first,
-        and the forward Viterbi scores."""
+    def ways_into(self, chunk: str):
+        """Edges into each position as (length, weight, ids), shortest first."""
         marked = chunk if chunk[:1] == "\n" else MARK + chunk
-        masked = marked[0] + marked[1:].replace(MARK, "\n")  # a line feed is in no piece
-        into: list[list[tuple[int, int, list[int]]]] = [[]]
-        ahead = [0]
-        for t in range(1, len(marked) + 1):
-            own = []
+        masked = marked[:1] + marked[1:].replace(MARK, "\n")  # a line feed is in no piece
+
+        def into(t: int):
             for L in range(1, min(t, self.longest) + 1):
                 got = self.by_piece.get(masked[t - L : t])
                 if got is not None:
-                    own.append((L, got[1], [got[0]]))
+                    yield L, got[1], [got[0]]
                 elif L == 1:
                     spelt = [int(self.vocabulary.byte_ids[b]) for b in marked[t - 1].encode()]
-                    own.append((1, len(spelt) * self.vocabulary.byte_weight, spelt))
-            into.append(own)
-            ahead.append(max((ahead[t - L] + w for L, w, _ in own), default=NONE))
-        return into, ahead
+                    yield 1, len(spelt) * self.vocabulary.byte_weight, spelt
+
+        return into
 
     @staticmethod
-    def _ids(into, lengths, at: int) -> list[int]:
-        out = []
-        for L in lengths:
-            out.append(next(ids for k, _, ids in into[at] if k == L))
-            at -= L
-        return [i for ids in reversed(out) for i in ids]
-
-    def _by_lists(self, into, n: int) -> list[tuple[int, list[int]]]:
-        """The same for a very long chunk: the n best of each position, in the
-        same order, in time linear in its length."""
-        kept = [[(0, 0, 0)]]
-        for t in range(1, len(into)):
-            own = [(-(kept[t - L][r][0] + w), L, r) for L, w, _ in into[t] for r in range(len(kept[t - L]))]
-            kept.append([(-s, L, r) for s, L, r in heapq.nsmallest(n, own)])
-        out = []
-        for r, (score, _, _) in enumerate(kept[-1]):
-            lengths, at, rank = [], len(into) - 1, r
-            while at:
-                _, L, rank = kept[at][rank]
-                lengths.append(L)
-                at -= L
-            out.append((score, self._ids(into, lengths, len(into) - 1)))
+    def _ids(into, step: _Step) -> list[int]:
+        """Ids of a path, given its first piece."""
+        out, at = [], 0
+        while step.before is not None:
+            at += step.length
+            out += next(ids for k, _, ids in into(at) if k == step.length)
+            step = step.before
         return out
 
     # ---- all paths -------------------------------------------------------

@@ -1,14 +1,14 @@
 """Subword lattice likelihood: a text's probability over all segmentations.
 
 The pieces of an existing vocabulary weigh all segmentations of a word.  The
-starting weights are the vocabulary's own scores; one expectation pass over
-the lattices of all training words (distinct words with their counts) gives
-the expected count of every piece, and these, smoothed with the vocabulary's
-scores, are the weights.  A word's lattice probability is the sum over all its
-segmentations (forward recursion in log space).  A training word adds one edge
-over its whole lattice: tokens have their training share less an absolute
-discount, and the discounted mass goes to the pieces.  A text's probability is
-the product over its words and the end.
+starting weights are the vocabulary's own scores; ``PASSES`` expectation
+passes over the lattices of all training words (distinct words with their
+counts) give the expected count of every piece, and these, with
+``PRIOR_PIECES`` pieces spread by the vocabulary's scores, are the weights.
+The training rows act on the piece weights only.  A word's probability is the
+sum over all its segmentations (forward recursion in log space), and a text's
+is the product over its words and the end, which is drawn like a piece: the
+texts' share of all training pieces and ends.
 
 Work goes by distinct word: words are counted over the training texts and
 scored once each.  Texts then meet their words' scores: the most frequent
@@ -36,8 +36,8 @@ from .text import LOWER, bounded_batches, slices, utf8
 
 #: Bounds of the broadcast word table.
 FREQUENT, FREQUENT_BYTES = 65_536, 64
-#: Weight of the vocabulary's own scores, in pieces.
-PRIOR_PIECES = 1000.0
+#: Weight of the vocabulary's own scores, in pieces, and expectation passes.
+PRIOR_PIECES, PASSES = 1000.0, 2
 #: Words a task holds before it passes its counts on, and words solved at once.
 HELD_WORDS, AT_ONCE = 400_000, 20_000
 
@@ -88,14 +88,11 @@ def _expected(vocabulary, logs):
 
 def _scored(vocabulary, logs):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, (by_id, byte, n, discount, log_rest) = Lattice(Vocabulary(*vocabulary.value)), logs.value
+        lattice, (by_id, byte) = Lattice(Vocabulary(*vocabulary.value)), logs.value
         for batch in batches:
             words = _chunks(batch.column("word"))
-            inside = np.concatenate([lattice.marginal(words[i : i + AT_ONCE], by_id, byte) for i in range(0, len(words), AT_ONCE)])
-            with np.errstate(divide="ignore"):
-                whole = np.log(np.maximum(batch.column("n").to_numpy() - discount, 0) / n)
-            score = np.logaddexp(whole, inside + log_rest) / np.log(10)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(score)], names=["word", "n", "score"])
+            score = np.concatenate([lattice.marginal(words[i : i + AT_ONCE], by_id, byte) for i in range(0, len(words), AT_ONCE)]) if words else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(score / np.log(10))], names=["word", "n", "score"])
 
     return of
 
@@ -154,26 +151,29 @@ def word_counts(docs: DataFrame, held: Column) -> DataFrame:
     return rows.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, vocabulary: Vocabulary, prior: float = PRIOR_PIECES) -> tuple[np.ndarray, float]:
-    """Natural logs of the piece weights, by id and of any byte piece, from
-    words and their training counts."""
+def fit(counts: DataFrame, vocabulary: Vocabulary, n_texts: int, prior: float = PRIOR_PIECES, passes: int = PASSES) -> tuple[np.ndarray, float, float]:
+    """Natural logs of the weights of each piece, of any byte piece and of a
+    text's end, from words with their training counts and the training texts'
+    number.  Without training texts the end has one half."""
     spark = counts.sparkSession
     usable = np.array([p is not None for p in vocabulary.pieces])
-    start = np.where(usable, np.exp(vocabulary.weights / SCALE), 0.0)
-    byte = np.exp(vocabulary.byte_weight / SCALE)
-    whole = start.sum() + 256 * byte
-    start, byte = start / whole, byte / whole
-    with np.errstate(divide="ignore"):
-        logs = np.log(start), float(np.log(byte))
+    start = np.append(np.where(usable, np.exp(vocabulary.weights / SCALE), 0.0), 256 * np.exp(vocabulary.byte_weight / SCALE))
+    start /= start.sum()  # the last one: all byte pieces
     shared = spark.sparkContext.broadcast(tuple(vocabulary))
-    seen = counts.filter("n > 0").mapInArrow(_expected(shared, logs), "id int, n double")
-    total = np.zeros(len(start) + 1)
-    for r in seen.groupBy("id").agg(F.sum("n").alias("n")).collect():  # as many rows as the vocabulary has
-        total[r["id"]] = r["n"]
-    whole = total.sum() + prior
-    with np.errstate(divide="ignore"):
-        by_id = np.log((total[:-1] + prior * start) / whole)
-    return by_id, float(np.log((total[-1] / 256 + prior * byte) / whole))
+    weights, ends = start, 0.5
+
+    def logs() -> tuple[np.ndarray, float]:
+        with np.errstate(divide="ignore"):
+            return np.log(weights[:-1]), float(np.log(weights[-1] / 256))
+
+    for _ in range(passes if n_texts else 0):
+        seen = counts.filter("n > 0").mapInArrow(_expected(shared, logs()), "id int, n double")
+        total = prior * start
+        for r in seen.groupBy("id").agg(F.sum("n").alias("n")).collect():  # as many rows as the vocabulary has
+            total[r["id"]] += r["n"]
+        weights, ends = total / total.sum(), n_texts / (total.sum() + n_texts)
+    weights = weights * (1 - ends)
+    return *logs(), float(np.log(ends))
 
 
 def likelihood(docs: DataFrame, held: Column | None = None, vocabulary: str = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
@@ -191,13 +191,11 @@ def likelihood(docs: DataFrame, held: Column | None = None, vocabulary: str = VO
     own = load_vocabulary(vocabulary)
     counts = word_counts(docs, held).checkpoint()
     n_texts = docs.filter(~held).count()
-    seen = counts.agg(F.sum("n").alias("n"), *[F.count_if(x).alias(k) for k, x in (("v", F.col("n") > 0), ("once", F.col("n") == 1), ("twice", F.col("n") == 2))]).first()
+    seen = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n, v = (seen["n"] or 0) + n_texts, seen["v"] + (n_texts > 0)
-    discount = seen["once"] / (seen["once"] + 2 * seen["twice"]) if seen["once"] and seen["twice"] else 0.5
-    # without training texts, a text ends at any place with probability one half
-    rest, end = (discount * v / n, (n_texts - discount) / n) if n_texts else (0.5, 0.5)
     shared = spark.sparkContext.broadcast(tuple(own))
-    model = spark.sparkContext.broadcast((*fit(counts, own), max(n, 1), discount, float(np.log(rest))))
+    by_id, byte, end = fit(counts, own, n_texts)
+    model = spark.sparkContext.broadcast((by_id, byte))
     scored = counts.mapInArrow(_scored(shared, model), "word binary, n long, score double").checkpoint()
 
     # The frequent words: as many steps of a count scale as fit the bound.
@@ -213,7 +211,7 @@ def likelihood(docs: DataFrame, held: Column | None = None, vocabulary: str = VO
     c = np.array([r["n"] for r in rows], np.float64)
     table = (
         {bytes(r["word"]): i for i, r in enumerate(rows)}, (c > 0).astype(np.int64), np.log10((c + 0.5) / below), np.array([r["score"] for r in rows]),
-        float(np.log10((n_texts + 0.5) / below)), float(np.log10(end)), int(n_texts > 0),
+        float(np.log10((n_texts + 0.5) / below)), end / float(np.log(10)), int(n_texts > 0),
     )
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), utf8("text").alias("text"))
     met = texts.mapInArrow(_met(spark.sparkContext.broadcast(table)), "row long, word binary, times long, doc_id long, held boolean, tokens long, known long, base double, score double")

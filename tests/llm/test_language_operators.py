@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
 import re
@@ -53,6 +54,24 @@ def all_paths(known, chunk, by_id, byte):
     return ending(len(marked))
 
 
+def by_lists(lattice, chunk, n):
+    """The n best segmentations, by the n best of each position."""
+    into = lattice.ways_into(chunk)
+    kept = [[(0, 0, 0)]]
+    for t in range(1, len(chunk) + 1 + (chunk[:1] != "\n")):
+        own = [(-(kept[t - k][r][0] + w), k, r) for k, w, _ in into(t) for r in range(len(kept[t - k]))]
+        kept.append([(-s, k, r) for s, k, r in heapq.nsmallest(n, own)])
+    out = []
+    for r, (score, _, _) in enumerate(kept[-1]):
+        ids, at, rank = [], len(kept) - 1, r
+        while at:
+            _, k, rank = kept[at][rank]
+            ids.append(next(x for length, _, x in into(at) if length == k))
+            at -= k
+        out.append((score, [i for x in reversed(ids) for i in x]))
+    return out
+
+
 CHUNKS = ["", "the", "nation", "thanedble", "\nçon", "été###", "a▁b", "\U0001f600x", "xyzzy!!", "\n", "\n\n", "tab\tand", "éeux"]
 
 
@@ -65,12 +84,21 @@ def test_best_and_next_best_of_a_chunk(known):
         paths = sorted(all_paths(known, chunk, known.weights.tolist(), known.byte_weight), key=lambda p: (-p[0], p[1]))
         expected = [(w, ids) for w, _, ids in paths[:6]]
         assert lattice.nbest(chunk, 6) == expected
-        assert lattice._by_lists(lattice._into(chunk)[0], 6) == expected
+        assert by_lists(lattice, chunk, 6) == expected
         assert flat[offsets[k] : offsets[k + 1]].tolist() == expected[0][1] and score[k] == expected[0][0]
         if len(expected) > 1:
             assert gap[k] == expected[0][0] - expected[1][0]
 
 
+def test_next_best_of_very_long_chunks(known):
+    """Ties everywhere, and chunks far beyond any text's words."""
+    lattice, rng = Lattice(known), random.Random(1)
+    for chunk in ("x" * 3000, "ab" * 1500, "".join(rng.choices("thenationérdsç#", k=4000)), "\n" + "the" * 900, "\U0001f600" * 600):
+        got = lattice.nbest(chunk, 5)
+        assert got == by_lists(lattice, chunk, 5)
+    assert lattice.nbest("y" * 30_000, 2)[0][0] >= lattice.nbest("y" * 30_000, 2)[1][0]
+
+
 def test_marginal_is_the_sum_over_all_segmentations(known):
     lattice = Lattice(known)
     by_id, byte = known.weights / SCALE, known.byte_weight / SCALE
@@ -135,41 +163,58 @@ def test_with_pieces_replaces_columns_of_its_names(spark):
 
 
 # ---- likelihood ------------------------------------------------------------------
+def piece_weights(known, counts, n_texts):
+    """(weights by piece, of a byte, of the end), from all segmentations."""
+    pieces, bytes_ = {p: i for i, p in enumerate(known.pieces) if p}, set(known.byte_ids.tolist())
+    start = {i: math.exp(known.weights[i] / SCALE) for i in pieces.values()} | {"byte": 256 * math.exp(known.byte_weight / SCALE)}
+    whole = sum(start.values())
+    start = {k: v / whole for k, v in start.items()}
+    now, end = start, 0.5
+    for _ in range(LI.PASSES):
+        total = defaultdict(float, {k: LI.PRIOR_PIECES * v for k, v in start.items()})
+        for word, c in counts.items():
+            paths = all_paths(known, word, now_logs(known, now), math.log(now["byte"] / 256))
+            z = sum(math.exp(w) for w, _, _ in paths)
+            for w, _, ids in paths:
+                for i in ids:
+                    total["byte" if i in bytes_ else i] += c * math.exp(w) / z
+        mass = sum(total.values())
+        now, end = {k: v / mass for k, v in total.items()}, n_texts / (mass + n_texts)
+    return {k: v * (1 - end) for k, v in now.items()}, end
+
+
+def now_logs(known, now):
+    return [math.log(now[i]) if now.get(i) else -math.inf for i in range(len(known.pieces))]
+
+
 def scored(known, rows):
     held = [zlib.crc32(b"" if d is None else str(d).encode()) % 5 == 1 for d, _ in rows]
     own = [re.findall(SPACE, lower(t)) for _, t in rows]
     counts = Counter(w for w, h in zip(own, held) if not h for w in w)
     n_texts = held.count(False)
     n, v = sum(counts.values()) + n_texts, len(counts) + 1
-    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
-    discount = once / (once + 2 * twice) if once and twice else 0.5
-    lattice = Lattice(known)
-    usable = np.array([p is not None for p in known.pieces])
-    start, byte = np.where(usable, np.exp(known.weights / SCALE), 0), math.exp(known.byte_weight / SCALE)
-    whole = start.sum() + 256 * byte
-    start, byte = start / whole, byte / whole
-    with np.errstate(divide="ignore"):
-        _, seen = lattice.marginal([*counts], np.log(start), math.log(byte), np.array([float(c) for c in counts.values()]))
-        mass = seen.sum() + LI.PRIOR_PIECES
-        by_id, log_byte = np.log((seen[:-1] + LI.PRIOR_PIECES * start) / mass), math.log((seen[-1] / 256 + LI.PRIOR_PIECES * byte) / mass)
-    every = sorted({w for o in own for w in o})
-    inside = dict(zip(every, np.exp(lattice.marginal(every, by_id, log_byte))))
-    p = {w: max(counts[w] - discount, 0) / n + discount * v / n * inside[w] for w in every}
+    weights, end = piece_weights(known, counts, n_texts)
+    logs, byte = now_logs(known, weights), math.log(weights["byte"] / 256)
+    p = {w: math.log10(sum(math.exp(x) for x, _, _ in all_paths(known, w, logs, byte))) for w in {w for o in own for w in o}}
     base = lambda c: math.log10((c + 0.5) / (n + 0.5 * (v + 1)))
     return [
-        (d, h, len(o) + 1, sum(counts[w] > 0 for w in o) + 1, n, sum(base(counts[w]) for w in o) + base(n_texts),
-         sum(math.log10(p[w]) if p[w] else math.log10(discount * v / n) for w in o) + math.log10((n_texts - discount) / n))
+        (d, h, len(o) + 1, sum(counts[w] > 0 for w in o) + 1, n, sum(base(counts[w]) for w in o) + base(n_texts), sum(p[w] for w in o) + math.log10(end))
         for (d, _), h, o in zip(rows, held, own)
     ]
 
 
+@pytest.fixture(scope="module")
+def likely(known):
+    rows = [(d, t) for d, t in texts() if d not in (40, 41)]  # every segmentation of every word is walked
+    return rows, sorted(scored(known, rows), key=lambda r: (str(r[0]), r[2], r[5]))
+
+
 @pytest.mark.parametrize("frequent", [65_536, 8, 0])
-def test_likelihood(spark, known, frequent):
-    rows = [(d, t) for d, t in texts() if d != 41]  # its words underflow outside log space
+def test_likelihood(spark, likely, frequent):
+    rows, expected = likely
     got = LI.likelihood(documents(spark, rows, extra=True), frequent=frequent)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     found = sorted((tuple(r) for r in got.select(names).collect()), key=lambda r: (str(r[0]), r[2], r[5]))
-    expected = sorted(scored(known, rows), key=lambda r: (str(r[0]), r[2], r[5]))
     assert len(found) == len(expected)
     for a, b in zip(found, expected):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
@@ -228,11 +273,11 @@ def test_model_is_interpolated_modified_kneser_ney(spark, order, shard_rows):
     assert sum(p(some + bytes([b])) for b in range(256)) <= 1 + 1e-9
 
 
-def corpus(seed=3):
+def corpus(seed=3, n=400):
     rng = random.Random(seed)
     parts = {"en": "the an er in on ti re at nd es".split(), "fr": "le en on ou é aux des qui re ion".split()}
     rows = []
-    for i in range(400):
+    for i in range(n):
         lang = ("en", "fr")[i % 2]
         own = ["".join(rng.choices(parts[lang], k=rng.randint(1, 3))) for _ in range(rng.randint(15, 60))]
         good = i % 5 != 0
@@ -241,7 +286,7 @@ def corpus(seed=3):
 
 
 def test_classifier_tells_held_out_text(spark):
-    rows = corpus()
+    rows = corpus(n=2400)  # about 240 trusted documents a language for the threshold
     docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows] + [(9000, None, None), (None, "the an er in on", "en")], "doc_id long, text string, lang string")
     labelled = [(i, q, 0) for i, _, _, q in rows if i % 4 < 2] + [(0, 1, None), (1, 1, 1), (None, 1, 0), (77777, 1, 0)]
     labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
