@@ -3,33 +3,33 @@
 A (query, slice) pair is a match when the two agree in >= T of the 25
 positions.  Plan:
 
-1. *Pigeonhole*: a matching pair agrees somewhere among the first
-   25 - T + 1 positions, so each side is exploded to one row per such
-   position only: (position, bin, id, the 25 bins).
+1. *Pigeonhole*: a matching pair agrees somewhere among any 25 - T + 1
+   positions, so each side is exploded to one row per such position only.
+   Any choice is exact; the positions with the least pair work (query rows
+   times store rows of each key, counted exactly) are taken.
 2. Equi-join on (position, bin) — broadcast when the query side is small
-   (bytes measured), else a shuffle join whose hot keys are split on both
-   sides (``_salted``).  The narrow *count* plan (``_count_join``: all 25
-   positions as (position, bin, id) rows, votes counted per pair) is there
-   for callers who ask for it.
-3. Each joined row carries both bin vectors, encoded once per row as 25
-   longs ``position << 32 | bin`` (one array column instead of 25).  The
-   exact vote count is ``size(array_intersect(q, s))`` (a value can only
-   meet the same position), and a pair is kept only in the row of its
-   *first* agreeing position, ``array_min(...) >> 32``; since the pigeonhole
-   positions are a prefix, that is its first agreeing pigeonhole position.
-   Every matching pair therefore comes out exactly once: no ``distinct`` and
-   no second shuffle of pairs.  (The compact form keeps the generated join
-   code small enough to be JIT-compiled; a 25-column compare inlined in a
-   join condition is not.)
+   (bytes measured) and the cost rule prefers it, else a shuffle join whose
+   hot keys are split on both sides (``_salted``).  The narrow *count* plan
+   (``_count_join``: all 25 positions as (position, bin, id) rows, votes
+   counted per pair) wins when keys are selective.
+3. A joined row carries both sides' signatures: a byte of each bin, seven to
+   a long.  Counting unequal bytes takes a few integer operations a row, and a
+   pair with more than 25 - T of them is no match, so nearly all joined rows
+   are dropped in generated code.  Only what is left compares the 25 bins
+   (``_scored``), and a pair is kept only in the row of its *first* agreeing
+   position, in the order of the choice.  Every matching pair therefore comes
+   out exactly once: no ``distinct`` and no second shuffle of pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bins import effective_threshold, pigeonhole_positions
-from ..plans.strategy import DEFAULT_PLAN, EXPLODED_ROW_BYTES, VoteJoinPlan, choose
+from ..functions.bins import effective_threshold
+from ..plans.strategy import DEFAULT_PLAN, NARROW_ROW_BYTES, JoinFacts, VoteJoinPlan, choose, exploded_row_bytes
 from ..session import ensure_checkpoint_dir
 from ..schema import BIN_COLS, N_BINS
 from .lookup import VOTES, cluster_predicate
@@ -37,45 +37,71 @@ from .lookup import VOTES, cluster_predicate
 Q = "q_"
 S = "s_"
 
+#: Bins in one long of a signature: a byte each, and the sign bit stays free.
+_PER_LONG = 7
+_SIGNATURES = [f"v{i}" for i in range(-(-N_BINS // _PER_LONG))]
+#: A store of fewer rows than this a task is dealt out anew before it is exploded.
+ROWS_A_TASK = 50_000
+
+
+def _byte(c: str) -> Column:
+    b = F.col(c)
+    folded = b.bitwiseXOR(F.shiftright(b, 16))
+    return F.coalesce(folded.bitwiseXOR(F.shiftright(folded, 8)).bitwiseAND(255).cast("long"), F.lit(0).cast("long"))
 
-def encode_bins(side: int = 0):
-    """25 bins -> array<bigint> of ``position << 32 | (bin + 2^31)``.  A NULL
-    bin becomes a negative value private to its side (``side`` 0 or 1), so it
-    never agrees with anything: NULL does not vote."""
-    return F.array(
-        *[
-            F.coalesce(
-                F.lit(i).cast("long") * F.lit(1 << 32) + (F.col(c).cast("long") + F.lit(1 << 31)),
-                F.lit(-1 - i - 100 * side).cast("long"),
-            )
-            for i, c in enumerate(BIN_COLS)
-        ]
-    )
+
+def signatures() -> list[Column]:
+    """A byte of every bin, seven to a long.  Equal bins have equal bytes."""
+    out = []
+    for i in range(0, N_BINS, _PER_LONG):
+        parts = [F.shiftleft(_byte(c), 8 * k) for k, c in enumerate(BIN_COLS[i : i + _PER_LONG])]
+        out.append(reduce(lambda a, b: a.bitwiseOR(b), parts))
+    return out
+
+
+def _unequal() -> Column:
+    """Positions whose bytes differ: at most those whose bins differ."""
+    low = sum(0x7F << 8 * k for k in range(_PER_LONG))
+    high = sum(0x80 << 8 * k for k in range(_PER_LONG))
+    total = None
+    for v in _SIGNATURES:
+        x = F.col(Q + v).bitwiseXOR(F.col(S + v))
+        # a byte that is not zero sets its high bit
+        set_ = (x.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(x).bitwiseAND(F.lit(high))
+        n = F.bit_count(set_)
+        total = n if total is None else total + n
+    return total
 
 
 def _explode(df: DataFrame, id_col: str, positions: list[int], prefix: str, keep: list[str]) -> DataFrame:
+    """One row for each of the positions, with the bins as one array.  A NULL
+    bin has no row: it never agrees."""
     keys = F.array(*[F.struct(F.lit(p).alias("pos"), F.col(BIN_COLS[p]).alias("bin")) for p in positions])
-    return df.select(
+    rows = df.select(
         F.col(id_col).alias(prefix + "id"),
-        encode_bins(0 if prefix == Q else 1).alias(prefix + "v"),
+        F.array(*[F.col(c) for c in BIN_COLS]).alias(prefix + "bins"),
+        *[v.alias(prefix + n) for v, n in zip(signatures(), _SIGNATURES)],
         *[F.col(c).alias(prefix + c) for c in keep],
         F.explode(keys).alias("_k"),
-    ).select("*", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")).drop("_k")
+    )
+    return rows.select("*", F.col("_k.pos").alias("pos"), F.col("_k.bin").alias("bin")).drop("_k").filter("bin is not null")
 
 
-def _common():
-    return F.array_intersect(F.col(Q + "v"), F.col(S + "v"))
+def _scored(joined: DataFrame, threshold: int, order: list[int]) -> DataFrame:
+    """The joined rows that are matches and in their pair's first agreeing
+    position of ``order``, with the votes.  The agreeing positions are found
+    once a row: the generator keeps the optimizer from repeating it."""
+    near = joined.filter(_unequal() <= F.lit(N_BINS - threshold))
+    rest = [p for p in range(N_BINS) if p not in order]
+    agreeing = F.filter(F.array(*[F.lit(p) for p in [*order, *rest]]), lambda p: F.get(F.col(Q + "bins"), p) == F.get(F.col(S + "bins"), p))
+    match = F.filter(F.array(agreeing), lambda c: (F.size(c) >= threshold) & (F.get(c, F.lit(0)) == F.col("pos")))
+    return near.select("*", F.explode(match).alias("_hit")).withColumn(VOTES, F.size("_hit")).drop("_hit")
 
 
-def _scored(joined: DataFrame, threshold: int) -> DataFrame:
-    """The joined rows that are matches and in their pair's first agreeing
-    position, with the votes.  The common bins are computed once a row: the
-    generator keeps the optimizer from repeating the expression."""
-    match = F.filter(
-        F.array(_common()),
-        lambda c: (F.size(c) >= threshold) & ((F.array_min(c) / F.lit(1 << 32)).cast("int") == F.col("pos")),
-    )
-    return joined.select("*", F.explode(match).alias("_hit")).withColumn(VOTES, F.size("_hit")).drop("_hit")
+def _keys(df: DataFrame) -> DataFrame:
+    """(pos, bin) of every row and position."""
+    keys = F.array(*[F.struct(F.lit(p).alias("pos"), F.col(c).alias("bin")) for p, c in enumerate(BIN_COLS)])
+    return df.select(F.explode(keys).alias("_k")).select("_k.pos", "_k.bin").filter("bin is not null")
 
 
 def _key_counts(x: DataFrame, name: str) -> DataFrame:
@@ -84,7 +110,37 @@ def _key_counts(x: DataFrame, name: str) -> DataFrame:
     return x.groupBy("pos", "bin").agg(F.count(F.lit(1)).alias(name))
 
 
-def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool) -> tuple[DataFrame, DataFrame]:
+def _pair_work(queries: DataFrame, store: DataFrame, self_pairs: bool) -> DataFrame:
+    """(pos, bin, _ns, _nq, _w): store rows, query rows and their product for
+    every key of both sides.  Checkpointed: the choice of positions and the
+    hot keys both read it."""
+    ensure_checkpoint_dir(queries.sparkSession)
+    cs = _key_counts(_keys(store), "_ns")
+    work = cs.withColumn("_nq", F.col("_ns")) if self_pairs else cs.join(_key_counts(_keys(queries), "_nq"), ["pos", "bin"])
+    return work.withColumn("_w", F.col("_ns").cast("double") * F.col("_nq")).checkpoint(eager=True)
+
+
+def _broadcast_work(queries: DataFrame, store: DataFrame) -> tuple[dict[int, float], int]:
+    """The pair work of each position and the rows of the store, for queries
+    small enough to broadcast: one pass over the store, no row of it moves."""
+    cq = F.broadcast(_key_counts(_keys(queries), "_nq"))
+    return _by_position(_keys(store).join(cq, ["pos", "bin"], "left"), F.col("_nq"), F.lit(1))
+
+
+def _by_position(keys: DataFrame, work: Column, rows: Column) -> tuple[dict[int, float], int]:
+    """The work of each position, and the rows of the fullest one; one row
+    reaches the driver."""
+    own = [F.col("pos") == p for p in range(N_BINS)]
+    r = keys.agg(*[F.sum(F.when(at, work).cast("double")) for at in own], *[F.sum(F.when(at, rows)) for at in own]).first()
+    return {p: r[p] or 0.0 for p in range(N_BINS)}, max(r[N_BINS + p] or 0 for p in range(N_BINS))
+
+
+def least_work(work: dict[int, float], threshold: int) -> list[int]:
+    """The 25 - T + 1 positions with the least pair work, least first."""
+    return sorted(range(N_BINS), key=lambda p: (work.get(p, 0.0), p))[: N_BINS - threshold + 1]
+
+
+def _salted(qx: DataFrame, sx: DataFrame, work: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool) -> tuple[DataFrame, DataFrame]:
     """Split hot (pos, bin) keys by pair work, on both sides.
 
     A key with more than ``skew_factor`` times the mean pair work of a
@@ -99,12 +155,6 @@ def _salted(qx: DataFrame, sx: DataFrame, plan: VoteJoinPlan, n_parts: int, self
     only the cells on and above the diagonal are made, so that a pair of a
     split key meets once (``_ordered`` keeps one of the two on the diagonal).
     """
-    cs = _key_counts(sx, "_ns")
-    cq = cs.withColumnRenamed("_ns", "_nq") if self_pairs else _key_counts(qx, "_nq")
-    work = cs.select("pos", "bin", "_ns", F.col("_ns").alias("_nq")) if self_pairs else cs.join(cq, ["pos", "bin"])
-    # one pass over the keys; the mean and the hot list both read the result
-    ensure_checkpoint_dir(qx.sparkSession)
-    work = work.withColumn("_w", F.col("_ns").cast("double") * F.col("_nq")).checkpoint(eager=True)
     target = F.greatest(work.select((F.sum("_w") / F.lit(n_parts)).alias("m")).scalar() * F.lit(plan.skew_factor), F.lit(1.0))
     cells = F.ceil(F.col("_w") / target)
     a = F.greatest(F.lit(1), F.least(F.col("_ns"), F.ceil(F.sqrt(cells * F.col("_ns") / F.col("_nq")))))
@@ -139,6 +189,14 @@ def _ordered(joined: DataFrame) -> DataFrame:
 _CELL = ["pos", "bin", "_sn", "_qn"]
 
 
+def _cell_join(qx: DataFrame, sx: DataFrame, work: DataFrame, plan: VoteJoinPlan, n_parts: int, self_pairs: bool) -> DataFrame:
+    """Both sides joined by cell.  The explicit hash partitioning is reused by
+    the join (no further exchange), and AQE keeps the partition count."""
+    qs, ss = _salted(qx, sx, work, plan, n_parts, self_pairs)
+    joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
+    return _ordered(joined) if self_pairs else joined
+
+
 def _count_join(
     queries: DataFrame,
     store: DataFrame,
@@ -149,6 +207,7 @@ def _count_join(
     keep_store: list[str],
     self_pairs: bool,
     plan: VoteJoinPlan,
+    work: DataFrame,
 ) -> DataFrame:
     """The narrow plan: explode all 25 positions as (pos, bin, id) rows,
     join on (pos, bin, salt), and count agreeing positions per pair
@@ -167,10 +226,7 @@ def _count_join(
     sx = narrow(store, store_id, S, keep_store)
     spark = queries.sparkSession
     n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
-    joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
-    if self_pairs:
-        joined = _ordered(joined)
+    joined = _cell_join(qx, sx, work, plan, n_parts, self_pairs)
     group = [Q + "id", S + "id", *[Q + c for c in keep_query], *[S + c for c in keep_store]]
     return (
         joined.groupBy(*group)
@@ -213,36 +269,49 @@ def vote_join(
         for c in keep_store:
             empty = empty.withColumn(S + c, F.lit(None).cast(dict(store.dtypes)[c]))
         return empty.select(*out_cols)
-    if plan.strategy == "count":
-        pairs = _count_join(queries, store, t, query_id, store_id, keep_query, keep_store, self_pairs, plan)
-        return pairs.select(*out_cols)
-    positions = pigeonhole_positions(t)
-    qx = _explode(queries, query_id, positions, Q, keep_query)
-    sx = _explode(store, store_id, positions, S, keep_store)
-
     spark = queries.sparkSession
     n_parts = plan.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    how = "shuffle" if self_pairs else choose(plan, _broadcast_bytes(qx, [Q + "id", *[Q + c for c in keep_query]]) if plan.strategy == "auto" else None)
+    carried = [query_id, *keep_query]
+    n_queries, query_bytes = (None, None) if self_pairs else _measured(queries, carried)
+    work, how = None, plan.strategy
+    if not self_pairs and how in ("auto", "broadcast") and (how == "broadcast" or query_bytes * (N_BINS - t + 1) <= plan.broadcast_bytes):
+        by_position, n_store = _broadcast_work(queries, store)
+    else:
+        work = _pair_work(queries, store, self_pairs)
+        by_position, n_store = _by_position(work, F.col("_w"), F.col("_ns"))
+    positions = least_work(by_position, t)
+    facts = JoinFacts(
+        n_store=n_store, n_queries=n_store if n_queries is None else n_queries, query_bytes=None if query_bytes is None else query_bytes * len(positions), positions=len(positions),
+        work=sum(by_position.get(p, 0.0) for p in positions) / (1 + self_pairs), work_everywhere=sum(by_position.values()) / (1 + self_pairs),
+        carried_bytes=8 + 8 * len(keep_query) + 8 * len(keep_store), copies=_executors(spark),
+    )
+    how = choose(plan, facts)
+    if how != "broadcast" and work is None:
+        work = _pair_work(queries, store, self_pairs)
+    if how == "count":
+        return _count_join(queries, store, t, query_id, store_id, keep_query, keep_store, self_pairs, plan, work).select(*out_cols)
+    qx = _explode(queries, query_id, positions, Q, keep_query)
     if how == "broadcast":
-        # a store of fewer files than tasks is dealt out before it is exploded
-        if store.rdd.getNumPartitions() < n_parts:
-            sx = _explode(store.repartition(n_parts), store_id, positions, S, keep_store)
-        joined = sx.join(F.broadcast(qx), ["pos", "bin"])
+        dealt = store.repartition(n_parts) if n_store < ROWS_A_TASK * n_parts else store
+        joined = _explode(dealt, store_id, positions, S, keep_store).join(F.broadcast(qx), ["pos", "bin"])
     else:
-        qs, ss = _salted(qx, sx, plan, n_parts, self_pairs)
-        # explicit hash partitioning on the cells: the join reuses it (no
-        # further exchange) and AQE keeps the partition count
-        joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
-    if self_pairs:
-        joined = _ordered(joined)
-    return _scored(joined, t).select(*out_cols)
+        sx = _explode(store, store_id, positions, S, keep_store)
+        joined = _cell_join(qx, sx, work.filter(F.col("pos").isin(positions)), plan, n_parts, self_pairs)
+    return _scored(joined, t, positions).select(*out_cols)
+
+
+def _executors(spark) -> int:
+    """Copies that a broadcast makes, at most."""
+    cores = int(spark.conf.get("spark.executor.cores", "1"))
+    return 1 if (spark.sparkContext.master or "").startswith("local[") else max(1, spark.sparkContext.defaultParallelism // cores)
 
 
-def _broadcast_bytes(rows: DataFrame, carried: list[str]) -> int:
-    """Measured bytes of exploded query rows: 25 encoded bins and the key by
-    type, and the carried columns as they are."""
-    wide = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in carried), F.lit(EXPLODED_ROW_BYTES))
-    return rows.agg(F.sum(wide)).first()[0] or 0
+def _measured(queries: DataFrame, carried: list[str], row_bytes: int = exploded_row_bytes()) -> tuple[int, int]:
+    """Rows, and measured bytes of their rows in one position: bins, signature
+    and key by type, and the carried columns as they are."""
+    wide = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in carried), F.lit(row_bytes))
+    r = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(wide).alias("b")).first()
+    return r["n"], r["b"] or 0
 
 
 def vote_join_inverted(
@@ -270,13 +339,16 @@ def vote_join_inverted(
     )
     if t is None or t > N_BINS:
         return qx.select(F.col(Q + "id").alias(query_id), F.lit(0).cast("long").alias("Id"), F.lit(0).alias(VOTES)).filter(F.lit(False))
-    if choose(plan, _broadcast_bytes(qx, [Q + "id"]) if plan.strategy == "auto" else None) == "broadcast":
+    query_bytes = _measured(qx, [Q + "id"], NARROW_ROW_BYTES)[1]
+    if plan.strategy == "broadcast" or plan.strategy == "auto" and query_bytes <= plan.broadcast_bytes:
         # the long table is streamed once, unshuffled; only hits are counted
         joined = sx.join(F.broadcast(qx), ["pos", "bin"])
     else:
+        ensure_checkpoint_dir(queries.sparkSession)
         n_parts = plan.partitions or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        qs, ss = _salted(qx, sx, plan, n_parts, False)
-        joined = ss.repartition(n_parts, *_CELL).join(qs.repartition(n_parts, *_CELL).hint(plan.join_hint), _CELL)
+        work = _key_counts(sx, "_ns").join(_key_counts(qx, "_nq"), ["pos", "bin"])
+        work = work.withColumn("_w", F.col("_ns").cast("double") * F.col("_nq")).checkpoint(eager=True)
+        joined = _cell_join(qx, sx, work, plan, n_parts, False)
     return (
         joined.groupBy(Q + "id", S + "id")
         .agg(F.count(F.lit(1)).cast("int").alias(VOTES))
@@ -293,21 +365,23 @@ def vote_lookup_batch(
     mode: str = "text",
     query_id: str = "qid",
     plan: VoteJoinPlan = DEFAULT_PLAN,
+    collation: str | None = None,
+    dialect: str = "spark",
 ) -> DataFrame:
     """V3: the distinct slices matched by any of the queries (set union of
     the single lookups, duplicates removed by slice Id)."""
     store = slices
-    cp = cluster_predicate(clusters, mode)
+    cp = cluster_predicate(clusters, mode, collation, dialect)
     if cp is not None:
         store = store.filter(cp)
     pairs = vote_join(queries, store, threshold, query_id=query_id, plan=plan)
     return slices.join(pairs.select("Id").distinct(), "Id", "left_semi")
 
 
-def vote_lookup_batch_votes(slices, queries, threshold, clusters=None, mode="text", query_id="qid", plan=DEFAULT_PLAN):
+def vote_lookup_batch_votes(slices, queries, threshold, clusters=None, mode="text", query_id="qid", plan=DEFAULT_PLAN, collation=None, dialect="spark"):
     """V4 in batch form: (query id, slice Id, votes) for every match."""
     store = slices
-    cp = cluster_predicate(clusters, mode)
+    cp = cluster_predicate(clusters, mode, collation, dialect)
     if cp is not None:
         store = store.filter(cp)
     return vote_join(queries, store, threshold, query_id=query_id, plan=plan)

@@ -24,24 +24,31 @@ from ..functions.bins import (
     pigeonhole_positions,
     votes_vs_literal,
 )
+from ..functions.like import like
 from ..schema import BIN_COLS, N_BINS
 
 VOTES = "votes"
 
 
-def cluster_predicate(clusters: Sequence[str] | None, mode: str = "text", collation: str | None = None):
+def cluster_predicate(clusters: Sequence[str] | None, mode: str = "text", collation: str | None = None, dialect: str = "spark"):
     """Label restriction, or None when no labels are given.
 
     ``mode="text"`` (default) is the store's rule: the stored comma text
     must contain the labels joined by ',' as a LIKE pattern (labels must be
     adjacent and in that order; ``%``/``_`` in a label are wildcards; NULL
     never matches).  ``mode="any"`` is a true set test: some label of the
-    slice equals some given label.  ``collation`` applies to the text mode.
+    slice equals some given label.  ``collation`` and ``dialect`` apply to the
+    text mode: with ``dialect="tsql"`` brackets are character classes, as in
+    the store's own LIKE (``functions.like``).
     """
     labels = list(clusters or [])
     if not labels:
         return None
     if mode == "text":
+        if dialect == "tsql":
+            return like(F.col("Clusters"), "%" + ",".join(labels) + "%", collation)
+        if dialect != "spark":
+            raise ValueError(f"unknown LIKE dialect {dialect!r}")
         pattern = F.lit("%" + ",".join(labels) + "%")
         if collation is None:
             return F.like(F.col("Clusters"), pattern)
@@ -58,6 +65,8 @@ def vote_lookup(
     clusters: Sequence[str] | None = None,
     mode: str = "text",
     with_votes: bool = False,
+    collation: str | None = None,
+    dialect: str = "spark",
 ) -> DataFrame:
     """Stored slices with >= T positional agreements with ``bins`` (V1/V2/V4).
 
@@ -73,7 +82,7 @@ def vote_lookup(
     pre = any_agree_literal(bins, pigeonhole_positions(t))
     votes = votes_vs_literal(bins)
     cond = pre & (votes >= F.lit(t))
-    cp = cluster_predicate(clusters, mode)
+    cp = cluster_predicate(clusters, mode, collation, dialect)
     if cp is not None:
         cond = cond & cp
     out = slices.filter(cond)
@@ -82,9 +91,9 @@ def vote_lookup(
     return out
 
 
-def vote_lookup_clusters(slices, bins, threshold, clusters, mode="text"):
+def vote_lookup_clusters(slices, bins, threshold, clusters, mode="text", collation=None, dialect="spark"):
     """V2: vote lookup restricted by cluster labels (empty list -> V1)."""
-    return vote_lookup(slices, bins, threshold, clusters=clusters, mode=mode)
+    return vote_lookup(slices, bins, threshold, clusters=clusters, mode=mode, collation=collation, dialect=dialect)
 
 
 def vote_lookup_votes(slices, bins, threshold, clusters=None, mode="text"):

@@ -166,6 +166,23 @@ from slices""",
     "vote_lookup": _with(SLICES, _voted("slices", QB, T)) + f"select {ALL_SLICE} from slices where Id in (select Id from voted)",
     "vote_lookup_clusters": _with(SLICES, _voted("slices", QB, T))
     + f"select {ALL_SLICE} from slices where Id in (select Id from voted) and Clusters like '%{','.join(RG.CLUSTER_LABELS)}%'",
+    "vote_lookup_clusters_like": _with(SLICES, _voted("slices", QB, T))
+    + f"select {ALL_SLICE} from slices where Id in (select Id from voted) and regexp_matches(Clusters, '[1-3]-[^lu].*,[FO]')",
+    "vote_lookup_clusters_lcase": _with(SLICES, _voted("slices", QB, T))
+    + f"select {ALL_SLICE} from slices where Id in (select Id from voted) and lower(Clusters) like '%{','.join(RG.CLUSTER_LABELS)}%'",
+    "stream_then_lookup": _with(SLICES, _voted("slices", QB, T))
+    + f"select TrackId, SequenceNumber, cast(cast(SequenceAt as float) as double) as SequenceAt, {BINS_TEXT} as bins from slices where Id in (select Id from voted)",
+    "store_delete_then_insert": _with(
+        TRACKS, SLICES, "gone as (select cast(c_custkey as int) as Id from customer where c_acctbal < 0)",
+        """held as (select TrackId, count(*) as n from slices where TrackId not in (select Id from gone)
+    or TrackId in (select Id from gone where Id % 2 = 0) and SequenceNumber < 3 group by TrackId)""",
+    )
+    + f"""select t.Id, coalesce(n, 0) as n_slices, coalesce(n, 0) as n_ids, {N_BINS} * coalesce(n, 0) as n_bins,
+  (select count(*) from slices where TrackId in (select Id from gone)) as slices_removed
+from tracks t left join held on TrackId = t.Id where t.Id not in (select Id from gone where Id % 2 <> 0)""",
+    "store_evolved": _with(TRACKS)
+    + """select Id, ISRC as Code, Artist, Title, cast(ReleaseYear as bigint) as ReleaseYear, cast(null as varchar) as GroupId from tracks
+union all select cast(s_suppkey + 10000000 as int), concat('SUP', cast(s_suppkey as varchar)), 'supplier', s_name, cast(1950 + s_nationkey as bigint), 'new' from supplier""",
     "vote_lookup_votes": _with(SLICES, _voted("slices", QB, T))
     + "select s.Id, s.TrackId, cast(v.votes as int) as votes from slices s join voted v on s.Id = v.Id",
     "vote_lookup_group": _with(SLICES, TRACKS, _voted("slices", QB, T))

@@ -25,8 +25,11 @@ from ..operators import quality as Q
 from ..operators import reshape as S
 from ..schema import BIN_COLS, LENGTH_LIMITS, REQUIRED, SLICE_COLS
 from ..session import scratch_path
+from ..service import VoteStore
 from ..sources import bindings as B
+from ..sources import ingest as IN
 from ..sources.store import testdata_store
+from ..streaming.lookups import stream_insert_hashes
 
 # Fixed parameters of the registered queries.
 QUERY_KEY = 12345  # the query vector is the bins binding A gives order 12345
@@ -39,6 +42,7 @@ SIGNATURE = 7
 POSTING_POSITION, POSTING_BIN = 3, 2
 GROUP = "HOUSEHOLD"
 CLUSTER_LABELS = ["1-urgent"]
+CLUSTER_PATTERN = "[1-3]-[^lu]%,[FO]"  # of the store's LIKE: 3-medium, or 2-high, then F or O
 EVENT_TYPES = ["Click", "View", "Purchase", "Error", "Signup"]
 ALBUM_LIMIT = 7  # below the stored limit, so that some names break it
 LINE_NAMES = {0: "None", 1: "First", 2: "Second", 3: "Third", 4: "Fourth", 5: "Fifth"}
@@ -250,6 +254,18 @@ def vote_lookup_clusters_any(spark, d):
     return L.vote_lookup_clusters(_st(spark, d).get("slices"), _q(), THRESHOLD, ["F", "1-urgent"], mode="any")
 
 
+def vote_lookup_clusters_like(spark, d):
+    """Labels as a pattern with bracket classes."""
+    return L.vote_lookup_clusters(_st(spark, d).get("slices"), _q(), THRESHOLD, [CLUSTER_PATTERN], dialect="tsql")
+
+
+def vote_lookup_clusters_lcase(spark, d):
+    """Labels without regard to case, in Spark's LIKE and the store's."""
+    s, label = _st(spark, d).get("slices"), [CLUSTER_LABELS[0].upper()]
+    plain = L.vote_lookup_clusters(s, _q(), THRESHOLD, label, collation="UTF8_LCASE")
+    return plain.join(L.vote_lookup_clusters(s, _q(), THRESHOLD, label, collation="UTF8_LCASE", dialect="tsql").select("Id"), "Id", "left_semi")
+
+
 def vote_lookup_inverted_batch(spark, d):
     """V6 for many queries: benchmark items against the long layout of the
     documents' MinHash bins."""
@@ -384,6 +400,66 @@ def delete_cascade(spark, d):
     )["counts"]
 
 
+# ---- a store, from its empty tables -------------------------------------------------
+def _hashed_orders(spark, d):
+    """Binding A's slices as they come from a client: bins and labels as lists."""
+    return _st(spark, d).get("slices").select(
+        "TrackId", F.array(*[F.col(c) for c in BIN_COLS]).alias("bins"), "SequenceNumber", "SequenceAt", decode_clusters("Clusters").alias("clusters")
+    )
+
+
+def _filled(spark, d, slices: DataFrame) -> VoteStore:
+    """A new store with all tracks and these slices."""
+    svc = VoteStore(spark, scratch_path(spark, "store"))
+    svc.store.append("tracks", _st(spark, d).get("tracks"))
+    svc.add_slices(slices, order=["TrackId", "SequenceNumber"])
+    return svc
+
+
+def stream_then_lookup(spark, d):
+    """Half of the slices inserted at once, half from a stream; then a lookup
+    over the inverted layout, which has to find both."""
+    hashed, odd = _hashed_orders(spark, d), F.col("TrackId") % 2 != 0
+    svc = _filled(spark, d, hashed.filter(~odd))
+    src = scratch_path(spark, "arriving")
+    hashed.filter(odd).write.parquet(src)
+    arriving = spark.readStream.schema(hashed.schema).parquet(src)
+    stream_insert_hashes(arriving, svc.store, ["TrackId", "SequenceNumber"], scratch_path(spark, "arriving-checkpoint")).awaitTermination()
+    found = svc.candidates(_q(), THRESHOLD)
+    return found.select("TrackId", "SequenceNumber", F.col("SequenceAt").cast("double").alias("SequenceAt"), F.array_join(F.col("bins").cast("array<string>"), ",").alias("bins"))
+
+
+def store_delete_then_insert(spark, d):
+    """Tracks with a negative balance are removed with their slices, and the
+    even ones among them, with their first slices, inserted again."""
+    hashed, gone = _hashed_orders(spark, d), _negative_balance_ids(spark, d)
+    svc = _filled(spark, d, hashed)
+    removed = IN.delete_tracks(svc.store, gone)
+    again = gone.filter("Id % 2 = 0")
+    svc.store.append("tracks", _st(spark, d).get("tracks").join(again, "Id", "left_semi"))
+    first = hashed.filter("SequenceNumber < 3").join(again.withColumnRenamed("Id", "TrackId"), "TrackId", "left_semi")
+    svc.add_slices(first, order=["TrackId", "SequenceNumber"])
+    n_slices = svc.store.read("slices").groupBy(F.col("TrackId").alias("Id")).agg(F.count("*").alias("n_slices"), F.countDistinct("Id").alias("n_ids"))
+    n_bins = svc.store.read("bins_long").join(svc.store.read("slices").select(F.col("Id").alias("SubFingerprintId"), "TrackId"), "SubFingerprintId")
+    n_bins = n_bins.groupBy(F.col("TrackId").alias("Id")).agg(F.count("*").alias("n_bins"))
+    n_removed = removed.filter("table = 'slices'").select("removed").scalar()
+    tracks = svc.tracks().select("Id").join(n_slices, "Id", "left").join(n_bins, "Id", "left")
+    return tracks.select("Id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_slices", "n_ids", "n_bins")], n_removed.alias("slices_removed"))
+
+
+def store_evolved(spark, d):
+    """Stored tracks, changed schema, suppliers inserted under it; then all."""
+    svc = VoteStore(spark, scratch_path(spark, "store"))
+    svc.store.append("tracks", _st(spark, d).get("tracks"))
+    svc.store.evolve("tracks", **_CHANGES)
+    new = _supplier_tracks(spark, d).select(
+        (F.col("s_suppkey") + 10_000_000).cast("int").alias("Id"), F.col("ISRC").alias("Isrc"), "Artist", "Title", "Album", F.col("ReleaseYear").cast("bigint").alias("ReleaseYear"), F.lit("new").alias("GroupId")
+    )
+    svc.store.append("tracks", new)
+    svc.store.evolve("tracks", drop=["Album"], rename={"Isrc": "Code"})
+    return svc.store.read("tracks")
+
+
 # ---- integrity checks ----------------------------------------------------------------
 def check_ranges(spark, d):
     return Q.check_ranges(_st(spark, d).get("tracks_raw"))
@@ -509,6 +585,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vote_lookup_t0": vote_lookup_t0,
     "vote_lookup_t25": vote_lookup_t25,
     "vote_lookup_clusters_any": vote_lookup_clusters_any,
+    "vote_lookup_clusters_like": vote_lookup_clusters_like,
+    "vote_lookup_clusters_lcase": vote_lookup_clusters_lcase,
     "vote_lookup_inverted_batch": vote_lookup_inverted_batch,
     "union_posting_lists": union_posting_lists,
     "vote_lookup_batch": vote_lookup_batch,
@@ -532,6 +610,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_tracks_remaining": delete_tracks_remaining,
     "delete_bins_by_track": delete_bins_by_track,
     "delete_cascade": delete_cascade,
+    "stream_then_lookup": stream_then_lookup,
+    "store_delete_then_insert": store_delete_then_insert,
+    "store_evolved": store_evolved,
     "check_ranges": check_ranges,
     "check_orphans": check_orphans,
     "check_unique": check_unique,

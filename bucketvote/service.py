@@ -82,20 +82,24 @@ class VoteStore:
     def slices_of(self, track_id: int) -> DataFrame:
         return C.hashes_by_track(self.store.read("slices"), track_id)
 
-    def candidates(self, bins: Sequence[int], threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
+    def candidates(
+        self, bins: Sequence[int], threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = (), collation: str | None = None, dialect: str = "spark"
+    ) -> DataFrame:
         """Candidates of one query vector: (Id, TrackId, SequenceNumber,
         SequenceAt as float, bins) — no labels, as the store returns them."""
         if threshold and threshold > 0:
             # posting lists of the inverted layout, then the slices they name
             ids = L.vote_lookup_inverted(self.store.read("bins_long"), bins, threshold).select("Id")
             rows = self.store.read("slices").join(ids, "Id", "left_semi")
-            wanted = L.cluster_predicate(list(clusters), "text")
+            wanted = L.cluster_predicate(list(clusters), "text", collation, dialect)
             return self._candidates(rows if wanted is None else rows.filter(wanted))
-        return self._candidates(L.vote_lookup(self.store.read("slices"), bins, threshold, clusters=list(clusters)))
+        return self._candidates(L.vote_lookup(self.store.read("slices"), bins, threshold, clusters=list(clusters), collation=collation, dialect=dialect))
 
-    def candidates_of_all(self, queries: DataFrame, threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = ()) -> DataFrame:
+    def candidates_of_all(
+        self, queries: DataFrame, threshold: int | None = DEFAULT_THRESHOLD, clusters: Sequence[str] = (), collation: str | None = None, dialect: str = "spark"
+    ) -> DataFrame:
         """Distinct candidates of many query vectors (qid + 25 bins)."""
-        hits = BT.vote_lookup_batch(self.store.read("slices"), queries, threshold, clusters=list(clusters), plan=self.plan)
+        hits = BT.vote_lookup_batch(self.store.read("slices"), queries, threshold, clusters=list(clusters), plan=self.plan, collation=collation, dialect=dialect)
         return self._candidates(hits)
 
     @staticmethod

@@ -208,14 +208,19 @@ class Store:
                     stored = stored.filter(F.col(PART).isin([r[0] for r in parts.distinct().collect()]))
                 wanted = keys.select(F.col(on).cast(key.dataType).alias("_bv_gone")).distinct()
                 same = stored[own] == wanted["_bv_gone"]
-                touched = stored.join(wanted, same, "left_semi").groupBy(*FOLDERS).count().collect()  # one row a folder
+                folders = stored.join(wanted, same, "left_semi").groupBy(*FOLDERS).count().checkpoint()
+                touched = folders.collect()  # one row a folder
                 if not touched:
                     continue
                 removed[name] += sum(r["count"] for r in touched)
                 hit += [tuple(r[c] for c in FOLDERS) for r in touched]
-                where = reduce(lambda a, b: a | b, [(F.col(POSITION) == p) & (F.col(PART) == q) & (F.col(BATCH) == b) for _, _, p, q, b in {tuple(r[c] for c in FOLDERS) for r in touched}])
+                for c in (POSITION, PART, BATCH):  # read no other folders ...
+                    stored = stored.filter(F.col(c).isin(sorted({r[c] for r in touched})))
+                # ... and write no others: one of these values in each column does not make a touched folder
+                stored = stored.join(F.broadcast(folders.select(*FOLDERS)), list(FOLDERS), "left_semi")
+                same = stored[own] == wanted["_bv_gone"]
                 sort = [f.name for f in self._schema(name, version).fields if _SORT in f.metadata] or [own]
-                left.append((stored.filter(where).join(wanted, same, "left_anti"), sort))
+                left.append((stored.join(wanted, same, "left_anti"), sort))
         if hit:
             # the rows that stay are kept aside first: their folders are about to be replaced
             left = [(df.checkpoint(), sort) for df, sort in left]
