@@ -23,6 +23,8 @@ _LITERAL = 0x110000
 SCALE = 1_000_000
 NONE = -(1 << 60)
 _BEGIN = -3
+#: Positions whose edges are kept while a chunk is searched (more begin anew).
+POSITIONS = 4096
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -257,14 +259,31 @@ class Lattice:
         step's best way on and its next sibling are put on the heap, so a
         chunk of any length is searched in space linear in it."""
         into = self.ways_into(chunk)
-        size = len(chunk) + (chunk[:1] != "\n")
+        text, spelt = self._masked(chunk)
+        size, get, longest = len(text), self.by_piece.get, self.longest
         ahead = [0]
-        for t in range(1, size + 1):
-            ahead.append(max((ahead[t - L] + w for L, w, _ in into(t)), default=NONE))
+        known: dict[int, list[tuple[int, int, int]]] = {}
 
         def ways(at: int) -> list[tuple[int, int, int]]:
             """(minus the best score by way of the edge, its length, its weight)."""
-            return sorted((-(ahead[at - L] + w), L, w) for L, w, _ in into(at) if ahead[at - L] > NONE)
+            held = known.get(at)
+            if held is None:
+                if len(known) >= POSITIONS:
+                    known.clear()
+                held = []
+                for a in range(at - 1, max(at - longest, 0) - 1, -1):
+                    got = get(text[a:at])
+                    if got is not None:
+                        held.append((-(ahead[a] + got[1]), at - a, got[1]))
+                    elif a == at - 1:
+                        w = len(spelt[a].encode()) * self.vocabulary.byte_weight
+                        held.append((-(ahead[a] + w), 1, w))
+                held.sort()
+                known[at] = held
+            return held
+
+        for t in range(1, size + 1):
+            ahead.append(-ways(t)[0][0])
 
         def push(before: _Step, at: int, done: int, rank: int) -> None:
             held = ways(at)
@@ -289,8 +308,7 @@ class Lattice:
 
     def ways_into(self, chunk: str):
         """Edges into each position as (length, weight, ids), shortest first."""
-        marked = chunk if chunk[:1] == "\n" else MARK + chunk
-        masked = marked[:1] + marked[1:].replace(MARK, "\n")  # a line feed is in no piece
+        masked, marked = self._masked(chunk)
 
         def into(t: int):
             for L in range(1, min(t, self.longest) + 1):
@@ -303,6 +321,13 @@ class Lattice:
 
         return into
 
+    @staticmethod
+    def _masked(chunk: str) -> tuple[str, str]:
+        """A chunk with its mark, for looking up and for spelling: a mark of
+        the text itself is looked up as a line feed, which is in no piece."""
+        marked = chunk if chunk[:1] == "\n" else MARK + chunk
+        return marked[:1] + marked[1:].replace(MARK, "\n"), marked
+
     @staticmethod
     def _ids(into, step: _Step) -> list[int]:
         """Ids of a path, given its first piece."""
