@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade, in DataFrame operations.
 
 Each rule rejects rows by a condition.  On a sample, every rule's cost (time
-to evaluate it) and selectivity (share rejected) are measured; rules are then
+that it adds to the plan that runs) and selectivity (share rejected) are measured; rules are then
 tried in the order of rejection per cost, and a row that one rejects is not
 shown to the others (a CASE is evaluated branch by branch).  The order changes
 the time, never the verdict: a row is kept if no rule rejects it.
@@ -112,17 +112,21 @@ RULES: dict[str, Rule] = {
 }
 
 
-def order_rules(docs: DataFrame, rules: dict[str, Rule] = RULES, sample_rows: int = SAMPLE_ROWS, seed: int = 42) -> list[tuple[str, float, float]]:
+def order_rules(docs: DataFrame, rules: dict[str, Rule] = RULES, sample_rows: int = SAMPLE_ROWS, seed: int = 42, given: bool = False) -> list[tuple[str, float, float]]:
     """(rule, share rejected, seconds) by rejection per second, best first,
-    from about ``sample_rows`` rows; each rule's time is that of the rule
-    alone, with the measures it needs."""
+    from about ``sample_rows`` rows.  A rule's time is what it adds to the plan
+    that runs: with the measures it needs, or, if these are ``given`` there as
+    columns, without."""
     bounded_batches(docs.sparkSession)
     share = min(1.0, sample_rows / max(docs.count(), 1))
-    sample = docs.select("text").sample(share, seed).checkpoint()
+    sample = docs.select("text").sample(share, seed)
+    of, found = measures(), []
+    if given:
+        sample, of = measured(sample, ["text"]), {name: F.col(name) for name in of}
+    sample = sample.checkpoint()
     began = time.perf_counter()
     n = sample.count()
     least = time.perf_counter() - began
-    of, found = measures(), []
     for name, rule in rules.items():
         began = time.perf_counter()
         rejected = sample.agg(F.count_if(rule(of))).first()[0]
@@ -146,7 +150,7 @@ def judged(docs: DataFrame, rules: dict[str, Rule] = RULES, sample_rows: int = S
     """One row for each row of ``docs``: the ``carry`` columns (doc_id unless
     named), all measures and passed, the cascade's verdict."""
     carry = ["doc_id"] if carry is None else carry
-    order = [name for name, _, _ in order_rules(docs, rules, sample_rows)]
+    order = [name for name, _, _ in order_rules(docs, rules, sample_rows, given=True)]
     rows = measured(docs, [*dict.fromkeys([*carry, "text"])])
     of = {name: F.col(name) for name in measures()}
     return rows.select(*carry, *of, verdict(rules, order, of).alias("passed"))
