@@ -45,11 +45,11 @@ def minhash_bins(items: DataFrame, id_col: str, text_col: str, carry: list[str]
 
     ``carry`` are columns functionally dependent on ``id_col``; they ride
     along the grouping instead of being joined back afterwards.  Whole texts
-    are tokenised; products stay below 2^62 in bigint.
+    are tokenised, and each distinct token of an item is hashed once; products stay below 2^62 in bigint.
     """
     carry = list(carry or [])
     toks = (
-        items.select(F.col(id_col), *carry, F.explode(F.split(F.col(text_col), " ")).alias("w"))
+        items.select(F.col(id_col), *carry, F.explode(F.array_distinct(F.split(F.col(text_col), " "))).alias("w"))
         .filter(F.col("w") != "")
         .select(F.col(id_col), *carry, token_hash("w").alias("x"))
     )
