@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ids import sequence_within
+
+#: Keys in one piece of a large group's map.
+PIECE_ROWS = 100_000
+
 
 def flatten_record(df: DataFrame, col: str, ignore: Sequence[str] = (), sep: str = "_") -> DataFrame:
     """M1: replace struct column ``col`` by ``col_field`` columns, recursing
@@ -127,10 +132,23 @@ def unique_pairs(df: DataFrame, key: str, value: str, group: Sequence[str]) -> D
     return one.filter(checked).select(*group, key, value)
 
 
+def map_pieces(df: DataFrame, key: str, value: str, group: Sequence[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """M6 for groups of any size: (group, piece, first_key, last_key, n, map).
+    A group's keys are numbered in their order by ranges (``sequence_within``),
+    and every ``piece_rows`` of them are one map, so a group's pieces are its
+    map, cut in order, and no task or row holds more than a piece.  A repeated
+    key raises."""
+    group = list(group)
+    ranked = sequence_within(unique_pairs(df, key, value, group), group, [key], out="_bv_rank")
+    pieces = ranked.withColumn("piece", F.floor(F.col("_bv_rank") / F.lit(piece_rows)).cast("int")).groupBy(*group, "piece")
+    entries = F.sort_array(F.collect_list(F.struct(F.col(key), F.col(value))))  # piece_rows at most
+    return pieces.agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.count(F.lit(1)).alias("n"), F.map_from_entries(entries).alias("map"))
+
+
 def to_unique_map(df: DataFrame, key: str, value: str, group: Sequence[str]) -> DataFrame:
     """M6: per group a key -> value map; a repeated key raises.  A map is one
-    value, held whole by one row: for groups that may be large, use
-    ``unique_pairs``, which has the same content as rows."""
+    value, held whole by one row: for groups that may be large, use ``map_pieces`` (or
+    ``unique_pairs``, the same content as rows)."""
     pairs = unique_pairs(df, key, value, group)
     return pairs.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("map"))
 

@@ -78,11 +78,16 @@ REQUIRED = {
     "tracks": ["Id"],
     "slices": ["Id", "TrackId", "SequenceNumber", "SequenceAt", *BIN_COLS],
     "signatures": ["Id", "Signature", "TrackId"],
+    "bins_long": ["HashTable", "HashBin", "SubFingerprintId"],
 }
 
+# Keys that are unique, per table.
+KEYS = {"tracks": ["Id"], "slices": ["Id"], "signatures": ["Id"], "bins_long": ["HashTable", "HashBin", "SubFingerprintId"]}
+
 # Text limits per table (characters for text, bytes for binary).
 LENGTH_LIMITS = {
     "tracks": {"ISRC": ISRC_MAX, "Artist": TEXT_MAX, "Title": TEXT_MAX, "Album": TEXT_MAX},
     "slices": {"Clusters": CLUSTERS_MAX},
     "signatures": {"Signature": SIGNATURE_MAX},
+    "bins_long": {},
 }

@@ -76,6 +76,17 @@ def insert_signatures(store: Store, signatures: DataFrame, order: Sequence[str],
     return new
 
 
+def import_rows(store: Store, name: str, rows: DataFrame, batch: str | None = None) -> None:
+    """Rows that bring their own keys, as from another store.  A key that
+    repeats among them or is in the table raises ``ConstraintError``, as does
+    any other broken constraint; nothing is written then.  Two imports of one
+    key at the same time are not told.  Later claims of Ids start above what
+    the table holds only if none was claimed before: import first."""
+    rows = rows.checkpoint()
+    parents = _parents(store) if name in ("slices", "signatures") else None
+    store.append(name, enforce(name, rows, parents, store.read(name)), batch)
+
+
 def delete_tracks(store: Store, track_ids: DataFrame | Sequence[int]) -> DataFrame:
     """D1, D2 and D4 on a store: the slices of the tracks with their posting
     rows by one write, then signatures, then the tracks.  Returns (table,

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schema import KEYS
 from ..session import scratch_path
 from . import files
 
@@ -184,7 +185,10 @@ class Store:
         # ranges of (folders, sort columns): balanced tasks of few folders each, never one task a folder
         by = [*FOLDERS, *dict.fromkeys(c for _, sort in laid for c in sort if c not in FOLDERS)]
         out = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS).parquet(self.root)
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        for key in {k for keys in KEYS.values() for k in keys} & set(out.columns) - {POSITION}:
+            w = w.option(f"parquet.bloom.filter.enabled#{key}", "true")  # a lookup by key skips row groups
+        w.partitionBy(*FOLDERS).parquet(self.root)
 
     def delete_rows(self, name: str, keys: DataFrame, on: str) -> int:
         """Remove the rows whose column ``on`` is among those of ``keys``;
