@@ -258,7 +258,6 @@ class Lattice:
         An entry is one step with a pointer to the step before it, and only a
         step's best way on and its next sibling are put on the heap, so a
         chunk of any length is searched in space linear in it."""
-        into = self.ways_into(chunk)
         text, spelt = self._masked(chunk)
         size, get, longest = len(text), self.by_piece.get, self.longest
         ahead = [0]
@@ -303,24 +302,9 @@ class Lattice:
             if at > step.length:
                 push(step, at - step.length, done + w, 0)
             else:
-                out.append((done + w, self._ids(into, step)))
+                out.append((done + w, self._ids(text, spelt, step)))
         return out
 
-    def ways_into(self, chunk: str):
-        """Edges into each position as (length, weight, ids), shortest first."""
-        masked, marked = self._masked(chunk)
-
-        def into(t: int):
-            for L in range(1, min(t, self.longest) + 1):
-                got = self.by_piece.get(masked[t - L : t])
-                if got is not None:
-                    yield L, got[1], [got[0]]
-                elif L == 1:
-                    spelt = [int(self.vocabulary.byte_ids[b]) for b in marked[t - 1].encode()]
-                    yield 1, len(spelt) * self.vocabulary.byte_weight, spelt
-
-        return into
-
     @staticmethod
     def _masked(chunk: str) -> tuple[str, str]:
         """A chunk with its mark, for looking up and for spelling: a mark of
@@ -328,14 +312,16 @@ class Lattice:
         marked = chunk if chunk[:1] == "\n" else MARK + chunk
         return marked[:1] + marked[1:].replace(MARK, "\n"), marked
 
-    @staticmethod
-    def _ids(into, step: _Step) -> list[int]:
+    def _ids(self, text: str, spelt: str, step: _Step) -> list[int]:
         """Ids of a path, given its first piece."""
         out, at = [], 0
         while step.before is not None:
-            at += step.length
-            out += next(ids for k, _, ids in into(at) if k == step.length)
-            step = step.before
+            got = self.by_piece.get(text[at : at + step.length])
+            if got is not None:
+                out.append(got[0])
+            else:
+                out += [int(self.vocabulary.byte_ids[b]) for b in spelt[at].encode()]
+            at, step = at + step.length, step.before
         return out
 
     # ---- all paths -------------------------------------------------------

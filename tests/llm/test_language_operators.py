@@ -56,7 +56,18 @@ def all_paths(known, chunk, by_id, byte):
 
 def by_lists(lattice, chunk, n):
     """The n best segmentations, by the n best of each position."""
-    into = lattice.ways_into(chunk)
+    marked = chunk if chunk[:1] == "\n" else MARK + chunk
+    masked, known = marked[:1] + marked[1:].replace(MARK, "\n"), lattice.vocabulary
+
+    def into(t):
+        for k in range(1, min(t, lattice.longest) + 1):
+            got = lattice.by_piece.get(masked[t - k : t])
+            if got is not None:
+                yield k, got[1], [got[0]]
+            elif k == 1:
+                spelt = [int(known.byte_ids[b]) for b in marked[t - 1].encode()]
+                yield 1, len(spelt) * known.byte_weight, spelt
+
     kept = [[(0, 0, 0)]]
     for t in range(1, len(chunk) + 1 + (chunk[:1] != "\n")):
         own = [(-(kept[t - k][r][0] + w), k, r) for k, w, _ in into(t) for r in range(len(kept[t - k]))]
