@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: Rows the JVM puts in one Arrow batch, and text bytes handled at a time in
-#: a Python worker (a longer single text is still handled whole).
-BATCH_ROWS = 1000
+#: Rows and bytes the JVM puts in one Arrow batch, and text bytes handled at a
+#: time in a Python worker (a longer single text is still handled whole).
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 SLICE_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -31,11 +31,13 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small; texts may be very long."""
+    """Keep Arrow batches of whole texts small; texts may be very long.  The
+    session's settings stay lowered, as the batches are made when the result
+    is computed."""
     ensure_checkpoint_dir(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, most)
 
 
 def let(value: Column, body) -> Column:

@@ -194,6 +194,37 @@ def test_shards_are_even_whole_and_gapless(spark):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
+def halved(rows, shards):
+    """(part, row): the k-d splits by sorting, part by part."""
+    widest = [max(max(r[k] for r in rows) - min(r[k] for r in rows), 1) for k in ("k0", "k1", "k2")]
+
+    def split(own, n, first):
+        if n == 1 or not own:
+            return [(first, r) for r in own]
+        widths = [(max(r[k] for r in own) - min(r[k] for r in own)) / w for k, w in zip(("k0", "k1", "k2"), widest)]
+        key = f"k{widths.index(max(widths))}"
+        target, at = sum(r["size"] for r in own) * (n // 2) / n, 0
+        for cut in sorted({r[key] for r in own}):
+            size = sum(r["size"] for r in own if r[key] == cut)
+            if at + size >= target:
+                break
+            at += size
+        low = lambda r: r[key] < cut or r[key] == cut and at + size - target < target - at
+        return split([r for r in own if low(r)], n // 2, first) + split([r for r in own if not low(r)], n - n // 2, first + n // 2)
+
+    return split(rows, shards, 0)
+
+
+@pytest.mark.parametrize("shards", [2, 13])
+def test_splits_against_sorting(spark, monkeypatch, shards):
+    monkeypatch.setattr(SH, "TOLERANCE", 0.0)
+    rows = [(i, "word " * (i * 7 % 50)) for i in range(300)] + [(500 + i, "copy " * 20) for i in range(150)] + [(None, None), (7, None), (7, "word"), (7, "word")]
+    points = SH.points(documents(spark, rows), SH.DIMENSIONS).checkpoint()
+    names = ["k0", "k1", "k2", "size"]
+    got = Counter((r["part"], *(r[n] for n in names)) for r in SH.split(points, 3, shards=shards).collect())
+    assert got == Counter((part, *(r[n] for n in names)) for part, r in halved(points.collect(), shards))
+
+
 def test_target_bytes_decides_the_number_of_shards(spark):
     rows = [(i, "x" * 92) for i in range(100)]
     got = SH.shard(documents(spark, rows), target_bytes=1000)
