@@ -11,8 +11,9 @@ part and label class; no order is ever run.
 
 A document that repeats an earlier one is told by the digest (SHA-256) of its
 text: the smallest doc_id of each digest is found by one grouping, and a
-document passes if (digest, doc_id) is among these.  This join is on a pair
-that hardly repeats, however many copies a text has.
+document passes if (digest, doc_id) is among these.  Rows alike in all of this are
+counted before any join, so its keys hardly repeat, however many copies a text
+or a row has.
 
 Nulls: a null text is empty, a null part an empty string; a document without
 doc_id has no labels, repeats none and is repeated by none.  Of repeated
@@ -111,7 +112,7 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        words = survival_words(batch.column("mask").to_numpy())
+        words, times = survival_words(batch.column("mask").to_numpy()), batch.column("n").to_numpy()
         part = batch.column("part").dictionary_encode()
         names, code, label = part.dictionary.to_pylist(), part.indices.to_numpy(), batch.column("label").to_numpy()
         key = code.astype(np.int64) * 4 + label
@@ -119,7 +120,9 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
             bits = int(label[own[0]])
             of = names[code[own[0]]], bits & 1, bits >> 1
-            total[of] = total.get(of, 0) + positional_popcount(words[own])
+            n = times[own]
+            for k in range(int(n.max()).bit_length()):  # rows that stand for many, by the bits of their number
+                total[of] = total.get(of, 0) + (positional_popcount(words[own[n >> k & 1 == 1]]) << k)
         if len(total) > HELD_PARTS:
             yield from out()
     if total:
@@ -127,19 +130,20 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def failures(docs: DataFrame, part: str = "lang") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, part, and mask with the bits
-    of all five filters that the document fails."""
+    """doc_id, part, mask with the bits of all five filters that a document
+    fails, and n, the number of such rows of ``docs`` with one text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     text = F.coalesce(utf8("text"), F.lit(b""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
     # narrow rows, read twice below: the texts are scanned once
-    seen = rows.mapInArrow(_failures, "doc_id long, part string, digest binary, mask int").checkpoint()
+    judged = rows.mapInArrow(_failures, "doc_id long, part string, digest binary, mask int")
+    seen = judged.groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")).checkpoint()
     known = seen.filter(F.col("doc_id").isNotNull())
     first = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
     told = known.join(first, ["digest", "doc_id"], "left")
     repeats = F.when(F.col("first").isNull(), 1 << LETTERS.index("E")).otherwise(0)
-    return told.select("doc_id", "part", F.col("mask").bitwiseOR(repeats).alias("mask")).unionByName(seen.filter(F.col("doc_id").isNull()).select("doc_id", "part", "mask"))
+    return told.select("doc_id", "part", F.col("mask").bitwiseOR(repeats).alias("mask"), "n").unionByName(seen.filter(F.col("doc_id").isNull()).drop("digest"))
 
 
 def subset_survivors(masks: DataFrame, labels: DataFrame) -> DataFrame:
@@ -148,8 +152,8 @@ def subset_survivors(masks: DataFrame, labels: DataFrame) -> DataFrame:
     has = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     bits = has.agg((F.coalesce(F.max((F.col("quality") == 1).cast("int")), F.lit(0)) + 2 * F.coalesce(F.max((F.col("toxic") == 1).cast("int")), F.lit(0))).alias("label"))
     known = masks.filter(F.col("doc_id").isNotNull()).join(bits.filter("label > 0"), "doc_id", "left")
-    rows = known.select("part", "mask", F.coalesce("label", F.lit(0)).cast("int").alias("label"))
-    rows = rows.unionByName(masks.filter(F.col("doc_id").isNull()).select("part", "mask", F.lit(0).alias("label")))
+    rows = known.select("part", "mask", "n", F.coalesce("label", F.lit(0)).cast("int").alias("label"))
+    rows = rows.unionByName(masks.filter(F.col("doc_id").isNull()).select("part", "mask", "n", F.lit(0).alias("label")))
     counts = rows.mapInArrow(_survivors, "part string, good int, toxic int, survivors array<long>")
 
     def summed(times: Column) -> Column:

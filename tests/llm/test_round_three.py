@@ -152,7 +152,7 @@ def audit_rows():
     few = " ".join(rng.choices(words(rng, 60), k=300))
     bodies = [long, few, long.upper(), long + " #1", few + " | ", few.upper() + " &", "short", "SHORT $", None, "", "  \t", long.replace(" ", "\n")]
     rows = [(i, rng.choice(bodies)) for i in range(90)]
-    rows += [(None, long), (None, long), (None, None), (7, rows[7][1]), (-3, few), (200, "ä" * 50 + " AB"), (201, "ä" * 50 + " ABC")]
+    rows += [(None, long), (None, long), (None, None), (7, rows[7][1]), (-3, few), (200, "ä" * 50 + " AB"), (201, "ä" * 50 + " ABC"), *[(300, few)] * 8, *[(None, "SHORT $")] * 12]
     return rows
 
 
