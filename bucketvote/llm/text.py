@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: Rows and bytes the JVM puts in one Arrow batch, and text bytes handled at a
-#: time in a Python worker (a longer single text is still handled whole).
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Rows the JVM puts in one Arrow batch (whose bytes Spark bounds at 64 MB), and
+#: text bytes handled at a time in a Python worker (a longer single text is
+#: still handled whole).
+BATCH_ROWS = 1000
 SLICE_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -35,9 +36,9 @@ def bounded_batches(spark: SparkSession) -> None:
     session's settings stay lowered, as the batches are made when the result
     is computed."""
     ensure_checkpoint_dir(spark)
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
-            spark.conf.set(key, most)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def let(value: Column, body) -> Column:
