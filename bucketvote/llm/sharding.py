@@ -5,8 +5,11 @@ its bytes.  The table is split at the weighted median along its widest
 dimension (width relative to the whole table's), and so on until a part has
 the target bytes.  All parts of a level are split together: their weighted
 medians come from histograms of key prefixes, refined ten bits at a time
-within the bucket that holds the median (at most 1024 rows a part reach the
-driver), so no part is ever gathered or sorted.
+within the bucket that holds the median, so no part is ever gathered or
+sorted.  Histograms, cuts and all else that is known of a part stay in tables
+(at most 1024 rows a part), which rows meet by a join on the part: broadcast
+while they have at most ``BROADCAST_PARTS`` rows, shuffled beyond.  The driver
+sees only the whole table's ends and size, whatever the number of parts.
 
 A row's key along a dimension is its coordinate, then a hash of its text,
 then a hash of its id: any cut is possible, however many rows share a
@@ -29,6 +32,9 @@ ROW_BYTES = 8
 #: Rows that are numbered together, and bits of a refinement step.
 NUMBERED, STEP = 20_000, 10
 _COORDINATE, _TEXT, _ID = 21, 22, 20  # bits of a key: 63
+#: Most parts whose table is broadcast (some 50 bytes a row), and most alike
+#: rows that are written out from one array.
+BROADCAST_PARTS, REPEATED = 100_000, 10_000
 #: A cut within this share of a part's bytes is not refined any more.
 TOLERANCE = 1e-4
 
@@ -63,70 +69,74 @@ def points(docs: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *keys)
 
 
-def _of(values, part: str = "part") -> Column:
-    """The value of a row's part, from one value for each part."""
-    return F.get(F.array(*[F.lit(v) for v in values]), F.col(part))
+def _meet(rows: DataFrame, parts: DataFrame, n_parts: int) -> DataFrame:
+    """``rows`` with their part's columns."""
+    return rows.join(F.broadcast(parts) if n_parts <= BROADCAST_PARTS else parts, "part")
 
 
-def _cuts(rows: DataFrame, leaves: list[int], weights: list[int]) -> list[int | None]:
-    """For each part that becomes several leaves, the key below which lies its
-    left side's share of bytes, found ten bits at a time."""
-    left, prefix, below = 63, [0] * len(leaves), [0] * len(leaves)
-    target = [w * (n // 2) / n for w, n in zip(weights, leaves)]
-    cuts: list[int | None] = [None] * len(leaves)
-    todo = {p for p, n in enumerate(leaves) if n > 1 and weights[p]}
-    while todo:
+def _cuts(rows: DataFrame, parts: DataFrame, n_parts: int) -> DataFrame:
+    """(part, last): the last key of the left side of each part, which gets
+    ``target`` bytes of the part's ``weight``.  The bucket that holds the cut
+    is found ten bits at a time, for all parts at once."""
+    left, done = 63, None
+    todo = parts.select("part", "weight", "target", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
+    while left:
         bits = min(STEP, left)
-        inside = rows.filter(F.col("part").isin([*todo]) & (F.shiftright("key", left) == _of(prefix)))
+        inside = _meet(rows, todo, n_parts).filter(F.shiftright("key", left) == F.col("prefix"))
         left -= bits
         digit = F.shiftright("key", left).bitwiseAND(F.lit((1 << bits) - 1)).alias("digit")
-        seen: dict[int, list] = {p: [] for p in todo}
-        for r in inside.groupBy("part", digit).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n")).collect():  # at most 1024 rows a part
-            seen[r["part"]].append((r["digit"], r["w"], r["n"]))
-        for p in [*todo]:
-            at = below[p]
-            for d, w, n in sorted(seen[p]):
-                if at + w >= target[p]:
-                    break
-                at += w
-            prefix[p], below[p] = (prefix[p] << bits) | d, at
-            if left == 0 or n == 1 or w <= TOLERANCE * weights[p]:
-                # the bucket goes to the side that brings the cut nearer to the share
-                after = at + w - target[p] < target[p] - at
-                cuts[p] = (prefix[p] + after) << left
-                todo.discard(p)
-    return cuts
+        seen = inside.groupBy("part", "weight", "target", "prefix", "below", digit).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"))
+        # at most 1024 rows a part
+        upto = F.col("below") + F.sum("w").over(Window.partitionBy("part").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
+        reached = seen.withColumn("upto", upto).filter(F.col("upto") >= F.col("target"))
+        at = reached.groupBy("part", "weight", "target", "prefix").agg(F.min(F.struct("digit", "upto", "w", "n")).alias("at"))
+        found = at.select(
+            "part", "weight", "target", F.shiftleft("prefix", bits).bitwiseOR(F.col("at.digit")).alias("prefix"),
+            (F.col("at.upto") - F.col("at.w")).alias("below"), F.col("at.upto").alias("upto"), F.col("at.w").alias("w"), F.col("at.n").alias("n"),
+        ).checkpoint()
+        stop = F.lit(left == 0) | (F.col("n") == 1) | (F.col("w") <= F.lit(TOLERANCE) * F.col("weight"))
+        # the bucket goes to the side that brings the cut nearer to the share
+        first = F.shiftleft("prefix", left)
+        last = F.when(F.col("upto") - F.col("target") < F.col("target") - F.col("below"), first.bitwiseOR(F.lit((1 << left) - 1))).otherwise(first - 1)
+        ended = found.filter(stop).select("part", last.alias("last"))
+        done = ended if done is None else done.unionByName(ended)
+        todo = found.filter(~stop).select("part", "weight", "target", "prefix", "below")
+        if todo.isEmpty():
+            break
+    return done
 
 
 def split(rows: DataFrame, dimensions: int, target_bytes: int | None = None, shards: int | None = None) -> DataFrame:
     """``rows`` (see ``points``) with their part: parts are split until each
-    has ``target_bytes``, or into ``shards`` of an equal share."""
+    has ``target_bytes``, or into ``shards`` of an equal share.
+
+    A part is named by the first of the leaves that it becomes, so parts stay
+    in order; what is known of a part stays in a table with a row for each."""
     if shards is None:
         whole = rows.agg(F.sum("size").alias("w")).first()["w"] or 0
         shards = max(1, -(-whole // target_bytes))
-    leaves, widest = [shards], None
-    placed = rows.withColumn("part", F.lit(0))
-    while max(leaves) > 1:
-        measures = [f(f"k{i}").alias(f"{n}{i}") for i in range(dimensions) for n, f in (("low", F.min), ("high", F.max))]
-        weights, dimension = [0] * len(leaves), [0] * len(leaves)
-        for r in placed.groupBy("part").agg(F.sum("size").alias("w"), *measures).collect():  # a row for each part
-            widths = [r[f"high{i}"] - r[f"low{i}"] for i in range(dimensions)]
-            widest = widest or [max(w, 1) for w in widths]
-            weights[r["part"]] = r["w"]
-            dimension[r["part"]] = max(range(dimensions), key=lambda i: (widths[i] / widest[i], -i))
-        keyed = placed.withColumn("key", F.get(F.array(*[f"k{i}" for i in range(dimensions)]), _of(dimension)))
-        cuts = _cuts(keyed, leaves, weights)
-        # parts stay in order: one that is split moves those after it by one
-        number, numbers, new = 0, [], []
-        for n in leaves:
-            numbers.append(number)
-            sides = [n] if n == 1 else [n // 2, n - n // 2]
-            new += sides
-            number += len(sides)
-        upper = F.coalesce(F.col("key") >= _of([(1 << 63) - 1 if c is None else c for c in cuts]), F.lit(False)) & _of([n > 1 for n in leaves])
-        placed = keyed.withColumn("part", _of(numbers) + upper.cast("int")).drop("key").checkpoint()
-        leaves = new
-    return placed
+    keys = [f"k{i}" for i in range(dimensions)]
+    placed = rows.withColumns({"part": F.lit(0).cast("long"), "leaves": F.lit(shards).cast("long")})
+    ends = rows.agg(*[(F.max(k) - F.min(k)).alias(k) for k in keys]).first()
+    widest = [max(ends[k] or 0, 1) for k in keys]
+    most, n_parts = shards, 1
+    while most > 1:
+        measures = [((F.max(k) - F.min(k)) / F.lit(w)).alias(k) for k, w in zip(keys, widest)]
+        parts = placed.filter("leaves > 1").groupBy("part", "leaves").agg(F.sum("size").alias("weight"), *measures)
+        small = F.floor(F.col("leaves") / 2).cast("long")
+        parts = parts.select(
+            "part", "weight", (F.col("weight") * small / F.col("leaves")).alias("target"),
+            (F.array_position(F.array(*keys), F.array_max(F.array(*keys))) - 1).cast("int").alias("dimension"),
+        ).checkpoint()
+        keyed = _meet(placed, parts.select("part", "dimension"), n_parts).select("part", "size", F.get(F.array(*keys), F.col("dimension")).alias("key"))
+        cuts = _cuts(keyed, parts, n_parts).join(parts.select("part", "dimension"), "part")
+        cuts = F.broadcast(cuts) if n_parts <= BROADCAST_PARTS else cuts
+        # a part that is a leaf already has no cut
+        upper = F.coalesce(F.get(F.array(*keys), F.col("dimension")) > F.col("last"), F.lit(False))
+        sides = F.when(F.col("leaves") == 1, 1).when(upper, F.col("leaves") - small).otherwise(small)
+        placed = placed.join(cuts, "part", "left").select(*rows.columns, (F.col("part") + F.when(upper, small).otherwise(0)).alias("part"), sides.alias("leaves")).checkpoint()
+        most, n_parts = most - most // 2, min(2 * n_parts, shards)
+    return placed.select(*rows.columns, F.col("part").cast("int").alias("part"))
 
 
 def shard(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, target_bytes: int | None = None, shards: int | None = None) -> DataFrame:
@@ -137,14 +147,19 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, target_byte
     near equal.  An empty table gives no rows."""
     bounded_batches(docs.sparkSession)
     parts = split(points(docs, dimensions).checkpoint(), len(dimensions), target_bytes, shards)
-    placed = parts.select("doc_id", "size", "text_crc32", F.col("part").alias("shard"))
+    # rows alike in all that is returned are numbered as one
+    alike = parts.groupBy(F.col("part").alias("shard"), "doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("times"))
+    most = alike.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
     # slots: rows are numbered in groups of bounded size, which follow one another
-    most = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
     group = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(max(16, -(-most // NUMBERED)))).alias("bucket")
-    grouped = placed.select("*", group)
-    counts = grouped.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    grouped = alike.select("*", group)
+    counts = grouped.groupBy("shard", "bucket").agg(F.sum("times").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32")
-    numbered = grouped.withColumn("number", F.row_number().over(own) - 1)
-    return numbered.join(starts, ["shard", "bucket"]).select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("number")).alias("slot"))
+    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = grouped.withColumn("number", F.coalesce(F.sum("times").over(own), F.lit(0)))
+    slot = numbered.join(starts, ["shard", "bucket"]).withColumn("slot", F.col("start") + F.col("number"))
+    # alike rows again one by one, at most REPEATED in one array
+    runs = slot.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(REPEATED).cast("long"))))
+    end = F.least(F.col("run") + REPEATED, "times") - 1
+    return runs.select("doc_id", "size", "text_crc32", "shard", F.explode(F.sequence(F.col("slot") + F.col("run"), F.col("slot") + end)).alias("slot"))
