@@ -14,7 +14,9 @@ Work goes by distinct word: words are counted over the training texts and
 scored once each.  Texts then meet their words' scores: the most frequent
 words (at most ``FREQUENT``, each of at most ``FREQUENT_BYTES``) come as a
 broadcast of bounded size, which also takes the hot keys out of the join; all
-other words are joined on the word.
+other words are joined on the word, by a join that can spill.  What rows are
+numbered by is checkpointed before that join, so a recomputed task cannot
+number them anew.
 
 Nulls: a null text is empty; a null doc_id counts as an empty string when
 rows are held out.  Repeated rows count and are scored as often as they occur.
@@ -214,8 +216,8 @@ def likelihood(docs: DataFrame, held: Column | None = None, vocabulary: str = VO
         float(np.log10((n_texts + 0.5) / below)), end / float(np.log(10)), int(n_texts > 0),
     )
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), utf8("text").alias("text"))
-    met = texts.mapInArrow(_met(spark.sparkContext.broadcast(table)), "row long, word binary, times long, doc_id long, held boolean, tokens long, known long, base double, score double")
-    others = scored.select("word", F.col("n").alias("count"), F.col("score").alias("word_score")).hint("shuffle_hash")
+    met = texts.mapInArrow(_met(spark.sparkContext.broadcast(table)), "row long, word binary, times long, doc_id long, held boolean, tokens long, known long, base double, score double").checkpoint()
+    others = scored.select("word", F.col("n").alias("count"), F.col("score").alias("word_score"))
     per_word = met.join(others, "word", "left").select(
         "row", "doc_id", "held", "tokens",
         F.coalesce("known", F.when(F.col("count") > 0, F.col("times")).otherwise(0)).alias("known"),
