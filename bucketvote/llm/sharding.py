@@ -85,16 +85,16 @@ def _cuts(rows: DataFrame, parts: DataFrame, n_parts: int) -> DataFrame:
         inside = _meet(rows, todo, n_parts).filter(F.shiftright("key", left) == F.col("prefix"))
         left -= bits
         digit = F.shiftright("key", left).bitwiseAND(F.lit((1 << bits) - 1)).alias("digit")
-        seen = inside.groupBy("part", "weight", "target", "prefix", "below", digit).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"))
+        seen = inside.groupBy("part", "weight", "target", "prefix", "below", digit).agg(F.sum("size").alias("w"), (F.min("key") == F.max("key")).alias("one"))
         # at most 1024 rows a part
         upto = F.col("below") + F.sum("w").over(Window.partitionBy("part").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
         reached = seen.withColumn("upto", upto).filter(F.col("upto") >= F.col("target"))
-        at = reached.groupBy("part", "weight", "target", "prefix").agg(F.min(F.struct("digit", "upto", "w", "n")).alias("at"))
+        at = reached.groupBy("part", "weight", "target", "prefix").agg(F.min(F.struct("digit", "upto", "w", "one")).alias("at"))
         found = at.select(
             "part", "weight", "target", F.shiftleft("prefix", bits).bitwiseOR(F.col("at.digit")).alias("prefix"),
-            (F.col("at.upto") - F.col("at.w")).alias("below"), F.col("at.upto").alias("upto"), F.col("at.w").alias("w"), F.col("at.n").alias("n"),
+            (F.col("at.upto") - F.col("at.w")).alias("below"), F.col("at.upto").alias("upto"), F.col("at.w").alias("w"), F.col("at.one").alias("one"),
         ).checkpoint()
-        stop = F.lit(left == 0) | (F.col("n") == 1) | (F.col("w") <= F.lit(TOLERANCE) * F.col("weight"))
+        stop = F.lit(left == 0) | F.col("one") | (F.col("w") <= F.lit(TOLERANCE) * F.col("weight"))
         # the bucket goes to the side that brings the cut nearer to the share
         first = F.shiftleft("prefix", left)
         last = F.when(F.col("upto") - F.col("target") < F.col("target") - F.col("below"), first.bitwiseOR(F.lit((1 << left) - 1))).otherwise(first - 1)

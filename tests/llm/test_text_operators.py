@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -160,12 +161,12 @@ def contaminated(rows, items, width):
 ITEMS = [(1, "An ER, in!"), (1, "An ER, in!"), (12, None), (None, "ab ab ab ab ab ab ab ab ab ab ab ab"), (9, "a b c d e f g h i a b c d"), (10, ""), (11, "...")]
 
 
-@pytest.mark.parametrize("block", [1 << 20, 100])
-def test_contamination(spark, block):
+@pytest.mark.parametrize("block, piece", [(1 << 20, 1 << 20), (20, 3)])
+def test_contamination(spark, block, piece):
     rows = texts()
     items = [*ITEMS, (77, " ".join(rows[6][1].split()[20:45])), (78, " ".join(rows[6][1].split()[50:53]))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("hits", F.lit(1))
-    found = CO.contamination(documents(spark, extra=True), bench, block_bytes=block)
+    found = CO.contamination(documents(spark, extra=True), bench, block_words=block, piece_words=piece)
     n_hit = F.aggregate("hits", F.lit(0), lambda a, x: a + x["words"]).alias("n_hit")
     got = by_row(found.select("doc_id", "n_words", n_hit, "items"), "doc_id", "n_words", "n_hit", "items")
     assert got == sorted(contaminated(rows, items, 10), key=repr)
@@ -178,6 +179,39 @@ def test_no_benchmark_hits_nothing(spark):
     assert CO.contamination(documents(spark), none).filter("size(items) > 0 or size(hits) > 0").count() == 0
 
 
+def test_buckets_are_dealt_by_a_hash_of_their_own():
+    words = [f"w{i * i % 997}" for i in range(4000)]
+    text = " ".join(words + words[:500])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 2]), pa.array([text.encode(), text.encode()[:9000]])], names=["dk", "check", "text"])
+    tops, seen = Counter(), {}
+    for out in SU._hashed(5, 16)(iter([batch])):
+        for row in out.to_pylist():
+            if row["hashes"] is not None:
+                for v in np.frombuffer(row["hashes"], "<u8").tolist():
+                    assert seen.setdefault(v, row["target"]) == row["target"]
+                    tops[v >> 60, row["target"]] += 1
+    # a bucket tells nothing about the hash: nearly all of 16 x 16 combinations occur
+    assert len(tops) > 200
+
+
+def test_windows_of_equal_hash_are_told_apart():
+    """A roller that gives every window the same hash changes nothing."""
+
+    class Flat:
+        def spans(self, values, begin, end):
+            return np.zeros(len(begin), np.uint64)
+
+    words = np.array([1, 2, 1, 2, 3, 1, 2], np.int32)
+    got = CO._windows(words, np.array([0, 1, 2, 3, 5]), np.array([0, 0, 0, 1, 1]), 2, Flat())
+    found = {tuple(words[b : b + 2].tolist()): got.owners[x:y].tolist() for b, x, y in zip(got.begin, got.own, got.own[1:])}
+    assert found == {(1, 2): [0, 1], (2, 1): [0], (2, 3): [1]} and (np.diff(got.value.astype(np.int64)) >= 0).all()
+    docs = np.array([2, 1, 0, 1, 2, 3], np.int64)
+    block = ({}, words, ["a", "b"], {2: got})
+    assert [(n, at.tolist(), [words[w.begin[i]] for i in which]) for n, at, which, w in CO._matches(block, docs, Flat())] == [
+        (2, [3], [1]), (2, [0], [2]), (2, [4], [2])
+    ]
+
+
 # ---- sharding ------------------------------------------------------------------
 def test_shards_are_even_whole_and_gapless(spark):
     rows = [(i, "word " * (i * 7 % 50)) for i in range(3000)] + [(5000 + i, "copy " * 20) for i in range(1500)]
@@ -243,6 +277,17 @@ def test_rows_that_cannot_be_told_apart_share_a_shard(spark):
     assert got.count() == 50 and sorted(r["slot"] for r in got.collect()) == list(range(50))
 
 
+def test_many_alike_rows_are_numbered_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(SH, "REPEATED", 7)
+    monkeypatch.setattr(SH, "BROADCAST_PARTS", 1)
+    rows = [(None, "same")] * 50 + [(i, f"text {i}") for i in range(30)]
+    got = SH.shard(documents(spark, rows), shards=3).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in rows)
+    for s in {r["shard"] for r in got}:
+        own = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert own == list(range(len(own)))
+
+
 # ---- rules -----------------------------------------------------------------------
 def measures(text):
     text = text or ""
