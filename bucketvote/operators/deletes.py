@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .reshape import by_ids
+
 
 def ids_frame(spark, ids: DataFrame | Sequence[int], col: str = "Id") -> DataFrame:
     if isinstance(ids, DataFrame):
@@ -68,7 +70,7 @@ def delete_bins_by_track(bins_long: DataFrame, slices: DataFrame, track_ids: Dat
     spark = bins_long.sparkSession
     tids = ids_frame(spark, track_ids, "TrackId")
     gone = slices.join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
-    return bins_long.join(gone, "SubFingerprintId", "left_anti")
+    return by_ids(bins_long, gone, "SubFingerprintId", "left_anti")
 
 
 def delete_cascade(
@@ -84,7 +86,7 @@ def delete_cascade(
     res["bins_long"] = delete_bins_by_track(bins_long, slices, track_ids)
     tids = ids_frame(spark, track_ids, "TrackId")
     gone = slices.join(tids, "TrackId", "left_semi").select(F.col("Id").alias("SubFingerprintId"))
-    n_bins = bins_long.join(gone, "SubFingerprintId", "left_semi").agg(F.count(F.lit(1)).alias("removed")).select(
+    n_bins = by_ids(bins_long, gone, "SubFingerprintId", "left_semi").agg(F.count(F.lit(1)).alias("removed")).select(
         F.lit("bins_long").alias("table"), "removed"
     )
     per_table = res["counts"].filter(F.col("table") != "total").unionByName(n_bins)
