@@ -58,7 +58,8 @@ def insert_slices(store: Store, hashed: DataFrame, order: Sequence[str], track_i
     it, bins, SequenceNumber, SequenceAt, clusters) and their posting rows.
     Returns the new slices.  Slices that break a constraint raise
     ``ConstraintError``; nothing is written then."""
-    ranked = C.insert_hashes(_none(store.spark), hashed, list(order), track_id=track_id).checkpoint()
+    # the numbering lies in a checkpoint: what follows it is the same each time it is read
+    ranked = C.insert_hashes(_none(store.spark), hashed, list(order), track_id=track_id)
     new = _numbered(store, "slices", enforce("slices", ranked, _parents(store)), batch)
     together = {"slices": new}
     if store.has("bins_long"):
