@@ -9,7 +9,7 @@ spread to 25 columns, labels are joined to comma text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,6 +103,7 @@ def insert_hashes(
     hashed: DataFrame,
     order: Sequence[str],
     track_id: int | None = None,
+    kept: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Append hashed slices given as (TrackId, bins array<int>,
     SequenceNumber, SequenceAt, clusters array<string>).  Bins are spread to
@@ -114,7 +115,7 @@ def insert_hashes(
         rows = rows.withColumn("TrackId", F.lit(int(track_id)))
     rows = spread_bins(rows, "bins")
     rows = rows.withColumn("Clusters", encode_clusters(F.col("clusters")))
-    with_ids = assign_ids(rows, order, start=slices.select("Id"), out="Id", dtype="long")
+    with_ids = assign_ids(rows, order, start=slices.select("Id"), out="Id", dtype="long", kept=kept)
     return with_ids.select(
         "Id",
         F.col("TrackId").cast("int").alias("TrackId"),

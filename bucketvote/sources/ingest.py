@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators import catalog as C
 from ..operators.constraints import enforce
 from ..operators.reshape import bins_to_long
-from ..schema import BINS_LONG, SIGNATURES, SLICES, TRACKS
+from ..schema import BINS_LONG, N_BINS, SIGNATURES, SLICES, TRACKS
+from . import files
 from .store import PART, PARTS, Store
 
 
@@ -27,7 +28,7 @@ def create_tables(store: Store, parts: int = PARTS) -> None:
     store.create("tracks", TRACKS, key="Id", parts=parts)
     store.create("slices", SLICES, key="TrackId", sort_within=["TrackId", "SequenceNumber"], parts=parts)
     store.create("signatures", SIGNATURES, key="TrackId", parts=parts)
-    store.create("bins_long", BINS_LONG, sort_within=["HashBin"], parts=parts)
+    store.create("bins_long", BINS_LONG, sort_within=["HashBin", "SubFingerprintId"], parts=parts)
 
 
 def _none(spark: SparkSession) -> DataFrame:
@@ -58,15 +59,26 @@ def insert_slices(store: Store, hashed: DataFrame, order: Sequence[str], track_i
     it, bins, SequenceNumber, SequenceAt, clusters) and their posting rows.
     Returns the new slices.  Slices that break a constraint raise
     ``ConstraintError``; nothing is written then."""
-    # the numbering lies in a checkpoint: what follows it is the same each time it is read
-    ranked = C.insert_hashes(_none(store.spark), hashed, list(order), track_id=track_id)
-    new = _numbered(store, "slices", enforce("slices", ranked, _parents(store)), batch)
-    together = {"slices": new}
+    aside = []
+
+    def kept(placed: DataFrame) -> DataFrame:
+        aside.append(store.aside(placed))
+        return aside[-1][0]
+
+    # the numbering lies in files: what follows it is the same each time it is read
+    own = {c.split(".")[0].strip("`").lower() for c in ["TrackId", "bins", "SequenceNumber", "SequenceAt", "clusters", *order]}
+    try:
+        ranked = C.insert_hashes(_none(store.spark), hashed.select(*[F.col(f"`{c}`") for c in hashed.columns if c.lower() in own]), list(order), track_id=track_id, kept=kept)
+        new = store.arranged("slices", _numbered(store, "slices", enforce("slices", ranked, _parents(store)), batch))
+    finally:
+        for _, at in aside:
+            files.remove(store.spark, at)
+    together = {"slices": [new]}
     if store.has("bins_long"):
-        key = store.schema("slices")["TrackId"]
-        together["bins_long"] = bins_to_long(new.withColumn(PART, store.part_of(F.col("TrackId"), key)), keep=[PART])
-    store.append_together(together, batch)
-    return new
+        # the slices move, a position's long rows are made where their slices lie
+        together["bins_long"] = [bins_to_long(new, keep=[PART], position=p) for p in range(N_BINS)]
+    store.append_arranged(together, batch)
+    return new.drop(PART)
 
 
 def insert_signatures(store: Store, signatures: DataFrame, order: Sequence[str], batch: str | None = None) -> DataFrame:
