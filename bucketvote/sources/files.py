@@ -3,6 +3,7 @@ a path, so any shared folder does."""
 
 from __future__ import annotations
 
+from py4j.java_gateway import is_instance_of
 from pyspark.errors.exceptions.captured import convert_exception
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,13 @@ def _at(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _plain(spark: SparkSession, fs):
+    """The file system without files of checksums, which are renamed after the
+    files that they belong to: a reader beside two writers may find another's."""
+    checked = is_instance_of(spark.sparkContext._gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem")
+    return fs.getRawFileSystem() if checked else fs
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder, in order; none if it is not there."""
     fs, p = _at(spark, folder)
@@ -21,6 +29,7 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text; None if there is no such file."""
     fs, p = _at(spark, path)
+    fs = _plain(spark, fs)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
@@ -38,6 +47,7 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
 
     jvm = spark.sparkContext._jvm
     fs, p = _at(spark, path)
+    fs = _plain(spark, fs)
     aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
     out = fs.create(aside, False)
     try:

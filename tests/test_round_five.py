@@ -18,6 +18,7 @@ from bucketvote.plans.strategy import VoteJoinPlan
 from bucketvote.operators import reshape as S
 from bucketvote.schema import BIN_COLS, SLICES
 from bucketvote.service import VoteStore
+from bucketvote.sources import files
 from bucketvote.sources import ingest as IN
 from bucketvote.sources import store as ST
 
@@ -130,3 +131,10 @@ def test_keys_as_bits_of_words(spark):
         assert gone.in_place and got == {k for k in wanted if k is not None}
     assert not ST._Gone(spark.createDataFrame([("a",)], "_bv_gone string")).in_place
     assert gone(rows, "k").filter(~F.col("_bv_gone")).count() == rows.count()
+
+
+def test_small_files_have_no_checksum_beside_them(spark, tmp_path):
+    """A second writer's checksum beside the first one's file made reads fail."""
+    at = tmp_path / "claims"
+    assert files.create_new(spark, f"file:{at}/x", "one") and not files.create_new(spark, f"file:{at}/x", "two")
+    assert os.listdir(at) == ["x"] and files.read_text(spark, f"file:{at}/x") == "one"
